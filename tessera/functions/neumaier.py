@@ -1,0 +1,35 @@
+"""Neumaier's compensated addition as Spark SQL lambdas.
+
+A running state is ``struct<s: double, c: double>``; the value is ``s + c``.
+Adding ``x``: ``t = s + x``; ``c += (s - t) + x`` when ``|s| >= |x|``, else
+``(x - t) + s``; ``s = t``. Partial states merge by adding one's ``s`` and
+then its ``c`` to the other.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def neumaier_add(acc: Column, x: Column) -> Column:
+    s, c = acc["s"], acc["c"]
+    t = s + x
+    comp = F.when(F.abs(s) >= F.abs(x), (s - t) + x).otherwise((x - t) + s)
+    return F.struct(t.alias("s"), (c + comp).alias("c"))
+
+
+def neumaier_fold(parts: Column) -> Column:
+    """Fold an array of ``struct<hi, lo>`` partial sums into one double.
+
+    The parts are sorted by magnitude first, so the result does not depend
+    on the order in which the shuffle delivered them."""
+    ordered = F.array_sort(parts, lambda l, r: F.when(F.abs(l["hi"]) < F.abs(r["hi"]), -1)
+                           .when(F.abs(l["hi"]) > F.abs(r["hi"]), 1)
+                           .when(l["hi"] < r["hi"], -1).when(l["hi"] > r["hi"], 1)
+                           .when(l["lo"] < r["lo"], -1).when(l["lo"] > r["lo"], 1)
+                           .otherwise(0))
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("c"))
+    return F.aggregate(ordered, zero,
+                       lambda acc, p: neumaier_add(neumaier_add(acc, p["hi"]), p["lo"]),
+                       lambda acc: acc["s"] + acc["c"])
