@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 
 def drop_self_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Edges whose ends differ (null ends are dropped as well)."""
@@ -96,19 +98,29 @@ def closing_edges(edges: DataFrame, paths: DataFrame, src: str = "src",
     return paths.join(e, ["start", "end"], "left_semi").select("start", "end", "middle")
 
 
-def triangles(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """(a, b, c): every triangle once, ``a`` first in (degree, id) order."""
+def triangles(edges: DataFrame, src: str = "src", dst: str = "dst",
+              checkpoint: bool = True) -> DataFrame:
+    """(a, b, c): every triangle once, ``a`` first in (degree, id) order.
+
+    The oriented edge set feeds three inputs (both sides of the two-path
+    join and the closing semi-join). With ``checkpoint`` it is written once
+    to the session's checkpoint folder, so the edge preparation (distinct,
+    degrees, two joins) runs once and a lost executor does not replay it.
+    """
     o = oriented_edges(edges, src, dst)
+    if checkpoint:
+        o = cut_lineage(o)
     closed = closing_edges(o, two_paths(o))
     return closed.select(F.col("middle").alias("a"), F.col("start").alias("b"),
                          F.col("end").alias("c"))
 
 
-def triangle_paths(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def triangle_paths(edges: DataFrame, src: str = "src", dst: str = "dst",
+                   checkpoint: bool = True) -> DataFrame:
     """(start, end, middle) for every two-path of the symmetric, self-edge-free
     graph that an edge closes: the reference's closed-path listing, six rows
     per triangle, produced from the single find of :func:`triangles`."""
-    t = triangles(edges, src, dst)
+    t = triangles(edges, src, dst, checkpoint)
     a, b, c = F.col("a"), F.col("b"), F.col("c")
 
     def row(s: Column, e: Column, m: Column) -> Column:
@@ -119,8 +131,9 @@ def triangle_paths(edges: DataFrame, src: str = "src", dst: str = "dst") -> Data
     return t.select(F.inline(six))
 
 
-def triangle_count(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def triangle_count(edges: DataFrame, src: str = "src", dst: str = "dst",
+                   checkpoint: bool = True) -> DataFrame:
     """One row ``(triangles long)``: self-edges and duplicates removed first,
     each triangle counted once (no division by 6 needed)."""
-    return triangles(edges, src, dst).agg(F.count(F.lit(1)).alias("triangles"))
+    return triangles(edges, src, dst, checkpoint).agg(F.count(F.lit(1)).alias("triangles"))
 

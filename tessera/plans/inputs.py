@@ -13,8 +13,28 @@ from pyspark.sql import functions as F
 from tessera.functions.tokens import line_array
 
 
+# Text tables whose rows carry heavy per-row work (splitting, regexes), and
+# the key they are spread by when a scan arrives in too few splits.
+TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id",
+                   "pages": "page_id", "benchmark": "item_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = TEXT_TABLE_KEYS.get(name)
+    return spread(df, key) if key else df
+
+
+def spread(df: DataFrame, key: str, per_core: int = 4) -> DataFrame:
+    """Hash-spread rows over ``per_core`` tasks per core when the scan
+    yields fewer splits than there are cores (one file of one row group), so
+    per-row work before the first shuffle is not left to a single task.
+    Inputs that already arrive in many splits, as at scale, are returned
+    untouched: no shuffle is added there."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(per_core * cores, key)
 
 
 def part_link_edges(lineitem: DataFrame) -> DataFrame:

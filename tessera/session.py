@@ -42,28 +42,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only
-    when the cluster named none (tests, local runs)."""
+    """The session's checkpoint folder (``spark.checkpoint.dir``).
+
+    A cluster names a shared folder and it is used as is. Only a local
+    session with none set (tests, the bench) gets a scratch folder of its
+    own; a cluster session without one is an error, never a machine-local
+    folder.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    scratch = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    spark.sparkContext.setCheckpointDir(configured)
+    return configured
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder named by
-    ``spark.checkpoint.dir`` (reliable, survives lost executors).
-
-    Never a local checkpoint, and never a machine-local scratch folder: if the
-    session names no folder this raises instead of inventing one.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
-    spark.sparkContext.setCheckpointDir(folder)
+    """Materialise ``df`` in the shared checkpoint folder (a reliable
+    checkpoint: it survives lost executors, and later stages read it instead
+    of recomputing the lineage). Never a local checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
