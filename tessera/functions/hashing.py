@@ -46,11 +46,19 @@ def _py_text(c: Column, dt: T.DataType, nested: bool) -> tuple[str, Column]:
         elem_type = dt.elementType
         body = F.array_join(F.transform(c, lambda x: _py_text(x, elem_type, True)[1]), ", ")
         return "list", F.concat(F.lit("["), body, F.lit("]"))
+    if isinstance(dt, T.StructType):
+        # A struct stands for a list of mixed types, e.g. ["a", 7]: its
+        # fields in order.
+        items = [_py_text(c[f.name], f.dataType, True)[1] for f in dt.fields]
+        return "list", F.concat(F.lit("["), F.concat_ws(", ", *items), F.lit("]"))
     raise TypeError(f"stable_bucket: unsupported key type {dt.simpleString()}")
 
 
 def stable_bucket(key: Column, key_type: T.DataType, salt: str, n: int) -> Column:
-    """Bucket in ``[0, n)`` of ``key`` (a column of ``key_type``)."""
+    """Bucket in ``[0, n)`` of ``key`` (a column of ``key_type``): string,
+    integral, boolean, an array of those, or a struct standing for a list
+    of mixed types. Floating-point keys are refused (Python and Java print
+    them differently)."""
     if not 0 < n < 2**31:
         raise ValueError("n must be in [1, 2^31)")
     type_name, text = _py_text(key, key_type, False)

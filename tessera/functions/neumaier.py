@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 def neumaier_add(acc: Column, x: Column) -> Column:
     s, c = acc["s"], acc["c"]
     t = s + x
-    comp = F.when(F.abs(s) >= F.abs(x), (s - t) + x).otherwise((x - t) + s)
+    # Once the sum is infinite or NaN the correction means nothing (and
+    # inf - inf would turn it into NaN): keep it at zero.
+    finite = ~F.isnan(t) & (F.abs(t) != F.lit(float("inf")))
+    comp = (F.when(~finite, F.lit(0.0))
+            .when(F.abs(s) >= F.abs(x), (s - t) + x).otherwise((x - t) + s))
     return F.struct(t.alias("s"), (c + comp).alias("c"))
 
 

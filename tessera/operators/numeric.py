@@ -40,39 +40,56 @@ def _double_double(values: np.ndarray) -> tuple[float, float]:
     return hi, lo
 
 
+def _key(v):
+    # pandas turns a null group key into NaN; hand Arrow a null again.
+    return None if isinstance(v, float) and math.isnan(v) else v
+
+
 def _partials(keys: Sequence[str], value: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Per Arrow batch and key: an exact (hi, lo) state. Across batches of
-        # one partition only those two doubles per key are kept, and merged
-        # exactly (fsum of the states) when the partition ends.
-        pending: dict[tuple, list[float]] = {}
+        # Per Arrow batch and key: an exact (hi, lo) state and the number of
+        # non-null values. Across batches of one partition only those are
+        # kept, and merged exactly (fsum of the states) when the partition
+        # ends. Nulls are flagged JVM-side: in pandas null and NaN look alike.
+        pending: dict[tuple, list] = {}
         for pdf in batches:
-            pdf = pdf[pdf[value].notna()]
             if pdf.empty:
                 continue
-            groups = (pdf.groupby(list(keys), dropna=False, sort=False)[value] if keys
-                      else [((), pdf[value])])
-            for k, vals in groups:
-                kt = k if isinstance(k, tuple) else (k,)
-                pending.setdefault(kt, []).extend(_double_double(vals.to_numpy(dtype="float64")))
+            groups = (pdf.groupby(list(keys), dropna=False, sort=False) if keys else [((), pdf)])
+            for k, g in groups:
+                kt = tuple(_key(v) for v in (k if isinstance(k, tuple) else (k,)))
+                st = pending.setdefault(kt, [[], 0])
+                vals = g[value].to_numpy(dtype="float64")[~g["_null"].to_numpy(dtype=bool)]
+                if len(vals):
+                    st[0].extend(_double_double(vals))
+                    st[1] += len(vals)
         rows = []
-        for k, states in pending.items():
-            hi, lo = _double_double(np.asarray(states, dtype="float64"))
-            rows.append((*k, hi, lo))
-        yield pd.DataFrame(rows, columns=[*keys, "hi", "lo"])
+        for k, (states, n) in pending.items():
+            hi, lo = _double_double(np.asarray(states, dtype="float64")) if states else (0.0, 0.0)
+            # Arrow would read a NaN back as null: flag it instead.
+            nan = math.isnan(hi)
+            rows.append((*k, 0.0 if nan else hi, 0.0 if nan else lo, n, nan))
+        yield pd.DataFrame(rows, columns=[*keys, "hi", "lo", "n", "nan"])
     return run
 
 
 def compensated_sum(df: DataFrame, value: str, keys: Sequence[str] = (),
                     out: str = "total") -> DataFrame:
-    """(keys..., total): compensated sum of ``value`` (nulls skipped) per
-    group, or over everything when ``keys`` is empty."""
+    """(keys..., total): compensated sum of ``value`` per group, or over
+    everything when ``keys`` is empty. Nulls are skipped; like SQL ``sum``,
+    a group (or an input) without non-null values gives null."""
     keys = list(keys)
-    src = df.select(*keys, F.col(value).cast("double").alias(value))
+    src = df.select(*keys, F.col(value).cast("double").alias(value),
+                    F.col(value).isNull().alias("_null"))
     fields = [src.schema[k] for k in keys]
     schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in fields),
-                           T.StructField("hi", T.DoubleType()), T.StructField("lo", T.DoubleType())])
+                           T.StructField("hi", T.DoubleType()), T.StructField("lo", T.DoubleType()),
+                           T.StructField("n", T.LongType()), T.StructField("nan", T.BooleanType())])
     parts = src.mapInPandas(_partials(keys, value), schema)
-    states = F.collect_list(F.struct("hi", "lo"))
-    grouped = parts.groupBy(*keys).agg(states.alias("_parts")) if keys else parts.agg(states.alias("_parts"))
-    return grouped.select(*keys, neumaier_fold(F.col("_parts")).alias(out))
+    aggs = [F.collect_list(F.when(F.col("n") > 0, F.struct("hi", "lo"))).alias("_parts"),
+            F.sum("n").alias("_n"), F.bool_or("nan").alias("_nan")]
+    grouped = parts.groupBy(*keys).agg(*aggs) if keys else parts.agg(*aggs)
+    total = (F.when(F.coalesce(F.col("_n"), F.lit(0)) == 0, F.lit(None).cast("double"))
+             .when(F.col("_nan"), F.lit(float("nan")))
+             .otherwise(neumaier_fold(F.col("_parts"))))
+    return grouped.select(*keys, total.alias(out))

@@ -1,0 +1,91 @@
+import os
+import tempfile
+
+from conftest import rows
+from tessera.operators import groups, text
+from tessera.sources import parse_tsv, read_lines, read_tsv, write_csv, write_tuple_text
+
+CITY_SCHEMA = ("city string, state string, state_full string, county string, "
+               "population bigint, zipcodes string, id string")
+HEADER = "city\tstate\tstate_full\tcounty\tpopulation\tzipcodes\tid"
+F1_LINES = [HEADER,
+            "City1\tCA\tCalifornia\tCounty1\t10000\t90001 90002\tID1",
+            "City2\tCA\tCalifornia\tCounty2\t5000\t90003\tID2",
+            "City3\tNY\tNew York\tCounty3\t100000\t10001 10002 10003 10004\tID3",
+            "City4\tNY\tNew York\tCounty4\t50000\t10005\tID4"]
+
+
+def scratch():
+    return tempfile.mkdtemp(prefix="tessera-test-")
+
+
+def test_parse_tsv_rules(spark):
+    extra = ["C5\tTX\tT\tC\tbad\t1\tI",       # bad population: dropped
+             "C6\tTX\tT\tC\t 10\t1\tI",        # " 10" is 10
+             "C7\tTX\tT\tC\t\t1\tI",           # empty population: dropped
+             "C8\tTX\tT\tC\t20\t1\t",          # blank trailing id: kept
+             "\tTX\tT\tC\t30\t1\tI",           # blank first field: kept
+             "C9\tTX\tT\tC\t40\t1",            # six fields: dropped
+             "C10\tTX\tT\tC\t50\t1\tI\tX"]      # eight fields: dropped (exact)
+    lines = spark.createDataFrame([(v,) for v in F1_LINES + extra], "value string")
+    df = parse_tsv(lines, CITY_SCHEMA, header_prefix="city\t")
+    got = rows(df, "city", "population", "id")
+    assert got == sorted([("City1", 10000, "ID1"), ("City2", 5000, "ID2"), ("City3", 100000, "ID3"),
+                          ("City4", 50000, "ID4"), ("C6", 10, "I"), ("C8", 20, ""), ("", 30, "I")])
+    loose = parse_tsv(lines, CITY_SCHEMA, header_prefix="city\t", exact_fields=False)
+    assert ("C10", 50, "I") in rows(loose, "city", "population", "id")
+
+
+def test_read_tsv_and_density_round_trip(spark):
+    d = scratch()
+    path = os.path.join(d, "cities.tsv")
+    with open(path, "w") as f:
+        f.write("\n".join(F1_LINES) + "\n")
+    df = read_tsv(spark, path, CITY_SCHEMA)
+    dens = groups.density_by_group(df, group="state", population="population", unit_text="zipcodes")
+    assert rows(dens) == [("CA", 5000, 2, 2), ("NY", 30000, 2, 2)]
+    out = os.path.join(d, "out")
+    write_csv(dens, out)
+    write_csv(dens, out)  # overwrites
+    back = spark.read.schema("state string, a long, b long, c long").csv(out)
+    assert rows(back) == [("CA", 5000, 2, 2), ("NY", 30000, 2, 2)]
+
+
+def test_csv_null_and_empty(spark):
+    d = scratch()
+    df = spark.createDataFrame([("a", None), ("b", "")], "k string, v string")
+    write_csv(df, os.path.join(d, "o"))
+    raw = sorted(open(os.path.join(d, "o", f)).read() for f in os.listdir(os.path.join(d, "o"))
+                 if f.endswith(".csv"))
+    assert "".join(raw).splitlines() == sorted(['a,', 'b,""'])
+
+
+def test_tuple_text_round_trip(spark):
+    d = scratch()
+    lines = spark.createDataFrame([(" a  bbb \t  bbb cc   ddd",), ("cc bbb ddd",), ("ddd",)], "value string")
+    out = os.path.join(d, "wc")
+    write_tuple_text(text.word_count(lines), out, ["word", "count"], partitions=4)
+    got = sorted(r.value for r in read_lines(spark, out).collect())
+    assert got == ["(a,1)", "(bbb,3)", "(cc,2)", "(ddd,3)"]
+    assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 4
+    import pytest
+    with pytest.raises(Exception):  # an existing path is refused, like saveAsTextFile
+        write_tuple_text(text.word_count(lines), out, ["word", "count"])
+
+
+def test_nested_tuple_text(spark):
+    d = scratch()
+    df = spark.createDataFrame([("CA", 5000, 2, 2)], "s string, a int, b int, c int")
+    write_tuple_text(df, os.path.join(d, "t"), ["s", ["a", "b", "c"]])
+    assert [r.value for r in read_lines(spark, os.path.join(d, "t")).collect()] == ["(CA,(5000,2,2))"]
+
+
+def test_read_lines_with_path(spark):
+    d = scratch()
+    for name, body in (("mapper0_out.txt", '"a"\t1\nbad\n'), ("reducer1_in.txt", '"b"\t[1, 2]\n')):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(body)
+    from tessera.operators.quality import check_kv_lines
+    bad = check_kv_lines(read_lines(spark, d, with_path=True), keep=["file_path"]).collect()
+    assert [(os.path.basename(r.file_path), r.line, r.reason) for r in bad] == [
+        ("mapper0_out.txt", "bad", "no_tab")]

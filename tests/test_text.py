@@ -1,0 +1,85 @@
+from collections import Counter
+
+from conftest import rows
+from tessera.operators import text
+
+F4 = [" a  bbb \t  bbb cc   ddd", "cc bbb ddd", "ddd"]
+F4B = ["This is a test input", "This is line 2", "The end"]
+F5 = ["with great data come great", "responsibilities", "a data wall", "wall spring",
+      "Humpty", "Dumpty sat on a wall", "Humpty Dumpty had a", "great",
+      "fall semester and spring"]
+
+
+def lines(spark, values, parts=3):
+    return spark.createDataFrame([(v,) for v in values], "value string").repartition(parts)
+
+
+def test_word_count_golden(spark):
+    got = rows(text.word_count(lines(spark, F4)))
+    assert got == [("a", 1), ("bbb", 3), ("cc", 2), ("ddd", 3)]
+    got = dict(rows(text.word_count(lines(spark, F4B))))
+    assert got == {"This": 2, "is": 2, "a": 1, "test": 1, "input": 1, "line": 1, "2": 1,
+                   "The": 1, "end": 1}
+
+
+def test_word_count_whitespace_edges(spark):
+    vals = ["", "   ", None, "a\x0bb", "x y", "p\rq\r\nr", "\tlead trail\t "]
+    got = dict(rows(text.word_count(lines(spark, vals))))
+    # ASCII whitespace (vertical tab included) splits; a no-break space does not.
+    assert got == {"a": 1, "b": 1, "x y": 1, "p": 1, "q": 1, "r": 1, "lead": 1, "trail": 1}
+
+
+def test_word_totals_equal_token_totals(spark):
+    df = lines(spark, F4 + F4B + F5 + ["", "  z  "])
+    total_words = sum(c for _, c in rows(text.word_count(df)))
+    total_tokens = sum(t for (t,) in rows(text.token_counts(df, "value")))
+    assert total_words == total_tokens
+
+
+def test_line_length_sum_golden(spark):
+    got = dict(rows(text.line_length_sum(lines(spark, F5))))
+    assert got == {"Dumpty": 9, "Humpty": 4, "a": 12, "and": 4, "come": 5, "data": 8, "fall": 4,
+                   "great": 10, "had": 4, "on": 5, "responsibilities": 0, "sat": 5,
+                   "semester": 4, "spring": 6, "wall": 10, "with": 5}
+
+
+def test_line_length_sum_split_lines(spark):
+    doc = spark.createDataFrame([("\n".join(F5[:4]),), ("\r\n".join(F5[4:]),)], "value string")
+    assert rows(text.line_length_sum(doc, split_lines=True)) == rows(
+        text.line_length_sum(lines(spark, F5)))
+
+
+def test_token_count_cases(spark):
+    vals = [None, "", "   ", "90001 90002", " 90001  90002 ", "a b ", "\t1\n2\x0b3"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, value string")
+    got = [t for _, t in rows(text.token_counts(df, "value", keep=["i"]), "i", "tokens")]
+    assert got == [0, 0, 0, 2, 2, 2, 3]
+
+
+
+
+def test_char_pairs_adjacent(spark):
+    vals = ["ab!a!", "héllo wörld", "a", "", "zz\nzz"]
+    got = {(a, b): n for a, b, n in rows(text.char_pair_counts(lines(spark, vals), split_lines=True))}
+    exp = Counter()
+    for v in vals:
+        for line in v.split("\n"):
+            exp.update(zip(line, line[1:]))
+    assert got == dict(exp)
+    assert got[("a", "!")] == 1
+
+
+def test_char_pairs_word_ends(spark):
+    import re
+    vals = ["wall! a bb", "Humpty Dumpty x"]
+    got = {(a, b): n for a, b, n in rows(text.char_pair_counts(lines(spark, vals), mode="word_ends"))}
+    exp = Counter((w[0], w[-1]) for v in vals for w in re.split(r"[ \t\n\x0b\f\r]+", v) if w)
+    assert got == dict(exp)
+
+
+def test_flatten_fields(spark):
+    df = spark.createDataFrame([(1, "red", 3.01), (2, "blue", 9.99)], "id int, color string, price double")
+    assert [r.fields for r in text.flatten_fields(df, ["id", "color"]).orderBy("fields").collect()] == [
+        ["1", "red"], ["2", "blue"]]
+    assert rows(text.flatten_fields(df, ["id", "color"], explode=True)) == [
+        ("1",), ("2",), ("blue",), ("red",)]
