@@ -1,8 +1,16 @@
 """JSON validity exactly as Python's ``json.loads`` judges it.
 
 Spark's own JSON parsing differs (``try_parse_json`` accepts ``1 2`` and
-rejects ``NaN``), so the check runs as an Arrow-batched pandas UDF; it only
-sees lines that already passed the JVM-side tab checks.
+rejects ``NaN``), so the final word comes from ``json.loads`` in an
+Arrow-batched pandas UDF. Most texts are settled before that, JVM-side and
+exactly:
+
+- *sure valid*: a number, a string without escapes or control characters,
+  a literal, or a flat list of those, within JSON whitespace;
+- *sure invalid*: nothing but whitespace, or a first character that cannot
+  start any JSON value.
+
+Only the rest (objects, nested lists, escapes, near-misses) reach Python.
 """
 
 from __future__ import annotations
@@ -14,9 +22,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The reasons, in the order they are tested.
-BAD_KEY = "bad_key"
-BAD_VALUE = "bad_value"
+# Json.loads' whitespace and grammar pieces, as Java regexes
+# (\z is the absolute end; $ would also match before a final line break).
+_WS = "[ \\t\\n\\r]*"
+_NUM = "-?(?:0|[1-9][0-9]*)(?:\\.[0-9]+)?(?:[eE][-+]?[0-9]+)?"
+_STR = '"[^"\\\\\\x00-\\x1F]*"'
+_LIT = "true|false|null|NaN|-?Infinity"
+_SCALAR = f"(?:{_NUM}|{_STR}|{_LIT})"
+SURE_VALID = (f"^{_WS}(?:{_SCALAR}|\\[{_WS}(?:{_SCALAR}(?:{_WS},{_WS}{_SCALAR})*)?{_WS}\\])"
+              f"{_WS}\\z")
+SURE_INVALID = '^[ \\t\\n\\r]*(?:[^-0-9{\\["tfnNI \\t\\n\\r]|\\z)'
 
 
 def _is_json(text: str) -> bool:
@@ -27,23 +42,27 @@ def _is_json(text: str) -> bool:
     return True
 
 
-def _pair_problem(keys: pd.Series, values: pd.Series) -> pd.Series:
-    """Per row: ``bad_key``, ``bad_value``, or null when both parse or the
-    row was not sent for checking (null key)."""
-    out = []
-    for k, v in zip(keys, values):
-        if k is None:
-            out.append(None)
-        elif not _is_json(k):
-            out.append(BAD_KEY)
-        elif not _is_json(v):
-            out.append(BAD_VALUE)
-        else:
-            out.append(None)
-    return pd.Series(out, dtype="object")
-
-
-def json_pair_problem(key: Column, value: Column) -> Column:
-    """Column of ``bad_key`` / ``bad_value`` / null. The UDF is built on
-    call (not at import), so workers can import this module freely."""
-    return F.pandas_udf(_pair_problem, T.StringType())(key, value)
+def _valid_series(texts: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else _is_json(t) for t in texts], dtype="object")
+
+
+def python_json_valid(text: Column) -> Column:
+    """``json.loads`` verdict per row (null for null). The UDF is built on
+    call, not at import, so workers can import this module freely. It is
+    marked non-deterministic only so the optimizer does not copy it into a
+    pushed-down filter and run Python twice."""
+    return F.pandas_udf(_valid_series, T.BooleanType()).asNondeterministic()(text)
+
+
+def fast_json_valid(text: Column) -> Column:
+    """True / False where the JVM can decide exactly, else null."""
+    return F.when(text.rlike(SURE_VALID), F.lit(True)).when(text.rlike(SURE_INVALID), F.lit(False))
+
+
+def json_valid(text: Column, send: Column | None = None) -> Column:
+    """Exact ``json.loads`` validity: the JVM verdict, else Python's.
+    ``send`` (default: always) limits which undecided rows go to Python;
+    rows not sent come back null."""
+    fast = fast_json_valid(text)
+    undecided = fast.isNull() if send is None else (fast.isNull() & send)
+    return F.coalesce(fast, python_json_valid(F.when(undecided, text)))

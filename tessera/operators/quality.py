@@ -14,12 +14,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.json_check import json_pair_problem
+from tessera.functions.json_check import fast_json_valid, json_valid
 
 # The reasons decided without parsing, and the characters
 # Python's str.strip() removes (str.isspace), as a Java regex class.
 NO_TAB = "no_tab"
 EXTRA_TAB = "extra_tab"
+BAD_KEY = "bad_key"
+BAD_VALUE = "bad_value"
 PY_SPACE = ("[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
             "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
 
@@ -29,20 +31,24 @@ def check_kv_lines(df: DataFrame, col: str = "value", keep: Sequence[str] = (),
     """(keep..., line, reason) for every invalid line; with ``keep_valid``
     all lines, ``reason`` null for valid ones.
 
-    Blank and tab tests are JVM expressions; only lines with exactly one
-    tab reach the JSON check (an Arrow-batched pandas UDF)."""
+    Blank and tab tests are JVM expressions; the JSON test is settled
+    JVM-side where the grammar allows (see
+    :mod:`tessera.functions.json_check`) and by ``json.loads`` in an
+    Arrow-batched pandas UDF otherwise."""
     parts = F.split(F.col(col), "\t", -1)
     staged = df.select(*[F.col(k) for k in keep], F.col(col).alias("line"), parts.alias("_p"))
     blank = F.col("line").rlike(f"^{PY_SPACE}*$")
     n = F.size("_p")
-    # Spark evaluates a Python UDF on every row of its input, whatever CASE
-    # branch it sits in; rows that need no JSON check pass it nulls, which
-    # it skips, so only one-tab lines are parsed.
     check = F.col("line").isNotNull() & ~blank & (n == 2)
-    problem = json_pair_problem(F.when(check, F.get("_p", 0)), F.when(check, F.get("_p", 1)))
+    key, value = F.get("_p", 0), F.get("_p", 1)
+    # Only one-tab lines the JVM cannot settle reach Python, and a value
+    # only when its key is not already known to be bad.
+    key_ok = json_valid(key, check)
+    value_ok = json_valid(value, check & F.coalesce(fast_json_valid(key), F.lit(True)))
     reason = (F.when(F.col("line").isNull() | blank, F.lit(None).cast("string"))
               .when(n == 1, F.lit(NO_TAB))
               .when(n > 2, F.lit(EXTRA_TAB))
-              .otherwise(problem))
+              .when(~key_ok, F.lit(BAD_KEY))
+              .when(~value_ok, F.lit(BAD_VALUE)))
     out = staged.select(*keep, "line", reason.alias("reason"))
     return out if keep_valid else out.filter(F.col("reason").isNotNull())

@@ -100,10 +100,9 @@ def q_retail_key_two_sums(spark, sf):
 
 
 def q_ratio_by_pair(spark, sf):
-    lines = order_lines(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"))
+    lines = order_lines(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"), ("o_orderpriority",))
     cust = _t(spark, sf, "customer").select(F.col("c_custkey").alias("customer"), "c_mktsegment")
-    orders = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderpriority")
-    rows = lines.join(orders, "order_key").join(cust, "customer")
+    rows = lines.join(cust, "customer")
     return groups.ratio_by_pair(rows, "c_mktsegment", "o_orderpriority", "quantity")
 
 

@@ -62,8 +62,9 @@ PART_LINK_EDGES_SQL = """
       ON n.ok = l.l_orderkey AND n.ln = l.l_linenumber"""
 
 
-def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """(customer, order_key, quantity) order lines, one per order.
+def order_lines(lineitem: DataFrame, orders: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(customer, order_key, quantity, extra...) order lines, one per order;
+    ``extra`` names further ``orders`` columns to carry (one scan).
 
     Quantities are summed per order key on the line table first, so the
     join with ``orders`` moves one row per order instead of one per line
@@ -72,8 +73,9 @@ def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """
     per_order = lineitem.groupBy(F.col("l_orderkey").alias("order_key")).agg(
         F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
-    return (orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"))
-            .join(per_order, "order_key").select("customer", "order_key", "quantity"))
+    return (orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"),
+                          *extra)
+            .join(per_order, "order_key").select("customer", "order_key", "quantity", *extra))
 
 
 def document_lines(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

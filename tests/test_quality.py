@@ -13,3 +13,34 @@ def test_kv_line_reasons(spark):
     assert [r for _, r in got] == [r for _, r in F11]
     bad = rows(check_kv_lines(df, keep=["i"]), "i")
     assert [i for (i,) in bad] == [i for i, (_, r) in enumerate(F11) if r]
+
+
+def test_fast_path_agrees_with_json_loads(spark):
+    import json
+    import random
+    from tessera.functions.json_check import fast_json_valid, json_valid
+    from pyspark.sql import functions as F
+
+    atoms = ['1', '-0', '01', '1.', '1.5e3', '-1E-2', '"a"', '"a\\"b"', '"\\u00e9"', '"x', 'true',
+             'True', 'nul', 'null', 'NaN', '-Infinity', 'Infinity', 'inf', '[', ']', '{', '}', ',', ':',
+             ' ', '\t', '\n', '\r', '\x0b', '\xa0', ' ', '﻿', 'a', '"\x01"', '[]', '{"k": 1}',
+             '[1, 2]', '[1,, 2]', '[1 2]', '0x1', '+1', '.5', '٣', 'é']
+    rng = random.Random(11)
+    texts = list(atoms) + ["".join(rng.choice(atoms) for _ in range(rng.randrange(1, 5)))
+                           for _ in range(3000)]
+
+    def py(t):
+        try:
+            json.loads(t)
+            return True
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", fast_json_valid(F.col("t")).alias("fast"), json_valid(F.col("t")).alias("v")).collect()
+    for r in got:
+        exp = py(texts[r.i])
+        assert r.v == exp, (texts[r.i], r.v, exp)
+        assert r.fast is None or r.fast == exp, (texts[r.i], r.fast, exp)
+    decided = sum(r.fast is not None for r in got)
+    assert decided > len(got) // 3
