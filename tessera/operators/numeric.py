@@ -3,16 +3,19 @@
 Spark has no compensated ``sum``, and a grouped pandas aggregate would pull
 a whole group into one task. Instead:
 
-1. ``mapInPandas``: per input partition and group key, the exact sum of the
-   partition's values as a double-double ``(hi, lo)`` (``math.fsum`` of the
-   values, then of the residual), built batch by batch so only two doubles
-   per key and batch are held.
+1. ``mapInPandas``: per input partition and group key, a compensated
+   partial sum as a double-double ``(hi, lo)``, built batch by batch so only
+   two doubles per key and batch are held. Within a batch all small groups
+   are summed at once (Neumaier, vectorised over groups, one step per
+   position); groups of ``SMALL_GROUP`` values or more get the exact
+   ``math.fsum`` and its residual.
 2. ``groupBy(keys)``: gather the few partial states of each key (one per
    input partition that held the key) and fold them with Neumaier's
    compensated addition (:mod:`tessera.functions.neumaier`), JVM-side.
 
 Each step is at least as exact as a sequential Neumaier loop, so
-``[1.0, 1e100, 1.0, -1e100]`` gives 2.0 on any partitioning.
+``[1.0, 1e100, 1.0, -1e100]`` gives 2.0 on any partitioning, and the Python
+work per batch does not grow with the number of distinct keys.
 """
 
 from __future__ import annotations
@@ -29,7 +32,14 @@ from pyspark.sql import types as T
 from tessera.functions.neumaier import neumaier_fold
 
 
+# Groups with fewer values than this are summed together, vectorised over
+# groups; larger ones one by one with math.fsum (at most rows / this many).
+SMALL_GROUP = 32
+
+
 def _double_double(values: np.ndarray) -> tuple[float, float]:
+    """Exact sum of ``values`` as ``hi + lo`` (``hi`` the correctly rounded
+    sum, ``lo`` the rounded residual); plain sum when not all are finite."""
     if not np.all(np.isfinite(values)):
         total = float(np.sum(values))
         return total, 0.0
@@ -40,6 +50,48 @@ def _double_double(values: np.ndarray) -> tuple[float, float]:
     return hi, lo
 
 
+def _neumaier_columns(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row-wise Neumaier sums of a zero-padded matrix (adding 0 is exact),
+    one vectorised step per column. Returns (s, c) per row."""
+    s = np.zeros(m.shape[0])
+    c = np.zeros(m.shape[0])
+    with np.errstate(invalid="ignore", over="ignore"):
+        for j in range(m.shape[1]):
+            x = m[:, j]
+            t = s + x
+            comp = np.where(np.abs(s) >= np.abs(x), (s - t) + x, (x - t) + s)
+            c += np.where(np.isfinite(t), comp, 0.0)
+            s = t
+    return s, c
+
+
+def _group_states(codes: np.ndarray, vals: np.ndarray, n_groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per group code in [0, n_groups): compensated (hi, lo) of its values."""
+    hi = np.zeros(n_groups)
+    lo = np.zeros(n_groups)
+    if len(vals) == 0:
+        return hi, lo
+    order = np.argsort(codes, kind="stable")
+    codes, vals = codes[order], vals[order]
+    sizes = np.bincount(codes, minlength=n_groups)
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    pos = np.arange(len(vals)) - starts[codes]
+    small = sizes[codes] < SMALL_GROUP
+    if small.any():
+        width = int(sizes[sizes < SMALL_GROUP].max())
+        m = np.zeros((n_groups, width))
+        m[codes[small], pos[small]] = vals[small]
+        s, c = _neumaier_columns(m)
+        with np.errstate(invalid="ignore", over="ignore"):
+            total = s + c
+            resid = np.where(np.isfinite(total), c - (total - s), 0.0)
+        mask = (sizes < SMALL_GROUP) & (sizes > 0)
+        hi[mask], lo[mask] = total[mask], resid[mask]
+    for g in np.flatnonzero(sizes >= SMALL_GROUP):
+        hi[g], lo[g] = _double_double(vals[starts[g]:starts[g] + sizes[g]])
+    return hi, lo
+
+
 def _key(v):
     # pandas turns a null group key into NaN; hand Arrow a null again.
     return None if isinstance(v, float) and math.isnan(v) else v
@@ -47,22 +99,33 @@ def _key(v):
 
 def _partials(keys: Sequence[str], value: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Per Arrow batch and key: an exact (hi, lo) state and the number of
-        # non-null values. Across batches of one partition only those are
-        # kept, and merged exactly (fsum of the states) when the partition
-        # ends. Nulls are flagged JVM-side: in pandas null and NaN look alike.
+        # Per Arrow batch and key: a compensated (hi, lo) state and the
+        # number of non-null values, computed for all keys of the batch at
+        # once. Across batches of one partition only those states are kept,
+        # and merged exactly (fsum of the states) when the partition ends.
+        # Nulls are flagged JVM-side: in pandas null and NaN look alike.
         pending: dict[tuple, list] = {}
         for pdf in batches:
             if pdf.empty:
                 continue
-            groups = (pdf.groupby(list(keys), dropna=False, sort=False) if keys else [((), pdf)])
-            for k, g in groups:
-                kt = tuple(_key(v) for v in (k if isinstance(k, tuple) else (k,)))
+            if keys:
+                codes, uniques = pd.MultiIndex.from_frame(pdf[list(keys)]).factorize() \
+                    if len(keys) > 1 else pd.factorize(pdf[keys[0]], use_na_sentinel=False)
+                key_tuples = [tuple(_key(v) for v in (u if isinstance(u, tuple) else (u,)))
+                              for u in uniques]
+            else:
+                codes, key_tuples = np.zeros(len(pdf), dtype=np.int64), [()]
+            codes = np.asarray(codes, dtype=np.int64)
+            ok = ~pdf["_null"].to_numpy(dtype=bool)
+            vals = pdf[value].to_numpy(dtype="float64")
+            n_groups = len(key_tuples)
+            hi, lo = _group_states(codes[ok], vals[ok], n_groups)
+            counts = np.bincount(codes[ok], minlength=n_groups)
+            for g, kt in enumerate(key_tuples):
                 st = pending.setdefault(kt, [[], 0])
-                vals = g[value].to_numpy(dtype="float64")[~g["_null"].to_numpy(dtype=bool)]
-                if len(vals):
-                    st[0].extend(_double_double(vals))
-                    st[1] += len(vals)
+                if counts[g]:
+                    st[0].extend((hi[g], lo[g]))
+                    st[1] += int(counts[g])
         rows = []
         for k, (states, n) in pending.items():
             hi, lo = _double_double(np.asarray(states, dtype="float64")) if states else (0.0, 0.0)

@@ -35,3 +35,31 @@ def test_nulls_and_non_finite(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "x double")
     assert compensated_sum(df, "x").collect()[0]["total"] is None
+
+
+def test_many_small_groups_and_mixed_sizes(spark):
+    rng = random.Random(5)
+    data = []
+    for k in range(3000):  # many small groups
+        for _ in range(rng.randrange(1, 6)):
+            data.append((k, rng.uniform(-1, 1) * 10 ** rng.randrange(-5, 12)))
+    for _ in range(500):  # one big group
+        data.append((-1, rng.uniform(-1e9, 1e9)))
+    data += [(-2, 1.0), (-2, 1e100), (-2, 1.0), (-2, -1e100)]
+    df = spark.createDataFrame(data, "k long, x double").repartition(3)
+    got = dict(rows(compensated_sum(df, "x", ["k"])))
+    exp = {}
+    for k, x in data:
+        exp.setdefault(k, []).append(x)
+    assert len(got) == len(exp)
+    for k, xs in exp.items():
+        ref = math.fsum(xs)
+        assert abs(got[k] - ref) <= 1e-15 * max(1.0, abs(ref)) * 4, (k, got[k], ref)
+    assert got[-2] == 2.0
+
+
+def test_two_keys(spark):
+    df = spark.createDataFrame([("a", 1, 0.1), ("a", 1, 0.2), ("a", 2, 0.3), (None, 1, 0.5)],
+                               "k1 string, k2 int, x double")
+    got = {(r.k1, r.k2): r.total for r in compensated_sum(df, "x", ["k1", "k2"]).collect()}
+    assert got == {("a", 1): math.fsum([0.1, 0.2]), ("a", 2): 0.3, (None, 1): 0.5}
