@@ -83,3 +83,12 @@ def test_flatten_fields(spark):
         ["1", "red"], ["2", "blue"]]
     assert rows(text.flatten_fields(df, ["id", "color"], explode=True)) == [
         ("1",), ("2",), ("blue",), ("red",)]
+
+
+def test_sql_registered_token_counter(spark):
+    from tessera.functions.tokens import register_sql_functions
+    register_sql_functions(spark)
+    vals = [None, "", "   ", "90001 90002", " 90001  90002 ", "a b ", "\t1\n2\x0b3"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, z string")
+    got = [r.n for r in df.selectExpr("i", "zipCounter(z) AS n").orderBy("i").collect()]
+    assert got == [0, 0, 0, 2, 2, 2, 3]
