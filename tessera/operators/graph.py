@@ -53,24 +53,34 @@ def _before(d1: Column, n1: Column, d2: Column, n2: Column) -> Column:
     return (d1 < d2) | ((d1 == d2) & (n1 < n2))
 
 
-def oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
+                   checkpoint: bool = False) -> DataFrame:
     """(src, dst, dst_deg): each undirected edge once, pointing from the end
     lower in (degree, id) order to the higher one.
 
     Degrees attach through two equi-joins on the node id. A hub's many edges
     meet a single degree row, the shape AQE's skew-join split handles.
+
+    With ``checkpoint``, the distinct undirected edges and the result are
+    each written once to the session's checkpoint folder: the raw edge input
+    is then read once (not once per use), the result can feed several joins
+    without replaying the preparation, and a lost executor does not replay
+    it either.
     """
     und = undirected_edges(edges, src, dst)
+    if checkpoint:
+        und = cut_lineage(und)
     deg = degrees(und)
     du = deg.select(F.col("node").alias("u"), F.col("deg").alias("du"))
     dv = deg.select(F.col("node").alias("v"), F.col("deg").alias("dv"))
     e = und.join(du, "u").join(dv, "v")
     fwd = _before(F.col("du"), F.col("u"), F.col("dv"), F.col("v"))
-    return e.select(
+    out = e.select(
         F.when(fwd, F.col("u")).otherwise(F.col("v")).alias("src"),
         F.when(fwd, F.col("v")).otherwise(F.col("u")).alias("dst"),
         F.when(fwd, F.col("dv")).otherwise(F.col("du")).alias("dst_deg"),
     )
+    return cut_lineage(out) if checkpoint else out
 
 
 def two_paths(oriented: DataFrame) -> DataFrame:
@@ -103,13 +113,10 @@ def triangles(edges: DataFrame, src: str = "src", dst: str = "dst",
     """(a, b, c): every triangle once, ``a`` first in (degree, id) order.
 
     The oriented edge set feeds three inputs (both sides of the two-path
-    join and the closing semi-join). With ``checkpoint`` it is written once
-    to the session's checkpoint folder, so the edge preparation (distinct,
-    degrees, two joins) runs once and a lost executor does not replay it.
+    join and the closing semi-join); with ``checkpoint`` it is materialised
+    once (see :func:`oriented_edges`).
     """
-    o = oriented_edges(edges, src, dst)
-    if checkpoint:
-        o = cut_lineage(o)
+    o = oriented_edges(edges, src, dst, checkpoint)
     closed = closing_edges(o, two_paths(o))
     return closed.select(F.col("middle").alias("a"), F.col("start").alias("b"),
                          F.col("end").alias("c"))

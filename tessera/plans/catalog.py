@@ -138,7 +138,7 @@ def q_symmetric_edges(spark, sf):
 
 
 def q_two_paths(spark, sf):
-    return graph.two_paths(graph.oriented_edges(_edges(spark, sf))).select(
+    return graph.two_paths(graph.oriented_edges(_edges(spark, sf), checkpoint=True)).select(
         "middle", F.col("start").alias("start_node"), F.col("end").alias("end_node"))
 
 
