@@ -101,10 +101,14 @@ def two_paths(oriented: DataFrame) -> DataFrame:
 
 
 def closing_edges(edges: DataFrame, paths: DataFrame, src: str = "src",
-                  dst: str = "dst") -> DataFrame:
+                  dst: str = "dst", edges_distinct: bool = False) -> DataFrame:
     """(start, end, middle) for every path whose ends are joined by an edge:
-    an equi-join of the paths with the distinct edge set on both ends."""
-    e = edges.select(F.col(src).alias("start"), F.col(dst).alias("end")).distinct()
+    an equi-join of the paths with the distinct edge set on both ends.
+    ``edges_distinct`` skips the de-duplication (and its shuffle) for an
+    edge set that is distinct by construction."""
+    e = edges.select(F.col(src).alias("start"), F.col(dst).alias("end"))
+    if not edges_distinct:
+        e = e.distinct()
     return paths.join(e, ["start", "end"], "left_semi").select("start", "end", "middle")
 
 
@@ -117,7 +121,7 @@ def triangles(edges: DataFrame, src: str = "src", dst: str = "dst",
     once (see :func:`oriented_edges`).
     """
     o = oriented_edges(edges, src, dst, checkpoint)
-    closed = closing_edges(o, two_paths(o))
+    closed = closing_edges(o, two_paths(o), edges_distinct=True)
     return closed.select(F.col("middle").alias("a"), F.col("start").alias("b"),
                          F.col("end").alias("c"))
 

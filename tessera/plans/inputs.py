@@ -31,8 +31,12 @@ def spread(df: DataFrame, key: str, per_core: int = 4) -> DataFrame:
     per-row work before the first shuffle is not left to a single task.
     Inputs that already arrive in many splits, as at scale, are returned
     untouched: no shuffle is added there."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(per_core * cores, key)
 
