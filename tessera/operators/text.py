@@ -71,17 +71,19 @@ def char_pair_counts(df: DataFrame, col: str = "value", mode: str = "adjacent",
     """
     lines = lines_of(df, col, split_lines)
     if mode == "adjacent":
+        # Count the two-character strings themselves; they are split into
+        # (first, second) only after the aggregate, on a few thousand rows.
         grams = lines.select(
             F.explode(F.regexp_extract_all("line", F.lit(_ADJACENT_PAIR), 1)).alias("g"))
-        pairs = grams.select(F.substring("g", 1, 1).alias("first"),
-                             F.substring("g", 2, 1).alias("second"))
-    elif mode == "word_ends":
+        counted = grams.groupBy("g").agg(F.count(F.lit(1)).alias("count"))
+        return counted.select(F.substring("g", 1, 1).alias("first"),
+                              F.substring("g", 2, 1).alias("second"), "count")
+    if mode == "word_ends":
         words = lines.select(F.explode(token_array("line")).alias("w"))
         pairs = words.select(F.substring("w", 1, 1).alias("first"),
                              F.substring("w", -1, 1).alias("second"))
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    return pairs.groupBy("first", "second").agg(F.count(F.lit(1)).alias("count"))
+        return pairs.groupBy("first", "second").agg(F.count(F.lit(1)).alias("count"))
+    raise ValueError(f"unknown mode {mode!r}")
 
 
 def flatten_fields(df: DataFrame, cols: Sequence[str], explode: bool = False,

@@ -11,21 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.tokens import line_array
+from tessera.operators.joins import skew_safe_join
 
 
 # Text tables whose rows carry heavy per-row work (splitting, regexes), and
 # the key they are spread by when a scan arrives in too few splits.
-TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id",
-                   "pages": "page_id", "benchmark": "item_id"}
+TEXT_TABLE_KEYS = {"documents": ("doc_id",), "conversations": ("conv_id", "turn"),
+                   "pages": ("page_id",), "benchmark": ("item_id",)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    key = TEXT_TABLE_KEYS.get(name)
-    return spread(df, key) if key else df
+    keys = TEXT_TABLE_KEYS.get(name)
+    return spread(df, *keys) if keys else df
 
 
-def spread(df: DataFrame, key: str, per_core: int = 4) -> DataFrame:
+def spread(df: DataFrame, *keys: str, per_core: int = 4) -> DataFrame:
     """Hash-spread rows over ``per_core`` tasks per core when the scan
     yields fewer splits than there are cores (one file of one row group), so
     per-row work before the first shuffle is not left to a single task.
@@ -38,24 +39,27 @@ def spread(df: DataFrame, key: str, per_core: int = 4) -> DataFrame:
         return df
     if splits >= cores:
         return df
-    return df.repartition(per_core * cores, key)
+    return df.repartition(per_core * cores, *keys)
 
 
 def part_link_edges(lineitem: DataFrame) -> DataFrame:
     """(src, dst) part ids: every order line links its part to the smallest
     part on the next line number of the same order.
 
-    The next-line side is first reduced to one row per (order, line number),
-    so the join is N:1 and the edge count never exceeds the line count, even
-    when line numbers repeat within an order. Self-edges and repeated edges
-    occur, as in a raw edge list.
+    Lines are grouped by (order, line number) once; each group learns its
+    successor's smallest part by a one-row-per-key join, so the edge count
+    never exceeds the line count even when line numbers repeat. The lines
+    then meet their group's row through a skew-safe lookup join (a group
+    holding a third of all lines is joined map-side). Self-edges and
+    repeated edges occur, as in a raw edge list.
     """
-    nxt = (lineitem.groupBy(F.col("l_orderkey").alias("ok"),
-                            (F.col("l_linenumber") - 1).alias("ln"))
-           .agg(F.min("l_partkey").alias("dst")))
+    groups = lineitem.groupBy(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln")).agg(
+        F.min("l_partkey").alias("mp"), F.count(F.lit(1)).alias("c"))
+    successor = groups.select("ok", (F.col("ln") - 1).alias("ln"), F.col("mp").alias("dst"))
+    lookup = groups.select("ok", "ln", "c").join(successor, ["ok", "ln"])
     lines = lineitem.select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"),
                             F.col("l_partkey").alias("src"))
-    return lines.join(nxt, ["ok", "ln"]).select("src", "dst")
+    return skew_safe_join(lines, lookup, ["ok", "ln"], "c").select("src", "dst")
 
 
 PART_LINK_EDGES_SQL = """

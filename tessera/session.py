@@ -49,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     own; a cluster session without one is an error, never a machine-local
     folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
