@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import HOT_BOUND, skew_safe_join
+from tessera.operators.joins import HOT_BOUND, SLICE_ROWS, skew_safe_join
 from tessera.session import cut_lineage
 
 
@@ -55,16 +55,17 @@ def _before(d1: Column, n1: Column, d2: Column, n2: Column) -> Column:
 
 
 def oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
-                   checkpoint: bool = False, hot_bound: int = HOT_BOUND) -> DataFrame:
+                   checkpoint: bool = False, hot_bound: int = HOT_BOUND,
+                   slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(src, dst, dst_deg): each undirected edge once, pointing from the end
     lower in (degree, id) order to the higher one.
 
     Degrees attach through two lookup joins on the node id. A hub's edges
     would all meet its single degree row in one task, so the joins take
-    heavy nodes out first (:func:`tessera.operators.joins.skew_safe_join`):
-    nodes with more than 2m / ``hot_bound`` edges — fewer than ``hot_bound``
-    of them — are broadcast, the rest is shuffled with no node above that
-    many edges.
+    heavy nodes apart (:func:`tessera.operators.joins.skew_safe_join`): a
+    node with more edges than max(2m / ``hot_bound``, ``slice_rows``) —
+    fewer than ``hot_bound`` such nodes — has its edges salted over several
+    tasks.
 
     With ``checkpoint``, the distinct undirected edges and the result are
     each written once to the session's checkpoint folder: the raw edge input
@@ -78,7 +79,8 @@ def oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
     deg = degrees(und)
     du = deg.select(F.col("node").alias("u"), F.col("deg").alias("du"), F.col("deg").alias("_w"))
     dv = deg.select(F.col("node").alias("v"), F.col("deg").alias("dv"), F.col("deg").alias("_w"))
-    e = skew_safe_join(skew_safe_join(und, du, ["u"], "_w", hot_bound), dv, ["v"], "_w", hot_bound)
+    e = skew_safe_join(skew_safe_join(und, du, ["u"], "_w", hot_bound, slice_rows),
+                       dv, ["v"], "_w", hot_bound, slice_rows)
     fwd = _before(F.col("du"), F.col("u"), F.col("dv"), F.col("v"))
     out = e.select(
         F.when(fwd, F.col("u")).otherwise(F.col("v")).alias("src"),
@@ -118,14 +120,15 @@ def closing_edges(edges: DataFrame, paths: DataFrame, src: str = "src",
 
 
 def triangles(edges: DataFrame, src: str = "src", dst: str = "dst",
-              checkpoint: bool = True, hot_bound: int = HOT_BOUND) -> DataFrame:
+              checkpoint: bool = True, hot_bound: int = HOT_BOUND,
+              slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(a, b, c): every triangle once, ``a`` first in (degree, id) order.
 
     The oriented edge set feeds three inputs (both sides of the two-path
     join and the closing semi-join); with ``checkpoint`` it is materialised
     once (see :func:`oriented_edges`).
     """
-    o = oriented_edges(edges, src, dst, checkpoint, hot_bound)
+    o = oriented_edges(edges, src, dst, checkpoint, hot_bound, slice_rows)
     closed = closing_edges(o, two_paths(o), edges_distinct=True)
     return closed.select(F.col("middle").alias("a"), F.col("start").alias("b"),
                          F.col("end").alias("c"))

@@ -8,14 +8,16 @@ side:
 
 - every lookup row carries a weight that bounds the number of big-side rows
   with its key (a degree, a group size); ``total`` is the sum of weights;
-- a key gets ``s = ceil(weight * bound / total)`` salts. Keys with ``s > 1``
-  are *hot*: fewer than ``bound`` of them, so their (key, s) rows are
-  broadcast (a proven size bound) and tag the big side map-side;
+- a task slice takes ``target = max(total / bound, slice_rows)`` rows, and
+  a key gets ``s = ceil(weight / target)`` salts. Keys with ``s > 1`` are
+  *hot*: their weights exceed ``total / bound``, so there are fewer than
+  ``bound`` of them, and their (key, s) rows are broadcast (a proven size
+  bound) to tag the big side map-side;
 - a big row picks a salt in ``[0, s)`` by hashing its columns and its input
   partition (so even identical copies of a row spread); the lookup row of a
   hot key is repeated once per salt (fewer than ``2 * bound`` extra rows);
-- the join on (key, salt) then has no key with more than about
-  ``total / bound`` big rows.
+- the join on (key, salt) then has no key with more than about ``target``
+  big rows. Keys lighter than ``slice_rows`` are never salted.
 
 The threshold is a scalar subquery, so the plan stays lazy.
 """
@@ -27,17 +29,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Most keys that may be hot (broadcast lookup rows).
+# Most keys that may be hot (broadcast lookup rows), and the big-side rows of
+# one key that a single task slice handles without salting.
 HOT_BOUND = 100_000
+SLICE_ROWS = 1_000_000
 
 
 def skew_safe_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], weight: str,
-                   bound: int = HOT_BOUND) -> DataFrame:
+                   bound: int = HOT_BOUND, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Inner join of ``big`` with ``lookup`` (one row per key of ``on``),
     equal to ``big.join(lookup.drop(weight), on)``."""
     on = list(on)
     total = lookup.agg(F.sum(weight)).scalar()
-    salts = F.greatest(F.lit(1), F.ceil(F.col(weight) * F.lit(bound) / total)).cast("int")
+    target = F.greatest(total / F.lit(bound), F.lit(float(slice_rows)))
+    salts = F.greatest(F.lit(1), F.ceil(F.col(weight) / target)).cast("int")
     lk = lookup.withColumn("_salts", salts).drop(weight)
     hot = lk.filter(F.col("_salts") > 1).select(*on, "_salts")
     spread = F.xxhash64(*[F.col(c) for c in big.columns], F.spark_partition_id())

@@ -70,6 +70,8 @@ def test_hub_graph(skewed):
               if b in adj[a] and c in adj[a] and c in adj[b])
     df = skewed.createDataFrame(pairs, "src long, dst long").repartition(6)
     assert graph.triangle_count(df).collect()[0]["triangles"] == exp
+    # Salting forced on: the hub's edges are spread over several slices.
+    assert graph.triangles(df, hot_bound=50, slice_rows=10).count() == exp
 
 
 def test_hot_order_in_rollup(skewed):
@@ -90,8 +92,8 @@ def test_skew_safe_join_equals_plain_join(spark):
     big = spark.createDataFrame([(0, i) for i in range(500)] + [(k % 40, k) for k in range(400)] + [(None, 1)],
                                 "k int, x int")
     lookup = big.groupBy("k").agg(F_count()).withColumn("name", F_name())
-    for bound in (1, 3, 10, 1000):
-        got = rows(skew_safe_join(big, lookup, ["k"], "w", bound), "k", "x", "name")
+    for bound, slice_rows in ((1, 1), (3, 1), (10, 5), (1000, 1), (1000, 10**6)):
+        got = rows(skew_safe_join(big, lookup, ["k"], "w", bound, slice_rows), "k", "x", "name")
         exp = rows(big.join(lookup.drop("w"), ["k"]), "k", "x", "name")
         assert got == exp
 
