@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tessera.functions.hashing import stable_bucket
 from tessera.operators import graph, groups, numeric, quality, text
 from tessera.plans.inputs import (
-    PART_LINK_EDGES_SQL, document_lines, kv_lines, lineitem_tsv, order_lines,
+    PART_LINK_EDGES_SQL, kv_lines, lineitem_tsv, order_lines,
     part_link_edges, table,
 )
 from tessera.sources.text import parse_edges, parse_tsv

@@ -42,21 +42,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder (``spark.checkpoint.dir``).
+    """The folder reliable checkpoints go to.
 
-    A cluster names a shared folder and it is used as is. Only a local
-    session with none set (tests, the bench) gets a scratch folder of its
-    own; a cluster session without one is an error, never a machine-local
-    folder.
+    A cluster names a shared folder in ``spark.checkpoint.dir``, which Spark
+    applies to the context at start-up; that (or a folder already set on the
+    context) is used as is. Only a local session with none (tests, the
+    bench) gets a scratch folder of its own. A cluster session without one
+    is an error, never a machine-local folder. (The setting itself cannot be
+    changed at runtime, so the scratch folder goes to the context only.)
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -89,3 +89,24 @@ def test_read_lines_with_path(spark):
     bad = check_kv_lines(read_lines(spark, d, with_path=True), keep=["file_path"]).collect()
     assert [(os.path.basename(r.file_path), r.line, r.reason) for r in bad] == [
         ("mapper0_out.txt", "bad", "no_tab")]
+
+
+def test_spread_only_when_scan_has_few_splits(spark):
+    from tessera.plans.inputs import spread
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(100).coalesce(1)
+    assert spread(few, "id").rdd.getNumPartitions() == 4 * cores
+    many = spark.range(100).repartition(cores + 1)
+    assert spread(many, "id") is many
+
+
+def test_checkpoint_goes_to_the_session_folder(spark):
+    from tessera.session import cut_lineage, ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark)
+    assert ensure_checkpoint_dir(spark) == folder  # stable: no new folder per call
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert folder.removeprefix("file:").startswith(named.removeprefix("file:"))
+    before = set(os.listdir(folder.removeprefix("file:")))
+    assert cut_lineage(spark.range(10)).count() == 10
+    assert set(os.listdir(folder.removeprefix("file:"))) - before  # written there
