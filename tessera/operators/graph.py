@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import HOT_BOUND, SLICE_ROWS, skew_safe_join
+from tessera.operators.joins import HOT_BOUND, SLICE_PAIRS, SLICE_ROWS, skew_safe_join, skew_safe_pairs
 from tessera.session import cut_lineage
 
 
@@ -90,19 +90,21 @@ def oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
     return cut_lineage(out) if checkpoint else out
 
 
-def two_paths(oriented: DataFrame) -> DataFrame:
+def two_paths(oriented: DataFrame, slice_pairs: int = SLICE_PAIRS) -> DataFrame:
     """(middle, start, end): two out-neighbours of ``middle`` in an oriented
     edge set, ``start`` before ``end`` in (degree, id) order.
 
     This is our bounded form of the reference's two-path join: each
     candidate triangle corner appears once, and no node pairs more than
-    sqrt(2m) neighbours.
+    sqrt(2m) neighbours. Such a node may still form about m pairs, which
+    AQE cannot see from input sizes, so the join is salted for nodes whose
+    pairs exceed ``slice_pairs`` (:func:`tessera.operators.joins.skew_safe_pairs`).
     """
     a = oriented.select(F.col("src").alias("middle"), F.col("dst").alias("start"),
                         F.col("dst_deg").alias("ds"))
     b = oriented.select(F.col("src").alias("middle"), F.col("dst").alias("end"),
                         F.col("dst_deg").alias("de"))
-    return (a.join(b, "middle")
+    return (skew_safe_pairs(a, b, "middle", "start", slice_pairs=slice_pairs)
             .filter(_before(F.col("ds"), F.col("start"), F.col("de"), F.col("end")))
             .select("middle", "start", "end"))
 
@@ -121,7 +123,7 @@ def closing_edges(edges: DataFrame, paths: DataFrame, src: str = "src",
 
 def triangles(edges: DataFrame, src: str = "src", dst: str = "dst",
               checkpoint: bool = True, hot_bound: int = HOT_BOUND,
-              slice_rows: int = SLICE_ROWS) -> DataFrame:
+              slice_rows: int = SLICE_ROWS, slice_pairs: int = SLICE_PAIRS) -> DataFrame:
     """(a, b, c): every triangle once, ``a`` first in (degree, id) order.
 
     The oriented edge set feeds three inputs (both sides of the two-path
@@ -129,7 +131,7 @@ def triangles(edges: DataFrame, src: str = "src", dst: str = "dst",
     once (see :func:`oriented_edges`).
     """
     o = oriented_edges(edges, src, dst, checkpoint, hot_bound, slice_rows)
-    closed = closing_edges(o, two_paths(o), edges_distinct=True)
+    closed = closing_edges(o, two_paths(o, slice_pairs), edges_distinct=True)
     return closed.select(F.col("middle").alias("a"), F.col("start").alias("b"),
                          F.col("end").alias("c"))
 

@@ -72,6 +72,19 @@ def test_hub_graph(skewed):
     assert graph.triangle_count(df).collect()[0]["triangles"] == exp
     # Salting forced on: the hub's edges are spread over several slices.
     assert graph.triangles(df, hot_bound=50, slice_rows=10).count() == exp
+    assert graph.triangles(df, hot_bound=50, slice_rows=10, slice_pairs=20).count() == exp
+
+
+def test_wedge_slices_match_plain_pairs(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.joins import skew_safe_pairs
+    rng = random.Random(4)
+    rows_ = [(0, k) for k in range(300)] + [(rng.randrange(1, 30), rng.randrange(1000)) for _ in range(300)]
+    a = spark.createDataFrame(rows_, "m long, s long").repartition(5)
+    b = a.select("m", F.col("s").alias("e"))
+    plain = rows(a.join(b, "m"), "m", "s", "e")
+    for bound, pairs in ((10, 50), (1000, 1), (1, 10**9)):
+        assert rows(skew_safe_pairs(a, b, "m", "s", bound, pairs), "m", "s", "e") == plain
 
 
 def test_hot_order_in_rollup(skewed):
