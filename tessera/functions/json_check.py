@@ -22,6 +22,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import ship_package
+
 # Json.loads' whitespace and grammar pieces, as Java regexes
 # (\z is the absolute end; $ would also match before a final line break).
 _WS = "[ \\t\\n\\r]*"
@@ -51,6 +53,10 @@ def python_json_valid(text: Column) -> Column:
     call, not at import, so workers can import this module freely. It is
     marked non-deterministic only so the optimizer does not copy it into a
     pushed-down filter and run Python twice."""
+    from pyspark.sql import SparkSession
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     return F.pandas_udf(_valid_series, T.BooleanType()).asNondeterministic()(text)
 
 

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.neumaier import neumaier_fold
+from tessera.session import ship_package
 
 
 # Groups with fewer values than this are summed together, vectorised over
@@ -142,6 +143,7 @@ def compensated_sum(df: DataFrame, value: str, keys: Sequence[str] = (),
     everything when ``keys`` is empty. Nulls are skipped; like SQL ``sum``,
     a group (or an input) without non-null values gives null."""
     keys = list(keys)
+    ship_package(df.sparkSession)
     src = df.select(*keys, F.col(value).cast("double").alias(value),
                     F.col(value).isNull().alias("_null"))
     fields = [src.schema[k] for k in keys]
