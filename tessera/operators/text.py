@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.tokens import line_array, token_array, token_count
+from tessera.functions.tokens import WHITESPACE_CLASS, line_array, token_count
 
 
 def lines_of(df: DataFrame, col: str = "value", split_lines: bool = False,
@@ -21,6 +21,15 @@ def lines_of(df: DataFrame, col: str = "value", split_lines: bool = False,
     return df.select(*extra, F.col(col).alias("line"))
 
 
+def words_of(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per whitespace token of ``col`` (column ``word``): split,
+    explode, then drop the blank pieces a split leaves at the ends — a row
+    filter, which stays in generated code (an array ``filter`` lambda would
+    not)."""
+    return (df.select(*keep, F.explode(F.split(col, WHITESPACE_CLASS + "+")).alias("word"))
+            .filter(F.col("word") != ""))
+
+
 def word_count(df: DataFrame, col: str = "value") -> DataFrame:
     """(word, count): split on whitespace, drop blanks, count occurrences.
 
@@ -28,8 +37,7 @@ def word_count(df: DataFrame, col: str = "value") -> DataFrame:
     words inside each task, so a word holding a third of all tokens still
     sends one row per task through the shuffle.
     """
-    words = df.select(F.explode(token_array(col)).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return words_of(df, col).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def line_length_sum(df: DataFrame, col: str = "value",
@@ -38,8 +46,10 @@ def line_length_sum(df: DataFrame, col: str = "value",
     per word, sum those counts that exceed 1. Words seen only on one-word
     lines stay, with 0. Repeated words count once per occurrence."""
     lines = lines_of(df, col, split_lines)
-    toks = lines.select(token_array("line").alias("t"))
-    pairs = toks.select(F.explode("t").alias("word"), F.size("t").alias("n"))
+    # The line's token count is computed before the explode: an expression
+    # listed beside a generator is evaluated once per generated row.
+    counted = lines.select("line", token_count("line").alias("n"))
+    pairs = words_of(counted, "line", keep=["n"])
     return pairs.groupBy("word").agg(
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("total")
     )
@@ -79,9 +89,8 @@ def char_pair_counts(df: DataFrame, col: str = "value", mode: str = "adjacent",
         return counted.select(F.substring("g", 1, 1).alias("first"),
                               F.substring("g", 2, 1).alias("second"), "count")
     if mode == "word_ends":
-        words = lines.select(F.explode(token_array("line")).alias("w"))
-        pairs = words.select(F.substring("w", 1, 1).alias("first"),
-                             F.substring("w", -1, 1).alias("second"))
+        pairs = words_of(lines, "line").select(F.substring("word", 1, 1).alias("first"),
+                                               F.substring("word", -1, 1).alias("second"))
         return pairs.groupBy("first", "second").agg(F.count(F.lit(1)).alias("count"))
     raise ValueError(f"unknown mode {mode!r}")
 
