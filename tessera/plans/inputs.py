@@ -21,12 +21,27 @@ TEXT_TABLE_KEYS = {"documents": ("doc_id",), "conversations": ("conv_id", "turn"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
     keys = TEXT_TABLE_KEYS.get(name)
-    return spread(df, *keys) if keys else df
+    return spread(df, *keys, splits=_scan_splits(spark, path)) if keys else df
 
 
-def spread(df: DataFrame, *keys: str, per_core: int = 4) -> DataFrame:
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
+def _scan_splits(spark: SparkSession, path: str) -> int | None:
+    """Scan splits of a Parquet path, planned once per application."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SPLITS:
+        try:
+            _SPLITS[key] = spark.read.parquet(path).rdd.getNumPartitions()
+        except Exception:  # no RDD access (e.g. a remote session)
+            return None
+    return _SPLITS[key]
+
+
+def spread(df: DataFrame, *keys: str, per_core: int = 4, splits: int | None = None) -> DataFrame:
     """Hash-spread rows over ``per_core`` tasks per core when the scan
     yields fewer splits than there are cores (one file of one row group), so
     per-row work before the first shuffle is not left to a single task.
@@ -34,7 +49,7 @@ def spread(df: DataFrame, *keys: str, per_core: int = 4) -> DataFrame:
     untouched: no shuffle is added there."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
+        splits = df.rdd.getNumPartitions() if splits is None else splits
     except Exception:  # no RDD access (e.g. a remote session): leave as is
         return df
     if splits >= cores:
