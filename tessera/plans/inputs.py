@@ -101,11 +101,6 @@ def order_lines(lineitem: DataFrame, orders: DataFrame, extra: tuple[str, ...] =
             .join(per_order, "order_key").select("customer", "order_key", "quantity", *extra))
 
 
-def document_lines(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per line of ``documents.text`` (column ``value``)."""
-    return documents.select(*keep, F.explode(line_array("text")).alias("value"))
-
-
 def kv_lines(conversations: DataFrame) -> DataFrame:
     """Trace-style key/value lines from conversation turns: key is the JSON
     list ``[conv_id, turn]``, value is a line of the turn's text as written

@@ -30,3 +30,12 @@ def test_queries_match_oracles(spark):
     res = oracle_check.compare(spark, SF)
     bad = {k: v for k, v in res.items() if v.get("values_match") is False or "oracle_error" in v}
     assert not bad, bad
+
+
+def test_buckets_in_range_over_a_table(spark):
+    import __spark_entry__ as entry
+    from pyspark.sql import functions as F
+    from tessera.plans.catalog import BUCKET_N
+    df = entry.queries()["stable_bucket"](spark, SF)
+    lo, hi, n = df.agg(F.min("bucket"), F.max("bucket"), F.count("*")).first()
+    assert 0 <= lo and hi < BUCKET_N and n > 0
