@@ -6,7 +6,7 @@ does none of that."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,31 @@ def read_lines(spark: SparkSession, path: str | list[str], with_path: bool = Fal
     return df
 
 
+def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file_path, line_number, value): every line with its 1-based number
+    within its file, blank lines counted, without reading a file in one task.
+
+    A file is scanned in splits; each split knows its byte offset in the
+    file, and rows keep their order within a split. Lines are counted per
+    split (a small table: one row per split), a running sum over a file's
+    splits in offset order gives each split's first line number, and a
+    line's number is that plus its position within the split.
+    """
+    raw = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"))
+    splits = raw.groupBy("file_path", "_block").agg(
+        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("file_path").orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = splits.select("file_path", "_block", "_first",
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return raw.join(starts, ["file_path", "_block"]).select(
+        "file_path", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_number"),
+        "value")
+
+
 def parse_edges(lines: DataFrame, col: str = "value", sep: str = " ") -> DataFrame:
     """(src, dst) strings: the first two fields split at one ``sep``.
     Lines with fewer than two fields are dropped (the reference would

@@ -110,3 +110,35 @@ def test_checkpoint_goes_to_the_session_folder(spark):
     before = set(os.listdir(folder.removeprefix("file:")))
     assert cut_lineage(spark.range(10)).count() == 10
     assert set(os.listdir(folder.removeprefix("file:"))) - before  # written there
+
+
+def test_numbered_lines_across_many_splits(spark):
+    from tessera.sources import read_numbered_lines
+    d = scratch()
+    rng = __import__("random").Random(8)
+    bodies = {}
+    for name in ("a_out.txt", "b_out.txt"):
+        lines = [("x" * rng.randrange(0, 40)) if rng.random() > 0.1 else "" for _ in range(400)]
+        bodies[name] = lines
+        with open(os.path.join(d, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert spark.read.text(d).rdd.getNumPartitions() > 4  # files really are split
+        df = read_numbered_lines(spark, d)
+        got = {(os.path.basename(r.file_path), r.line_number): r.value for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    exp = {(name, i + 1): v for name, lines in bodies.items() for i, v in enumerate(lines)}
+    assert got == exp
+
+
+def test_kv_check_reports_line_numbers(spark):
+    from tessera.operators.quality import check_kv_lines
+    from tessera.sources import read_numbered_lines
+    d = scratch()
+    with open(os.path.join(d, "reducer0_in.txt"), "w") as f:
+        f.write('"a"\t1\n\n"b"\t[1, 2\nno tab here\n')
+    bad = check_kv_lines(read_numbered_lines(spark, d), keep=["line_number"]).collect()
+    assert sorted((r.line_number, r.reason) for r in bad) == [(3, "bad_value"), (4, "no_tab")]
