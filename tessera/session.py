@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,30 +72,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_SHIPPED: set[str] = set()
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make this package's functions usable in Python workers that cannot
+    import it (a cluster where it is not installed, or a driver started
+    outside the repository): functions and classes defined here are pickled
+    by value, together with the UDFs that use them, instead of by module
+    reference. No files are written or copied.
 
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, as ``--py-files``
-    does: zip it once per application and add the zip with
-    ``SparkContext.addPyFile`` (Spark copies it to every executor).
-
-    The operators that run Python (Arrow UDFs, ``mapInPandas``) call this,
-    so their functions unpickle wherever the driver was started from.
+    The operators that run Python (Arrow UDFs, ``mapInPandas``) call this.
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    root = os.path.dirname(pkg)
-    out = os.path.join(tempfile.mkdtemp(prefix="tessera-pyfiles-"), "tessera.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, dirs, files in os.walk(pkg):
-            dirs[:] = [d for d in dirs if d != "__pycache__"]
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
-    _SHIPPED.add(app)
+    import tessera
+    from pyspark import cloudpickle
+
+    if "tessera" not in cloudpickle.list_registry_pickle_by_value():
+        cloudpickle.register_pickle_by_value(tessera)
