@@ -142,3 +142,37 @@ def test_kv_check_reports_line_numbers(spark):
         f.write('"a"\t1\n\n"b"\t[1, 2\nno tab here\n')
     bad = check_kv_lines(read_numbered_lines(spark, d), keep=["line_number"]).collect()
     assert sorted((r.line_number, r.reason) for r in bad) == [(3, "bad_value"), (4, "no_tab")]
+
+
+def test_parse_tsv_matches_python_rules(spark):
+    """Random lines against the documented rules written in plain Python:
+    split at every tab, header by prefix, exact field count, integers with
+    surrounding blanks accepted, malformed rows dropped."""
+    rng = __import__("random").Random(12)
+    pieces = ["1", "-7", " 42", "42 ", "x", "", "3.5", "1e3", "007", "  ", "9" * 25, "a b"]
+    lines = []
+    for _ in range(1500):
+        n = rng.choice([2, 3, 3, 3, 4])
+        lines.append("\t".join(rng.choice(pieces) for _ in range(n)))
+    lines += ["hdr\tx\ty", "hdr2\t1\t2"]
+
+    def to_long(t):
+        t = t.strip(" ")
+        if not re_long.fullmatch(t):
+            return None
+        v = int(t)
+        return v if -2**63 <= v < 2**63 else None
+
+    re_long = __import__("re").compile(r"[+-]?[0-9]+")
+    exp = []
+    for line in lines:
+        parts = line.split("\t")
+        if len(parts) != 3 or line.startswith("hdr"):
+            continue
+        a, c = to_long(parts[0]), to_long(parts[2])
+        if a is None or c is None:
+            continue
+        exp.append((a, parts[1], c))
+    df = spark.createDataFrame([(v,) for v in lines], "value string").repartition(3)
+    got = rows(parse_tsv(df, "a long, b string, c long", header_prefix="hdr"), "a", "b", "c")
+    assert got == sorted(exp)
