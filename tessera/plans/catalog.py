@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 from tessera.functions.hashing import stable_bucket
 from tessera.operators import graph, groups, numeric, quality, text
 from tessera.plans.inputs import (
-    PART_LINK_EDGES_SQL, kv_lines, lineitem_tsv, order_lines,
-    part_link_edges, table,
+    PART_LINK_EDGES_SQL, kv_lines, lineitem_tsv, order_line_tsv, order_lines,
+    part_link_edges, product_tsv, table,
 )
 from tessera.sources.text import parse_edges, parse_tsv
 
@@ -72,6 +72,14 @@ def q_keyed_product_sum(spark, sf):
                                     group="l_linestatus", factor="l_linenumber")
 
 
+def q_keyed_product_sum_tsv(spark, sf):
+    """The same sums read the job's way: from four-field text lines."""
+    parsed = parse_tsv(product_tsv(_t(spark, sf, "lineitem")),
+                       "qty long, l_returnflag string, l_linestatus string, factor long")
+    return groups.keyed_product_sum(parsed, qty="qty", code="l_returnflag", group="l_linestatus",
+                                    factor="factor")
+
+
 def q_order_totals(spark, sf):
     return groups.order_totals(order_lines(_t(spark, sf, "lineitem"), _t(spark, sf, "orders")))
 
@@ -80,6 +88,15 @@ def q_avg_order_quantity(spark, sf):
     return groups.avg_order_quantity(order_lines(_t(spark, sf, "lineitem"), _t(spark, sf, "orders")))
 
 
+def q_avg_order_quantity_tsv(spark, sf):
+    """The same averages read the job's way: five-field order lines, header
+    rule and exact field count, a customer per line."""
+    schema = "order_key bigint, item string, quantity bigint, date string, customer bigint"
+    lines = parse_tsv(order_line_tsv(_t(spark, sf, "lineitem"), _t(spark, sf, "orders")), schema,
+                      header_prefix="InvoiceNo")
+    return groups.avg_order_quantity(lines)
+
+
 def q_density_by_group(spark, sf):
     return groups.density_by_group(_t(spark, sf, "documents"), group="source", population="n_chars",
                                    unit_text="text", dense=DENSE, super_dense=SUPER_DENSE)
@@ -179,6 +196,8 @@ QUERIES: dict[str, Query] = {
     "keyed_product_sum": q_keyed_product_sum,
     "order_totals": q_order_totals,
     "avg_order_quantity": q_avg_order_quantity,
+    "keyed_product_sum_tsv": q_keyed_product_sum_tsv,
+    "avg_order_quantity_tsv": q_avg_order_quantity_tsv,
     "density_by_group": q_density_by_group,
     "token_count": q_token_count,
     "drop_self_edges": q_drop_self_edges,
@@ -237,6 +256,16 @@ def _bucket_sql(n: int) -> str:
     return acc
 
 
+_KEYED_PRODUCT_SUM_SQL = """
+        SELECT l_linestatus, l_returnflag,
+               CAST(sum(CAST(l_quantity AS BIGINT) * CAST(l_linenumber AS BIGINT)) AS BIGINT) AS total,
+               count(*) AS n
+        FROM lineitem GROUP BY 1, 2"""
+_AVG_ORDER_SQL = f"""
+        WITH {_ORDER_TOTALS}
+        SELECT customer, CAST(sum(total) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_quantity
+        FROM t GROUP BY customer HAVING count(*) > 1"""
+
 ORACLE_SQL: dict[str, str] = {
     "word_count": f"""
         SELECT word, count(*) AS count
@@ -248,16 +277,11 @@ ORACLE_SQL: dict[str, str] = {
         w AS (SELECT unnest(t) AS word, len(t) AS n FROM toks)
         SELECT word, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS total
         FROM w GROUP BY word""",
-    "keyed_product_sum": """
-        SELECT l_linestatus, l_returnflag,
-               CAST(sum(CAST(l_quantity AS BIGINT) * CAST(l_linenumber AS BIGINT)) AS BIGINT) AS total,
-               count(*) AS n
-        FROM lineitem GROUP BY 1, 2""",
+    "keyed_product_sum": _KEYED_PRODUCT_SUM_SQL,
+    "keyed_product_sum_tsv": _KEYED_PRODUCT_SUM_SQL,
     "order_totals": f"WITH {_ORDER_TOTALS} SELECT customer, order_key, total FROM t",
-    "avg_order_quantity": f"""
-        WITH {_ORDER_TOTALS}
-        SELECT customer, CAST(sum(total) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_quantity
-        FROM t GROUP BY customer HAVING count(*) > 1""",
+    "avg_order_quantity": _AVG_ORDER_SQL,
+    "avg_order_quantity_tsv": _AVG_ORDER_SQL,
     "density_by_group": f"""
         WITH r AS (SELECT source, n_chars AS pop, {_tokens_sql('text')} AS n FROM documents
                    WHERE source IS NOT NULL AND trim(source) <> '' AND n_chars IS NOT NULL)

@@ -117,3 +117,24 @@ def lineitem_tsv(lineitem: DataFrame) -> DataFrame:
         "\t", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"),
         F.col("l_quantity").cast("long").cast("string"), F.col("l_shipdate").cast("date").cast("string"),
         F.col("l_suppkey").cast("string")).alias("value"))
+
+
+def product_tsv(lineitem: DataFrame) -> DataFrame:
+    """Four-field lines ``quantity, flag, status, line number`` (``value``),
+    the layout the product-sum job reads."""
+    return lineitem.select(F.concat_ws(
+        "\t", F.col("l_quantity").cast("long").cast("string"), F.col("l_returnflag"),
+        F.col("l_linestatus"), F.col("l_linenumber").cast("string")).alias("value"))
+
+
+def order_line_tsv(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Five-field order lines ``order, item, quantity, date, customer``
+    (``value``), one per line item, the layout the order-average job reads.
+    Building them needs each line's customer: a line-level join, whose hot
+    order keys AQE can split (both inputs are fresh shuffles)."""
+    lines = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
+    cust = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return lines.join(cust, "l_orderkey").select(F.concat_ws(
+        "\t", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"),
+        F.col("l_quantity").cast("long").cast("string"), F.col("l_shipdate").cast("date").cast("string"),
+        F.col("o_custkey").cast("string")).alias("value"))
