@@ -20,6 +20,10 @@ def read_lines(spark: SparkSession, path: str | list[str], with_path: bool = Fal
     return df
 
 
+# Most split rows broadcast to number lines without shuffling them.
+SPLIT_BROADCAST_ROWS = 1_000_000
+
+
 def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file_path, line_number, value): every line with its 1-based number
     within its file, blank lines counted, without reading a file in one task.
@@ -29,8 +33,14 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     split (a small table: one row per split), a running sum over a file's
     splits in offset order gives each split's first line number, and a
     line's number is that plus its position within the split.
+
+    The split table has at most (files + scan partitions) rows, both known
+    from planning; below ``SPLIT_BROADCAST_ROWS`` it is broadcast, so lines
+    are numbered where they were read, without a shuffle; beyond it the
+    lines are joined to it by a shuffle.
     """
-    raw = spark.read.text(path).select(
+    text = spark.read.text(path)
+    raw = text.select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"))
@@ -40,6 +50,12 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
         Window.unboundedPreceding, -1)
     starts = splits.select("file_path", "_block", "_first",
                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    try:
+        bound = len(text.inputFiles()) + text.rdd.getNumPartitions()
+    except Exception:  # no RDD access: take the shuffle join
+        bound = SPLIT_BROADCAST_ROWS + 1
+    if bound <= SPLIT_BROADCAST_ROWS:
+        starts = F.broadcast(starts)
     return raw.join(starts, ["file_path", "_block"]).select(
         "file_path", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_number"),
         "value")
