@@ -35,6 +35,12 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return table(spark, sf, name)
 
 
+def _lines_text(spark: SparkSession, sf: str) -> DataFrame:
+    """``lineitem`` for a query that joins, renders and parses every line as
+    text: spread like a text table when its scan has too few splits."""
+    return table(spark, sf, "lineitem", spread_by=("l_orderkey", "l_linenumber"))
+
+
 def _tokens_sql(col: str) -> str:
     return f"CAST(coalesce(len(regexp_extract_all({col}, '{TOKEN}')), 0) AS BIGINT)"
 
@@ -92,7 +98,7 @@ def q_avg_order_quantity_tsv(spark, sf):
     """The same averages read the job's way: five-field order lines, header
     rule and exact field count, a customer per line."""
     schema = "order_key bigint, item string, quantity bigint, date string, customer bigint"
-    lines = parse_tsv(order_line_tsv(_t(spark, sf, "lineitem"), _t(spark, sf, "orders")), schema,
+    lines = parse_tsv(order_line_tsv(_lines_text(spark, sf), _t(spark, sf, "orders")), schema,
                       header_prefix="InvoiceNo")
     return groups.avg_order_quantity(lines)
 

@@ -20,10 +20,14 @@ TEXT_TABLE_KEYS = {"documents": ("doc_id",), "conversations": ("conv_id", "turn"
                    "pages": ("page_id",), "benchmark": ("item_id",)}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str,
+          spread_by: tuple[str, ...] | None = None) -> DataFrame:
+    """A test table; text tables (or any table given ``spread_by`` keys, for
+    queries with heavy per-row string work) are spread when their scan has
+    too few splits."""
     path = f"{sf_dir}/{name}.parquet"
     df = spark.read.parquet(path)
-    keys = TEXT_TABLE_KEYS.get(name)
+    keys = spread_by or TEXT_TABLE_KEYS.get(name)
     return spread(df, *keys, splits=_scan_splits(spark, path)) if keys else df
 
 
