@@ -26,6 +26,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # Throughput collector for the single local JVM (batch work, no
+        # pause-time goals); about 10% faster than G1 on the bench here.
+        .config("spark.driver.extraJavaOptions",
+                os.environ.get("TESSERA_JAVA_OPTS", "-XX:+UseParallelGC"))
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(parts))
