@@ -48,7 +48,11 @@ def token_count(c: str | Column) -> Column:
                       F.lit(0)).cast("long")
 
 
-def register_sql_functions(spark, token_count_name: str = "zipCounter") -> None:
+# Fixed value: the SQL name under which the token counter is called.
+TOKEN_COUNT_SQL_NAME = "zipCounter"
+
+
+def register_sql_functions(spark, token_count_name: str = TOKEN_COUNT_SQL_NAME) -> None:
     """Register the token counter for SQL text (``expr("zipCounter(z)")``)
     as a SQL-bodied temporary function: the analyzer inlines its body, so
     unlike a registered Python or JVM UDF it stays foldable and in codegen."""

@@ -21,7 +21,7 @@ def test_triangle_job_from_text_file(spark):
     with open(os.path.join(d, "edges.txt"), "w") as f:
         f.write("\n".join(f"{a} {b}" for a, b in TOY) + "\n")
     count = graph.triangle_count(parse_edges(read_lines(spark, os.path.join(d, "edges.txt"))))
-    out = os.path.join(d, "NumberOfTriangles")
+    out = os.path.join(d, "triangles")
     write_csv(count, out)
     assert [r.value for r in read_lines(spark, out).collect()] == ["2"]
 
