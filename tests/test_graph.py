@@ -81,3 +81,23 @@ def test_two_paths_bounded_by_orientation(spark):
 def test_parse_edges(spark):
     lines = spark.createDataFrame([("1 2",), ("3 4 5",), ("6",), ("7\t8",)], "value string")
     assert rows(parse_edges(lines)) == [("1", "2"), ("3", "4")]
+
+
+def test_oriented_two_paths_and_closed_paths_match_definitions(spark):
+    rng = random.Random(21)
+    pairs = [(rng.randrange(30), rng.randrange(30)) for _ in range(160)] + [(0, k) for k in range(1, 30)]
+    adj = {}
+    for a, b in pairs:
+        if a != b:
+            adj.setdefault(a, set()).add(b)
+            adj.setdefault(b, set()).add(a)
+    rank = {v: (len(n), v) for v, n in adj.items()}
+    out = {v: {w for w in n if rank[v] < rank[w]} for v, n in adj.items()}
+    exp_paths = sorted((m, s, e) for m, ns in out.items() for s in ns for e in ns if rank[s] < rank[e])
+    df = edges(spark, pairs, "src long, dst long", 4)
+    got_paths = rows(graph.two_paths(graph.oriented_edges(df)), "middle", "start", "end")
+    assert got_paths == exp_paths
+    # The reference's listing: every two-path of the symmetric graph that an edge closes.
+    exp_closed = sorted((s, e, m) for m, ns in adj.items() for s in ns for e in ns
+                        if s != e and e in adj[s])
+    assert rows(graph.triangle_paths(df), "start", "end", "middle") == exp_closed
