@@ -74,13 +74,18 @@ def oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
     it either.
     """
     und = undirected_edges(edges, src, dst)
-    if checkpoint:
-        und = cut_lineage(und)
+    # Once materialised, the edge count is a cheap read; a node has at most
+    # m edges, so with m <= slice_rows no key could be salted and plain
+    # lookup joins are the same plan minus the salting stages.
+    small = checkpoint and (und := cut_lineage(und)).count() <= slice_rows
     deg = degrees(und)
     du = deg.select(F.col("node").alias("u"), F.col("deg").alias("du"), F.col("deg").alias("_w"))
     dv = deg.select(F.col("node").alias("v"), F.col("deg").alias("dv"), F.col("deg").alias("_w"))
-    e = skew_safe_join(skew_safe_join(und, du, ["u"], "_w", hot_bound, slice_rows),
-                       dv, ["v"], "_w", hot_bound, slice_rows)
+    if small:
+        e = und.join(du.drop("_w"), "u").join(dv.drop("_w"), "v")
+    else:
+        e = skew_safe_join(skew_safe_join(und, du, ["u"], "_w", hot_bound, slice_rows),
+                           dv, ["v"], "_w", hot_bound, slice_rows)
     fwd = _before(F.col("du"), F.col("u"), F.col("dv"), F.col("v"))
     out = e.select(
         F.when(fwd, F.col("u")).otherwise(F.col("v")).alias("src"),
@@ -90,7 +95,8 @@ def oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
     return cut_lineage(out) if checkpoint else out
 
 
-def two_paths(oriented: DataFrame, slice_pairs: int = SLICE_PAIRS) -> DataFrame:
+def two_paths(oriented: DataFrame, slice_pairs: int = SLICE_PAIRS,
+              edge_count: int | None = None) -> DataFrame:
     """(middle, start, end): two out-neighbours of ``middle`` in an oriented
     edge set, ``start`` before ``end`` in (degree, id) order.
 
@@ -99,12 +105,19 @@ def two_paths(oriented: DataFrame, slice_pairs: int = SLICE_PAIRS) -> DataFrame:
     sqrt(2m) neighbours. Such a node may still form about m pairs, which
     AQE cannot see from input sizes, so the join is salted for nodes whose
     pairs exceed ``slice_pairs`` (:func:`tessera.operators.joins.skew_safe_pairs`).
+    A known ``edge_count`` m with 2m <= ``slice_pairs`` rules salting out:
+    a node's k out-neighbours each have degree >= k, so k * k <= 2m, and the
+    plain join is used.
     """
     a = oriented.select(F.col("src").alias("middle"), F.col("dst").alias("start"),
                         F.col("dst_deg").alias("ds"))
     b = oriented.select(F.col("src").alias("middle"), F.col("dst").alias("end"),
                         F.col("dst_deg").alias("de"))
-    return (skew_safe_pairs(a, b, "middle", "start", slice_pairs=slice_pairs)
+    if edge_count is not None and 2 * edge_count <= slice_pairs:
+        pairs = a.join(b, "middle")
+    else:
+        pairs = skew_safe_pairs(a, b, "middle", "start", slice_pairs=slice_pairs)
+    return (pairs
             .filter(_before(F.col("ds"), F.col("start"), F.col("de"), F.col("end")))
             .select("middle", "start", "end"))
 
@@ -131,7 +144,8 @@ def triangles(edges: DataFrame, src: str = "src", dst: str = "dst",
     once (see :func:`oriented_edges`).
     """
     o = oriented_edges(edges, src, dst, checkpoint, hot_bound, slice_rows)
-    closed = closing_edges(o, two_paths(o, slice_pairs), edges_distinct=True)
+    m = o.count() if checkpoint else None  # a read of the materialised edges
+    closed = closing_edges(o, two_paths(o, slice_pairs, m), edges_distinct=True)
     return closed.select(F.col("middle").alias("a"), F.col("start").alias("b"),
                          F.col("end").alias("c"))
 

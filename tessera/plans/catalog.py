@@ -161,7 +161,8 @@ def q_symmetric_edges(spark, sf):
 
 
 def q_two_paths(spark, sf):
-    return graph.two_paths(graph.oriented_edges(_edges(spark, sf), checkpoint=True)).select(
+    o = graph.oriented_edges(_edges(spark, sf), checkpoint=True)
+    return graph.two_paths(o, edge_count=o.count()).select(
         "middle", F.col("start").alias("start_node"), F.col("end").alias("end_node"))
 
 
