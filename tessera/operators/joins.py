@@ -36,10 +36,15 @@ SLICE_ROWS = 1_000_000
 
 
 def skew_safe_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], weight: str,
-                   bound: int = HOT_BOUND, slice_rows: int = SLICE_ROWS) -> DataFrame:
+                   bound: int = HOT_BOUND, slice_rows: int = SLICE_ROWS,
+                   big_rows: int | None = None) -> DataFrame:
     """Inner join of ``big`` with ``lookup`` (one row per key of ``on``),
-    equal to ``big.join(lookup.drop(weight), on)``."""
+    equal to ``big.join(lookup.drop(weight), on)``. A known ``big_rows`` at
+    or below ``slice_rows`` proves no key can be hot: the plain join is
+    returned."""
     on = list(on)
+    if big_rows is not None and big_rows <= slice_rows:
+        return big.join(lookup.drop(weight), on)
     total = lookup.agg(F.sum(weight)).scalar()
     target = F.greatest(total / F.lit(bound), F.lit(float(slice_rows)))
     salts = F.greatest(F.lit(1), F.ceil(F.col(weight) / target)).cast("int")

@@ -61,7 +61,7 @@ def spread(df: DataFrame, *keys: str, per_core: int = 4, splits: int | None = No
     return df.repartition(per_core * cores, *keys)
 
 
-def part_link_edges(lineitem: DataFrame) -> DataFrame:
+def part_link_edges(lineitem: DataFrame, line_count: int | None = None) -> DataFrame:
     """(src, dst) part ids: every order line links its part to the smallest
     part on the next line number of the same order.
 
@@ -69,8 +69,10 @@ def part_link_edges(lineitem: DataFrame) -> DataFrame:
     successor's smallest part by a one-row-per-key join, so the edge count
     never exceeds the line count even when line numbers repeat. The lines
     then meet their group's row through a skew-safe lookup join (a group
-    holding a third of all lines is joined map-side). Self-edges and
-    repeated edges occur, as in a raw edge list.
+    holding a third of all lines is spread); when the table's line count
+    (``line_count``, else counted: a metadata-driven scan) shows no group can
+    be that large, the plain join is used. Self-edges and repeated edges
+    occur, as in a raw edge list.
     """
     groups = lineitem.groupBy(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln")).agg(
         F.min("l_partkey").alias("mp"), F.count(F.lit(1)).alias("c"))
@@ -78,7 +80,9 @@ def part_link_edges(lineitem: DataFrame) -> DataFrame:
     lookup = groups.select("ok", "ln", "c").join(successor, ["ok", "ln"])
     lines = lineitem.select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"),
                             F.col("l_partkey").alias("src"))
-    return skew_safe_join(lines, lookup, ["ok", "ln"], "c").select("src", "dst")
+    if line_count is None:
+        line_count = lineitem.count()
+    return skew_safe_join(lines, lookup, ["ok", "ln"], "c", big_rows=line_count).select("src", "dst")
 
 
 PART_LINK_EDGES_SQL = """
