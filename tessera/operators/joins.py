@@ -58,6 +58,22 @@ def skew_safe_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], weight:
     return tagged.join(repeated, [*on, "_salt"]).drop("_salt")
 
 
+def counted_lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str],
+                        big_rows: int | None = None, bound: int = HOT_BOUND,
+                        slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``big.join(lookup, on)`` for a lookup with one row per key but no
+    weight: the big side's rows per key are counted first (a partial
+    aggregate, partitioned like a lookup that comes out of an aggregate on
+    the same key, so the two meet without another shuffle), then salted as
+    in :func:`skew_safe_join`. A known ``big_rows`` at or below
+    ``slice_rows`` proves no key can be hot: the plain join is returned."""
+    on = list(on)
+    if big_rows is not None and big_rows <= slice_rows:
+        return big.join(lookup, on)
+    weights = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_w"))
+    return skew_safe_join(big, lookup.join(weights, on), on, "_w", bound, slice_rows)
+
+
 # Pairs one task slice may form for a single key of a self-join.
 SLICE_PAIRS = 100_000_000
 

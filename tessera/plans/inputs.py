@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.tokens import line_array
-from tessera.operators.joins import skew_safe_join
+from tessera.operators.joins import counted_lookup_join, skew_safe_join
 
 
 # Text tables whose rows carry heavy per-row work (splitting, regexes), and
@@ -93,7 +93,8 @@ PART_LINK_EDGES_SQL = """
       ON n.ok = l.l_orderkey AND n.ln = l.l_linenumber"""
 
 
-def order_lines(lineitem: DataFrame, orders: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+def order_lines(lineitem: DataFrame, orders: DataFrame, extra: tuple[str, ...] = (),
+                orders_rows: int | None = None) -> DataFrame:
     """(customer, order_key, quantity, extra...) order lines, one per order;
     ``extra`` names further ``orders`` columns to carry (one scan).
 
@@ -101,12 +102,21 @@ def order_lines(lineitem: DataFrame, orders: DataFrame, extra: tuple[str, ...] =
     join with ``orders`` moves one row per order instead of one per line
     (exact: summing line sums per (customer, order) equals summing lines).
     Quantities are whole numbers, read as long as the reference's int().
+
+    The per-order sums come out of an aggregate on the join key, so AQE
+    could not split an order key that repeats in ``orders``; unless the row
+    count of ``orders`` (``orders_rows``, else counted: a metadata-driven
+    scan) proves no key can be that heavy, the join is salted
+    (:func:`tessera.operators.joins.counted_lookup_join`).
     """
     per_order = lineitem.groupBy(F.col("l_orderkey").alias("order_key")).agg(
         F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
-    return (orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"),
-                          *extra)
-            .join(per_order, "order_key").select("customer", "order_key", "quantity", *extra))
+    big = orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"),
+                        *extra)
+    if orders_rows is None:
+        orders_rows = orders.count()
+    return (counted_lookup_join(big, per_order, ["order_key"], big_rows=orders_rows)
+            .select("customer", "order_key", "quantity", *extra))
 
 
 def kv_lines(conversations: DataFrame) -> DataFrame:

@@ -134,3 +134,14 @@ def test_part_link_edges_salted_equals_plain(spark):
     plain = rows(part_link_edges(li))
     salted = rows(part_link_edges(li, line_count=10**12))  # a huge count forces the salted lookup
     assert salted == plain and len(plain) > 0
+
+
+def test_order_lines_with_a_repeated_order_key(skewed):
+    from tessera.plans.inputs import order_lines
+    orders = skewed.createDataFrame([(1, 10, "P")] * 300 + [(k, k % 7, "Q") for k in range(2, 200)],
+                                    "o_orderkey long, o_custkey long, o_orderpriority string")
+    lineitem = skewed.createDataFrame([(k % 200, float(k % 5 + 1)) for k in range(2000)],
+                                      "l_orderkey long, l_quantity double")
+    plain = rows(order_lines(lineitem, orders, ("o_orderpriority",)))
+    salted = rows(order_lines(lineitem, orders, ("o_orderpriority",), orders_rows=10**12))
+    assert salted == plain and len(plain) == 300 + 198
