@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.tokens import token_count
+from tessera.operators.joins import counted_lookup_join
 
 
 def _c(c: str | Column) -> Column:
@@ -117,23 +118,27 @@ def ratio_by_pair(rows: DataFrame, k1: str, k2: str, value: str) -> DataFrame:
 
 def customer_order_item_rollup(customers: DataFrame, orders: DataFrame, items: DataFrame,
                                c_key: str, c_group: str, o_key: str, o_cust: str,
-                               i_order: str) -> DataFrame:
+                               i_order: str, orders_rows: int | None = None,
+                               customers_rows: int | None = None) -> DataFrame:
     """Per customer group: customers, their orders, and those orders' lines
     (customers without orders and orders without lines count with 0).
 
     Equal to counting over ``customers LEFT JOIN orders LEFT JOIN items``,
     but each join runs at the grain of its smaller side: lines are counted
     per order, orders per customer, before the next join, so no join ever
-    moves line-level rows. Shape-only; meaning ours.
+    moves line-level rows. Both lookups come out of aggregates on their join
+    keys, so a key repeated in ``orders`` or ``customers`` would not be split
+    by AQE; they are salted (:func:`tessera.operators.joins.counted_lookup_join`)
+    unless the given row counts rule hot keys out. Shape-only; meaning ours.
     """
     lines_per_order = items.groupBy(F.col(i_order).alias("_ok")).agg(
         F.count(F.lit(1)).alias("_lines"))
-    per_cust = (orders.select(F.col(o_key).alias("_ok"), F.col(o_cust).alias("_ck"))
-                .join(lines_per_order, "_ok", "left")
+    order_rows = orders.select(F.col(o_key).alias("_ok"), F.col(o_cust).alias("_ck"))
+    per_cust = (counted_lookup_join(order_rows, lines_per_order, ["_ok"], orders_rows, how="left")
                 .groupBy("_ck").agg(F.count(F.lit(1)).alias("_orders"),
                                     F.sum(F.coalesce("_lines", F.lit(0))).alias("_lines")))
-    joined = (customers.select(F.col(c_key).alias("_ck"), F.col(c_group))
-              .join(per_cust, "_ck", "left"))
+    customer_rows = customers.select(F.col(c_key).alias("_ck"), F.col(c_group))
+    joined = counted_lookup_join(customer_rows, per_cust, ["_ck"], customers_rows, how="left")
     return joined.groupBy(c_group).agg(
         F.count(F.lit(1)).alias("customers"),
         F.coalesce(F.sum("_orders"), F.lit(0)).cast("long").alias("orders"),

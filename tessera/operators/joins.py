@@ -37,14 +37,16 @@ SLICE_ROWS = 1_000_000
 
 def skew_safe_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], weight: str,
                    bound: int = HOT_BOUND, slice_rows: int = SLICE_ROWS,
-                   big_rows: int | None = None) -> DataFrame:
-    """Inner join of ``big`` with ``lookup`` (one row per key of ``on``),
-    equal to ``big.join(lookup.drop(weight), on)``. A known ``big_rows`` at
-    or below ``slice_rows`` proves no key can be hot: the plain join is
-    returned."""
+                   big_rows: int | None = None, how: str = "inner") -> DataFrame:
+    """Inner (or left) join of ``big`` with ``lookup`` (one row per key of
+    ``on``), equal to ``big.join(lookup.drop(weight), on, how)``. A known
+    ``big_rows`` at or below ``slice_rows`` proves no key can be hot: the
+    plain join is returned."""
     on = list(on)
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
     if big_rows is not None and big_rows <= slice_rows:
-        return big.join(lookup.drop(weight), on)
+        return big.join(lookup.drop(weight), on, how)
     total = lookup.agg(F.sum(weight)).scalar()
     target = F.greatest(total / F.lit(bound), F.lit(float(slice_rows)))
     salts = F.greatest(F.lit(1), F.ceil(F.col(weight) / target)).cast("int")
@@ -55,23 +57,26 @@ def skew_safe_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], weight:
               .withColumn("_salt", F.pmod(spread, F.coalesce(F.col("_salts"), F.lit(1))).cast("int"))
               .drop("_salts"))
     repeated = lk.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
-    return tagged.join(repeated, [*on, "_salt"]).drop("_salt")
+    return tagged.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def counted_lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str],
-                        big_rows: int | None = None, bound: int = HOT_BOUND,
-                        slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """``big.join(lookup, on)`` for a lookup with one row per key but no
-    weight: the big side's rows per key are counted first (a partial
-    aggregate, partitioned like a lookup that comes out of an aggregate on
-    the same key, so the two meet without another shuffle), then salted as
-    in :func:`skew_safe_join`. A known ``big_rows`` at or below
-    ``slice_rows`` proves no key can be hot: the plain join is returned."""
+                        big_rows: int | None = None, how: str = "inner",
+                        bound: int = HOT_BOUND, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``big.join(lookup, on, how)`` (inner or left) for a lookup with one
+    row per key but no weight: the big side's rows per key are counted first
+    (a partial aggregate, partitioned like a lookup that comes out of an
+    aggregate on the same key, so the two meet without another shuffle),
+    then salted as in :func:`skew_safe_join`. For a left join the weights
+    cover every big key, found in the lookup or not, so a heavy key without
+    a match is spread too. A known ``big_rows`` at or below ``slice_rows``
+    proves no key can be hot: the plain join is returned."""
     on = list(on)
     if big_rows is not None and big_rows <= slice_rows:
-        return big.join(lookup, on)
+        return big.join(lookup, on, how)
     weights = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_w"))
-    return skew_safe_join(big, lookup.join(weights, on), on, "_w", bound, slice_rows)
+    weighted = weights.join(lookup, on, "left") if how == "left" else lookup.join(weights, on)
+    return skew_safe_join(big, weighted, on, "_w", bound, slice_rows, how=how)
 
 
 # Pairs one task slice may form for a single key of a self-join.

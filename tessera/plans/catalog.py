@@ -130,10 +130,11 @@ def q_ratio_by_pair(spark, sf):
 
 
 def q_customer_order_item_rollup(spark, sf):
+    customers, orders = _t(spark, sf, "customer"), _t(spark, sf, "orders")
     return groups.customer_order_item_rollup(
-        _t(spark, sf, "customer"), _t(spark, sf, "orders"), _t(spark, sf, "lineitem"),
+        customers, orders, _t(spark, sf, "lineitem"),
         c_key="c_custkey", c_group="c_mktsegment", o_key="o_orderkey", o_cust="o_custkey",
-        i_order="l_orderkey")
+        i_order="l_orderkey", orders_rows=orders.count(), customers_rows=customers.count())
 
 
 def q_group_size_histogram(spark, sf):

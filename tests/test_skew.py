@@ -145,3 +145,33 @@ def test_order_lines_with_a_repeated_order_key(skewed):
     plain = rows(order_lines(lineitem, orders, ("o_orderpriority",)))
     salted = rows(order_lines(lineitem, orders, ("o_orderpriority",), orders_rows=10**12))
     assert salted == plain and len(plain) == 300 + 198
+
+
+def _rows_nulls(df, *cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+def test_left_salted_joins_keep_everything(skewed):
+    from pyspark.sql import functions as F
+    from tessera.operators.joins import counted_lookup_join, skew_safe_join
+    rows = _rows_nulls
+    big = skewed.createDataFrame([(0, i) for i in range(400)] + [(7, i) for i in range(300)]
+                                 + [(k % 30, k) for k in range(200)] + [(None, 5)], "k int, x int")
+    lookup = skewed.createDataFrame([(k, f"n{k}") for k in range(0, 30) if k != 7], "k int, name string")
+    exp = rows(big.join(lookup, ["k"], "left"), "k", "x", "name")
+    for bound, slice_rows in ((10, 5), (1000, 1), (1, 1)):
+        got = rows(counted_lookup_join(big, lookup, ["k"], how="left", bound=bound, slice_rows=slice_rows),
+                   "k", "x", "name")
+        assert got == exp
+    w = lookup.join(big.groupBy("k").agg(F.count(F.lit(1)).alias("w")), ["k"])
+    assert rows(skew_safe_join(big, w, ["k"], "w", 10, 5, how="left"), "k", "x", "name") == exp
+
+
+def test_rollup_salted_equals_plain(skewed):
+    c = skewed.createDataFrame([(i, f"s{i % 3}") for i in range(30)] + [(0, "s0")] * 50, "ck int, seg string")
+    o = skewed.createDataFrame([(0, 0)] * 200 + [(i, i % 30) for i in range(1, 200)], "ok int, oc int")
+    i = skewed.createDataFrame([(0,)] * 500 + [(k % 200,) for k in range(300)], "io int")
+    args = ("ck", "seg", "ok", "oc", "io")
+    plain = rows(groups.customer_order_item_rollup(c, o, i, *args, orders_rows=1, customers_rows=1))
+    salted = rows(groups.customer_order_item_rollup(c, o, i, *args))
+    assert salted == plain
