@@ -24,7 +24,9 @@ def test_fast_path_agrees_with_json_loads(spark):
     atoms = ['1', '-0', '01', '1.', '1.5e3', '-1E-2', '"a"', '"a\\"b"', '"\\u00e9"', '"x', 'true',
              'True', 'nul', 'null', 'NaN', '-Infinity', 'Infinity', 'inf', '[', ']', '{', '}', ',', ':',
              ' ', '\t', '\n', '\r', '\x0b', '\xa0', ' ', '﻿', 'a', '"\x01"', '[]', '{"k": 1}',
-             '[1, 2]', '[1,, 2]', '[1 2]', '0x1', '+1', '.5', '٣', 'é']
+             '[1, 2]', '[1,, 2]', '[1 2]', '0x1', '+1', '.5', '٣', 'é', '{"a": 1, "b": [2]}',
+             '{"k":"v","k":NaN}', '{"a" 1}', '{"a":}', '{,}', '{}', '{ }', '{"a":1,}', '"k":', '{"\\n":1}',
+             '{1: 2}', "{'a': 1}"]
     rng = random.Random(11)
     texts = list(atoms) + ["".join(rng.choice(atoms) for _ in range(rng.randrange(1, 5)))
                            for _ in range(3000)]
@@ -44,3 +46,16 @@ def test_fast_path_agrees_with_json_loads(spark):
         assert r.fast is None or r.fast == exp, (texts[r.i], r.fast, exp)
     decided = sum(r.fast is not None for r in got)
     assert decided > len(got) // 3
+
+
+def test_long_json_texts_do_not_overflow_the_regex(spark):
+    from pyspark.sql import functions as F
+    from tessera.functions.json_check import json_valid
+    long_list = "[" + ", ".join(str(i % 10) for i in range(50000)) + "]"
+    long_obj = "{" + ", ".join(f'"k{i}": {i}' for i in range(20000)) + "}"
+    bad_list = long_list[:-1]
+    df = spark.createDataFrame([(1, long_list), (2, long_obj), (3, bad_list)], "i int, t string")
+    got = {r.i: r.v for r in df.select("i", json_valid(F.col("t")).alias("v")).collect()}
+    assert got == {1: True, 2: True, 3: False}
+    lines = spark.createDataFrame([('"k"\t' + long_list,), ('"k"\t' + bad_list,)], "value string")
+    assert [r.reason for r in check_kv_lines(lines).collect()] == ["bad_value"]
