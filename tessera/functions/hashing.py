@@ -22,11 +22,36 @@ TYPE_TEXT = {
 }
 
 
+# The characters Python's repr shows by an escape (Unicode
+# "Other" and "Separator" classes except the ASCII space), and the three
+# named escapes.
+_NON_PRINTABLE = "[\\p{C}\\p{Z}&&[^ ]]"
+_NAMED_ESCAPES = {"\t": "\\t", "\n": "\\n", "\r": "\\r"}
+
+
+def _escape_char(ch: Column) -> Column:
+    """Python's escape of one non-printable character: named, else
+    ``\\xhh``, ``\\uhhhh`` or ``\\Uhhhhhhhh`` of its code point."""
+    code = F.ascii(ch)
+    hexed = F.lower(F.hex(code))
+    out = (F.when(code < 0x100, F.concat(F.lit("\\x"), F.lpad(hexed, 2, "0")))
+           .when(code < 0x10000, F.concat(F.lit("\\u"), F.lpad(hexed, 4, "0")))
+           .otherwise(F.concat(F.lit("\\U"), F.lpad(hexed, 8, "0"))))
+    for raw, named in _NAMED_ESCAPES.items():
+        out = F.when(ch == F.lit(raw), F.lit(named)).otherwise(out)
+    return out
+
+
 def _py_str_repr(s: Column) -> Column:
     """Python ``repr`` of a string: single quotes unless the text holds a
-    single quote and no double quote; backslashes and the chosen quote are
-    escaped. (Control characters are left as they are.)"""
+    single quote and no double quote; backslashes, the chosen quote and
+    non-printable characters are escaped."""
     esc = F.replace(s, F.lit("\\"), F.lit("\\\\"))
+    # Non-printable characters are rare: only texts holding one pay for the
+    # per-character pass.
+    per_char = F.array_join(F.transform(F.split(esc, ""), lambda ch: F.when(
+        ch.rlike(_NON_PRINTABLE), _escape_char(ch)).otherwise(ch)), "")
+    esc = F.when(esc.rlike(_NON_PRINTABLE), per_char).otherwise(esc)
     use_double = F.contains(s, F.lit("'")) & ~F.contains(s, F.lit('"'))
     single = F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'"))
     double = F.concat(F.lit('"'), esc, F.lit('"'))

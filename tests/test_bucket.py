@@ -35,3 +35,17 @@ def test_matches_python_and_in_range(spark):
     assert one(spark, arr, "array<string>", T.ArrayType(T.StringType()), 97) == py_bucket("abc1234", arr, 97)
     assert one(spark, [1, 2], "array<bigint>", T.ArrayType(T.LongType()), 97) == py_bucket("abc1234", [1, 2], 97)
     assert one(spark, True, "boolean", T.BooleanType(), 97) == py_bucket("abc1234", True, 97)
+
+
+def test_list_keys_with_non_printable_strings(spark):
+    import random
+    rng = random.Random(17)
+    alphabet = ["a", "Z", " ", "'", '"', "\\", "\t", "\n", "\r", "\x00", "\x1b", "\x7f", "\x85", "\xa0",
+                "\xad", "é", "​", " ", "　", "\U0001F600", "\U000E0001", "ß"]
+    keys = [[("".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 6)))) for _ in range(2)]
+            for _ in range(300)]
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k array<string>")
+    got = {r.i: r.b for r in df.select("i", stable_bucket(F.col("k"), T.ArrayType(T.StringType()),
+                                                          "abc1234", 1000003).alias("b")).collect()}
+    for i, k in enumerate(keys):
+        assert got[i] == py_bucket("abc1234", k, 1000003), (k, repr(k))
