@@ -15,6 +15,21 @@ from pyspark.sql import functions as F
 WHITESPACE_CLASS = "[ \\t\\n\\x0B\\f\\r]"
 TOKEN_PATTERN = "[^ \\t\\n\\x0B\\f\\r]+"
 LINE_BREAK = "\\r\\n|\\r|\\n"
+# Python's str.split() whitespace (str.isspace), as a Java regex class, for
+# jobs written against Python's split rather than Java's ASCII \s.
+PY_WHITESPACE_CLASS = ("[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+                       "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
+
+
+def whitespace_class(kind: str = "ascii") -> str:
+    """``ascii``: Java's \\s (the Scala jobs); ``python``: str.split()."""
+    if kind == "ascii":
+        return WHITESPACE_CLASS
+    if kind == "python":
+        return PY_WHITESPACE_CLASS
+    raise ValueError(f"unknown whitespace {kind!r}")
+
+
 # A token with the whitespace around it: the classes are disjoint, so the
 # match is linear (no backtracking).
 TOKEN_RUN = WHITESPACE_CLASS + "*" + TOKEN_PATTERN + WHITESPACE_CLASS + "*"
@@ -33,7 +48,7 @@ def token_array(c: str | Column) -> Column:
     return F.filter(F.split(_col(c), WHITESPACE_CLASS + "+"), lambda t: t != "")
 
 
-def token_count(c: str | Column) -> Column:
+def token_count(c: str | Column, whitespace: str = "ascii") -> Column:
     """Number of whitespace tokens, 0 for null or blank (the trimmed
     zip-code counter), as a built-in expression (whole-stage codegen).
 
@@ -42,9 +57,11 @@ def token_count(c: str | Column) -> Column:
     a single short string, about twice as fast as ``regexp_count`` (which
     Spark rewrites to the size of an array of all tokens). Text without
     tokens has no match and stays whitespace, which a second pass over the
-    short result removes."""
-    marks = F.regexp_replace(_col(c), F.lit(TOKEN_RUN), F.lit("x"))
-    return F.coalesce(F.length(F.regexp_replace(marks, F.lit(WHITESPACE_CLASS + "+"), F.lit(""))),
+    short result removes. ``whitespace``: ``ascii`` or ``python``."""
+    ws = whitespace_class(whitespace)
+    run = ws + "*" + "[^" + ws[1:] + "+" + ws + "*"  # a token with the blanks around it
+    marks = F.regexp_replace(_col(c), F.lit(run), F.lit("x"))
+    return F.coalesce(F.length(F.regexp_replace(marks, F.lit(ws + "+"), F.lit(""))),
                       F.lit(0)).cast("long")
 
 

@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.json_check import fast_json_valid, json_valid
+from tessera.functions.tokens import PY_WHITESPACE_CLASS
 
-# The reasons decided without parsing, and the characters
-# Python's str.strip() removes (str.isspace), as a Java regex class.
+# The reasons decided without parsing; blank means only the
+# characters Python's str.strip() removes (str.isspace).
 NO_TAB = "no_tab"
 EXTRA_TAB = "extra_tab"
 BAD_KEY = "bad_key"
 BAD_VALUE = "bad_value"
-PY_SPACE = ("[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
-            "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
+PY_SPACE = PY_WHITESPACE_CLASS
 
 
 def check_kv_lines(df: DataFrame, col: str = "value", keep: Sequence[str] = (),

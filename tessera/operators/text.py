@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.tokens import WHITESPACE_CLASS, line_array, token_count
+from tessera.functions.tokens import line_array, token_count, whitespace_class
 
 
 def lines_of(df: DataFrame, col: str = "value", split_lines: bool = False,
@@ -21,35 +21,43 @@ def lines_of(df: DataFrame, col: str = "value", split_lines: bool = False,
     return df.select(*extra, F.col(col).alias("line"))
 
 
-def words_of(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
+def words_of(df: DataFrame, col: str, keep: Sequence[str] = (),
+             whitespace: str = "ascii") -> DataFrame:
     """One row per whitespace token of ``col`` (column ``word``): split,
     explode, then drop the blank pieces a split leaves at the ends — a row
     filter, which stays in generated code (an array ``filter`` lambda would
-    not)."""
-    return (df.select(*keep, F.explode(F.split(col, WHITESPACE_CLASS + "+")).alias("word"))
+    not). ``whitespace``: ``ascii`` (Java's \\s) or ``python`` (str.split)."""
+    pattern = whitespace_class(whitespace) + "+"
+    return (df.select(*keep, F.explode(F.split(col, pattern)).alias("word"))
             .filter(F.col("word") != ""))
 
 
-def word_count(df: DataFrame, col: str = "value") -> DataFrame:
+def word_count(df: DataFrame, col: str = "value", whitespace: str = "ascii") -> DataFrame:
     """(word, count): split on whitespace, drop blanks, count occurrences.
 
-    Case and punctuation stay. The partial (map-side) aggregate collapses hot
-    words inside each task, so a word holding a third of all tokens still
-    sends one row per task through the shuffle.
+    Case and punctuation stay. ``whitespace="python"`` splits like Python's
+    ``str.split()`` (Unicode blanks such as the no-break space), as the
+    MapReduce version of the job does; the default follows the Scala jobs.
+    The partial (map-side) aggregate collapses hot words inside each task,
+    so a word holding a third of all tokens still sends one row per task
+    through the shuffle.
     """
-    return words_of(df, col).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return words_of(df, col, whitespace=whitespace).groupBy("word").agg(
+        F.count(F.lit(1)).alias("count"))
 
 
 def line_length_sum(df: DataFrame, col: str = "value",
-                    split_lines: bool = False) -> DataFrame:
+                    split_lines: bool = False, whitespace: str = "ascii") -> DataFrame:
     """(word, total): every word of a line carries the line's word count;
     per word, sum those counts that exceed 1. Words seen only on one-word
-    lines stay, with 0. Repeated words count once per occurrence."""
+    lines stay, with 0. Repeated words count once per occurrence.
+    ``whitespace="python"`` splits like ``str.split()``, as the original
+    MapReduce job does; the default follows Java's ASCII \\s."""
     lines = lines_of(df, col, split_lines)
     # The line's token count is computed before the explode: an expression
     # listed beside a generator is evaluated once per generated row.
-    counted = lines.select("line", token_count("line").alias("n"))
-    pairs = words_of(counted, "line", keep=["n"])
+    counted = lines.select("line", token_count("line", whitespace).alias("n"))
+    pairs = words_of(counted, "line", keep=["n"], whitespace=whitespace)
     return pairs.groupBy("word").agg(
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("total")
     )

@@ -92,3 +92,28 @@ def test_sql_registered_token_counter(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, z string")
     got = [r.n for r in df.selectExpr("i", "zipCounter(z) AS n").orderBy("i").collect()]
     assert got == [0, 0, 0, 2, 2, 2, 3]
+
+
+def test_word_count_with_python_split_rules(spark):
+    import random
+    rng = random.Random(4)
+    alphabet = ["a", "b", " ", "\t", "\xa0", " ", "\x1c", "　", "\x85", "é", "​", "\n"]
+    vals = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 12))) for _ in range(800)]
+    df = spark.createDataFrame([(v,) for v in vals], "value string").repartition(3)
+    exp = Counter(w for v in vals for w in v.split())
+    assert dict(rows(text.word_count(df, whitespace="python"))) == dict(exp)
+    assert dict(rows(text.word_count(lines(spark, ["a\xa0b c"])))) == {"a\xa0b": 1, "c": 1}
+
+
+def test_line_length_sum_with_python_split_rules(spark):
+    import random
+    rng = random.Random(6)
+    alphabet = ["a", "b", "c", " ", "\xa0", " ", "\x1f", "é"]
+    vals = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 14))) for _ in range(600)]
+    exp = {}
+    for v in vals:
+        ws = v.split()
+        for w in ws:
+            exp[w] = exp.get(w, 0) + (len(ws) if len(ws) > 1 else 0)
+    df = spark.createDataFrame([(v,) for v in vals], "value string").repartition(3)
+    assert dict(rows(text.line_length_sum(df, whitespace="python"))) == exp
