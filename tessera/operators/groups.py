@@ -54,7 +54,8 @@ def avg_order_quantity(lines: DataFrame, customer: str = "customer", order: str
 
 def density_by_group(df: DataFrame, group: str, population: str,
                      units: str | Column | None = None, unit_text: str | None = None,
-                     dense: int = 500, super_dense: int = 1000) -> DataFrame:
+                     dense: int = 500, super_dense: int = 1000, rounding: str = "half_up",
+                     zero_units_dense: bool = False) -> DataFrame:
     """(group, avg_per_unit, dense, super_dense).
 
     ``avg_per_unit`` is round(sum population / sum units), half up, and 0
@@ -62,6 +63,11 @@ def density_by_group(df: DataFrame, group: str, population: str,
     population >= ``dense`` * units (likewise ``super_dense``). Rows with a
     null or blank group or null population are dropped. Units come from a
     column or are counted as whitespace tokens of ``unit_text``.
+
+    The job's versions disagree on two points, offered as options:
+    ``rounding="half_even"`` rounds like Python's ``round`` (the MapReduce
+    version), and ``zero_units_dense=True`` counts a row without units as
+    dense (population >= 0, the DataFrame version).
     """
     if (units is None) == (unit_text is None):
         raise ValueError("give exactly one of units, unit_text")
@@ -69,9 +75,12 @@ def density_by_group(df: DataFrame, group: str, population: str,
     pop = F.col(population).cast("long")
     rows = (df.filter(F.col(group).isNotNull() & (F.trim(F.col(group)) != "") & pop.isNotNull())
             .select(F.col(group), pop.alias("pop"), n.alias("n")))
-    has = F.col("n") > 0
+    has = F.lit(True) if zero_units_dense else F.col("n") > 0
+    if rounding not in ("half_up", "half_even"):
+        raise ValueError("rounding must be 'half_up' or 'half_even'")
+    rnd = F.round if rounding == "half_up" else F.bround
     return rows.groupBy(group).agg(
-        F.coalesce(F.round(F.try_divide(F.sum("pop").cast("double"), F.sum("n").cast("double"))),
+        F.coalesce(rnd(F.try_divide(F.sum("pop").cast("double"), F.sum("n").cast("double"))),
                    F.lit(0.0)).cast("long").alias("avg_per_unit"),
         F.count_if(has & (F.col("pop") >= F.col("n") * dense)).alias("dense"),
         F.count_if(has & (F.col("pop") >= F.col("n") * super_dense)).alias("super_dense"),

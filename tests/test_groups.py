@@ -129,3 +129,17 @@ def test_rollup_matches_naive_left_joins(spark):
 def test_group_size_histogram(spark):
     got = rows(groups.group_size_histogram(cities(spark), unit_text="zipcodes"))
     assert got == [(1, 2), (2, 1), (4, 1)]
+
+
+def test_density_version_options(spark):
+    df = spark.createDataFrame([("a", "S", "", "", 5, "1 2", ""),      # 5 / 2 = 2.5
+                                ("z", "T", "", "", 7, None, "")],      # no zips
+                               CITY_SCHEMA)
+    canon = dict((r[0], r[1:]) for r in rows(density(df)))
+    assert canon == {"S": (3, 0, 0), "T": (0, 0, 0)}
+    even = dict((r[0], r[1:]) for r in rows(groups.density_by_group(
+        df, group="state", population="population", unit_text="zipcodes", rounding="half_even")))
+    assert even["S"][0] == 2
+    dfv = dict((r[0], r[1:]) for r in rows(groups.density_by_group(
+        df, group="state", population="population", unit_text="zipcodes", zero_units_dense=True)))
+    assert dfv["T"] == (0, 1, 1)
