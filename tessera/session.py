@@ -1,7 +1,10 @@
-"""Session helpers for tests, the bench and command-line use.
+"""Session helpers.
 
-Library operators never call these: on a cluster the session comes from the
-caller, already configured.
+``local_session`` is for tests, the bench and the tools only: on a cluster
+the session comes from the caller, already configured, and operators never
+change its settings. ``cut_lineage`` (reliable checkpoints in the session's
+folder) and ``ship_package`` (code for Python workers) are used by the
+operators that need them.
 """
 
 from __future__ import annotations
