@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.tokens import PY_WHITESPACE_CLASS
+
 
 def read_lines(spark: SparkSession, path: str | list[str], with_path: bool = False) -> DataFrame:
     """``value`` per line of a text file, folder or glob; with ``with_path``
@@ -86,6 +88,9 @@ def parse_tsv(lines: DataFrame, schema: T.StructType | str, col: str = "value",
     - a line starting with ``header_prefix`` is a header and goes;
     - the field count must equal the schema's (``exact_fields``) or reach
       it; short lines always go, extra fields are ignored;
+    - with ``strip`` the line first loses its leading and trailing blanks as
+      Python's ``str.strip()`` does (tabs included, so a blank first field
+      disappears, as in the MapReduce version of the city job);
     - non-string fields go through ``try_cast`` (which trims blanks, so
       ``" 10"`` is 10);
     - a row whose ``required`` fields (default: every non-string field) are
@@ -94,7 +99,8 @@ def parse_tsv(lines: DataFrame, schema: T.StructType | str, col: str = "value",
     """
     st = _as_struct(schema)
     n = len(st.fields)
-    text = F.trim(F.col(col)) if strip else F.col(col)
+    ws = PY_WHITESPACE_CLASS
+    text = F.regexp_replace(F.col(col), f"^{ws}+|{ws}+$", "") if strip else F.col(col)
     parts = F.split(text, sep, -1)
     df = lines.select(F.col(col).alias("_line"), parts.alias("_p"))
     cond = (F.size("_p") == n) if exact_fields else (F.size("_p") >= n)

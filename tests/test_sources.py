@@ -176,3 +176,15 @@ def test_parse_tsv_matches_python_rules(spark):
     df = spark.createDataFrame([(v,) for v in lines], "value string").repartition(3)
     got = rows(parse_tsv(df, "a long, b string, c long", header_prefix="hdr"), "a", "b", "c")
     assert got == sorted(exp)
+
+
+def test_parse_tsv_strip_like_python(spark):
+    lines = spark.createDataFrame([("\tTX\tT\tC\t30\t1\tI",), ("C1\tTX\tT\tC\t40\t1\tI\t \n",),
+                                   ("  C2\tTX\tT\tC\t50\t1\t",)], "value string")
+    df = parse_tsv(lines, CITY_SCHEMA, strip=True)
+    exp = []
+    for v in [r.value for r in lines.collect()]:
+        parts = v.strip().split("\t")
+        if len(parts) == 7:
+            exp.append((parts[0], int(parts[4]), parts[6]))
+    assert rows(df, "city", "population", "id") == sorted(exp) == [("C1", 40, "I")]
