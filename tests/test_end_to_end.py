@@ -78,3 +78,17 @@ def test_tokens_match_python_on_random_text(spark):
     assert [got[i] for i in range(len(vals))] == exp_tokens
     exp_words = Counter(t for v in vals for t in split.split(v) if t)
     assert dict(rows(text.word_count(df))) == dict(exp_words)
+
+
+def test_csv_reader_dropmalformed(spark):
+    d = scratch()
+    lines = ["city\tstate\tstate_full\tcounty\tpopulation\tzipcodes\tid",
+             "A\tCA\tC\tX\t1000\t1 2\tI1",
+             "C\tCA\tC\tX\t10\t1",                   # short
+             "D\tCA\tC\tX\t10\t1\tI4\textra",        # long
+             "E\tCA\tC\tX\tbad\t1\tI5",              # unparsable population
+             "F\tNY\tN\tX\t700\t3\tI6"]
+    with open(os.path.join(d, "c.tsv"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    df = read_tsv(spark, os.path.join(d, "c.tsv"), CITY_SCHEMA, mode="DROPMALFORMED")
+    assert sorted(r.city for r in df.collect()) == ["A", "F"]
