@@ -55,7 +55,7 @@ def avg_order_quantity(lines: DataFrame, customer: str = "customer", order: str
 def density_by_group(df: DataFrame, group: str, population: str,
                      units: str | Column | None = None, unit_text: str | None = None,
                      dense: int = 500, super_dense: int = 1000, rounding: str = "half_up",
-                     zero_units_dense: bool = False) -> DataFrame:
+                     zero_units_dense: bool = False, drop_blank_groups: bool = True) -> DataFrame:
     """(group, avg_per_unit, dense, super_dense).
 
     ``avg_per_unit`` is round(sum population / sum units), half up, and 0
@@ -64,16 +64,20 @@ def density_by_group(df: DataFrame, group: str, population: str,
     null or blank group or null population are dropped. Units come from a
     column or are counted as whitespace tokens of ``unit_text``.
 
-    The job's versions disagree on two points, offered as options:
+    The job's versions disagree on three points, offered as options:
     ``rounding="half_even"`` rounds like Python's ``round`` (the MapReduce
-    version), and ``zero_units_dense=True`` counts a row without units as
-    dense (population >= 0, the DataFrame version).
+    version), ``zero_units_dense=True`` counts a row without units as dense
+    (population >= 0, the DataFrame version), and ``drop_blank_groups=False``
+    keeps a blank group as its own key (the RDD and MapReduce versions).
     """
     if (units is None) == (unit_text is None):
         raise ValueError("give exactly one of units, unit_text")
     n = token_count(unit_text) if unit_text is not None else _c(units).cast("long")
     pop = F.col(population).cast("long")
-    rows = (df.filter(F.col(group).isNotNull() & (F.trim(F.col(group)) != "") & pop.isNotNull())
+    keep = F.col(group).isNotNull() & pop.isNotNull()
+    if drop_blank_groups:
+        keep = keep & (F.trim(F.col(group)) != "")
+    rows = (df.filter(keep)
             .select(F.col(group), pop.alias("pop"), n.alias("n")))
     has = F.lit(True) if zero_units_dense else F.col("n") > 0
     if rounding not in ("half_up", "half_even"):

@@ -81,10 +81,14 @@ def _as_struct(schema: T.StructType | str) -> T.StructType:
 def parse_tsv(lines: DataFrame, schema: T.StructType | str, col: str = "value",
               sep: str = "\t", header_prefix: str | None = None,
               exact_fields: bool = True, strip: bool = False,
-              required: list[str] | None = None, on_error: str = "drop") -> DataFrame:
+              required: list[str] | None = None, on_error: str = "drop",
+              trailing_empty: bool = True) -> DataFrame:
     """Typed columns from separated lines, by the text jobs' rules.
 
-    - split with limit -1: trailing empty fields are kept;
+    - split with limit -1: trailing empty fields are kept (with
+      ``trailing_empty=False`` they are dropped, as Java's ``split`` does in
+      the RDD version of the city job, so a blank last field makes the line
+      too short);
     - a line starting with ``header_prefix`` is a header and goes;
     - the field count must equal the schema's (``exact_fields``) or reach
       it; short lines always go, extra fields are ignored;
@@ -101,6 +105,8 @@ def parse_tsv(lines: DataFrame, schema: T.StructType | str, col: str = "value",
     n = len(st.fields)
     ws = PY_WHITESPACE_CLASS
     text = F.regexp_replace(F.col(col), f"^{ws}+|{ws}+$", "") if strip else F.col(col)
+    if not trailing_empty:
+        text = F.regexp_replace(text, "(?:\\Q" + sep + "\\E)+\\z", "")
     parts = F.split(text, sep, -1)
     df = lines.select(F.col(col).alias("_line"), parts.alias("_p"))
     cond = (F.size("_p") == n) if exact_fields else (F.size("_p") >= n)

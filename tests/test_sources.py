@@ -188,3 +188,21 @@ def test_parse_tsv_strip_like_python(spark):
         if len(parts) == 7:
             exp.append((parts[0], int(parts[4]), parts[6]))
     assert rows(df, "city", "population", "id") == sorted(exp) == [("C1", 40, "I")]
+
+
+def test_parse_tsv_java_split_drops_trailing_empties(spark):
+    lines = spark.createDataFrame([("C8\tTX\tT\tC\t20\t1\t",), ("C9\tTX\tT\tC\t20\t1\tI",),
+                                   ("C7\tTX\tT\tC\t20\t\t",)], "value string")
+    keep = rows(parse_tsv(lines, CITY_SCHEMA), "city")
+    java = rows(parse_tsv(lines, CITY_SCHEMA, trailing_empty=False), "city")
+    assert keep == [("C7",), ("C8",), ("C9",)] and java == [("C9",)]
+
+
+def test_density_keeps_blank_group_when_asked(spark):
+    lines = spark.createDataFrame([("A\t\tS\tC\t1000\t1\tI",), ("B\tCA\tS\tC\t500\t1\tI",)], "value string")
+    df = parse_tsv(lines, CITY_SCHEMA)
+    assert [r.state for r in groups.density_by_group(df, "state", "population", unit_text="zipcodes")
+            .collect()] == ["CA"]
+    got = rows(groups.density_by_group(df, "state", "population", unit_text="zipcodes",
+                                       drop_blank_groups=False))
+    assert got == [("", 1000, 1, 1), ("CA", 500, 1, 0)]
