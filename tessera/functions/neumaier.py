@@ -23,17 +23,26 @@ def neumaier_add(acc: Column, x: Column) -> Column:
     return F.struct(t.alias("s"), (c + comp).alias("c"))
 
 
-def neumaier_fold(parts: Column) -> Column:
-    """Fold an array of ``struct<hi, lo>`` partial sums into one double.
-
-    The parts are sorted by magnitude first, so the result does not depend
-    on the order in which the shuffle delivered them."""
-    ordered = F.array_sort(parts, lambda l, r: F.when(F.abs(l["hi"]) < F.abs(r["hi"]), -1)
-                           .when(F.abs(l["hi"]) > F.abs(r["hi"]), 1)
-                           .when(l["hi"] < r["hi"], -1).when(l["hi"] > r["hi"], 1)
-                           .when(l["lo"] < r["lo"], -1).when(l["lo"] > r["lo"], 1)
-                           .otherwise(0))
+def _sorted_states(parts: Column) -> Column:
+    return F.array_sort(parts, lambda l, r: F.when(F.abs(l["hi"]) < F.abs(r["hi"]), -1)
+                        .when(F.abs(l["hi"]) > F.abs(r["hi"]), 1)
+                        .when(l["hi"] < r["hi"], -1).when(l["hi"] > r["hi"], 1)
+                        .when(l["lo"] < r["lo"], -1).when(l["lo"] > r["lo"], 1)
+                        .otherwise(0))
+
+
+def neumaier_state(parts: Column) -> Column:
+    """Fold an array of ``struct<hi, lo>`` partial sums into one such
+    struct (the running ``s`` and ``c``), to be folded again at the next
+    level. The parts are sorted by magnitude first, so the result does not
+    depend on the order in which the shuffle delivered them."""
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("c"))
-    return F.aggregate(ordered, zero,
+    return F.aggregate(_sorted_states(parts), zero,
                        lambda acc, p: neumaier_add(neumaier_add(acc, p["hi"]), p["lo"]),
-                       lambda acc: acc["s"] + acc["c"])
+                       lambda acc: F.struct(acc["s"].alias("hi"), acc["c"].alias("lo")))
+
+
+def neumaier_fold(parts: Column) -> Column:
+    """Fold an array of ``struct<hi, lo>`` partial sums into one double."""
+    st = neumaier_state(parts)
+    return st["hi"] + st["lo"]

@@ -9,9 +9,12 @@ a whole group into one task. Instead:
    are summed at once (Neumaier, vectorised over groups, one step per
    position); groups of ``SMALL_GROUP`` values or more get the exact
    ``math.fsum`` and its residual.
-2. ``groupBy(keys)``: gather the few partial states of each key (one per
-   input partition that held the key) and fold them with Neumaier's
-   compensated addition (:mod:`tessera.functions.neumaier`), JVM-side.
+2. ``groupBy``: fold the partial states of each key (one per input
+   partition that held the key) with Neumaier's compensated addition
+   (:mod:`tessera.functions.neumaier`), JVM-side, in two levels: first
+   within buckets of at most ``MERGE_FANOUT`` partitions, then the bucket
+   states, so no task folds more than about max(``MERGE_FANOUT``,
+   partitions / ``MERGE_FANOUT``) states, however many partitions there are.
 
 Each step is at least as exact as a sequential Neumaier loop, so
 ``[1.0, 1e100, 1.0, -1e100]`` gives 2.0 on any partitioning, and the Python
@@ -29,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.neumaier import neumaier_fold
+from tessera.functions.neumaier import neumaier_fold, neumaier_state
 from tessera.session import ship_package
 
 
 # Groups with fewer values than this are summed together, vectorised over
 # groups; larger ones one by one with math.fsum (at most rows / this many).
 SMALL_GROUP = 32
+# Partial states merged per task at the first level of the merge.
+MERGE_FANOUT = 1024
 
 
 def _double_double(values: np.ndarray) -> tuple[float, float]:
@@ -151,9 +156,18 @@ def compensated_sum(df: DataFrame, value: str, keys: Sequence[str] = (),
                            T.StructField("hi", T.DoubleType()), T.StructField("lo", T.DoubleType()),
                            T.StructField("n", T.LongType()), T.StructField("nan", T.BooleanType())])
     parts = src.mapInPandas(_partials(keys, value), schema)
-    aggs = [F.collect_list(F.when(F.col("n") > 0, F.struct("hi", "lo"))).alias("_parts"),
+    # Level 1: states of the same key from partitions in one bucket (the
+    # bucket follows the partition id, so a retry lands in the same bucket).
+    bucket = F.pmod(F.spark_partition_id(), F.lit(MERGE_FANOUT)).alias("_b")
+    states = F.collect_list(F.when(F.col("n") > 0, F.struct("hi", "lo"))).alias("_parts")
+    level1 = (parts.select(*keys, bucket, "hi", "lo", "n", "nan")
+              .groupBy(*keys, "_b")
+              .agg(states, F.sum("n").alias("n"), F.bool_or("nan").alias("nan"))
+              .select(*keys, neumaier_state(F.col("_parts")).alias("_st"), "n", "nan"))
+    # Level 2: the bucket states of each key.
+    aggs = [F.collect_list(F.when(F.col("n") > 0, F.col("_st"))).alias("_parts"),
             F.sum("n").alias("_n"), F.bool_or("nan").alias("_nan")]
-    grouped = parts.groupBy(*keys).agg(*aggs) if keys else parts.agg(*aggs)
+    grouped = level1.groupBy(*keys).agg(*aggs) if keys else level1.agg(*aggs)
     total = (F.when(F.coalesce(F.col("_n"), F.lit(0)) == 0, F.lit(None).cast("double"))
              .when(F.col("_nan"), F.lit(float("nan")))
              .otherwise(neumaier_fold(F.col("_parts"))))

@@ -63,3 +63,16 @@ def test_two_keys(spark):
                                "k1 string, k2 int, x double")
     got = {(r.k1, r.k2): r.total for r in compensated_sum(df, "x", ["k1", "k2"]).collect()}
     assert got == {("a", 1): math.fsum([0.1, 0.2]), ("a", 2): 0.3, (None, 1): 0.5}
+
+
+def test_two_level_merge_with_small_fanout(spark, monkeypatch):
+    from tessera.operators import numeric
+    monkeypatch.setattr(numeric, "MERGE_FANOUT", 2)
+    rng = random.Random(8)
+    data = [(rng.choice("AB"), rng.uniform(-1e8, 1e8)) for _ in range(3000)]
+    data += [("C", x) for x in F9] + [("N", None)]
+    df = spark.createDataFrame(data, "k string, x double").repartition(9)
+    got = {r.k: r.total for r in compensated_sum(df, "x", ["k"]).collect()}
+    for k in "AB":
+        assert got[k] == math.fsum(x for kk, x in data if kk == k)
+    assert got["C"] == 2.0 and got["N"] is None
