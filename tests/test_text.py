@@ -117,3 +117,14 @@ def test_line_length_sum_with_python_split_rules(spark):
             exp[w] = exp.get(w, 0) + (len(ws) if len(ws) > 1 else 0)
     df = spark.createDataFrame([(v,) for v in vals], "value string").repartition(3)
     assert dict(rows(text.line_length_sum(df, whitespace="python"))) == exp
+
+
+def test_long_lines(spark):
+    long_line = " ".join(f"w{i % 97}!" for i in range(60000)) + "\n" + " " * 50000 + "\n" + "\t".join(["x"] * 500)
+    df = spark.createDataFrame([(long_line,)], "value string")
+    exp_words = Counter(long_line.split(" \t\n") and [t for t in __import__("re").split(r"[ \t\n\x0b\f\r]+", long_line) if t])
+    assert dict(rows(text.word_count(df))) == dict(exp_words)
+    assert text.token_counts(df, "value").first()[0] == sum(exp_words.values())
+    pairs = text.char_pair_counts(df, split_lines=True)
+    exp_pairs = Counter(p for line in long_line.split("\n") for p in zip(line, line[1:]))
+    assert {(a, b): n for a, b, n in pairs.collect()} == dict(exp_pairs)
