@@ -5,6 +5,8 @@ from conftest import rows
 from tessera.operators import graph
 from tessera.sources.text import parse_edges
 
+# The toy edge list of the triangle job's fixture (FIXTURES.md F3),
+# duplicates and a self-edge included; it has 2 triangles.
 TOY = [("1", "2"), ("2", "1"), ("2", "3"), ("3", "2"), ("1", "3"), ("3", "1"), ("1", "4"),
        ("4", "1"), ("4", "3"), ("3", "4"), ("3", "5"), ("5", "3"), ("1", "3"), ("3", "1"),
        ("1", "1"), ("3", "5"), ("5", "3"), ("1", "3"), ("3", "1"), ("1", "4"), ("4", "1"),

@@ -4,6 +4,7 @@ from tessera.sources.text import parse_tsv
 
 CITY_SCHEMA = ("city string, state string, state_full string, county string, "
                "population bigint, zipcodes string, id string")
+# The city rows of the density fixture (FIXTURES.md F1).
 F1 = [
     ("City1", "CA", "California", "County1", 10000, "90001 90002", "ID1"),
     ("City2", "CA", "California", "County2", 5000, "90003", "ID2"),
@@ -48,6 +49,7 @@ def test_mean_and_max_golden(spark):
     assert got == [("CA", 7500.0, 2), ("NY", 75000.0, 4)]
 
 
+# Order lines of the order-average fixture (FIXTURES.md F2).
 F2 = ["InvoiceNo\tStockCode\tQuantity\tInvoiceDate\tCustomerID",
       "1\ta\t3\td\tc1", "1\tb\t2\td\tc1", "2\ta\t4\td\tc1", "3\ta\t9\td\tc2",
       "4\ta\t1\td\t", "5\ta\t2\td\t", "bad\t1"]
@@ -85,6 +87,7 @@ def test_bad_quantity_dropped_or_fails(spark):
         parse_tsv(lines, ORDER_SCHEMA, header_prefix="InvoiceNo", on_error="fail").collect()
 
 
+# The four-field input lines of the product-sum fixture (FIXTURES.md F6).
 F6 = ["1\tb\ta\t3", "2\ta\tc\t2", "3\ta\tc\t4", "3\tb\tc\t8", "1\td\td\t2", "0\td\te\t1",
       "0\td\te\t2", "5\tblank\tk\t3", "1\tb\ta\t3", "9\tj\tc\t2", "3\ta\tc\t4", ""]
 

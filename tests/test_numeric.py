@@ -4,6 +4,7 @@ import random
 from conftest import rows
 from tessera.operators.numeric import compensated_sum
 
+# The compensated-sum input vector (FIXTURES.md F9).
 F9 = [1.0, 1e100, 1.0, -1e100]
 
 

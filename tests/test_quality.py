@@ -1,6 +1,8 @@
 from conftest import rows
 from tessera.operators.quality import check_kv_lines
 
+# key/value lines and their expected reasons (FIXTURES.md F11,
+# extended with our own cases).
 F11 = [('"a"\t1', None), ("a\t1", "bad_key"), ('"a"', "no_tab"), ('"a"\t1\t2', "extra_tab"),
        ("", None), ("   \t ", None), ('"a"\tNaN', None), ('"k"\t1 2', "bad_value"),
        ('["a", 7]\t[1, {"x": null}]', None), ('{"a":1,"a":2}\t"v"', None), ("1\t", "bad_value"),

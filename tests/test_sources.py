@@ -8,6 +8,7 @@ from tessera.sources import parse_tsv, read_lines, read_tsv, write_csv, write_tu
 CITY_SCHEMA = ("city string, state string, state_full string, county string, "
                "population bigint, zipcodes string, id string")
 HEADER = "city\tstate\tstate_full\tcounty\tpopulation\tzipcodes\tid"
+# The density fixture as tab-separated lines (FIXTURES.md F1).
 F1_LINES = [HEADER,
             "City1\tCA\tCalifornia\tCounty1\t10000\t90001 90002\tID1",
             "City2\tCA\tCalifornia\tCounty2\t5000\t90003\tID2",

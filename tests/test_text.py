@@ -3,6 +3,8 @@ from collections import Counter
 from conftest import rows
 from tessera.operators import text
 
+# The word-count sample lines (FIXTURES.md F4) and the
+# conditional-sum input lines (FIXTURES.md F5).
 F4 = [" a  bbb \t  bbb cc   ddd", "cc bbb ddd", "ddd"]
 F4B = ["This is a test input", "This is line 2", "The end"]
 F5 = ["with great data come great", "responsibilities", "a data wall", "wall spring",
