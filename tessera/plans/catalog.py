@@ -17,7 +17,7 @@ from tessera.functions.hashing import stable_bucket
 from tessera.operators import graph, groups, numeric, quality, text
 from tessera.plans.inputs import (
     PART_LINK_EDGES_SQL, kv_lines, lineitem_tsv, order_line_tsv, order_lines,
-    part_link_edges, product_tsv, table,
+    part_link_edges, product_tsv, table, table_rows,
 )
 from tessera.sources.text import parse_edges, parse_tsv
 
@@ -86,12 +86,17 @@ def q_keyed_product_sum_tsv(spark, sf):
                                     factor="factor")
 
 
+def _order_lines(spark, sf, extra=()):
+    return order_lines(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"), extra,
+                       orders_rows=table_rows(spark, sf, "orders"))
+
+
 def q_order_totals(spark, sf):
-    return groups.order_totals(order_lines(_t(spark, sf, "lineitem"), _t(spark, sf, "orders")))
+    return groups.order_totals(_order_lines(spark, sf))
 
 
 def q_avg_order_quantity(spark, sf):
-    return groups.avg_order_quantity(order_lines(_t(spark, sf, "lineitem"), _t(spark, sf, "orders")))
+    return groups.avg_order_quantity(_order_lines(spark, sf))
 
 
 def q_avg_order_quantity_tsv(spark, sf):
@@ -123,7 +128,7 @@ def q_retail_key_two_sums(spark, sf):
 
 
 def q_ratio_by_pair(spark, sf):
-    lines = order_lines(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"), ("o_orderpriority",))
+    lines = _order_lines(spark, sf, ("o_orderpriority",))
     cust = _t(spark, sf, "customer").select(F.col("c_custkey").alias("customer"), "c_mktsegment")
     rows = lines.join(cust, "customer")
     return groups.ratio_by_pair(rows, "c_mktsegment", "o_orderpriority", "quantity")
@@ -134,7 +139,8 @@ def q_customer_order_item_rollup(spark, sf):
     return groups.customer_order_item_rollup(
         customers, orders, _t(spark, sf, "lineitem"),
         c_key="c_custkey", c_group="c_mktsegment", o_key="o_orderkey", o_cust="o_custkey",
-        i_order="l_orderkey", orders_rows=orders.count(), customers_rows=customers.count())
+        i_order="l_orderkey", orders_rows=table_rows(spark, sf, "orders"),
+        customers_rows=table_rows(spark, sf, "customer"))
 
 
 def q_group_size_histogram(spark, sf):
@@ -144,7 +150,7 @@ def q_group_size_histogram(spark, sf):
 # ---------------------------------------------------------------- graph
 
 def _edges(spark, sf):
-    return part_link_edges(_t(spark, sf, "lineitem"))
+    return part_link_edges(_t(spark, sf, "lineitem"), line_count=table_rows(spark, sf, "lineitem"))
 
 
 def q_parse_edges(spark, sf):

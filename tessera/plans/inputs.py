@@ -32,6 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str,
 
 
 _SPLITS: dict[tuple[str, str], int] = {}
+_ROWS: dict[tuple[str, str], int] = {}
+
+
+def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Row count of a test table (a metadata-driven scan), once per
+    application; used to prove that no key can be hot."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _ROWS:
+        _ROWS[key] = spark.read.parquet(path).count()
+    return _ROWS[key]
 
 
 def _scan_splits(spark: SparkSession, path: str) -> int | None:
