@@ -49,3 +49,14 @@ def test_list_keys_with_non_printable_strings(spark):
                                                           "abc1234", 1000003).alias("b")).collect()}
     for i, k in enumerate(keys):
         assert got[i] == py_bucket("abc1234", k, 1000003), (k, repr(k))
+
+
+def test_string_keys_any_unicode(spark):
+    import random
+    rng = random.Random(23)
+    pool = [chr(c) for c in list(range(0x20, 0x7f)) + [0xe9, 0x301, 0x4e2d, 0x1f600, 0x10348, 0xa0, 0x2028]]
+    keys = ["".join(rng.choice(pool) for _ in range(rng.randrange(0, 30))) for _ in range(400)]
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string")
+    got = {r.i: r.b for r in df.select("i", stable_bucket(F.col("k"), T.StringType(), "s@lt|x",
+                                                          2**31 - 1).alias("b")).collect()}
+    assert all(got[i] == py_bucket("s@lt|x", k, 2**31 - 1) for i, k in enumerate(keys))
