@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, quality_rules, secrets, sharding, token_counts
-from tessera.llm.common import documents
+from tessera.llm import langid, mixing, quality_rules, secrets, sharding, token_counts, toxicity
+from tessera.llm.common import documents, id_crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_subword_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    held = id_crc_mod("doc_id", 3) == 1
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.learn(docs.filter(~held), labels.filter(~held))
+    scored = toxicity.score(docs.withColumn("held_out", held), model, keep=("doc_id", "held_out"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.reshard(documents(spark, sf), new_shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -27,6 +36,14 @@ def op3_rule_ledger(spark: SparkSession, sf: str) -> DataFrame:
                           quality_rules.passes(policies["web"]).alias("kept"), "n_lines", "failed_bits")
 
 
+def op5_ppm_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
+    held = id_crc_mod("doc_id", 5) == 0
+    model = langid.train(docs.filter(~held))
+    return langid.identify(docs.select("doc_id", "text").withColumn("held_out", held), model,
+                           keep=("doc_id", "held_out"))
+
+
 def op7_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf)).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -41,8 +58,10 @@ def op10_sentencepiece_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_subword_toxicity": op1_subword_toxicity,
     "op2_flow_resharding": op2_flow_resharding,
     "op3_rule_ledger": op3_rule_ledger,
+    "op5_ppm_language": op5_ppm_language,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op9_randomness_battery": op9_randomness_battery,
     "op10_sentencepiece_counts": op10_sentencepiece_counts,
