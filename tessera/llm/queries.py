@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, mixing, quality_rules, secrets, sharding, token_counts, toxicity
+from tessera.llm import langid, mixing, packing, quality_rules, secrets, sharding, token_counts, toxicity
 from tessera.llm.common import documents, id_crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op3_rule_ledger(spark: SparkSession, sf: str) -> DataFrame:
                           quality_rules.passes(policies["web"]).alias("kept"), "n_lines", "failed_bits")
 
 
+def op4_pattern_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(documents(spark, sf), "byte_bpe_50k.json", end_id=2, capacity=1024)
+
+
 def op5_ppm_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf).select("doc_id", "text", "lang")
     held = id_crc_mod("doc_id", 5) == 0
@@ -61,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op1_subword_toxicity": op1_subword_toxicity,
     "op2_flow_resharding": op2_flow_resharding,
     "op3_rule_ledger": op3_rule_ledger,
+    "op4_pattern_packing": op4_pattern_packing,
     "op5_ppm_language": op5_ppm_language,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op9_randomness_battery": op9_randomness_battery,
