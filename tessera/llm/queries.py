@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, mixing, packing, quality_rules, secrets, sharding, token_counts, toxicity
+from tessera.llm import langid, mixing, near_dup, packing, quality_rules, secrets, sharding, token_counts, toxicity
 from tessera.llm.common import documents, id_crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op7_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_chosen_path_join(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf), words=4, percent=80)
+
+
 def op9_randomness_battery(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.find_secrets(documents(spark, sf))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op4_pattern_packing": op4_pattern_packing,
     "op5_ppm_language": op5_ppm_language,
     "op7_curriculum_mix": op7_curriculum_mix,
+    "op8_chosen_path_join": op8_chosen_path_join,
     "op9_randomness_battery": op9_randomness_battery,
     "op10_sentencepiece_counts": op10_sentencepiece_counts,
 }
