@@ -4,16 +4,18 @@ worker-side state, tokenizer paths."""
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 import uuid
 from collections.abc import Callable, Sequence
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, ship_package
 
 # Fixed value: a word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,14 +83,30 @@ def number_rows(df: DataFrame, groups: Sequence[str], keys: Sequence[str], out:
             .drop("_h", b, "_in", "_start", "_b2", *[f"_g{i}" for i in range(len(group_cols))]))
 
 
-def worker_state(key: Any, build: Callable[[], Any]) -> Any:
-    """One object per Python worker process and key (a loaded tokenizer, a
-    bounded cache), kept between the tasks of a reused worker."""
+def worker_state(key: Any, build: Callable[[], Any], most: int = 4) -> Any:
+    """One object per Python worker process and key (a loaded tokenizer or
+    model, a bounded cache), kept between the tasks of a reused worker; the
+    ``most`` used last stay."""
     holder = sys.modules.setdefault("_tessera_worker_state", types.ModuleType("_tessera_worker_state"))
     table = holder.__dict__.setdefault("table", {})
-    if key not in table:
-        table[key] = build()
-    return table[key]
+    value = table.pop(key) if key in table else build()
+    table[key] = value
+    while len(table) > most:
+        table.pop(next(iter(table)))
+    return value
+
+
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast an object of this package (its size bounded by the caller)
+    to Python workers that need not have the package: the returned function
+    gives it there, loaded once per worker."""
+    ship_package()
+    data, name = spark.sparkContext.broadcast(cloudpickle.dumps(value)), uuid.uuid4().hex
+
+    def load() -> Any:
+        return worker_state(("shared", name), lambda: pickle.loads(data.value))
+
+    return load
 
 
 def tokenizer_path(name: str) -> str:

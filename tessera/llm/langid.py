@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import ship_package
+from tessera.llm.common import share
+from tessera.llm.token_counts import slices_by_bytes
 
 UNKNOWN = "und"
 ORDER = 4
@@ -224,16 +225,14 @@ def identify(docs: DataFrame, model: PpmModel | None, text: str = "text", keep:
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     if model is None:
         return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    ship_package()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
+    shared = share(docs.sparkSession, model)  # bounded by the training sample
     schema = T.StructType([docs.schema[c] for c in keep] + [
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     names = list(keep)
 
     def run(batches):
         import pyarrow as pa
-        from tessera.llm.token_counts import slices_by_bytes
-        m = shared.value
+        m = shared()
         for b in batches:
             # Texts without a letter come as null: they cost nothing.
             sizes = b.column("_size").to_pylist()

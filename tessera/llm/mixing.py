@@ -81,11 +81,12 @@ def inverse_demand(done: Column, slope: Column) -> Column:
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
         weights: Sequence[int] = WEIGHTS, share: Fraction = Fraction(3, 2), cap: int = 2,
-        slopes: Sequence[float] = SLOPES) -> DataFrame:
-    """(key, size, source_size, target, taken, copies, positions) per row;
-    ``positions`` are the training positions of its copies."""
+        slopes: Sequence[float] = SLOPES, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, size, source_size, target, taken, copies, positions) per row,
+    plus the narrow columns of ``carry``; ``positions`` are the training
+    positions of its copies."""
     rows = materialize(docs.select(
-        F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size")), "mix-rows")
+        F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"), *carry), "mix-rows")
     targets = materialize(source_targets(
         rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "mix-targets")
     placed = number_rows(rows, ["source"], ["doc_id", "size"], "start", amount="size")
@@ -104,16 +105,19 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     return (j.withColumn("copies", copies).withColumn("slope", slope)
             .select(F.col("doc_id").alias(key), "source", "size", "source_size", "target",
                     (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies",
-                    at.alias("positions")))
+                    at.alias("positions"), *carry))
 
 
 def curriculum(docs: DataFrame, key: str = "doc_id", position: str = "position", **options) -> DataFrame:
     """The mix itself: every row of ``docs`` once per copy, with its training
-    position, range-sorted by position (all columns kept; unique keys).
-    A clash with a column called like ``position`` is an error."""
-    if position in docs.columns:
-        raise ValueError(f"column {position} exists; name another")
-    plan = mix(docs, key=key, **options).filter("copies > 0").select(
-        F.col(key).alias("_k"), F.explode("positions").alias(position))
-    out = docs.join(plan, F.col(key).eqNullSafe(F.col("_k"))).drop("_k")
+    position, range-sorted by position (all columns kept). Rows equal in all
+    columns are stored once and meet the copies of each. A column called
+    like ``position`` is an error."""
+    if {position, "_row"} & set(docs.columns):
+        raise ValueError(f"columns {position} and _row are used; rename them")
+    rows = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    plan = mix(rows, key=key, carry=("_row",), **options).filter("copies > 0").select(
+        F.col(key).alias("_k"), F.col("_row").alias("_r"), F.explode("positions").alias(position))
+    same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r"))
+    out = rows.dropDuplicates([key, "_row"]).join(plan, same).drop("_k", "_r", "_row")
     return out.repartitionByRange(F.col(position), F.col(key)).sortWithinPartitions(position, key)

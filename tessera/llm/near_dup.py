@@ -40,6 +40,8 @@ result; extra columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,12 +64,15 @@ def shingles(text: Column, words: int) -> Column:
                                      lambda i: F.xxhash64(*[w[i + k] for k in range(words)])))))[0]
 
 
-def sketches(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
+def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[str] = ()) -> DataFrame:
     """(id, n, digest, sketch): set size, digest of the sorted set, and
-    ``SKETCH`` minwise values of 32 bits (null for an empty set)."""
+    ``SKETCH`` minwise values of 32 bits (null for an empty set), plus the
+    columns of ``carry``."""
     ship_package()
+    carry = list(carry)
     schema = T.StructType([T.StructField("id", docs.schema[key].dataType), T.StructField("n", T.LongType()),
-                           T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.IntegerType()))])
+                           T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.IntegerType())),
+                           *[docs.schema[c] for c in carry]])
 
     def run(batches):
         import hashlib
@@ -101,9 +106,11 @@ def sketches(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
                 mins.append((low >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(mins, pa.list_(pa.int32()))], names=["id", "n", "digest", "sketch"])
+                 pa.array(mins, pa.list_(pa.int32())), *[b.column(c) for c in carry]],
+                names=["id", "n", "digest", "sketch", *carry])
 
-    return docs.select(F.col(key).alias("id"), shingles(F.col(text), words).alias("set")).mapInArrow(run, schema)
+    rows = docs.select(F.col(key).alias("id"), shingles(F.col(text), words).alias("set"), *carry)
+    return rows.mapInArrow(run, schema)
 
 
 def _children(rows: DataFrame, extra: float) -> DataFrame:
@@ -205,10 +212,11 @@ class _Links:
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80,
                     trees: int = 16, small: int = 24, levels: int = 6, pivot_level: int = 2,
-                    pivots: int = 8) -> DataFrame:
-    """(key, n_shingles, component_id, kept) per row of ``docs``."""
+                    pivots: int = 8, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, n_shingles, component_id, kept) per row of ``docs``, plus the
+    narrow columns of ``carry``."""
     # Rows without an id or a set are answered as they are.
-    table = materialize(sketches(docs, text, key, words), "dup-sketch")
+    table = materialize(sketches(docs, text, key, words, carry), "dup-sketch")
     whole = table.filter("id IS NOT NULL AND n > 0")
     classes = materialize(whole.groupBy("n", "digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")),
                           "dup-classes")
@@ -241,7 +249,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
         level = many.join(sketch.select("id", "sketch"), "id")
     if found is not None:
         links.add(found)
-    return _answer(table, classes, links.groups, key)
+    return _answer(table, classes, links.groups, key, carry)
 
 
 def _pivot_pairs(many: DataFrame, pivots: int) -> DataFrame:
@@ -279,13 +287,15 @@ def _across(many: DataFrame, groups: DataFrame | None) -> DataFrame:
             .select(F.col("id").alias("a"), "b"))
 
 
-def _answer(table: DataFrame, classes: DataFrame, groups: DataFrame | None, key: str) -> DataFrame:
+def _answer(table: DataFrame, classes: DataFrame, groups: DataFrame | None, key: str,
+            carry: Sequence[str] = ()) -> DataFrame:
     """Every row's component: of its class's smallest id, if linked."""
     rep = classes.filter("copies > 1").select(F.col("n").alias("n2"), F.col("digest").alias("d2"), "rep")
-    rows = table.select("id", "n", "digest").join(rep, (F.col("n") == F.col("n2")) & (F.col("digest") == F.col("d2")), "left")
+    same = (F.col("n") == F.col("n2")) & (F.col("digest") == F.col("d2"))
+    rows = table.select("id", "n", "digest", *carry).join(rep, same, "left")
     rows = rows.withColumn("rep", F.coalesce("rep", "id"))
     if groups is not None:
         g = groups.select(F.col("node").alias("rep"), "component")
         rows = rows.join(g, "rep", "left").withColumn("rep", F.coalesce("component", "rep"))
     return rows.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"),
-                       (F.col("id").eqNullSafe(F.col("rep"))).alias("kept"))
+                       F.col("id").eqNullSafe(F.col("rep")).alias("kept"), *carry)

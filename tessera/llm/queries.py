@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, mixing, near_dup, packing, quality_rules, secrets, sharding, token_counts, toxicity
+from tessera.llm import embed_dedup, langid, mixing, near_dup, packing, quality_rules, secrets, sharding, token_counts, toxicity
 from tessera.llm.common import documents, id_crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,7 @@ def op1_subword_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
-    placed = sharding.reshard(documents(spark, sf), new_shards=8)
+    placed, _ = sharding.reshard(documents(spark, sf), new_shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
@@ -48,6 +48,11 @@ def op5_ppm_language(spark: SparkSession, sf: str) -> DataFrame:
                            keep=("doc_id", "held_out"))
 
 
+def op6_subspace_pigeonhole(spark: SparkSession, sf: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
+    return embed_dedup.near_duplicates(table, least=0.9)
+
+
 def op7_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf)).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op3_rule_ledger": op3_rule_ledger,
     "op4_pattern_packing": op4_pattern_packing,
     "op5_ppm_language": op5_ppm_language,
+    "op6_subspace_pigeonhole": op6_subspace_pigeonhole,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_randomness_battery": op9_randomness_battery,

@@ -21,10 +21,12 @@ read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
 from collections import deque
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, number_rows, utf8_bytes, utf8_crc32
@@ -107,7 +109,6 @@ def assign_blocks(blocks: Sequence[tuple[int, int]], flow: Sequence[Sequence[int
     mine: list[list[tuple[int, int]]] = [[] for _ in range(n_new)]
     for k in reversed(order):
         mine[shard[k]].append((blocks[k][1], k))
-    from bisect import bisect_right, insort
     for _ in range(4 * len(blocks)):
         over = max(range(n_new), key=lambda j: (held[j] - capacity[j], -j))
         under = min(range(n_new), key=lambda j: (held[j] - capacity[j], j))
@@ -130,17 +131,43 @@ def equal_capacities(total: int, shards: int) -> list[int]:
     return [total // shards + (j < total % shards) for j in range(shards)]
 
 
+@dataclass(frozen=True)
+class ReshardPlan:
+    """Where each block (part -1) or part of a divided block was and goes:
+    (block, part, old shard, new shard)."""
+
+    moves: tuple[tuple[int, int, int, int], ...]
+    blocks: int
+    parts: int
+
+    @property
+    def divided(self) -> list[int]:
+        return sorted({b for b, p, _, _ in self.moves if p >= 0})
+
+    @property
+    def affected(self) -> list[int]:
+        """Shards whose content changes."""
+        return sorted({x for _, _, old, new in self.moves if old != new for x in (old, new)})
+
+
+def unit_columns(text: str, key: str, blocks: int) -> tuple[Column, Column]:
+    """A row's block (by its text) and the hash that parts a divided block."""
+    h = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return F.pmod(h, F.lit(blocks)).cast("int"), F.xxhash64(F.col(key), h)
+
+
 def plan_moves(rows: DataFrame, new_shards: int, old_shards: int, blocks: int,
-               parts: int = 64, capacities: Sequence[int] | None = None) -> list[tuple[int, int, int, int]]:
-    """(block, part, old shard, new shard) for rows with ``block``, ``key``
-    and ``size``; part is -1 for a block that moves whole."""
+               parts: int = 64, capacities: Sequence[int] | None = None) -> ReshardPlan:
+    """The plan for rows with ``block``, ``key`` and ``size``. The driver
+    gets one row per block, and ``parts`` rows per divided block."""
     sizes = {r["block"]: r["bytes"] for r in
              rows.groupBy("block").agg(F.sum("size").alias("bytes")).collect()}  # at most `blocks` rows
     capacity = list(capacities) if capacities else equal_capacities(sum(sizes.values()), new_shards)
-    large = [b for b, s in sizes.items() if s > min(capacity)]  # fewer than the new shards, plus ties
-    units = [(b, -1, s) for b, s in sizes.items() if b not in set(large)]
+    large = {b for b, s in sizes.items() if s > min(capacity)}  # few: each holds a shard's bytes
+    units = [(b, -1, s) for b, s in sizes.items() if b not in large]
     if large:
-        divided = (rows.filter(F.col("block").isin(large)).withColumn("part", F.pmod(F.col("key"), F.lit(parts)))
+        divided = (rows.filter(F.col("block").isin(sorted(large)))
+                   .withColumn("part", F.pmod(F.col("key"), F.lit(parts)).cast("int"))
                    .groupBy("block", "part").agg(F.sum("size").alias("bytes")))
         units += [(r["block"], r["part"], r["bytes"]) for r in divided.collect()]
     units.sort()
@@ -150,43 +177,50 @@ def plan_moves(rows: DataFrame, new_shards: int, old_shards: int, blocks: int,
         supply[o] += s
     flow = min_cost_flow(supply, capacity)
     new = assign_blocks([(o, s) for o, (_, _, s) in zip(old, units)], flow, capacity)
-    return [(b, p, o, j) for (b, p, _), o, j in zip(units, old, new)]
+    return ReshardPlan(tuple((b, p, o, j) for (b, p, _), o, j in zip(units, old, new)), blocks, parts)
+
+
+def with_shards(rows: DataFrame, plan: ReshardPlan, block: Column, key: Column) -> DataFrame:
+    """``rows`` plus ``old_shard`` and ``shard``, by a broadcast of the plan
+    (bounded: one row per block or part of a divided block)."""
+    table = rows.sparkSession.createDataFrame(list(plan.moves), "_block int, _part int, old_shard int, shard int")
+    part = F.lit(-1)
+    if plan.divided:
+        part = F.when(block.isin(plan.divided), F.pmod(key, F.lit(plan.parts))).otherwise(-1).cast("int")
+    where = rows.join(F.broadcast(table), (block == F.col("_block")) & (part == F.col("_part")))
+    return where.drop("_block", "_part")
 
 
 def reshard(docs: DataFrame, new_shards: int = 8, old_shards: int = 6, text: str = "text", key: str = "doc_id",
-            blocks: int = 8192, parts: int = 64, capacities: Sequence[int] | None = None) -> DataFrame:
-    """(key, size, text_crc32, old_shard, shard, slot) per row. The old
-    layout deals ranges of the text hash to ``old_shards`` equal parts; the
+            blocks: int = 8192, parts: int = 64,
+            capacities: Sequence[int] | None = None) -> tuple[DataFrame, ReshardPlan]:
+    """(key, size, text_crc32, old_shard, shard, slot) per row, and the plan.
+    The old layout deals ranges of the text hash to ``old_shards`` parts; the
     new shards get equal shares of all bytes, or ``capacities``."""
-    spark = docs.sparkSession
-    h = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    block, unit = unit_columns(text, key, blocks)
     rows = materialize(docs.select(
         F.col(key).alias("doc_id"), (utf8_bytes(text) + 1).alias("size"), utf8_crc32(text).alias("text_crc32"),
-        F.pmod(h, F.lit(blocks)).cast("int").alias("block"),
-        F.xxhash64(F.col(key), h).alias("key")), "reshard-rows")
-    moves = plan_moves(rows, new_shards, old_shards, blocks, parts, capacities)
-    table = spark.createDataFrame(moves, "to_block int, to_part int, old_shard int, shard int")
-    divided = sorted({b for b, p, _, _ in moves if p >= 0})
-    part = F.when(F.col("block").isin(divided), F.pmod(F.col("key"), F.lit(parts))).otherwise(-1).cast("int") \
-        if divided else F.lit(-1)
-    placed = rows.withColumn("part", part).join(
-        F.broadcast(table),  # bounded: one row per block or part of a divided block
-        (F.col("block") == F.col("to_block")) & (F.col("part") == F.col("to_part")))
+        block.alias("block"), unit.alias("key")), "reshard-rows")
+    plan = plan_moves(rows, new_shards, old_shards, blocks, parts, capacities)
+    placed = with_shards(rows, plan, F.col("block"), F.col("key"))
     placed = placed.select("doc_id", "size", "text_crc32", "old_shard", "shard")
     out = number_rows(placed, ["shard"], ["doc_id", "text_crc32", "size"], "slot")
-    return out.select(F.col("doc_id").alias(key), "size", "text_crc32", "old_shard", "shard", "slot")
+    return out.select(F.col("doc_id").alias(key), "size", "text_crc32", "old_shard", "shard", "slot"), plan
 
 
-def rewrite_layout(docs: DataFrame, assignment: DataFrame, out_dir: str, key: str = "doc_id",
+def rewrite_layout(docs: DataFrame, plan: ReshardPlan, out_dir: str, text: str = "text", key: str = "doc_id",
                    files_per_shard: int = 8) -> list[int]:
     """Write the shards whose content changes under ``out_dir/shard=N`` (all
-    columns of ``docs``; unique keys) and return their numbers. A shard that
-    keeps exactly its rows is left out: its old files stay valid."""
-    moved = assignment.filter("old_shard <> shard")
-    touched = sorted({r[0] for r in moved.select(F.explode(F.array("old_shard", "shard"))).distinct().collect()})
-    where = assignment.filter(F.col("shard").isin(touched)).select(F.col(key).alias("_k"), "shard", "slot")
-    rows = docs.join(where, F.col(key).eqNullSafe(F.col("_k"))).drop("_k")
-    n = max(1, len(touched)) * files_per_shard
-    (rows.repartition(n, "shard", F.pmod(F.xxhash64("slot"), F.lit(files_per_shard)))
-     .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(out_dir))
-    return touched
+    columns of ``docs``, which must not be called ``old_shard`` or ``shard``)
+    and return their numbers. A shard that keeps exactly its rows is left
+    out: its old files stay valid. A row's shard follows from the row, so
+    nothing is joined but the plan."""
+    clash = {"old_shard", "shard"} & set(docs.columns)
+    if clash:
+        raise ValueError(f"columns clash with the layout: {sorted(clash)}")
+    block, unit = unit_columns(text, key, plan.blocks)
+    rows = with_shards(docs, plan, block, unit).filter(F.col("shard").isin(plan.affected)).drop("old_shard")
+    n = max(1, len(plan.affected)) * files_per_shard
+    (rows.repartition(n, "shard", F.pmod(unit, F.lit(files_per_shard)))
+     .write.partitionBy("shard").parquet(out_dir))
+    return plan.affected

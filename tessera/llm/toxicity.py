@@ -33,10 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import ship_package
-
-from tessera.llm.common import TwoTierCache, worker_state
+from tessera.llm.common import TwoTierCache, share, worker_state
 from tessera.llm.langid import sample_per_class
+from tessera.llm.token_counts import slices_by_bytes
 
 WINDOW = 6
 SHORT = 48
@@ -270,15 +269,13 @@ def score(docs: DataFrame, model: SubwordModel | None, text: str = "text", keep:
     """``keep`` plus ``score`` and ``predicted``; one map stage, no shuffle."""
     if model is None:
         return docs.select(*keep, F.lit(0.5).alias("score"), F.lit(0).alias("predicted"))
-    ship_package()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
+    shared = share(docs.sparkSession, model)  # bounded by the training sample
     names, model_id = list(keep), uuid.uuid4().hex
     schema = T.StructType([docs.schema[c] for c in names] + [T.StructField("score", T.DoubleType())])
 
     def run(batches):
         import pyarrow as pa
-        from tessera.llm.token_counts import slices_by_bytes
-        m = shared.value
+        m = shared()
         cache = worker_state(("toxic", model_id), lambda: TwoTierCache(cache_size))
         for b in batches:
             out: list[float] = []
