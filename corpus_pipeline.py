@@ -13,39 +13,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import langid, mixing, near_dup, packing, secrets
-from tessera.llm.common import documents, id_crc_mod, materialize
+from tessera.llm.common import documents, id_crc_mod, materialize, packed
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no letter, or no language that
     holds half the weight."""
     model = langid.train(docs.filter(id_crc_mod("doc_id", 5) != 0))
-    seen = langid.identify(docs, model, keep=tuple(docs.columns))
-    return seen.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= 0.5)).select(*docs.columns)
+    seen = langid.identified(docs, model)
+    return seen.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= 0.5)).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays (five-word
     shingles, similarity 0.8): the one with the smallest id."""
-    docs = docs.withColumn("_text", F.xxhash64("text"))
-    judged = near_dup.near_duplicates(docs, words=5, percent=80, carry=("_text",))
-    gone = judged.filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_t")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t"))
-    return docs.join(gone, same, "left_anti").dropDuplicates(["doc_id", "_text"]).drop("_text")
+    rows = packed(docs, F.col("doc_id"), F.xxhash64("text").alias("hash"))
+    judged = near_dup.near_duplicates(docs.select("doc_id", "text", F.xxhash64("text").alias("hash")),
+                                      words=5, percent=80, carry=("hash",))
+    gone = judged.filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    return rows.join(gone, same, "left_anti").dropDuplicates(["doc_id", "hash"]).select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts are masked; no document goes, and texts without a
     secret keep their length and content."""
-    masked = secrets.redact(docs.withColumn("_before", F.xxhash64("text")))
-    changed = ~F.xxhash64("text").eqNullSafe(F.col("_before"))
-    return (masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-            .select(*docs.columns))
+    masked = secrets.redact(packed(docs, F.col("text")))
+    changed = ~F.col("text").eqNullSafe(F.col("row.text"))
+    fresh = {"text": F.col("text"),
+             "n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
+    return masked.select(*[fresh.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
-    return mixing.curriculum(docs, position="_position").select(*docs.columns)
+    return mixing.ordered_mix(docs).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, *columns: Column) -> DataFrame:
+    """``row`` (all columns of ``df`` as one struct) plus ``columns``: the
+    operator's own columns then cannot clash with those of ``df``."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *columns)
+
+
+def unpacked(names: Sequence[str], outputs: Sequence[str] = ()) -> list[Column]:
+    """The fields of ``row``, less those called like an output."""
+    taken = {c.lower() for c in outputs}
+    return [F.col("row")[c].alias(c) for c in names if c.lower() not in taken]
+
+
 def utf8_bytes(text: str | Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 

@@ -20,7 +20,8 @@ Defined results: a null text, or one without a letter, is ``und`` with score
 0; so is everything if no row can be learned from. The score is the share of
 the winner when languages are weighted by 2^-(bits). Equal code lengths go
 to the language that sorts first. Repeated rows get equal results; extra
-columns are kept or ignored as named; an empty table gives an empty result.
+columns are kept, those called like an output replaced; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import share
+from tessera.llm.common import packed, share, unpacked
 from tessera.llm.token_counts import slices_by_bytes
 
 UNKNOWN = "und"
@@ -219,34 +220,40 @@ def train(learn: DataFrame, key: str = "doc_id", docs_per_lang: int = 200, max_c
     return PpmModel.train({k: sorted(v) for k, v in texts.items()}) if texts else None
 
 
-def identify(docs: DataFrame, model: PpmModel | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-             batch_bytes: int = 4 << 20) -> DataFrame:
-    """``keep`` plus ``lang_pred`` and ``score``; one map stage."""
+def identified(docs: DataFrame, model: PpmModel | None, text: str = "text",
+               batch_bytes: int = 4 << 20) -> DataFrame:
+    """(row, lang_pred, score) per row of ``docs``; one map stage."""
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     if model is None:
-        return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = share(docs.sparkSession, model)  # bounded by the training sample
-    schema = T.StructType([docs.schema[c] for c in keep] + [
-        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    names = list(keep)
+        return packed(docs, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    load = share(docs.sparkSession, model)  # bounded by the training sample
+    # Texts without a letter get size 0 and cost nothing.
+    rows = packed(docs, F.when(letters, F.octet_length(text)).otherwise(0).alias("size"))
+    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
 
     def run(batches):
         import pyarrow as pa
-        m = shared()
+        m = load()
         for b in batches:
-            # Texts without a letter come as null: they cost nothing.
-            sizes = b.column("_size").to_pylist()
+            sizes = b.column("size").to_pylist()
+            texts = b.column("row").field(text)
             langs: list[str] = []
             scores: list[float] = []
             for lo, hi in slices_by_bytes(sizes, batch_bytes):
-                texts = b.column("_text").slice(lo, hi - lo).to_pylist()
-                lang, score = m.predict(texts)
-                langs += [UNKNOWN if t is None else x for t, x in zip(texts, lang)]
-                scores += [0.0 if t is None else s for t, s in zip(texts, score)]
+                some = sizes[lo:hi]
+                lang, score = m.predict([t if n else None for t, n in zip(texts.slice(lo, hi - lo).to_pylist(), some)])
+                langs += [x if n else UNKNOWN for x, n in zip(lang, some)]
+                scores += [x if n else 0.0 for x, n in zip(score, some)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in names] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*names, "lang_pred", "score"])
+                [b.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                names=["row", "lang_pred", "score"])
 
-    rows = docs.select(*keep, F.when(letters, F.col(text)).alias("_text"),
-                       F.when(letters, F.octet_length(text)).otherwise(0).alias("_size"))
     return rows.mapInArrow(run, schema)
+
+
+def identify(docs: DataFrame, model: PpmModel | None, text: str = "text") -> DataFrame:
+    """``docs`` plus ``lang_pred`` and ``score`` (in place of columns so
+    called)."""
+    out = ("lang_pred", "score")
+    return identified(docs, model, text).select(*unpacked(docs.columns, out), *out)

@@ -18,8 +18,8 @@ half a document of the target.
 
 Defined results: a null or blank text has size 0 and takes 0 words; sources
 of size 0 have target 0; equal rows are interchangeable; extra columns are
-kept by :func:`curriculum` and not read otherwise; an empty table gives an
-empty result. The table of sources is combined map-side and joined, never
+kept by :func:`curriculum` (one called like the position is replaced) and
+not read otherwise; an empty table gives an empty result. The table of sources is combined map-side and joined, never
 collected; the sharing runs as one window aggregate over it.
 """
 
@@ -31,7 +31,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, materialize, number_rows
+from tessera.llm.common import WORD, materialize, number_rows, packed, unpacked
 
 WEIGHTS = (3, 1, 2)
 SLOPES = (-0.5, 0.0, 0.5)
@@ -108,16 +108,23 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
                     at.alias("positions"), *carry))
 
 
-def curriculum(docs: DataFrame, key: str = "doc_id", position: str = "position", **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` once per copy, with its training
-    position, range-sorted by position (all columns kept). Rows equal in all
-    columns are stored once and meet the copies of each. A column called
-    like ``position`` is an error."""
-    if {position, "_row"} & set(docs.columns):
-        raise ValueError(f"columns {position} and _row are used; rename them")
-    rows = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    plan = mix(rows, key=key, carry=("_row",), **options).filter("copies > 0").select(
-        F.col(key).alias("_k"), F.col("_row").alias("_r"), F.explode("positions").alias(position))
-    same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r"))
-    out = rows.dropDuplicates([key, "_row"]).join(plan, same).drop("_k", "_r", "_row")
-    return out.repartitionByRange(F.col(position), F.col(key)).sortWithinPartitions(position, key)
+def ordered_mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+                **options) -> DataFrame:
+    """(row, position): every row of ``docs``, as a struct, once per copy,
+    range-sorted by training position. Rows equal in all columns are stored
+    once and meet the copies of each."""
+    rows = packed(docs, *[F.col(c).alias(c) for c in (key, text, source)])
+    rows = rows.withColumn("_row", F.xxhash64("row"))
+    plan = mix(rows, key=key, text=text, source=source, carry=("_row",), **options).filter("copies > 0").select(
+        F.col(key).alias("_k"), F.col("_row").alias("_r"), F.explode("positions").alias("position"))
+    once = rows.select("row", F.col(key).alias("_id"), "_row").dropDuplicates(["_id", "_row"])
+    out = once.join(plan, F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r")))
+    return (out.select("row", "position", "_id").repartitionByRange("position", "_id")
+            .sortWithinPartitions("position", "_id").drop("_id"))
+
+
+def curriculum(docs: DataFrame, position: str = "position", **options) -> DataFrame:
+    """The mix itself: ``docs`` once per copy plus the training position (in
+    place of a column so called), sorted by it."""
+    out = ordered_mix(docs, **options)
+    return out.select(*unpacked(docs.columns, (position,)), F.col("position").alias(position))

@@ -15,12 +15,13 @@ text (a text of a million words meets a chance of 3e-8 of one collision).
 
 Defined results: a null text has no words and fails the base rules; so does
 an empty one; documents are judged one by one, so ties and repeated rows
-change nothing; extra columns pass untouched unless named like an output of
-the ledger (an error); an empty table gives an empty ledger.
+change nothing; extra columns are kept as named, those called like an output
+replaced; an empty table gives an empty ledger.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -69,11 +70,11 @@ POLICIES = {p.name: p for p in (
 )}
 
 
-def _text_arrays(docs: DataFrame, text: str) -> DataFrame:
-    t = F.coalesce(F.col(text), F.lit(""))
-    blank = F.lit(SPACE)
-    lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.regexp_replace(x, blank, F.lit(""))) > 0)
-    return (docs.withColumn("_words", F.regexp_extract_all(t, F.lit(WORD), F.lit(0)))
+def _text_arrays(rows: DataFrame) -> DataFrame:
+    """From ``_text``, the words, the lines with a word, and two counts."""
+    t = F.col("_text")
+    lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.regexp_replace(x, F.lit(SPACE), F.lit(""))) > 0)
+    return (rows.withColumn("_words", F.regexp_extract_all(t, F.lit(WORD), F.lit(0)))
             .withColumn("_lines", lines)
             .withColumn("word_chars", F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long"))
             .withColumn("n_symbols", (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long")))
@@ -108,22 +109,22 @@ def _covered(starts: Column) -> Column:
         lambda a: a["n"]), F.lit(0)).cast("long")
 
 
-def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without its text, plus the measurements and ``failed_bits``."""
-    clash = set(docs.columns) & {*MEASURES, "failed_bits"}
-    if clash:
-        raise ValueError(f"columns clash with the ledger: {sorted(clash)}")
-    d = _repeated_positions(_windows(_text_arrays(docs, text)))
+def ledger(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``keep`` (less columns called like an output), the measurements and
+    ``failed_bits`` per row of ``docs``; one stage, no shuffle."""
+    kept = [c for c in keep if c not in (*MEASURES, "failed_bits")]
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *kept).alias("_keep"),
+                       F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    d = _repeated_positions(_windows(_text_arrays(rows)))
     measured = (d.withColumn("n_words", F.size("_words").cast("long"))
                 .withColumn("n_lines", F.size("_lines").cast("long"))
                 .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
                 .withColumn("n_repeat_words", _covered(F.col("_starts")))
-                .drop("_words", "_lines", "_hash", "_pairs", "_starts"))
+                .select("_keep", *MEASURES))
     bits = F.lit(0).cast("long")
     for k, condition in enumerate(RULES.values()):
         bits = bits.bitwiseOR(F.when(F.expr(condition), F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
-    keep = [c for c in docs.columns if c != text]
-    return measured.select(*keep, *MEASURES, bits.alias("failed_bits"))
+    return measured.select(*[F.col("_keep")[c].alias(c) for c in kept], *MEASURES, bits.alias("failed_bits"))
 
 
 def passes(policy: Policy) -> Column:

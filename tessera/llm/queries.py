@@ -18,8 +18,7 @@ def op1_subword_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     held = id_crc_mod("doc_id", 3) == 1
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.learn(docs.filter(~held), labels.filter(~held))
-    scored = toxicity.score(docs.withColumn("held_out", held), model, keep=("doc_id", "held_out"))
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    return toxicity.scored(docs.withColumn("held_out", held), model).select("doc_id", "held_out", "score", "predicted")
 
 
 def op2_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,7 +28,7 @@ def op2_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_rule_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    entries = quality_rules.ledger(documents(spark, sf).select("doc_id", "text"))
+    entries = quality_rules.ledger(documents(spark, sf))
     policies = quality_rules.POLICIES
     return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                           (~quality_rules.passes(policies["base"])).alias("base_failed"),
@@ -44,8 +43,7 @@ def op5_ppm_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf).select("doc_id", "text", "lang")
     held = id_crc_mod("doc_id", 5) == 0
     model = langid.train(docs.filter(~held))
-    return langid.identify(docs.select("doc_id", "text").withColumn("held_out", held), model,
-                           keep=("doc_id", "held_out"))
+    return langid.identify(docs.select("doc_id", "text", held.alias("held_out")), model).drop("text")
 
 
 def op6_subspace_pigeonhole(spark: SparkSession, sf: str) -> DataFrame:

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, number_rows, utf8_bytes, utf8_crc32
+from tessera.llm.common import materialize, number_rows, packed, unpacked, utf8_bytes, utf8_crc32
 
 
 def min_cost_flow(supply: Sequence[int], capacity: Sequence[int]) -> list[list[int]]:
@@ -211,16 +211,17 @@ def reshard(docs: DataFrame, new_shards: int = 8, old_shards: int = 6, text: str
 def rewrite_layout(docs: DataFrame, plan: ReshardPlan, out_dir: str, text: str = "text", key: str = "doc_id",
                    files_per_shard: int = 8) -> list[int]:
     """Write the shards whose content changes under ``out_dir/shard=N`` (all
-    columns of ``docs``, which must not be called ``old_shard`` or ``shard``)
-    and return their numbers. A shard that keeps exactly its rows is left
-    out: its old files stay valid. A row's shard follows from the row, so
-    nothing is joined but the plan."""
-    clash = {"old_shard", "shard"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns clash with the layout: {sorted(clash)}")
+    columns of ``docs``; ``shard_=N`` where ``docs`` has a ``shard``) and
+    return their numbers. A shard that keeps exactly its rows is left out:
+    its old files stay valid. A row's shard follows from the row, so nothing
+    is joined but the plan."""
+    name = "shard"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
     block, unit = unit_columns(text, key, plan.blocks)
-    rows = with_shards(docs, plan, block, unit).filter(F.col("shard").isin(plan.affected)).drop("old_shard")
+    rows = with_shards(packed(docs, block.alias("block"), unit.alias("unit")), plan, F.col("block"), F.col("unit"))
+    rows = rows.filter(F.col("shard").isin(plan.affected))
     n = max(1, len(plan.affected)) * files_per_shard
-    (rows.repartition(n, "shard", F.pmod(unit, F.lit(files_per_shard)))
-     .write.partitionBy("shard").parquet(out_dir))
+    (rows.repartition(n, "shard", F.pmod(F.col("unit"), F.lit(files_per_shard)))
+     .select(*unpacked(docs.columns), F.col("shard").alias(name)).write.partitionBy(name).parquet(out_dir))
     return plan.affected

@@ -21,7 +21,8 @@ cache by word.
 Defined results: null and empty texts have one empty window (the score a
 text without words gets); without both labels every score is 0.5; labels of
 null or repeated rows: a row is learned from once per matching label row;
-extra columns are ignored; an empty table gives an empty result.
+extra columns are kept, those called like an output replaced; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import TwoTierCache, share, worker_state
+from tessera.llm.common import TwoTierCache, packed, share, unpacked, worker_state
 from tessera.llm.langid import sample_per_class
 from tessera.llm.token_counts import slices_by_bytes
 
@@ -264,26 +265,27 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     return train([r[1] for r in got], [r[2] for r in got])
 
 
-def score(docs: DataFrame, model: SubwordModel | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-          threshold: float = 0.7, cache_size: int = 300_000, batch_bytes: int = 4 << 20) -> DataFrame:
-    """``keep`` plus ``score`` and ``predicted``; one map stage, no shuffle."""
+def scored(docs: DataFrame, model: SubwordModel | None, text: str = "text", threshold: float = 0.7,
+           cache_size: int = 300_000, batch_bytes: int = 4 << 20) -> DataFrame:
+    """``docs`` plus ``score`` and ``predicted`` (in place of columns so
+    called); one map stage, no shuffle."""
+    out = ("score", "predicted")
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
     if model is None:
-        return docs.select(*keep, F.lit(0.5).alias("score"), F.lit(0).alias("predicted"))
-    shared = share(docs.sparkSession, model)  # bounded by the training sample
-    names, model_id = list(keep), uuid.uuid4().hex
-    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField("score", T.DoubleType())])
+        return packed(docs, F.lit(0.5).alias("score")).select(*unpacked(docs.columns, out), "score", predicted)
+    load, model_id = share(docs.sparkSession, model), uuid.uuid4().hex  # bounded by the training sample
+    rows = packed(docs, F.coalesce(F.octet_length(text), F.lit(0)).alias("size"))
+    schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
 
     def run(batches):
         import pyarrow as pa
-        m = shared()
+        m = load()
         cache = worker_state(("toxic", model_id), lambda: TwoTierCache(cache_size))
         for b in batches:
-            out: list[float] = []
-            for lo, hi in slices_by_bytes(b.column("_size").to_pylist(), batch_bytes):
-                out += m.score(b.column("_text").slice(lo, hi - lo).to_pylist(), cache).tolist()
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(out, pa.float64())],
-                                             names=[*names, "score"])
-
-    rows = docs.select(*names, F.col(text).alias("_text"),
-                       F.coalesce(F.octet_length(text), F.lit(0)).alias("_size"))
-    return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+            texts = b.column("row").field(text)
+            z: list[float] = []
+            for lo, hi in slices_by_bytes(b.column("size").to_pylist(), batch_bytes):
+                z += m.score(texts.slice(lo, hi - lo).to_pylist(), cache).tolist()
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(z, pa.float64())], names=["row", "score"])
+
+    return rows.mapInArrow(run, schema).select(*unpacked(docs.columns, out), "score", predicted)
