@@ -60,11 +60,19 @@ def _py_str_repr(s: Column) -> Column:
 
 def _py_text(c: Column, dt: T.DataType, nested: bool) -> tuple[str, Column]:
     """(type name, Python ``str()`` text) for a column of type ``dt``;
-    inside a list, elements use ``repr`` (strings quoted)."""
+    inside a list, elements use ``repr`` (strings quoted) and a null is
+    ``None``. A null itself gives null."""
+    if nested:
+        name, text = _py_text_of(c, dt, True)
+        return name, F.coalesce(text, F.lit("None"))
+    return _py_text_of(c, dt, False)
+
+
+def _py_text_of(c: Column, dt: T.DataType, nested: bool) -> tuple[str, Column]:
     if isinstance(dt, T.StringType):
         return "str", (_py_str_repr(c) if nested else c)
     if isinstance(dt, T.BooleanType):
-        return "bool", F.when(c, F.lit("True")).otherwise(F.lit("False"))
+        return "bool", F.when(c, F.lit("True")).when(~c, F.lit("False"))
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return "int", c.cast("string")
     if isinstance(dt, T.ArrayType):
@@ -75,15 +83,16 @@ def _py_text(c: Column, dt: T.DataType, nested: bool) -> tuple[str, Column]:
         # A struct stands for a list of mixed types, e.g. ["a", 7]: its
         # fields in order.
         items = [_py_text(c[f.name], f.dataType, True)[1] for f in dt.fields]
-        return "list", F.concat(F.lit("["), F.concat_ws(", ", *items), F.lit("]"))
+        return "list", F.when(c.isNotNull(), F.concat(F.lit("["), F.concat_ws(", ", *items), F.lit("]")))
     raise TypeError(f"stable_bucket: unsupported key type {dt.simpleString()}")
 
 
 def stable_bucket(key: Column, key_type: T.DataType, salt: str, n: int) -> Column:
     """Bucket in ``[0, n)`` of ``key`` (a column of ``key_type``): string,
     integral, boolean, an array of those, or a struct standing for a list
-    of mixed types. Floating-point keys are refused (Python and Java print
-    them differently)."""
+    of mixed types. Nulls inside a list are ``None``, a null key has a null
+    bucket. Floating-point keys are refused (Python and Java print them
+    differently)."""
     if not 0 < n < 2**31:
         raise ValueError("n must be in [1, 2^31)")
     type_name, text = _py_text(key, key_type, False)

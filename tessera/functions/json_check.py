@@ -8,10 +8,11 @@ exactly:
 - *sure valid*: a number, a string without escapes or control characters,
   a literal, a flat list of those, or a flat object with such strings as
   keys and such scalars as values, within JSON whitespace;
-- *sure invalid*: nothing but whitespace, or a first character that cannot
-  start any JSON value.
+- *sure invalid*: nothing but whitespace, a first character that cannot
+  start any JSON value, or one that can only start a literal (``t f n N I``)
+  when the text is not that literal.
 
-Only the rest (objects, nested lists, escapes, near-misses) reach Python.
+Only the rest (nested values, escapes, near-misses) reach Python.
 """
 
 from __future__ import annotations
@@ -32,17 +33,15 @@ _NUM = "-?(?:0|[1-9][0-9]*)(?:\\.[0-9]+)?(?:[eE][-+]?[0-9]+)?"
 _STR = '"[^"\\\\\\x00-\\x1F]*"'
 _LIT = "true|false|null|NaN|-?Infinity"
 _SCALAR = f"(?:{_NUM}|{_STR}|{_LIT})"
-_LIST = f"\\[{_WS}(?:{_SCALAR}(?:{_WS},{_WS}{_SCALAR})*)?{_WS}\\]"
+# Java's regex engine recurses once per repetition of a group, but not for a
+# possessive one (``*+``): long flat lists and objects need no stack.
+_LIST = f"\\[{_WS}(?:{_SCALAR}(?:{_WS},{_WS}{_SCALAR})*+)?{_WS}\\]"
 _MEMBER = f"{_STR}{_WS}:{_WS}{_SCALAR}"
-_OBJECT = f"\\{{{_WS}(?:{_MEMBER}(?:{_WS},{_WS}{_MEMBER})*)?{_WS}\\}}"
+_OBJECT = f"\\{{{_WS}(?:{_MEMBER}(?:{_WS},{_WS}{_MEMBER})*+)?{_WS}\\}}"
 SURE_VALID = f"^{_WS}(?:{_SCALAR}|{_LIST}|{_OBJECT}){_WS}\\z"
-SURE_INVALID = '^[ \\t\\n\\r]*(?:[^-0-9{\\["tfnNI \\t\\n\\r]|\\z)'
-# Java's regex engine recurses once per repetition of a group, and Spark
-# treats the resulting stack overflow as fatal: a flat list of ~600 items
-# already overflows. The sure-valid pattern is therefore tried only on texts
-# up to this length (about 250 items); longer ones go to json.loads, which
-# is exact and iterative. The sure-invalid pattern repeats no group.
-FAST_VALID_MAX_CHARS = 512
+# The literals are decided by the valid pattern, so a text that starts like
+# one and is not it is invalid.
+SURE_INVALID = '^[ \\t\\n\\r]*(?:[^-0-9{\\["\\s]|[\\x0B\\f]|\\z)'
 
 
 def _is_json(text: str) -> bool:
@@ -71,9 +70,7 @@ def python_json_valid(text: Column) -> Column:
 
 def fast_json_valid(text: Column) -> Column:
     """True / False where the JVM can decide exactly, else null."""
-    short = F.length(text) <= F.lit(FAST_VALID_MAX_CHARS)
-    sure_valid = F.when(short, text.rlike(SURE_VALID))  # CASE keeps rlike off long texts
-    return F.when(sure_valid, F.lit(True)).when(text.rlike(SURE_INVALID), F.lit(False))
+    return F.when(text.rlike(SURE_VALID), F.lit(True)).when(text.rlike(SURE_INVALID), F.lit(False))
 
 
 def json_valid(text: Column, send: Column | None = None) -> Column:

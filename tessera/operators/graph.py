@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import HOT_BOUND, SLICE_PAIRS, SLICE_ROWS, skew_safe_join, skew_safe_pairs
+from tessera.operators.joins import SLICE_PAIRS, skew_safe_join, skew_safe_pairs
 from tessera.session import cut_lineage
 
 
@@ -55,37 +55,26 @@ def _before(d1: Column, n1: Column, d2: Column, n2: Column) -> Column:
 
 
 def oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
-                   checkpoint: bool = False, hot_bound: int = HOT_BOUND,
-                   slice_rows: int = SLICE_ROWS) -> DataFrame:
+                   checkpoint: bool = False) -> DataFrame:
     """(src, dst, dst_deg): each undirected edge once, pointing from the end
     lower in (degree, id) order to the higher one.
 
     Degrees attach through two lookup joins on the node id. A hub's edges
-    would all meet its single degree row in one task, so the joins take
-    heavy nodes apart (:func:`tessera.operators.joins.skew_safe_join`): a
-    node with more edges than max(2m / ``hot_bound``, ``slice_rows``) —
-    fewer than ``hot_bound`` such nodes — has its edges salted over several
-    tasks.
+    would all meet its single degree row in one task, so the joins leave AQE
+    free to split them (:func:`tessera.operators.joins.skew_safe_join`).
 
     With ``checkpoint``, the distinct undirected edges and the result are
-    each written once to the session's checkpoint folder: the raw edge input
-    is then read once (not once per use), the result can feed several joins
-    without replaying the preparation, and a lost executor does not replay
-    it either.
+    each written once to the session's checkpoint folder (two jobs run when
+    this is called): the raw edge input is then read once (not once per
+    use), the result can feed several joins without replaying the
+    preparation, and a lost executor does not replay it either.
     """
     und = undirected_edges(edges, src, dst)
-    # Once materialised, the edge count is a cheap read; a node has at most
-    # m edges, so with m <= slice_rows no key could be salted and plain
-    # lookup joins are the same plan minus the salting stages.
-    small = checkpoint and (und := cut_lineage(und)).count() <= slice_rows
+    if checkpoint:
+        und = cut_lineage(und)
     deg = degrees(und)
-    du = deg.select(F.col("node").alias("u"), F.col("deg").alias("du"), F.col("deg").alias("_w"))
-    dv = deg.select(F.col("node").alias("v"), F.col("deg").alias("dv"), F.col("deg").alias("_w"))
-    if small:
-        e = und.join(du.drop("_w"), "u").join(dv.drop("_w"), "v")
-    else:
-        e = skew_safe_join(skew_safe_join(und, du, ["u"], "_w", hot_bound, slice_rows),
-                           dv, ["v"], "_w", hot_bound, slice_rows)
+    e = skew_safe_join(und, deg.select(F.col("node").alias("u"), F.col("deg").alias("du")), ["u"])
+    e = skew_safe_join(e, deg.select(F.col("node").alias("v"), F.col("deg").alias("dv")), ["v"])
     fwd = _before(F.col("du"), F.col("u"), F.col("dv"), F.col("v"))
     out = e.select(
         F.when(fwd, F.col("u")).otherwise(F.col("v")).alias("src"),
@@ -95,8 +84,7 @@ def oriented_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
     return cut_lineage(out) if checkpoint else out
 
 
-def two_paths(oriented: DataFrame, slice_pairs: int = SLICE_PAIRS,
-              edge_count: int | None = None) -> DataFrame:
+def two_paths(oriented: DataFrame, slice_pairs: int = SLICE_PAIRS) -> DataFrame:
     """(middle, start, end): two out-neighbours of ``middle`` in an oriented
     edge set, ``start`` before ``end`` in (degree, id) order.
 
@@ -105,18 +93,12 @@ def two_paths(oriented: DataFrame, slice_pairs: int = SLICE_PAIRS,
     sqrt(2m) neighbours. Such a node may still form about m pairs, which
     AQE cannot see from input sizes, so the join is salted for nodes whose
     pairs exceed ``slice_pairs`` (:func:`tessera.operators.joins.skew_safe_pairs`).
-    A known ``edge_count`` m with 2m <= ``slice_pairs`` rules salting out:
-    a node's k out-neighbours each have degree >= k, so k * k <= 2m, and the
-    plain join is used.
     """
     a = oriented.select(F.col("src").alias("middle"), F.col("dst").alias("start"),
                         F.col("dst_deg").alias("ds"))
     b = oriented.select(F.col("src").alias("middle"), F.col("dst").alias("end"),
                         F.col("dst_deg").alias("de"))
-    if edge_count is not None and 2 * edge_count <= slice_pairs:
-        pairs = a.join(b, "middle")
-    else:
-        pairs = skew_safe_pairs(a, b, "middle", "start", slice_pairs=slice_pairs)
+    pairs = skew_safe_pairs(a, b, "middle", "start", slice_pairs=slice_pairs)
     return (pairs
             .filter(_before(F.col("ds"), F.col("start"), F.col("de"), F.col("end")))
             .select("middle", "start", "end"))
@@ -135,17 +117,15 @@ def closing_edges(edges: DataFrame, paths: DataFrame, src: str = "src",
 
 
 def triangles(edges: DataFrame, src: str = "src", dst: str = "dst",
-              checkpoint: bool = True, hot_bound: int = HOT_BOUND,
-              slice_rows: int = SLICE_ROWS, slice_pairs: int = SLICE_PAIRS) -> DataFrame:
+              checkpoint: bool = True, slice_pairs: int = SLICE_PAIRS) -> DataFrame:
     """(a, b, c): every triangle once, ``a`` first in (degree, id) order.
 
     The oriented edge set feeds three inputs (both sides of the two-path
     join and the closing semi-join); with ``checkpoint`` it is materialised
     once (see :func:`oriented_edges`).
     """
-    o = oriented_edges(edges, src, dst, checkpoint, hot_bound, slice_rows)
-    m = o.count() if checkpoint else None  # a read of the materialised edges
-    closed = closing_edges(o, two_paths(o, slice_pairs, m), edges_distinct=True)
+    o = oriented_edges(edges, src, dst, checkpoint)
+    closed = closing_edges(o, two_paths(o, slice_pairs), edges_distinct=True)
     return closed.select(F.col("middle").alias("a"), F.col("start").alias("b"),
                          F.col("end").alias("c"))
 

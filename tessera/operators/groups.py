@@ -4,7 +4,9 @@ three-table rollup and the group-size histogram.
 
 All are hash aggregates with a partial (map-side) step, so a hot key is
 collapsed inside each task before the shuffle; nothing gathers a group's
-rows into one task.
+rows into one task. Amounts are summed in their column's own type: nothing
+cuts a fraction. (Sums of floating-point fractions depend on their order in
+the last digits; :func:`tessera.operators.numeric.compensated_sum` does not.)
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.tokens import token_count
-from tessera.operators.joins import counted_lookup_join
+from tessera.operators.joins import skew_safe_join
 
 
 def _c(c: str | Column) -> Column:
@@ -23,9 +25,9 @@ def _c(c: str | Column) -> Column:
 def keyed_product_sum(df: DataFrame, qty: str, code: str, group: str,
                       factor: str) -> DataFrame:
     """Key ``(group, code)`` (field 2, then field 1), value
-    ``(sum(qty * factor), count)``."""
+    ``(sum(qty * factor), count)``, in the columns' own type."""
     return df.groupBy(group, code).agg(
-        F.sum(_c(qty).cast("long") * _c(factor).cast("long")).alias("total"),
+        F.sum(_c(qty) * _c(factor)).alias("total"),
         F.count(F.lit(1)).alias("n"),
     )
 
@@ -72,8 +74,8 @@ def density_by_group(df: DataFrame, group: str, population: str,
     """
     if (units is None) == (unit_text is None):
         raise ValueError("give exactly one of units, unit_text")
-    n = token_count(unit_text) if unit_text is not None else _c(units).cast("long")
-    pop = F.col(population).cast("long")
+    n = token_count(unit_text) if unit_text is not None else _c(units)
+    pop = F.col(population)
     keep = F.col(group).isNotNull() & pop.isNotNull()
     if drop_blank_groups:
         keep = keep & (F.trim(F.col(group)) != "")
@@ -96,10 +98,10 @@ def mean_and_max_by_group(df: DataFrame, group: str, population: str,
                           unit_text: str | None = None) -> DataFrame:
     """(group, mean population per row, largest unit count) — our repair of
     a debugging exercise whose intended output is not stated. The mean is
-    the exact long sum divided by the row count."""
-    n = token_count(unit_text) if unit_text is not None else _c(units).cast("long")
+    the sum, in the column's own type, divided by the row count."""
+    n = token_count(unit_text) if unit_text is not None else _c(units)
     return df.groupBy(group).agg(
-        (F.sum(F.col(population).cast("long")).cast("double")
+        (F.sum(F.col(population)).cast("double")
          / F.count(F.col(population)).cast("double")).alias("mean_population"),
         F.max(n).alias("max_units"),
     )
@@ -107,7 +109,7 @@ def mean_and_max_by_group(df: DataFrame, group: str, population: str,
 
 def retail_key_sum(lines: DataFrame, key: str, qty: str) -> DataFrame:
     """(key, total quantity). Shape-only in the reference; meaning ours."""
-    return lines.groupBy(key).agg(F.sum(F.col(qty).cast("long")).alias("total"))
+    return lines.groupBy(key).agg(F.sum(qty).alias("total"))
 
 
 def retail_key_two_sums(lines: DataFrame, key: str, qty: str, order: str) -> DataFrame:
@@ -116,7 +118,7 @@ def retail_key_two_sums(lines: DataFrame, key: str, qty: str, order: str) -> Dat
     count as a two-level aggregate keyed by (key, order) first, so a hot key
     is spread before its final merge."""
     return lines.groupBy(key).agg(
-        F.sum(F.col(qty).cast("long")).alias("total"),
+        F.sum(qty).alias("total"),
         F.countDistinct(order).alias("orders"),
     )
 
@@ -125,14 +127,13 @@ def ratio_by_pair(rows: DataFrame, k1: str, k2: str, value: str) -> DataFrame:
     """((k1, k2), sum(value) / number of rows) as a double: an integer
     division done in floating point. Shape-only; meaning ours."""
     return rows.groupBy(k1, k2).agg(
-        (F.sum(F.col(value).cast("long")).cast("double")
+        (F.sum(value).cast("double")
          / F.count(F.lit(1)).cast("double")).alias("ratio"))
 
 
 def customer_order_item_rollup(customers: DataFrame, orders: DataFrame, items: DataFrame,
                                c_key: str, c_group: str, o_key: str, o_cust: str,
-                               i_order: str, orders_rows: int | None = None,
-                               customers_rows: int | None = None) -> DataFrame:
+                               i_order: str) -> DataFrame:
     """Per customer group: customers, their orders, and those orders' lines
     (customers without orders and orders without lines count with 0).
 
@@ -140,18 +141,18 @@ def customer_order_item_rollup(customers: DataFrame, orders: DataFrame, items: D
     but each join runs at the grain of its smaller side: lines are counted
     per order, orders per customer, before the next join, so no join ever
     moves line-level rows. Both lookups come out of aggregates on their join
-    keys, so a key repeated in ``orders`` or ``customers`` would not be split
-    by AQE; they are salted (:func:`tessera.operators.joins.counted_lookup_join`)
-    unless the given row counts rule hot keys out. Shape-only; meaning ours.
+    keys; :func:`tessera.operators.joins.skew_safe_join` leaves AQE free to
+    split a key repeated in ``orders`` or ``customers``. Shape-only; meaning
+    ours.
     """
     lines_per_order = items.groupBy(F.col(i_order).alias("_ok")).agg(
         F.count(F.lit(1)).alias("_lines"))
     order_rows = orders.select(F.col(o_key).alias("_ok"), F.col(o_cust).alias("_ck"))
-    per_cust = (counted_lookup_join(order_rows, lines_per_order, ["_ok"], orders_rows, how="left")
+    per_cust = (skew_safe_join(order_rows, lines_per_order, ["_ok"], how="left")
                 .groupBy("_ck").agg(F.count(F.lit(1)).alias("_orders"),
                                     F.sum(F.coalesce("_lines", F.lit(0))).alias("_lines")))
     customer_rows = customers.select(F.col(c_key).alias("_ck"), F.col(c_group))
-    joined = counted_lookup_join(customer_rows, per_cust, ["_ck"], customers_rows, how="left")
+    joined = skew_safe_join(customer_rows, per_cust, ["_ck"], how="left")
     return joined.groupBy(c_group).agg(
         F.count(F.lit(1)).alias("customers"),
         F.coalesce(F.sum("_orders"), F.lit(0)).cast("long").alias("orders"),
@@ -163,5 +164,5 @@ def group_size_histogram(df: DataFrame, unit_text: str | None = None,
                          units: str | None = None) -> DataFrame:
     """(units, rows): how many rows have each token count. Shape-only;
     meaning ours."""
-    n = token_count(unit_text) if unit_text is not None else F.col(units).cast("long")
+    n = token_count(unit_text) if unit_text is not None else F.col(units)
     return df.groupBy(n.alias("units")).agg(F.count(F.lit(1)).alias("rows"))

@@ -1,25 +1,13 @@
-"""A lookup join that stays balanced when a few keys are very heavy.
+"""Joins that stay balanced when a few keys are very heavy.
 
 AQE splits a skewed sort-merge join only when both inputs are fresh shuffle
-outputs; a lookup side that comes out of an aggregate on the join key is
-already partitioned, gets no exchange, and a heavy key's rows then all land
-in one task. Here heavy keys are salted instead, in one pass over the big
-side:
-
-- every lookup row carries a weight that bounds the number of big-side rows
-  with its key (a degree, a group size); ``total`` is the sum of weights;
-- a task slice takes ``target = max(total / bound, slice_rows)`` rows, and
-  a key gets ``s = ceil(weight / target)`` salts. Keys with ``s > 1`` are
-  *hot*: their weights exceed ``total / bound``, so there are fewer than
-  ``bound`` of them, and their (key, s) rows are broadcast (a proven size
-  bound) to tag the big side map-side;
-- a big row picks a salt in ``[0, s)`` by hashing its columns and its input
-  partition (so even identical copies of a row spread); the lookup row of a
-  hot key is repeated once per salt (fewer than ``2 * bound`` extra rows);
-- the join on (key, salt) then has no key with more than about ``target``
-  big rows. Keys lighter than ``slice_rows`` are never salted.
-
-The threshold is a scalar subquery, so the plan stays lazy.
+outputs. A lookup side that comes out of an aggregate on the join key is
+already partitioned by it, gets no exchange, and a heavy key's rows then all
+land in one task. :func:`skew_safe_join` joins on the key *and* its hash: the
+aggregate's partitioning no longer serves, so the lookup side is exchanged
+too, and AQE may split a heavy key's rows over tasks (repeating the lookup's
+one row per key for each). The plan is the same at every size, lazy, and
+needs no counts.
 """
 
 from __future__ import annotations
@@ -29,54 +17,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Most keys that may be hot (broadcast lookup rows), and the big-side rows of
-# one key that a single task slice handles without salting.
+# Most keys whose self-join may be sliced (broadcast rows).
 HOT_BOUND = 100_000
-SLICE_ROWS = 1_000_000
 
 
-def skew_safe_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], weight: str,
-                   bound: int = HOT_BOUND, slice_rows: int = SLICE_ROWS,
-                   big_rows: int | None = None, how: str = "inner") -> DataFrame:
-    """Inner (or left) join of ``big`` with ``lookup`` (one row per key of
-    ``on``), equal to ``big.join(lookup.drop(weight), on, how)``. A known
-    ``big_rows`` at or below ``slice_rows`` proves no key can be hot: the
-    plain join is returned."""
+def skew_safe_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """``big.join(lookup, on, how)`` (inner or left) for a lookup with one
+    row per key, with an exchange on both sides."""
     on = list(on)
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    if big_rows is not None and big_rows <= slice_rows:
-        return big.join(lookup.drop(weight), on, how)
-    total = lookup.agg(F.sum(weight)).scalar()
-    target = F.greatest(total / F.lit(bound), F.lit(float(slice_rows)))
-    salts = F.greatest(F.lit(1), F.ceil(F.col(weight) / target)).cast("int")
-    lk = lookup.withColumn("_salts", salts).drop(weight)
-    hot = lk.filter(F.col("_salts") > 1).select(*on, "_salts")
-    spread = F.xxhash64(*[F.col(c) for c in big.columns], F.spark_partition_id())
-    tagged = (big.join(F.broadcast(hot), on, "left")
-              .withColumn("_salt", F.pmod(spread, F.coalesce(F.col("_salts"), F.lit(1))).cast("int"))
-              .drop("_salts"))
-    repeated = lk.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
-    return tagged.join(repeated, [*on, "_salt"], how).drop("_salt")
-
-
-def counted_lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str],
-                        big_rows: int | None = None, how: str = "inner",
-                        bound: int = HOT_BOUND, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """``big.join(lookup, on, how)`` (inner or left) for a lookup with one
-    row per key but no weight: the big side's rows per key are counted first
-    (a partial aggregate, partitioned like a lookup that comes out of an
-    aggregate on the same key, so the two meet without another shuffle),
-    then salted as in :func:`skew_safe_join`. For a left join the weights
-    cover every big key, found in the lookup or not, so a heavy key without
-    a match is spread too. A known ``big_rows`` at or below ``slice_rows``
-    proves no key can be hot: the plain join is returned."""
-    on = list(on)
-    if big_rows is not None and big_rows <= slice_rows:
-        return big.join(lookup, on, how)
-    weights = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_w"))
-    weighted = weights.join(lookup, on, "left") if how == "left" else lookup.join(weights, on)
-    return skew_safe_join(big, weighted, on, "_w", bound, slice_rows, how=how)
+    h = F.xxhash64(*on)
+    return big.withColumn("_hash", h).join(lookup.withColumn("_hash", h), [*on, "_hash"], how).drop("_hash")
 
 
 # Pairs one task slice may form for a single key of a self-join.

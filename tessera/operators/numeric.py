@@ -3,22 +3,21 @@
 Spark has no compensated ``sum``, and a grouped pandas aggregate would pull
 a whole group into one task. Instead:
 
-1. ``mapInPandas``: per input partition and group key, a compensated
-   partial sum as a double-double ``(hi, lo)``, built batch by batch so only
-   two doubles per key and batch are held. Within a batch all small groups
-   are summed at once (Neumaier, vectorised over groups, one step per
-   position); groups of ``SMALL_GROUP`` values or more get the exact
-   ``math.fsum`` and its residual.
-2. ``groupBy``: fold the partial states of each key (one per input
-   partition that held the key) with Neumaier's compensated addition
-   (:mod:`tessera.functions.neumaier`), JVM-side, in two levels: first
-   within buckets of at most ``MERGE_FANOUT`` partitions, then the bucket
-   states, so no task folds more than about max(``MERGE_FANOUT``,
-   partitions / ``MERGE_FANOUT``) states, however many partitions there are.
+1. ``mapInArrow``: per input partition and group key, a compensated partial
+   sum as a double-double ``(hi, lo)``. Keys stay Arrow arrays (so a long
+   beyond 2^53, a null and a NaN are what they are) and are dictionary
+   encoded; all small groups of a batch are summed at once (Neumaier,
+   vectorised over groups, one step per position), groups of ``SMALL_GROUP``
+   values or more get the exact ``math.fsum`` and its residual. At
+   ``PENDING`` states the pending ones are merged, and sent on if merging
+   does not shrink them: memory is bounded whatever the number of keys.
+2. The states are exchanged by key and sorted; a second ``mapInArrow`` merges
+   runs of equal keys as they stream by. A key has about one state per input
+   partition that held it, so even a hot key's task reads few rows.
 
 Each step is at least as exact as a sequential Neumaier loop, so
-``[1.0, 1e100, 1.0, -1e100]`` gives 2.0 on any partitioning, and the Python
-work per batch does not grow with the number of distinct keys.
+``[1.0, 1e100, 1.0, -1e100]`` gives 2.0 on any partitioning, and no Python
+loop runs over keys of fewer than ``SMALL_GROUP`` values.
 """
 
 from __future__ import annotations
@@ -27,20 +26,19 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.neumaier import neumaier_fold, neumaier_state
 from tessera.session import ship_package
 
 
 # Groups with fewer values than this are summed together, vectorised over
 # groups; larger ones one by one with math.fsum (at most rows / this many).
 SMALL_GROUP = 32
-# Partial states merged per task at the first level of the merge.
-MERGE_FANOUT = 1024
+# States a map task holds before it merges them, and sends them on.
+PENDING = 200_000
 
 
 def _double_double(values: np.ndarray) -> tuple[float, float]:
@@ -98,47 +96,97 @@ def _group_states(codes: np.ndarray, vals: np.ndarray, n_groups: int) -> tuple[n
     return hi, lo
 
 
-def _key(v):
-    # pandas turns a null group key into NaN; hand Arrow a null again.
-    return None if isinstance(v, float) and math.isnan(v) else v
+def _codes(columns: Sequence[pa.Array], rows: int) -> np.ndarray:
+    """One code per row, equal for rows with equal keys (nulls equal nulls,
+    NaNs equal NaNs)."""
+    code = np.zeros(rows, dtype=np.int64)
+    for c in columns:
+        if pa.types.is_nested(c.type):
+            texts = pa.array([None if v is None else repr(v) for v in c.to_pylist()], pa.string())
+            c = texts
+        d = c.dictionary_encode(null_encoding="encode")
+        code = code * max(1, len(d.dictionary)) + d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        code = np.unique(code, return_inverse=True)[1]
+    return code
+
+
+def _merged(keys: Sequence[pa.Array], hi: np.ndarray, lo: np.ndarray, n: np.ndarray):
+    """The states of rows with equal keys merged; keys of first occurrence,
+    in that order."""
+    code = _codes(keys, len(hi))
+    _, first, code = np.unique(code, return_index=True, return_inverse=True)
+    order = np.argsort(first, kind="stable")
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    code, first = place[code], first[order]
+    some = n > 0
+    twice = np.concatenate([code[some], code[some]])
+    h, e = _group_states(twice, np.concatenate([hi[some], lo[some]]), len(first))
+    at = pa.array(first, pa.int64())
+    return [k.take(at) for k in keys], h, e, np.bincount(code, n, len(first)).astype(np.int64)
+
+
+def _joined(parts: list) -> tuple:
+    keys = [pa.concat_arrays([p[0][j] for p in parts]) for j in range(len(parts[0][0]))]
+    return keys, *[np.concatenate([p[i] for p in parts]) for i in (1, 2, 3)]
 
 
 def _partials(keys: Sequence[str], value: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Per Arrow batch and key: a compensated (hi, lo) state and the
-        # number of non-null values, computed for all keys of the batch at
-        # once. Across batches of one partition only those states are kept,
-        # and merged exactly (fsum of the states) when the partition ends.
-        # Nulls are flagged JVM-side: in pandas null and NaN look alike.
-        pending: dict[tuple, list] = {}
-        for pdf in batches:
-            if pdf.empty:
+    names = [*keys, "_hi", "_lo", "_n"]
+
+    def batch_of(state) -> pa.RecordBatch:
+        k, hi, lo, n = state
+        return pa.RecordBatch.from_arrays([*k, pa.array(hi), pa.array(lo), pa.array(n)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list = []
+        held = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            v = b.column(value)
+            ok = ~v.is_null().to_numpy(zero_copy_only=False)
+            x = np.where(ok, v.fill_null(0.0).to_numpy(zero_copy_only=False), 0.0)
+            state = _merged([b.column(k) for k in keys], x, np.zeros(len(x)), ok.astype(np.int64))
+            pending.append(state)
+            held += len(state[1])
+            if held >= PENDING:
+                state = _merged(*_joined(pending))
+                held = len(state[1])
+                pending = [state]
+                if held >= PENDING // 2:
+                    yield batch_of(state)
+                    pending, held = [], 0
+        if pending:
+            yield batch_of(_merged(*_joined(pending)))
+    return run
+
+
+def _totals(keys: Sequence[str], out: str):
+    """Merges runs of equal keys of sorted states; a run that may go on in
+    the next batch is held back as one state."""
+    names = [*keys, out]
+
+    def finished(state, count: int) -> pa.RecordBatch:
+        k, hi, lo, n = state
+        with np.errstate(invalid="ignore", over="ignore"):
+            total = np.where(np.isfinite(hi), hi + lo, hi)[:count]
+        return pa.RecordBatch.from_arrays(
+            [*[x.slice(0, count) for x in k], pa.array(total, mask=n[:count] == 0)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for b in batches:
+            if not b.num_rows:
                 continue
-            if keys:
-                codes, uniques = pd.MultiIndex.from_frame(pdf[list(keys)]).factorize() \
-                    if len(keys) > 1 else pd.factorize(pdf[keys[0]], use_na_sentinel=False)
-                key_tuples = [tuple(_key(v) for v in (u if isinstance(u, tuple) else (u,)))
-                              for u in uniques]
-            else:
-                codes, key_tuples = np.zeros(len(pdf), dtype=np.int64), [()]
-            codes = np.asarray(codes, dtype=np.int64)
-            ok = ~pdf["_null"].to_numpy(dtype=bool)
-            vals = pdf[value].to_numpy(dtype="float64")
-            n_groups = len(key_tuples)
-            hi, lo = _group_states(codes[ok], vals[ok], n_groups)
-            counts = np.bincount(codes[ok], minlength=n_groups)
-            for g, kt in enumerate(key_tuples):
-                st = pending.setdefault(kt, [[], 0])
-                if counts[g]:
-                    st[0].extend((hi[g], lo[g]))
-                    st[1] += int(counts[g])
-        rows = []
-        for k, (states, n) in pending.items():
-            hi, lo = _double_double(np.asarray(states, dtype="float64")) if states else (0.0, 0.0)
-            # Arrow would read a NaN back as null: flag it instead.
-            nan = math.isnan(hi)
-            rows.append((*k, 0.0 if nan else hi, 0.0 if nan else lo, n, nan))
-        yield pd.DataFrame(rows, columns=[*keys, "hi", "lo", "n", "nan"])
+            state = ([b.column(k) for k in keys], *[b.column(c).to_numpy(zero_copy_only=False) for c in ("_hi", "_lo", "_n")])
+            state = _merged(*_joined([last, state])) if last is not None else _merged(*state)
+            size = len(state[1])
+            if size > 1:
+                yield finished(state, size - 1)
+            last = ([k.slice(size - 1, 1) for k in state[0]], *[x[size - 1:] for x in state[1:]])
+        if last is not None:
+            yield finished(last, 1)
     return run
 
 
@@ -146,29 +194,20 @@ def compensated_sum(df: DataFrame, value: str, keys: Sequence[str] = (),
                     out: str = "total") -> DataFrame:
     """(keys..., total): compensated sum of ``value`` per group, or over
     everything when ``keys`` is empty. Nulls are skipped; like SQL ``sum``,
-    a group (or an input) without non-null values gives null."""
+    a group (or an input) without non-null values gives null. Keys group as
+    in SQL: nulls together, NaNs together, -0.0 with 0.0."""
     keys = list(keys)
     ship_package(df.sparkSession)
-    src = df.select(*keys, F.col(value).cast("double").alias(value),
-                    F.col(value).isNull().alias("_null"))
-    fields = [src.schema[k] for k in keys]
-    schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in fields),
-                           T.StructField("hi", T.DoubleType()), T.StructField("lo", T.DoubleType()),
-                           T.StructField("n", T.LongType()), T.StructField("nan", T.BooleanType())])
-    parts = src.mapInPandas(_partials(keys, value), schema)
-    # Level 1: states of the same key from partitions in one bucket (the
-    # bucket follows the partition id, so a retry lands in the same bucket).
-    bucket = F.pmod(F.spark_partition_id(), F.lit(MERGE_FANOUT)).alias("_b")
-    states = F.collect_list(F.when(F.col("n") > 0, F.struct("hi", "lo"))).alias("_parts")
-    level1 = (parts.select(*keys, bucket, "hi", "lo", "n", "nan")
-              .groupBy(*keys, "_b")
-              .agg(states, F.sum("n").alias("n"), F.bool_or("nan").alias("nan"))
-              .select(*keys, neumaier_state(F.col("_parts")).alias("_st"), "n", "nan"))
-    # Level 2: the bucket states of each key.
-    aggs = [F.collect_list(F.when(F.col("n") > 0, F.col("_st"))).alias("_parts"),
-            F.sum("n").alias("_n"), F.bool_or("nan").alias("_nan")]
-    grouped = level1.groupBy(*keys).agg(*aggs) if keys else level1.agg(*aggs)
-    total = (F.when(F.coalesce(F.col("_n"), F.lit(0)) == 0, F.lit(None).cast("double"))
-             .when(F.col("_nan"), F.lit(float("nan")))
-             .otherwise(neumaier_fold(F.col("_parts"))))
-    return grouped.select(*keys, total.alias(out))
+    floats = (T.DoubleType, T.FloatType)
+    key_cols = [(F.col(k) + F.lit(0.0).cast(df.schema[k].dataType)).alias(k)
+                if isinstance(df.schema[k].dataType, floats) else F.col(k) for k in keys]
+    src = df.select(*key_cols, F.col(value).cast("double").alias("_value"))
+    fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
+    states = T.StructType([*fields, T.StructField("_hi", T.DoubleType()), T.StructField("_lo", T.DoubleType()),
+                           T.StructField("_n", T.LongType())])
+    parts = src.mapInArrow(_partials(keys, "_value"), states)
+    totals = T.StructType([*fields, T.StructField(out, T.DoubleType())])
+    if not keys:
+        return parts.repartition(1).mapInArrow(_totals(keys, out), totals).agg(F.first(out).alias(out))
+    by_key = parts.repartition(*keys).sortWithinPartitions(*keys)
+    return by_key.mapInArrow(_totals(keys, out), totals)

@@ -11,89 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.tokens import line_array
-from tessera.operators.joins import counted_lookup_join, skew_safe_join
-
-
-# Text tables whose rows carry heavy per-row work (splitting, regexes), and
-# the key they are spread by when a scan arrives in too few splits.
-TEXT_TABLE_KEYS = {"documents": ("doc_id",), "conversations": ("conv_id", "turn"),
-                   "pages": ("page_id",), "benchmark": ("item_id",)}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str,
-          spread_by: tuple[str, ...] | None = None) -> DataFrame:
-    """A test table; text tables (or any table given ``spread_by`` keys, for
-    queries with heavy per-row string work) are spread when their scan has
-    too few splits."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    keys = spread_by or TEXT_TABLE_KEYS.get(name)
-    return spread(df, *keys, splits=_scan_splits(spark, path)) if keys else df
-
-
-_SPLITS: dict[tuple[str, str], int] = {}
-_ROWS: dict[tuple[str, str], int] = {}
-
-
-def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Row count of a test table (a metadata-driven scan), once per
-    application; used to prove that no key can be hot."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _ROWS:
-        _ROWS[key] = spark.read.parquet(path).count()
-    return _ROWS[key]
-
-
-def _scan_splits(spark: SparkSession, path: str) -> int | None:
-    """Scan splits of a Parquet path, planned once per application."""
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SPLITS:
-        try:
-            _SPLITS[key] = spark.read.parquet(path).rdd.getNumPartitions()
-        except Exception:  # no RDD access (e.g. a remote session)
-            return None
-    return _SPLITS[key]
-
-
-def spread(df: DataFrame, *keys: str, per_core: int = 4, splits: int | None = None) -> DataFrame:
-    """Hash-spread rows over ``per_core`` tasks per core when the scan
-    yields fewer splits than there are cores (one file of one row group), so
-    per-row work before the first shuffle is not left to a single task.
-    Inputs that already arrive in many splits, as at scale, are returned
-    untouched: no shuffle is added there."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions() if splits is None else splits
-    except Exception:  # no RDD access (e.g. a remote session): leave as is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(per_core * cores, *keys)
-
-
-def part_link_edges(lineitem: DataFrame, line_count: int | None = None) -> DataFrame:
+from tessera.operators.joins import skew_safe_join
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def part_link_edges(lineitem: DataFrame) -> DataFrame:
     """(src, dst) part ids: every order line links its part to the smallest
     part on the next line number of the same order.
 
-    Lines are grouped by (order, line number) once; each group learns its
-    successor's smallest part by a one-row-per-key join, so the edge count
-    never exceeds the line count even when line numbers repeat. The lines
-    then meet their group's row through a skew-safe lookup join (a group
-    holding a third of all lines is spread); when the table's line count
-    (``line_count``, else counted: a metadata-driven scan) shows no group can
-    be that large, the plain join is used. Self-edges and repeated edges
-    occur, as in a raw edge list.
+    Lines are grouped by (order, line number) once, and each line meets the
+    group after its own by a one-row-per-key join, so the edge count never
+    exceeds the line count even when line numbers repeat, and a group
+    holding a third of all lines can be split. Two scans of the line table.
+    Self-edges and repeated edges occur, as in a raw edge list.
     """
-    groups = lineitem.groupBy(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln")).agg(
-        F.min("l_partkey").alias("mp"), F.count(F.lit(1)).alias("c"))
-    successor = groups.select("ok", (F.col("ln") - 1).alias("ln"), F.col("mp").alias("dst"))
-    lookup = groups.select("ok", "ln", "c").join(successor, ["ok", "ln"])
+    after = lineitem.groupBy(F.col("l_orderkey").alias("ok"), (F.col("l_linenumber") - 1).alias("ln")).agg(
+        F.min("l_partkey").alias("dst"))
     lines = lineitem.select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"),
                             F.col("l_partkey").alias("src"))
-    if line_count is None:
-        line_count = lineitem.count()
-    return skew_safe_join(lines, lookup, ["ok", "ln"], "c", big_rows=line_count).select("src", "dst")
+    return skew_safe_join(lines, after, ["ok", "ln"]).select("src", "dst")
 
 
 PART_LINK_EDGES_SQL = """
@@ -104,39 +44,41 @@ PART_LINK_EDGES_SQL = """
       ON n.ok = l.l_orderkey AND n.ln = l.l_linenumber"""
 
 
-def order_lines(lineitem: DataFrame, orders: DataFrame, extra: tuple[str, ...] = (),
-                orders_rows: int | None = None) -> DataFrame:
+def order_lines(lineitem: DataFrame, orders: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """(customer, order_key, quantity, extra...) order lines, one per order;
     ``extra`` names further ``orders`` columns to carry (one scan).
 
     Quantities are summed per order key on the line table first, so the
     join with ``orders`` moves one row per order instead of one per line
-    (exact: summing line sums per (customer, order) equals summing lines).
-    Quantities are whole numbers, read as long as the reference's int().
-
-    The per-order sums come out of an aggregate on the join key, so AQE
-    could not split an order key that repeats in ``orders``; unless the row
-    count of ``orders`` (``orders_rows``, else counted: a metadata-driven
-    scan) proves no key can be that heavy, the join is salted
-    (:func:`tessera.operators.joins.counted_lookup_join`).
+    (equal: summing line sums per (customer, order) is summing lines). An
+    order key that repeats in ``orders`` can be split.
     """
     per_order = lineitem.groupBy(F.col("l_orderkey").alias("order_key")).agg(
-        F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
-    big = orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"),
-                        *extra)
-    if orders_rows is None:
-        orders_rows = orders.count()
-    return (counted_lookup_join(big, per_order, ["order_key"], big_rows=orders_rows)
-            .select("customer", "order_key", "quantity", *extra))
-
-
-def kv_lines(conversations: DataFrame) -> DataFrame:
-    """Trace-style key/value lines from conversation turns: key is the JSON
-    list ``[conv_id, turn]``, value is a line of the turn's text as written
-    (so prose values are not JSON, numbers are)."""
+        F.sum("l_quantity").alias("quantity"))
+    rows = orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"), *extra)
+    return skew_safe_join(rows, per_order, ["order_key"]).select("customer", "order_key", "quantity", *extra)
+
+
+def kv_lines(conversations: DataFrame, events: DataFrame) -> DataFrame:
+    """(origin, line_id, value): trace-style key/value lines of all kinds.
+
+    - ``turn``: key is the JSON list ``[conv_id, turn]``, value a line of the
+      turn's text as written (prose is not JSON, numbers are);
+    - ``event``: key is the event's id, value its ``props`` (JSON);
+    - ``no_tab`` / ``extra_tab``: the event's id and type without a tab, and
+      with a second one;
+    - ``text_key``: the event's type as a bare key.
+    """
     lines = conversations.select("conv_id", "turn", F.explode(line_array("text")).alias("t"))
     key = F.to_json(F.array(F.col("conv_id"), F.col("turn")))
-    return lines.select("conv_id", "turn", F.concat(key, F.lit("\t"), F.col("t")).alias("value"))
+    turns = lines.select(F.lit("turn").alias("origin"), key.alias("line_id"),
+                         F.concat(key, F.lit("\t"), F.col("t")).alias("value"))
+    i, kind, props = F.col("event_id").cast("string"), F.col("event_type"), F.col("props")
+    made = {"event": F.concat(i, F.lit("\t"), props), "no_tab": F.concat(i, F.lit(" "), kind),
+            "extra_tab": F.concat(i, F.lit("\t"), props, F.lit("\t")), "text_key": F.concat(kind, F.lit("\t"), props)}
+    rows = F.inline(F.array(*[F.struct(F.lit(k).alias("origin"), i.alias("line_id"), v.alias("value"))
+                              for k, v in made.items()]))
+    return turns.unionByName(events.select(rows))
 
 
 def lineitem_tsv(lineitem: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
-"""Sinks: pair text in the ``(key,value)`` tuple style, and headerless CSV."""
+"""Sinks: pair text in the ``(key,value)`` tuple style, bare values as text,
+and headerless CSV."""
 
 from __future__ import annotations
 
@@ -30,8 +31,21 @@ def write_tuple_text(df: DataFrame, path: str, cols: Sequence[str | Column | Seq
     out.write.mode(mode).text(path)
 
 
+def write_value_text(df: DataFrame, path: str, col: str | Column, mode: str = "errorifexists",
+                     partitions: int | None = None) -> None:
+    """One bare value per line (a count saved as ``2``), null as ``null``;
+    otherwise like :func:`write_tuple_text`."""
+    value = F.col(col) if isinstance(col, str) else col
+    out = df.select(F.coalesce(value.cast("string"), F.lit("null")).alias("value"))
+    if partitions is not None:
+        out = out.repartition(partitions)
+    out.write.mode(mode).text(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = False,
-              sep: str = ",") -> None:
+              sep: str = ",", partitions: int | None = None) -> None:
     """CSV part files, by default headerless and overwriting. Null is
-    written as nothing, an empty string as ``""``."""
-    df.write.mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)
+    written as nothing, an empty string as ``""``. ``partitions`` fixes the
+    number of part files (a shuffle)."""
+    out = df if partitions is None else df.repartition(partitions)
+    out.write.mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)

@@ -6,7 +6,9 @@ does none of that."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,10 +24,6 @@ def read_lines(spark: SparkSession, path: str | list[str], with_path: bool = Fal
     return df
 
 
-# Most split rows broadcast to number lines without shuffling them.
-SPLIT_BROADCAST_ROWS = 1_000_000
-
-
 def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file_path, line_number, value): every line with its 1-based number
     within its file, blank lines counted, without reading a file in one task.
@@ -36,10 +34,8 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     splits in offset order gives each split's first line number, and a
     line's number is that plus its position within the split.
 
-    The split table has at most (files + scan partitions) rows, both known
-    from planning; below ``SPLIT_BROADCAST_ROWS`` it is broadcast, so lines
-    are numbered where they were read, without a shuffle; beyond it the
-    lines are joined to it by a shuffle.
+    The split table has at most (files + scan partitions) rows; whether it
+    is broadcast or met by a shuffle is left to Spark's own size check.
     """
     text = spark.read.text(path)
     raw = text.select(
@@ -52,24 +48,28 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
         Window.unboundedPreceding, -1)
     starts = splits.select("file_path", "_block", "_first",
                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    try:
-        bound = len(text.inputFiles()) + text.rdd.getNumPartitions()
-    except Exception:  # no RDD access: take the shuffle join
-        bound = SPLIT_BROADCAST_ROWS + 1
-    if bound <= SPLIT_BROADCAST_ROWS:
-        starts = F.broadcast(starts)
     return raw.join(starts, ["file_path", "_block"]).select(
         "file_path", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_number"),
         "value")
 
 
+def _literal(sep: str) -> str:
+    """A separator as a regex that matches just itself."""
+    return re.escape(sep)
+
+
 def parse_edges(lines: DataFrame, col: str = "value", sep: str = " ") -> DataFrame:
-    """(src, dst) strings: the first two fields split at one ``sep``.
-    Lines with fewer than two fields are dropped (the reference would
-    raise); extra fields are ignored."""
-    parts = F.split(F.col(col), sep, -1)
-    return (lines.select(parts.alias("_p")).filter(F.size("_p") >= 2)
-            .select(F.col("_p")[0].alias("src"), F.col("_p")[1].alias("dst")))
+    """(src, dst) strings: the first two fields split at one ``sep`` (taken
+    literally). Lines without a second field, or with a blank last one (which
+    the reference's split drops), go (the reference would raise); extra
+    fields are ignored. Each line is split once: the fields pass a generator,
+    which keeps the optimizer from copying the split into every test."""
+    parts = F.split(F.col(col), _literal(sep), -1)
+    once = lines.select(F.inline(F.array(F.struct(parts.alias("p")))))
+    # The reference's split drops blank fields at the end: the second counts
+    # only if it, or a later one, is not blank.
+    tail = F.exists(F.slice("p", 2, F.greatest(F.size("p"), F.lit(1))), lambda x: x != "")
+    return once.filter((F.size("p") >= 2) & tail).select(F.col("p")[0].alias("src"), F.col("p")[1].alias("dst"))
 
 
 def _as_struct(schema: T.StructType | str) -> T.StructType:
@@ -95,33 +95,42 @@ def parse_tsv(lines: DataFrame, schema: T.StructType | str, col: str = "value",
     - with ``strip`` the line first loses its leading and trailing blanks as
       Python's ``str.strip()`` does (tabs included, so a blank first field
       disappears, as in the MapReduce version of the city job);
+    - ``sep`` is taken literally;
     - non-string fields go through ``try_cast`` (which trims blanks, so
       ``" 10"`` is 10);
     - a row whose ``required`` fields (default: every non-string field) are
-      null or fail to cast is dropped (``on_error='drop'``) or raises
-      (``'fail'``, through an ANSI cast).
+      null or fail to cast is dropped; with ``on_error='fail'`` a field that
+      is there but fails to cast raises, whatever the session's ANSI setting.
+
+    Each line is split and cast once: fields pass a generator, which keeps
+    the optimizer from copying them into every later test.
     """
+    if on_error not in ("drop", "fail"):
+        raise ValueError("on_error must be 'drop' or 'fail'")
     st = _as_struct(schema)
     n = len(st.fields)
     ws = PY_WHITESPACE_CLASS
-    text = F.regexp_replace(F.col(col), f"^{ws}+|{ws}+$", "") if strip else F.col(col)
+    line = F.col(col)
+    text = F.regexp_replace(line, f"^{ws}+|{ws}+$", "") if strip else line
     if not trailing_empty:
-        text = F.regexp_replace(text, "(?:\\Q" + sep + "\\E)+\\z", "")
-    parts = F.split(text, sep, -1)
-    df = lines.select(F.col(col).alias("_line"), parts.alias("_p"))
-    cond = (F.size("_p") == n) if exact_fields else (F.size("_p") >= n)
-    if header_prefix is not None:
-        cond = cond & ~F.col("_line").startswith(header_prefix)
-    df = df.filter(cond)
-    cast = F.Column.cast if on_error == "fail" else F.Column.try_cast
-    cols = []
-    for i, f in enumerate(st.fields):
-        raw = F.col("_p")[i]
+        text = F.regexp_replace(text, f"(?:{_literal(sep)})+\\z", "")
+    header = F.lit(False) if header_prefix is None else F.coalesce(line.startswith(header_prefix), F.lit(False))
+    parts = F.when(~header, F.split(text, _literal(sep), -1))
+    fields = lines.select(F.inline(F.array(F.struct(parts.alias("p")))))
+    count = F.size("p")
+    fields = fields.filter((count == n) if exact_fields else (count >= n))
+
+    def typed(i: int, f: T.StructField) -> Column:
+        raw = F.col("p")[i]
         if isinstance(f.dataType, T.StringType):
-            cols.append(raw.alias(f.name))
-        else:
-            cols.append(cast(raw, f.dataType).alias(f.name))
-    out = df.select(*cols)
+            return raw.alias(f.name)
+        value = raw.try_cast(f.dataType)
+        if on_error == "fail":
+            told = F.raise_error(F.concat(F.lit(f"{f.name}: not {f.dataType.simpleString()}: "), raw))
+            value = F.when(raw.isNotNull() & value.isNull(), told.cast(f.dataType)).otherwise(value)
+        return value.alias(f.name)
+
+    out = fields.select(F.inline(F.array(F.struct(*[typed(i, f) for i, f in enumerate(st.fields)]))))
     need = required if required is not None else [
         f.name for f in st.fields if not isinstance(f.dataType, T.StringType)]
     for name in need:

@@ -1,13 +1,18 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.hashing import stable_bucket
 
 
-def py_bucket(salt, key, n):
-    return int(hashlib.sha1(bytes(str(f"{salt}|{type(key)}|{key}"), "utf-8")).hexdigest(), 16) % n
+def py_bucket(prefix, value, buckets):
+    """The rule as stated: SHA-1 over the UTF-8 text of prefix, type and
+    value, its 20 bytes read as one number, the remainder by the buckets."""
+    text = "|".join([prefix, repr(type(value)), str(value)])
+    digest = hashlib.sha1(text.encode()).digest()
+    return int.from_bytes(digest, "big") % buckets
 
 
 def one(spark, value, ddl, dt, n=4):
@@ -16,6 +21,7 @@ def one(spark, value, ddl, dt, n=4):
 
 
 def test_documented_examples(spark):
+    # The five documented examples (4 buckets).
     assert one(spark, "hi", "string", T.StringType()) == 1
     assert one(spark, "worlds", "string", T.StringType()) == 1
     assert one(spark, 5, "bigint", T.LongType()) == 3
@@ -60,3 +66,26 @@ def test_string_keys_any_unicode(spark):
     got = {r.i: r.b for r in df.select("i", stable_bucket(F.col("k"), T.StringType(), "s@lt|x",
                                                           2**31 - 1).alias("b")).collect()}
     assert all(got[i] == py_bucket("s@lt|x", k, 2**31 - 1) for i, k in enumerate(keys))
+
+
+ROWS = [("a", None), (None, "a"), (None, None), ("it's", "b")]
+
+
+def test_nulls_inside_lists(spark):
+    n, arr = 1_000_003, T.ArrayType(T.StringType())
+    for a, b in ROWS:
+        assert one(spark, [a, b], "array<string>", arr, n) == py_bucket("abc1234", [a, b], n)
+        st = T.StructType([T.StructField("x", T.StringType()), T.StructField("y", T.StringType())])
+        assert one(spark, (a, b), "struct<x:string,y:string>", st, n) == py_bucket("abc1234", [a, b], n)
+    nested = T.ArrayType(T.ArrayType(T.LongType()))
+    for v in ([[1, None], None], [None], [[], [None]]):
+        assert one(spark, v, "array<array<bigint>>", nested, n) == py_bucket("abc1234", v, n)
+    assert one(spark, [True, None, False], "array<boolean>", T.ArrayType(T.BooleanType()), n) == py_bucket(
+        "abc1234", [True, None, False], n)
+
+
+@pytest.mark.parametrize("ddl,dt", [("string", T.StringType()), ("bigint", T.LongType()), ("boolean", T.BooleanType()),
+                                    ("array<string>", T.ArrayType(T.StringType())),
+                                    ("struct<x:string>", T.StructType([T.StructField("x", T.StringType())]))])
+def test_a_null_key_has_no_bucket(spark, ddl, dt):
+    assert one(spark, None, ddl, dt) is None

@@ -146,3 +146,19 @@ def test_density_version_options(spark):
     dfv = dict((r[0], r[1:]) for r in rows(groups.density_by_group(
         df, group="state", population="population", unit_text="zipcodes", zero_units_dense=True)))
     assert dfv["T"] == (0, 1, 1)
+
+
+def test_fractions_are_not_cut(spark):
+    df = spark.createDataFrame([("g", "a", 2.7, 1), ("g", "a", 1.6, 1)], "g string, c string, q double, o int")
+    near = lambda a, b: abs(a - b) < 1e-12
+    assert near(groups.retail_key_sum(df, "g", "q").first()["total"], 4.3)
+    assert near(groups.retail_key_two_sums(df, "g", "q", "o").first()["total"], 4.3)
+    assert near(groups.ratio_by_pair(df, "g", "c", "q").first()["ratio"], 2.15)
+    assert near(groups.keyed_product_sum(df, "q", "c", "g", "q").first()["total"], 2.7 ** 2 + 1.6 ** 2)
+    assert near(groups.order_totals(df, "g", "c", "q").first()["total"], 4.3)
+    assert near(groups.mean_and_max_by_group(df, "g", "q", units="q").first()["mean_population"], 2.15)
+    assert near(groups.mean_and_max_by_group(df, "g", "q", units="q").first()["max_units"], 2.7)
+    row = groups.density_by_group(df, "g", "q", units="q", dense=1, super_dense=2).first()
+    assert (row["avg_per_unit"], row["dense"], row["super_dense"]) == (1, 2, 0)
+    two = spark.createDataFrame([("g", 1, 2.7), ("g", 2, 1.6)], "customer string, order_key int, quantity double")
+    assert near(groups.avg_order_quantity(two).first()["avg_quantity"], 2.15)

@@ -66,14 +66,36 @@ def test_two_keys(spark):
     assert got == {("a", 1): math.fsum([0.1, 0.2]), ("a", 2): 0.3, (None, 1): 0.5}
 
 
-def test_two_level_merge_with_small_fanout(spark, monkeypatch):
+def test_small_pending_limit_sends_more_states(spark, monkeypatch):
     from tessera.operators import numeric
-    monkeypatch.setattr(numeric, "MERGE_FANOUT", 2)
+    monkeypatch.setattr(numeric, "PENDING", 4)
     rng = random.Random(8)
     data = [(rng.choice("AB"), rng.uniform(-1e8, 1e8)) for _ in range(3000)]
-    data += [("C", x) for x in F9] + [("N", None)]
+    data += [("C", x) for x in F9] + [("N", None)] + [(f"k{i}", float(i)) for i in range(500)]
     df = spark.createDataFrame(data, "k string, x double").repartition(9)
     got = {r.k: r.total for r in compensated_sum(df, "x", ["k"]).collect()}
     for k in "AB":
         assert got[k] == math.fsum(x for kk, x in data if kk == k)
     assert got["C"] == 2.0 and got["N"] is None
+    assert all(got[f"k{i}"] == float(i) for i in range(500)) and len(got) == 504
+
+
+def test_keys_stay_what_they_are(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([(big, 1.0), (big + 1, 10.0), (None, 5.0), (big, 2.0)], "k long, x double").coalesce(1)
+    assert {r.k: r.total for r in compensated_sum(df, "x", ["k"]).collect()} == {big: 3.0, big + 1: 10.0, None: 5.0}
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1.0), (None, 2.0), (nan, 4.0), (0.0, 8.0), (-0.0, 16.0)],
+                               "k double, x double").repartition(3)
+    got = {("nan" if r.k is not None and math.isnan(r.k) else r.k): r.total for r in compensated_sum(df, "x", ["k"]).collect()}
+    assert got == {"nan": 5.0, None: 2.0, 0.0: 24.0}
+
+
+def test_key_types_and_names(spark):
+    import datetime as dt
+    from decimal import Decimal
+    rows_ = [(dt.date(2024, 1, 1), Decimal("1.10"), True, [1, 2], 1.0), (dt.date(2024, 1, 1), Decimal("1.10"), True, [1, 2], 2.0),
+             (dt.date(2024, 1, 1), Decimal("1.10"), None, [1, 2], 4.0), (dt.date(2024, 1, 2), Decimal("1.10"), True, None, 8.0)]
+    df = spark.createDataFrame(rows_, "hi date, lo decimal(5,2), n boolean, value array<int>, x double")
+    got = sorted(r["total"] for r in compensated_sum(df, "x", ["hi", "lo", "n", "value"]).collect())
+    assert got == [3.0, 4.0, 8.0]

@@ -50,6 +50,16 @@ def test_fast_path_agrees_with_json_loads(spark):
     assert decided > len(got) // 3
 
 
+def test_texts_that_start_like_a_literal_need_no_python(spark):
+    from tessera.functions.json_check import fast_json_valid
+    from pyspark.sql import functions as F
+    want = {"the": False, "nothing": False, "true x": False, "true": True, " null\n": True, "NaN": True, "Infinity": True,
+            "Info": False, "falsey": False, "f": False, "true,": False, "nan": False, "\x0b1": False, "\x0ctrue": False}
+    df = spark.createDataFrame(list(want.items()), "t string, exp boolean")
+    got = {r.t: r.fast for r in df.select("t", fast_json_valid(F.col("t")).alias("fast")).collect()}
+    assert got == want
+
+
 def test_long_json_texts_do_not_overflow_the_regex(spark):
     from pyspark.sql import functions as F
     from tessera.functions.json_check import json_valid

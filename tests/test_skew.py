@@ -70,9 +70,8 @@ def test_hub_graph(skewed):
               if b in adj[a] and c in adj[a] and c in adj[b])
     df = skewed.createDataFrame(pairs, "src long, dst long").repartition(6)
     assert graph.triangle_count(df).collect()[0]["triangles"] == exp
-    # Salting forced on: the hub's edges are spread over several slices.
-    assert graph.triangles(df, hot_bound=50, slice_rows=10).count() == exp
-    assert graph.triangles(df, hot_bound=50, slice_rows=10, slice_pairs=20).count() == exp
+    # Slicing forced on: the hub's pairs are spread over several slices.
+    assert graph.triangles(df, slice_pairs=20).count() == exp
 
 
 def test_wedge_slices_match_plain_pairs(spark):
@@ -100,40 +99,29 @@ def test_hot_order_in_rollup(skewed):
     assert got == naive
 
 
-def test_skew_safe_join_equals_plain_join(spark):
+def test_skew_safe_join_exchanges_both_sides(spark):
+    from pyspark.sql import functions as F
     from tessera.operators.joins import skew_safe_join
     big = spark.createDataFrame([(0, i) for i in range(500)] + [(k % 40, k) for k in range(400)] + [(None, 1)],
                                 "k int, x int")
-    lookup = big.groupBy("k").agg(F_count()).withColumn("name", F_name())
-    for bound, slice_rows in ((1, 1), (3, 1), (10, 5), (1000, 1), (1000, 10**6)):
-        got = rows(skew_safe_join(big, lookup, ["k"], "w", bound, slice_rows), "k", "x", "name")
-        exp = rows(big.join(lookup.drop("w"), ["k"]), "k", "x", "name")
-        assert got == exp
-        got = rows(skew_safe_join(big, lookup, ["k"], "w", bound, slice_rows, big_rows=901), "k", "x", "name")
-        exp = rows(big.join(lookup.drop("w"), ["k"]), "k", "x", "name")
-        assert got == exp
+    lookup = big.groupBy("k").agg(F.concat(F.lit("n"), F.col("k").cast("string")).alias("name"))
+    for how in ("inner", "left"):
+        got = skew_safe_join(big, lookup, ["k"], how)
+        assert _rows_nulls(got, "k", "x", "name") == _rows_nulls(big.join(lookup, ["k"], how), "k", "x", "name")
+        assert got.columns == ["k", "x", "name"]
 
 
-def F_count():
+def test_heavy_key_of_an_aggregated_lookup_is_split(skewed):
+    """The executed plan of a lookup join with a hot key shows AQE's split."""
     from pyspark.sql import functions as F
-    return F.count(F.lit(1)).alias("w")
-
-
-def F_name():
-    from pyspark.sql import functions as F
-    return F.concat(F.lit("n"), F.col("k").cast("string"))
-
-
-def test_part_link_edges_salted_equals_plain(spark):
-    import os
-    from tessera.plans.inputs import part_link_edges
-    path = "/root/testdata/sf0.001/lineitem.parquet"
-    if not os.path.exists(path):
-        pytest.skip("test tables not present")
-    li = spark.read.parquet(path)
-    plain = rows(part_link_edges(li))
-    salted = rows(part_link_edges(li, line_count=10**12))  # a huge count forces the salted lookup
-    assert salted == plain and len(plain) > 0
+    from tessera.operators.joins import skew_safe_join
+    big = skewed.range(60_000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 500).alias("k"),
+                                      F.sha2(F.col("id").cast("string"), 256).alias("pad")).repartition(8)
+    lookup = skewed.range(2000).groupBy((F.col("id") % 500).alias("k")).agg(F.count(F.lit(1)).alias("c"))
+    out = skew_safe_join(big, lookup, ["k"])
+    assert out.count() == 60_000
+    out.collect()
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_order_lines_with_a_repeated_order_key(skewed):
@@ -142,36 +130,33 @@ def test_order_lines_with_a_repeated_order_key(skewed):
                                     "o_orderkey long, o_custkey long, o_orderpriority string")
     lineitem = skewed.createDataFrame([(k % 200, float(k % 5 + 1)) for k in range(2000)],
                                       "l_orderkey long, l_quantity double")
-    plain = rows(order_lines(lineitem, orders, ("o_orderpriority",)))
-    salted = rows(order_lines(lineitem, orders, ("o_orderpriority",), orders_rows=10**12))
-    assert salted == plain and len(plain) == 300 + 198
+    got = rows(order_lines(lineitem, orders, ("o_orderpriority",)))
+    per = Counter()
+    for k in range(2000):
+        per[k % 200] += float(k % 5 + 1)
+    assert got == sorted([(10, 1, per[1], "P")] * 300 + [(k % 7, k, per[k], "Q") for k in range(2, 200)])
 
 
 def _rows_nulls(df, *cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
 
-def test_left_salted_joins_keep_everything(skewed):
-    from pyspark.sql import functions as F
-    from tessera.operators.joins import counted_lookup_join, skew_safe_join
-    rows = _rows_nulls
-    big = skewed.createDataFrame([(0, i) for i in range(400)] + [(7, i) for i in range(300)]
-                                 + [(k % 30, k) for k in range(200)] + [(None, 5)], "k int, x int")
-    lookup = skewed.createDataFrame([(k, f"n{k}") for k in range(0, 30) if k != 7], "k int, name string")
-    exp = rows(big.join(lookup, ["k"], "left"), "k", "x", "name")
-    for bound, slice_rows in ((10, 5), (1000, 1), (1, 1)):
-        got = rows(counted_lookup_join(big, lookup, ["k"], how="left", bound=bound, slice_rows=slice_rows),
-                   "k", "x", "name")
-        assert got == exp
-    w = lookup.join(big.groupBy("k").agg(F.count(F.lit(1)).alias("w")), ["k"])
-    assert rows(skew_safe_join(big, w, ["k"], "w", 10, 5, how="left"), "k", "x", "name") == exp
-
-
-def test_rollup_salted_equals_plain(skewed):
+def test_rollup_with_hot_keys(skewed):
     c = skewed.createDataFrame([(i, f"s{i % 3}") for i in range(30)] + [(0, "s0")] * 50, "ck int, seg string")
     o = skewed.createDataFrame([(0, 0)] * 200 + [(i, i % 30) for i in range(1, 200)], "ok int, oc int")
     i = skewed.createDataFrame([(0,)] * 500 + [(k % 200,) for k in range(300)], "io int")
-    args = ("ck", "seg", "ok", "oc", "io")
-    plain = rows(groups.customer_order_item_rollup(c, o, i, *args, orders_rows=1, customers_rows=1))
-    salted = rows(groups.customer_order_item_rollup(c, o, i, *args))
-    assert salted == plain
+    lines, orders = Counter(), Counter()
+    for (k,) in [(0,)] * 500 + [(k % 200,) for k in range(300)]:
+        lines[k] += 1
+    per = Counter()
+    for ok, oc in [(0, 0)] * 200 + [(i, i % 30) for i in range(1, 200)]:
+        orders[oc] += 1
+        per[oc] += lines[ok]
+    exp = {}
+    for ck, seg in [(i, f"s{i % 3}") for i in range(30)] + [(0, "s0")] * 50:
+        e = exp.setdefault(seg, [0, 0, 0])
+        e[0] += 1
+        e[1] += orders[ck]
+        e[2] += per[ck]
+    got = rows(groups.customer_order_item_rollup(c, o, i, "ck", "seg", "ok", "oc", "io"))
+    assert got == sorted((seg, *e) for seg, e in exp.items())

@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from conftest import rows
 from tessera.operators import groups, text
 from tessera.sources import parse_tsv, read_lines, read_tsv, write_csv, write_tuple_text
@@ -92,15 +94,6 @@ def test_read_lines_with_path(spark):
         ("mapper0_out.txt", "bad", "no_tab")]
 
 
-def test_spread_only_when_scan_has_few_splits(spark):
-    from tessera.plans.inputs import spread
-    cores = spark.sparkContext.defaultParallelism
-    few = spark.range(100).coalesce(1)
-    assert spread(few, "id").rdd.getNumPartitions() == 4 * cores
-    many = spark.range(100).repartition(cores + 1)
-    assert spread(many, "id") is many
-
-
 def test_checkpoint_goes_to_the_session_folder(spark):
     from tessera.session import cut_lineage, ensure_checkpoint_dir
     folder = ensure_checkpoint_dir(spark)
@@ -207,3 +200,50 @@ def test_density_keeps_blank_group_when_asked(spark):
     got = rows(groups.density_by_group(df, "state", "population", unit_text="zipcodes",
                                        drop_blank_groups=False))
     assert got == [("", 1000, 1, 1), ("CA", 500, 1, 0)]
+
+
+def test_separators_are_literal(spark):
+    from tessera.sources import parse_edges
+    for sep in ("|", ".", "\\", "ab", "$", " "):
+        lines = spark.createDataFrame([(f"1{sep}2",), (f"3{sep}4{sep}5",)], "value string")
+        assert rows(parse_edges(lines, sep=sep)) == [("1", "2"), ("3", "4")]
+        got = rows(parse_tsv(lines, "a int, b string", sep=sep), "a", "b")
+        assert got == [(1, "2")]
+
+
+def test_edges_without_a_second_field_go(spark):
+    from tessera.sources import parse_edges
+    lines = spark.createDataFrame([(v,) for v in ["1 ", "1", "", " 2", "1  3", "1 2 ", "  ", None]], "value string")
+    assert sorted(rows(parse_edges(lines))) == [("", "2"), ("1", ""), ("1", "2")]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_fail_raises_whatever_the_session(spark, ansi):
+    lines = spark.createDataFrame([("1\tx",), ("bad\ty",)], "value string")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="bad"):
+            parse_tsv(lines, "a long, b string", on_error="fail").collect()
+        assert rows(parse_tsv(lines, "a long, b string")) == [(1, "x")]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_bare_values_and_part_files(spark, tmp_path):
+    from tessera.sources import write_value_text
+    df = spark.createDataFrame([(2,)], "n long")
+    write_value_text(df, str(tmp_path / "n"), "n")
+    assert [r.value for r in spark.read.text(str(tmp_path / "n")).collect()] == ["2"]
+    many = spark.range(100)
+    write_csv(many, str(tmp_path / "c"), partitions=4)
+    assert len(list((tmp_path / "c").glob("part-*"))) == 4
+    assert sorted(int(r[0]) for r in spark.read.csv(str(tmp_path / "c")).collect()) == list(range(100))
+    write_value_text(many, str(tmp_path / "v"), "id", partitions=3)
+    assert len(list((tmp_path / "v").glob("part-*"))) == 3
+
+
+def test_prices_of_the_flatten_fixture_parse_from_text(spark):
+    # FIXTURES.md F7 (two prices as text).
+    lines = spark.createDataFrame([("pen\t3.01",), ("book\t9.99",)], "value string")
+    assert rows(parse_tsv(lines, "name string, price double")) == [("book", 9.99), ("pen", 3.01)]
