@@ -11,24 +11,25 @@ group is what links connect.
    each sketch position the node chooses (one, and a second with probability
    1 / threshold - 1, so a pair at the threshold is expected to stay
    together at least once per level); documents with the same value there
-   share the child. A node of at most ``small`` documents is compared
-   exhaustively. All trees run in one table per level; only rows of large
-   nodes go on.
-3. *Dense nodes.* Documents still in a large node after ``pivot_level``
-   levels are mostly alike, and branching would not part them. They are
-   compared with a few pivots of the node first; what the links found so far
-   connect needs no further comparison, so a large group of near copies
-   costs rows x pivots and not all its pairs. Only nodes that still mix
-   several groups branch on, and after the last level the pairs between
-   *different* groups of a node are compared in full.
-4. *Verification.* Candidates with too different sizes or a sketch
-   similarity more than six deviations below the threshold go; the others
-   are checked on the full sets, in two rounds: first each document's best
-   candidate, then those pairs that the links do not connect yet.
-
-No pair is left out once found; a pair at the threshold is missed with a
-probability of about 1e-4 at 16 trees and six levels, higher similarities
-less often. Groups come from :mod:`tessera.llm.components`.
+   share the child. All trees run in one table per level; only rows of nodes
+   with more than ``small`` documents go on, up to ``levels`` levels.
+3. *Dense nodes.* Documents still in a large node at ``pivot_level`` are
+   mostly alike, and branching would not part them. In the first trees they
+   are compared with a few pivots of the node, and what these links connect
+   needs no further comparison: a large group of near copies costs rows x
+   pivots and not all its pairs.
+4. *Nodes.* Small nodes of every level, and all nodes of the last, that
+   still hold several groups are compared exhaustively, in packs of at most
+   ``PACK`` rows: only pairs of different groups whose sizes and binned
+   minima allow the threshold leave a task.
+5. *Verification* on the full sets, each document's best candidate first,
+   then those pairs that the links do not connect yet.
+
+No pair is left out once found. A pair at the threshold is missed with a
+probability of about 1e-4 at 16 trees and five levels (higher similarities
+less often), or with one below 1e-6 by the estimate, whose limit lies five
+deviations below the threshold. Groups come from
+:mod:`tessera.llm.components`.
 
 Defined results: null texts and texts without words have an empty set, are
 linked with nothing and keep their own id as component; with fewer words
@@ -51,7 +52,10 @@ from tessera.session import ship_package
 from tessera.llm.common import WORD, materialize
 from tessera.llm.components import components
 
-SKETCH = 64
+SKETCH = 64  # minwise values that choose paths
+BINS = 256   # binned minima, a byte each, that estimate similarity
+PACK = 512   # rows of a node compared at a time
+FILTER_BITS = 24
 
 
 def shingles(text: Column, words: int) -> Column:
@@ -65,14 +69,15 @@ def shingles(text: Column, words: int) -> Column:
 
 
 def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[str] = ()) -> DataFrame:
-    """(id, n, digest, sketch): set size, digest of the sorted set, and
-    ``SKETCH`` minwise values of 32 bits (null for an empty set), plus the
-    columns of ``carry``."""
+    """(id, n, digest, sketch, bins) per row: set size, digest of the sorted
+    set, ``SKETCH`` minwise values of 32 bits, and for each of ``BINS`` equal
+    ranges of a mixed hash a byte of the smallest value in it (0: none);
+    null for an empty set. Plus the columns of ``carry``."""
     ship_package()
     carry = list(carry)
     schema = T.StructType([T.StructField("id", docs.schema[key].dataType), T.StructField("n", T.LongType()),
                            T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.IntegerType())),
-                           *[docs.schema[c] for c in carry]])
+                           T.StructField("bins", T.BinaryType()), *[docs.schema[c] for c in carry]])
 
     def run(batches):
         import hashlib
@@ -85,7 +90,7 @@ def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
             sets = b.column("set")
             values = sets.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             ends = np.cumsum(pa.compute.list_value_length(sets).to_numpy(zero_copy_only=False).astype(np.int64))
-            digests, mins, sizes = [], [], []
+            digests, mins, bins, sizes = [], [], [], []
             start = 0
             for end in ends.tolist():
                 x = np.sort(values[start:end])
@@ -94,34 +99,57 @@ def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
                 if not len(x):
                     digests.append(None)
                     mins.append(None)
+                    bins.append(None)
                     continue
                 digests.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest())
                 low = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
                 for i in range(0, len(x), 1 << 14):  # bounded work space for very long texts
-                    # Multiply-add, then the high half: a minwise order per position.
+                    # Multiply-add, then mixed: a minwise order per position.
                     h = x[i:i + (1 << 14), None] * mult + add
                     h ^= h >> np.uint64(29)
                     h *= np.uint64(0x9E3779B97F4A7C15)
                     low = np.minimum(low, h.min(axis=0))
                 mins.append((low >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                y = np.sort((x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93))
+                place, first = np.unique(y >> np.uint64(56), return_index=True)
+                row = np.zeros(BINS, np.uint8)
+                # Low bits, as the high ones of a bin's minimum are not spread evenly.
+                row[place.astype(np.int64)] = ((y[first] >> np.uint64(8)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+                bins.append(row.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(mins, pa.list_(pa.int32())), *[b.column(c) for c in carry]],
-                names=["id", "n", "digest", "sketch", *carry])
+                 pa.array(mins, pa.list_(pa.int32())), pa.array(bins, pa.binary()), *[b.column(c) for c in carry]],
+                names=["id", "n", "digest", "sketch", "bins", *carry])
 
     rows = docs.select(F.col(key).alias("id"), shingles(F.col(text), words).alias("set"), *carry)
     return rows.mapInArrow(run, schema)
 
 
+def estimate(a, b, threshold: float):
+    """Estimated similarity of rows of binned minima (two-dimensional, each
+    row of ``a`` with each of ``b``), and whether the threshold is within
+    five deviations."""
+    import numpy as np
+    either = np.maximum((a[:, None, :] | b[None, :, :] > 0).sum(axis=2), 1)
+    same = ((a[:, None, :] == b[None, :, :]) & (a[:, None, :] > 0)).sum(axis=2)
+    guess = same / either
+    return guess, guess >= threshold - 5 * np.sqrt(threshold * (1 - threshold) / either) - 0.5 / either
+
+
 def _children(rows: DataFrame, extra: float) -> DataFrame:
     """Rows (node, id, sketch) to rows (node, id) of the next level: the
-    node's hash chooses one or two sketch positions."""
+    node's hash chooses one or two sketch positions. A node's lowest bit
+    (set in the trees that look for pivots) is handed down."""
     first = F.pmod(F.xxhash64("node", F.lit("first")), F.lit(SKETCH)).cast("int")
     second = F.pmod(first + 1 + F.pmod(F.xxhash64("node", F.lit("second")), F.lit(SKETCH - 1)), F.lit(SKETCH)).cast("int")
     two = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(1 << 20)) < F.lit(int(extra * (1 << 20)))
     at = F.when(two, F.array(first, second)).otherwise(F.array(first))
-    return (rows.select("id", "node", "sketch", F.explode(at).alias("at"))
-            .select(F.xxhash64("node", "at", F.col("sketch")[F.col("at")]).alias("node"), "id"))
+    child = _flagged(F.xxhash64("node", "at", F.col("sketch")[F.col("at")]), F.col("node").bitwiseAND(F.lit(1)))
+    return rows.select("id", "node", "sketch", F.explode(at).alias("at")).select(child.alias("node"), "id")
+
+
+def _flagged(h: Column, flag: Column) -> Column:
+    return h.bitwiseAND(F.lit(-2)).bitwiseOR(flag)
 
 
 def _shared(rows: DataFrame, name: str) -> DataFrame:
@@ -133,22 +161,93 @@ def _shared(rows: DataFrame, name: str) -> DataFrame:
     return materialize(rows.join(sizes, "node"), name)
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """All pairs within nodes of a bounded size."""
-    other = rows.select("node", F.col("id").alias("b"))
-    return rows.join(other, "node").filter(F.col("id") < F.col("b")).select(F.col("id").alias("a"), "b")
+def _pivot_pairs(many: DataFrame, sketch: DataFrame, pivots: int, threshold: float) -> DataFrame:
+    """(a, b, estimate): rows of a large node with the node's pivots (the ids
+    lowest in as many hash orders, found by combined minima) that can reach
+    the threshold."""
+    lowest = [F.min(F.struct(F.xxhash64(F.lit(j), F.col("id")), F.col("id").alias("id"))).alias(f"p{j}")
+              for j in range(pivots)]
+    per_node = materialize(many.groupBy("node").agg(*lowest).select(
+        "node", F.array_distinct(F.array(*[F.col(f"p{j}.id") for j in range(pivots)])).alias("pivots")), "dup-pivots")
+    pairs = many.join(per_node, "node").select("id", F.explode("pivots").alias("p")).filter("id <> p")
+    pairs = pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
+    a = sketch.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bins").alias("bins_a"))
+    b = sketch.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("bins").alias("bins_b"))
+    joined = pairs.join(a, "a").join(b, "b").filter(
+        F.least("n_a", "n_b") >= F.lit(threshold - 1e-9) * F.greatest("n_a", "n_b"))
+    schema = T.StructType([pairs.schema["a"], pairs.schema["b"], T.StructField("estimate", T.DoubleType())])
 
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for x in batches:
+            if not x.num_rows:
+                continue
+            bins_a, bins_b = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
+                              for c in ("bins_a", "bins_b"))
+            either = np.maximum((bins_a | bins_b > 0).sum(axis=1), 1)
+            guess = ((bins_a == bins_b) & (bins_a > 0)).sum(axis=1) / either
+            near = guess >= threshold - 5 * np.sqrt(threshold * (1 - threshold) / either) - 0.5 / either
+            at = pa.array(np.flatnonzero(near))
+            yield pa.RecordBatch.from_arrays([x.column("a").take(at), x.column("b").take(at), pa.array(guess[near])],
+                                             names=["a", "b", "estimate"])
+
+    return joined.select("a", "b", "bins_a", "bins_b").mapInArrow(run, schema)
+
+
+def _node_pairs(rows: DataFrame, sketch: DataFrame, groups: DataFrame | None, threshold: float) -> DataFrame:
+    """(a, b, estimate), distinct: pairs of a node's rows (node, id) that lie
+    in different groups and can reach the threshold. Nodes of one group are
+    dropped; the others travel as packs of at most ``PACK`` rows, dealt by a
+    hash in nodes with more, and packs of a node meet pairwise."""
+    rows = materialize(_mixed(rows, groups), "dup-mixed")
+    sizes = materialize(rows.groupBy("node").count(), "dup-pack-sizes")
+    dealt = rows.join(sizes, "node").withColumn(
+        "part", F.pmod(F.xxhash64("id"), F.ceil(F.col("count") / F.lit(PACK // 2))).cast("int"))
+    with_bins = dealt.select("node", "part", "id", "g").join(sketch.select("id", "n", "bins"), "id")
+    packs = with_bins.groupBy("node", "part").agg(
+        F.collect_list(F.struct("id", "g", "n", "bins")).alias("pack"))  # about PACK / 2 rows
+    packs = materialize(packs, "dup-packs")
+    other = packs.select("node", F.col("part").alias("part2"), F.col("pack").alias("pack2"))
+    tasks = packs.join(other, "node").filter("part <= part2").select(
+        (F.col("part") == F.col("part2")).alias("same"), "pack", "pack2")
+    id_type = sketch.schema["id"].dataType
+    schema = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type),
+                           T.StructField("estimate", T.DoubleType())])
 
-def _similar(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs that can reach the threshold by size and sketch, with
-    the sketch similarity."""
-    floor = threshold - 6 * (threshold * (1 - threshold) / SKETCH) ** 0.5
-    a = sketch.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    b = sketch.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    joined = pairs.distinct().join(a, "a").join(b, "b")
-    near = joined.filter(F.least("n_a", "n_b") >= F.lit(threshold - 1e-9) * F.greatest("n_a", "n_b"))
-    same = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return near.select("a", "b", (same / SKETCH).alias("estimate")).filter(F.col("estimate") >= floor)
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def side(pack):
+            bins = np.frombuffer(b"".join(pack.field("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+            return pack.field("id"), pack.field("g").to_pylist(), np.asarray(pack.field("n")), bins
+
+        for x in batches:
+            for k in range(x.num_rows):
+                id_a, g_a, n_a, bins_a = side(x.column("pack")[k].values)
+                id_b, g_b, n_b, bins_b = side(x.column("pack2")[k].values)
+                same = x.column("same")[k].as_py()
+                label = {g: i for i, g in enumerate({*g_a, *g_b})}
+                g_a, g_b = np.array([label[g] for g in g_a]), np.array([label[g] for g in g_b])
+                for s in range(0, len(n_a), 32):  # bounded work space
+                    e = slice(s, s + 32)
+                    large = np.maximum(n_a[e, None], n_b[None, :])
+                    fit = (np.minimum(n_a[e, None], n_b[None, :]) >= (threshold - 1e-9) * large) & (
+                        g_a[e, None] != g_b[None, :])
+                    if same:
+                        fit &= np.arange(len(n_a))[e, None] < np.arange(len(n_b))[None, :]
+                    if not fit.any():
+                        continue
+                    guess, near = estimate(bins_a[e], bins_b, threshold)
+                    i, j = np.nonzero(fit & near)
+                    if len(i):
+                        yield pa.RecordBatch.from_arrays(
+                            [id_a.take(pa.array(i + s)), id_b.take(pa.array(j)), pa.array(guess[i, j])],
+                            names=["a", "b", "estimate"])
+
+    found = tasks.mapInArrow(run, schema)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "estimate").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -169,34 +268,46 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return j.filter(~F.coalesce(F.col("g_a") == F.col("g_b"), F.lit(False))).drop("g_a", "g_b")
 
 
+def _candidates_only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows (id, ...) whose id is in ``ids``. A bitmap of 2^FILTER_BITS hash
+    slots, of fixed size whatever the input, goes to the readers first, so
+    that most other rows are dropped before the exchange of the join."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    words = ids.select((slot / 64).cast("int").alias("_word"), bit.alias("_bit")).groupBy("_word").agg(
+        F.bit_or("_bit").alias("_bits"))
+    some = rows.join(F.broadcast(words), (slot / 64).cast("int") == F.col("_word")).filter(
+        F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
+    return some.join(ids, "id")
+
+
 class _Links:
     """Verified links so far and the groups they make."""
 
-    def __init__(self, docs: DataFrame, text: str, key: str, words: int, sketch: DataFrame, percent: int):
-        self.docs, self.text, self.key, self.words = docs, text, key, words
-        self.sketch, self.percent = sketch, percent
-        self.edges = self.groups = None
+    def __init__(self, docs: DataFrame, text: str, key: str, words: int, percent: int):
+        self.docs, self.text, self.key, self.words, self.percent = docs, text, key, words, percent
+        self.groups: DataFrame | None = None
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
         """Full sets of the documents in the pairs, from their whole texts."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        rows = self.docs.select(F.col(self.key).alias("id"), F.col(self.text).alias("text")).join(ids, "id")
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "dup-ids")
+        rows = _candidates_only(self.docs.select(F.col(self.key).alias("id"), F.col(self.text).alias("text")), ids)
         return materialize(rows.select("id", shingles(F.col("text"), self.words).alias("set")), "dup-sets")
 
-    def add(self, pairs: DataFrame) -> None:
-        """Verify candidate pairs that are not connected yet: each
-        document's best one first, then what stays apart."""
-        near = _similar(pairs, self.sketch, self.percent / 100)
-        near = materialize(near if self.groups is None else _apart(near, self.groups), "dup-near")
+    def add(self, near: DataFrame) -> None:
+        """Verify candidates (a, b, estimate): each document's best one
+        first, then what stays apart."""
+        near = materialize(near, "dup-near")
         if near.isEmpty():
             return
         sets = self._sets(near)
         best = F.max_by(F.struct("a", "b"), F.struct("estimate", "a", "b"))
         first = (near.groupBy("a").agg(best.alias("p")).select("p.*")
                  .union(near.groupBy("b").agg(best.alias("p")).select("p.*")).distinct())
+        first = materialize(first, "dup-first")
         self._link(_verified(first, sets, self.percent))
-        rest = near.select("a", "b") if self.groups is None else _apart(near.select("a", "b"), self.groups)
-        rest = materialize(rest.join(first, ["a", "b"], "left_anti"), "dup-rest")
+        rest = near.select("a", "b").join(first, ["a", "b"], "left_anti")
+        rest = materialize(rest if self.groups is None else _apart(rest, self.groups), "dup-rest")
         if not rest.isEmpty():
             self._link(_verified(rest, sets, self.percent))
 
@@ -211,10 +322,11 @@ class _Links:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80,
-                    trees: int = 16, small: int = 24, levels: int = 6, pivot_level: int = 2,
-                    pivots: int = 8, carry: Sequence[str] = ()) -> DataFrame:
+                    trees: int = 16, small: int = 64, levels: int = 5, pivot_level: int = 2, pivot_trees: int = 2,
+                    pivots: int = 4, carry: Sequence[str] = ()) -> DataFrame:
     """(key, n_shingles, component_id, kept) per row of ``docs``, plus the
     narrow columns of ``carry``."""
+    threshold = percent / 100.0
     # Rows without an id or a set are answered as they are.
     table = materialize(sketches(docs, text, key, words, carry), "dup-sketch")
     whole = table.filter("id IS NOT NULL AND n > 0")
@@ -222,69 +334,44 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
                           "dup-classes")
     sketch = materialize(
         whole.join(classes.select(F.col("rep").alias("id"), "n", "digest"), ["id", "n", "digest"])
-        .dropDuplicates(["id", "digest"]).select("id", "n", "sketch"), "dup-reps")
-    links = _Links(docs, text, key, words, sketch, percent)
-    extra = 100.0 / percent - 1.0
+        .dropDuplicates(["id", "digest"]).select("id", "n", "sketch", "bins"), "dup-reps")
+    links = _Links(docs, text, key, words, percent)
 
-    roots = F.explode(F.transform(F.sequence(F.lit(1), F.lit(trees)), lambda t: F.xxhash64(F.lit("tree"), t)))
-    level = sketch.select("id", "sketch", roots.alias("node"))
-    found = None
+    tree = F.explode(F.sequence(F.lit(1), F.lit(trees)))
+    level = sketch.select("id", "sketch", tree.alias("tree")).withColumn(
+        "node", _flagged(F.xxhash64(F.lit("tree"), "tree"), (F.col("tree") <= pivot_trees).cast("long")))
+    leaves = None  # rows of nodes to compare
     for depth in range(1, levels + 1):
-        rows = _shared(_children(level, extra), f"dup-level{depth}")
-        few = _pairs(rows.filter(F.col("count") <= small))
-        if depth > pivot_level:
-            few = _apart(few, links.groups) if links.groups is not None else few
-        found = few if found is None else found.unionByName(few)
+        rows = _shared(_children(level, 1.0 / threshold - 1.0), f"dup-level{depth}")
+        few = rows.filter(F.col("count") <= small).select("node", "id")
         many = rows.filter(F.col("count") > small).select("node", "id")
+        leaves = few if leaves is None else leaves.unionByName(few)
         if depth == pivot_level:
-            links.add(found.unionByName(_pivot_pairs(many, pivots)).distinct())
-            found = None
+            flagged = many.filter(F.col("node").bitwiseAND(F.lit(1)) == 1)
+            links.add(_pivot_pairs(flagged, sketch, pivots, threshold))
         if depth >= pivot_level:
-            many = materialize(_mixed(many, links.groups), f"dup-mixed{depth}")
+            many = materialize(_mixed(many, links.groups).select("node", "id"), f"dup-many{depth}")
             if many.isEmpty():
                 break
-        if depth == levels:  # the exact way for what no level parted
-            found = found.unionByName(_across(many, links.groups)) if found is not None else _across(many, links.groups)
+        if depth == levels:
+            leaves = leaves.unionByName(many)
             break
         level = many.join(sketch.select("id", "sketch"), "id")
-    if found is not None:
-        links.add(found)
+    links.add(_node_pairs(leaves, sketch, links.groups, threshold))
     return _answer(table, classes, links.groups, key, carry)
 
 
-def _pivot_pairs(many: DataFrame, pivots: int) -> DataFrame:
-    """Pairs of each row of a large node with the node's pivots: the ids
-    lowest in as many hash orders, found by combined minima."""
-    lowest = [F.min(F.struct(F.xxhash64(F.lit(j), F.col("id")), F.col("id").alias("id"))).alias(f"p{j}")
-              for j in range(pivots)]
-    per_node = many.groupBy("node").agg(*lowest).select(
-        "node", F.array_distinct(F.array(*[F.col(f"p{j}.id") for j in range(pivots)])).alias("pivots"))
-    per_node = materialize(per_node, "dup-pivots")
-    rows = many.join(per_node, "node").select("id", F.explode("pivots").alias("p")).filter("id <> p")
-    return rows.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
-
-
-def _with_group(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+def _mixed(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """(node, id, g) of nodes that hold more than one group (a document
+    without a group is one)."""
     if groups is None:
         return rows.withColumn("g", F.col("id"))
     g = groups.select(F.col("node").alias("id"), F.col("component").alias("g"))
-    return rows.join(g, "id", "left").withColumn("g", F.coalesce("g", "id"))
-
-
-def _mixed(many: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Rows of nodes that hold more than one group."""
-    rows = materialize(_with_group(many, groups), "dup-grouped")
+    rows = materialize(rows.join(g, "id", "left").withColumn("g", F.coalesce("g", "id")).select("node", "id", "g"),
+                       "dup-grouped")
     mixed = materialize(rows.groupBy("node").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
                         .filter("lo <> hi").select("node"), "dup-mixed-nodes")
-    return rows.join(mixed, "node").select("node", "id")
-
-
-def _across(many: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Pairs between different groups of a node."""
-    rows = materialize(_with_group(many, groups), "dup-last")
-    other = rows.select("node", F.col("id").alias("b"), F.col("g").alias("g_b"))
-    return (rows.join(other, "node").filter((F.col("id") < F.col("b")) & (F.col("g") != F.col("g_b")))
-            .select(F.col("id").alias("a"), "b"))
+    return rows.join(mixed, "node")
 
 
 def _answer(table: DataFrame, classes: DataFrame, groups: DataFrame | None, key: str,

@@ -53,7 +53,7 @@ def corpus(seed=0):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("k,small,pivot_level,levels", [(4, 24, 2, 6), (5, 3, 1, 2), (4, 5, 2, 3)])
+@pytest.mark.parametrize("k,small,pivot_level,levels", [(4, 64, 2, 5), (5, 3, 1, 2), (4, 5, 2, 3)])
 def test_groups_against_all_pairs(spark, k, small, pivot_level, levels):
     rows = corpus(k)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -63,6 +63,25 @@ def test_groups_against_all_pairs(spark, k, small, pivot_level, levels):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_large_nodes_are_compared_in_packs(spark, monkeypatch):
+    monkeypatch.setattr(nd, "PACK", 8)
+    rows = corpus(9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = nd.near_duplicates(docs, words=4, small=4, levels=2, pivots=1).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows, 4)
+
+
+def test_estimate_against_full_sets():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    a = rng.integers(1, 255, (40, nd.BINS)).astype(np.uint8)
+    b = a.copy()
+    b[:, :50] = 0
+    guess, near = nd.estimate(a, b, 0.8)
+    assert abs(guess.diagonal() - (nd.BINS - 50) / nd.BINS).max() < 1e-9 and near.diagonal().all()
+    assert guess[~np.eye(40, dtype=bool)].max() < 0.1 and not near[~np.eye(40, dtype=bool)].any()
+
+
 def test_edges(edge_docs, clash_docs, empty_docs):
     got = nd.near_duplicates(edge_docs, words=4, carry=("source",))
     rows = got.collect()
