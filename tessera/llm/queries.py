@@ -137,4 +137,36 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN size > 0 THEN (passes + CASE WHEN start + size / 2.0::DOUBLE < target - passes * source_size
                     AND passes < 2 THEN 1 ELSE 0 END) * size ELSE 0 END::BIGINT AS taken
         FROM k""",
+    # Brute force: every pair that shares a shingle, then reachability.
+    "op8_chosen_path_join": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                        'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                     ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                     END AS shingles FROM d),
+        e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS x FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n_a, b.n AS n_b, count(*) AS common
+              FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p WHERE 100 * common >= 80 * (n_a + n_b - common)),
+        u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r AS (SELECT doc_id, doc_id AS root FROM s
+              UNION SELECT u.b, r.root FROM r JOIN u ON u.a = r.doc_id WHERE r.root < u.b),
+        c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+        SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
+        FROM s JOIN c USING (doc_id)""",
+    "op6_subspace_pigeonhole": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CASE WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                                 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+                                THEN embedding::DOUBLE[] END AS x FROM embeddings),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.x) = len(b.x)
+              WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+        u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r AS (SELECT vec_id, vec_id AS root FROM v
+              UNION SELECT u.b, r.root FROM r JOIN u ON u.a = r.vec_id WHERE r.root < u.b),
+        c AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id),
+        n AS (SELECT a AS vec_id, count(*) AS n_links FROM u GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM v JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)""",
 }
