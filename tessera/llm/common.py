@@ -8,7 +8,9 @@ import pickle
 import sys
 import types
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Any
 
 from pyspark import cloudpickle
@@ -26,17 +28,44 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("tessera_scratch", default=None)
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the session's shared checkpoint folder
     and read it back: later steps read the table instead of recomputing its
-    lineage, and it survives lost executors. The caller (or the cluster's
-    clean-up of that folder) removes it; nothing goes to a local folder."""
+    lineage, and it survives lost executors. Inside :func:`scratch` the
+    table goes when the scope ends, unless ``keep``; otherwise the caller
+    (or the cluster's clean-up of that folder) removes it."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    tables = _SCRATCH.get()
+    if tables is not None and not keep:
+        tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables materialised inside when it ends: for an operator
+    whose result is itself a kept table, so that nothing reads them later.
+    An inner scope leaves its tables to the outer one."""
+    if _SCRATCH.get() is not None:
+        yield
+        return
+    tables: list[str] = []
+    token = _SCRATCH.set(tables)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in tables:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
+
 def packed(df: DataFrame, *columns: Column) -> DataFrame:
     """``row`` (all columns of ``df`` as one struct) plus ``columns``: the
     operator's own columns then cannot clash with those of ``df``."""

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import materialize, share
+from tessera.llm.common import materialize, scratch, share
 from tessera.llm.components import components
 
 
@@ -156,6 +156,13 @@ def _sample(vectors: DataFrame, rows: int):
 def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = 0.9,
                     block_dims: int = 16, leaf_rows: int = 8192, sample_rows: int = 16_384) -> DataFrame:
     """(key, n_links, component_id, kept) per row of ``table``."""
+    with scratch(table.sparkSession):
+        answer = _near_duplicates(table, key, vector, least, block_dims, leaf_rows, sample_rows)
+        return materialize(answer, "vec-answer", keep=True)
+
+
+def _near_duplicates(table: DataFrame, key: str, vector: str, least: float, block_dims: int, leaf_rows: int,
+                     sample_rows: int) -> DataFrame:
     v = F.col(vector).cast("array<double>")
     usable = F.coalesce(
         F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))

@@ -49,7 +49,7 @@ from pyspark.sql import types as T
 
 from tessera.session import ship_package
 
-from tessera.llm.common import WORD, materialize
+from tessera.llm.common import WORD, materialize, scratch
 from tessera.llm.components import components
 
 SKETCH = 64  # minwise values that choose paths
@@ -326,6 +326,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
                     pivots: int = 4, carry: Sequence[str] = ()) -> DataFrame:
     """(key, n_shingles, component_id, kept) per row of ``docs``, plus the
     narrow columns of ``carry``."""
+    with scratch(docs.sparkSession):
+        answer = _near_duplicates(docs, text, key, words, percent, trees, small, levels, pivot_level, pivot_trees,
+                                  pivots, carry)
+        return materialize(answer, "dup-answer", keep=True)
+
+
+def _near_duplicates(docs: DataFrame, text: str, key: str, words: int, percent: int, trees: int, small: int,
+                     levels: int, pivot_level: int, pivot_trees: int, pivots: int, carry: Sequence[str]) -> DataFrame:
     threshold = percent / 100.0
     # Rows without an id or a set are answered as they are.
     table = materialize(sketches(docs, text, key, words, carry), "dup-sketch")
