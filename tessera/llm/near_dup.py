@@ -27,7 +27,7 @@ group is what links connect.
 
 No pair is left out once found. A pair at the threshold is missed with a
 probability of about 1e-4 at 16 trees and five levels (higher similarities
-less often), or with one below 1e-6 by the estimate, whose limit lies five
+less often), or with one of 3e-5 by the estimate, whose limit lies four
 deviations below the threshold. Groups come from
 :mod:`tessera.llm.components`.
 
@@ -53,7 +53,7 @@ from tessera.llm.common import WORD, materialize, scratch
 from tessera.llm.components import components
 
 SKETCH = 64  # minwise values that choose paths
-BINS = 256   # binned minima, a byte each, that estimate similarity
+BINS = 512   # binned minima, a byte each, that estimate similarity
 PACK = 512   # rows of a node compared at a time
 FILTER_BITS = 24
 
@@ -111,7 +111,7 @@ def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
                     low = np.minimum(low, h.min(axis=0))
                 mins.append((low >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 y = np.sort((x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93))
-                place, first = np.unique(y >> np.uint64(56), return_index=True)
+                place, first = np.unique(y >> np.uint64(64 - BINS.bit_length() + 1), return_index=True)
                 row = np.zeros(BINS, np.uint8)
                 # Low bits, as the high ones of a bin's minimum are not spread evenly.
                 row[place.astype(np.int64)] = ((y[first] >> np.uint64(8)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
@@ -125,15 +125,27 @@ def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
     return rows.mapInArrow(run, schema)
 
 
-def estimate(a, b, threshold: float):
-    """Estimated similarity of rows of binned minima (two-dimensional, each
-    row of ``a`` with each of ``b``), and whether the threshold is within
-    five deviations."""
+def least_estimate(threshold: float, either, total):
+    """Least estimate of a pair at the threshold, four deviations below it.
+    The filled bins are a sample without replacement from the union, which
+    has at most total / (1 + threshold) elements if the pair reaches the
+    threshold; small sets fill a bin of their own each and leave little to
+    chance."""
+    import numpy as np
+    union = total / (1.0 + threshold)
+    share = np.clip((union - either) / np.maximum(union - 1.0, 1.0), 0.0, 1.0)
+    return threshold - 4.0 * np.sqrt(threshold * (1.0 - threshold) / either * share) - 1.0 / either
+
+
+def estimate(a, b, n_a, n_b, threshold: float):
+    """Estimated similarity of rows of binned minima (each row of ``a`` with
+    each of ``b``, sets of ``n_a`` and ``n_b`` elements), and whether it
+    allows the threshold."""
     import numpy as np
     either = np.maximum((a[:, None, :] | b[None, :, :] > 0).sum(axis=2), 1)
     same = ((a[:, None, :] == b[None, :, :]) & (a[:, None, :] > 0)).sum(axis=2)
     guess = same / either
-    return guess, guess >= threshold - 5 * np.sqrt(threshold * (1 - threshold) / either) - 0.5 / either
+    return guess, guess >= least_estimate(threshold, either, n_a[:, None] + n_b[None, :])
 
 
 def _children(rows: DataFrame, extra: float) -> DataFrame:
@@ -187,12 +199,13 @@ def _pivot_pairs(many: DataFrame, sketch: DataFrame, pivots: int, threshold: flo
                               for c in ("bins_a", "bins_b"))
             either = np.maximum((bins_a | bins_b > 0).sum(axis=1), 1)
             guess = ((bins_a == bins_b) & (bins_a > 0)).sum(axis=1) / either
-            near = guess >= threshold - 5 * np.sqrt(threshold * (1 - threshold) / either) - 0.5 / either
+            near = guess >= least_estimate(threshold, either, np.asarray(x.column("total")))
             at = pa.array(np.flatnonzero(near))
             yield pa.RecordBatch.from_arrays([x.column("a").take(at), x.column("b").take(at), pa.array(guess[near])],
                                              names=["a", "b", "estimate"])
 
-    return joined.select("a", "b", "bins_a", "bins_b").mapInArrow(run, schema)
+    total = (F.col("n_a") + F.col("n_b")).cast("double").alias("total")
+    return joined.select("a", "b", "bins_a", "bins_b", total).mapInArrow(run, schema)
 
 
 def _node_pairs(rows: DataFrame, sketch: DataFrame, groups: DataFrame | None, threshold: float) -> DataFrame:
@@ -230,8 +243,8 @@ def _node_pairs(rows: DataFrame, sketch: DataFrame, groups: DataFrame | None, th
                 same = x.column("same")[k].as_py()
                 label = {g: i for i, g in enumerate({*g_a, *g_b})}
                 g_a, g_b = np.array([label[g] for g in g_a]), np.array([label[g] for g in g_b])
-                for s in range(0, len(n_a), 32):  # bounded work space
-                    e = slice(s, s + 32)
+                for s in range(0, len(n_a), 16):  # bounded work space
+                    e = slice(s, s + 16)
                     large = np.maximum(n_a[e, None], n_b[None, :])
                     fit = (np.minimum(n_a[e, None], n_b[None, :]) >= (threshold - 1e-9) * large) & (
                         g_a[e, None] != g_b[None, :])
@@ -239,7 +252,7 @@ def _node_pairs(rows: DataFrame, sketch: DataFrame, groups: DataFrame | None, th
                         fit &= np.arange(len(n_a))[e, None] < np.arange(len(n_b))[None, :]
                     if not fit.any():
                         continue
-                    guess, near = estimate(bins_a[e], bins_b, threshold)
+                    guess, near = estimate(bins_a[e], bins_b, n_a[e], n_b, threshold)
                     i, j = np.nonzero(fit & near)
                     if len(i):
                         yield pa.RecordBatch.from_arrays(
@@ -290,7 +303,8 @@ class _Links:
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
         """Full sets of the documents in the pairs, from their whole texts."""
-        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "dup-ids")
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        ids = materialize(ids, "dup-ids")
         rows = _candidates_only(self.docs.select(F.col(self.key).alias("id"), F.col(self.text).alias("text")), ids)
         return materialize(rows.select("id", shingles(F.col("text"), self.words).alias("set")), "dup-sets")
 
@@ -323,7 +337,7 @@ class _Links:
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80,
                     trees: int = 16, small: int = 64, levels: int = 5, pivot_level: int = 2, pivot_trees: int = 2,
-                    pivots: int = 4, carry: Sequence[str] = ()) -> DataFrame:
+                    pivots: int = 6, carry: Sequence[str] = ()) -> DataFrame:
     """(key, n_shingles, component_id, kept) per row of ``docs``, plus the
     narrow columns of ``carry``."""
     with scratch(docs.sparkSession):

@@ -71,15 +71,33 @@ def test_large_nodes_are_compared_in_packs(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows, 4)
 
 
-def test_estimate_against_full_sets():
+def test_estimate_keeps_pairs_above_the_threshold():
+    """Random pairs of sets around the threshold: none at or above it is
+    refused, most of those well below it are."""
     import numpy as np
     rng = np.random.default_rng(3)
-    a = rng.integers(1, 255, (40, nd.BINS)).astype(np.uint8)
-    b = a.copy()
-    b[:, :50] = 0
-    guess, near = nd.estimate(a, b, 0.8)
-    assert abs(guess.diagonal() - (nd.BINS - 50) / nd.BINS).max() < 1e-9 and near.diagonal().all()
-    assert guess[~np.eye(40, dtype=bool)].max() < 0.1 and not near[~np.eye(40, dtype=bool)].any()
+
+    def bins(x):
+        y = np.sort((x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93))
+        place, first = np.unique(y >> np.uint64(65 - nd.BINS.bit_length()), return_index=True)
+        row = np.zeros(nd.BINS, np.uint8)
+        row[place.astype(np.int64)] = ((y[first] >> np.uint64(8)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+        return row
+
+    refused = kept_low = low = 0
+    for _ in range(600):
+        n = int(rng.integers(4, 900))
+        union = rng.integers(0, 1 << 62, n, dtype=np.uint64)
+        both = int(n * rng.uniform(0.5, 1.0))
+        cut = both + (n - both) // 2
+        a, b = union[:cut], np.r_[union[:both], union[cut:]]
+        j = both / n
+        guess, near = nd.estimate(bins(a)[None], bins(b)[None], np.array([len(a)]), np.array([len(b)]), 0.8)
+        refused += j >= 0.8 and not near[0, 0]
+        if j < 0.65:
+            low += 1
+            kept_low += near[0, 0]
+    assert refused == 0 and kept_low < 0.2 * low
 
 
 def test_edges(edge_docs, clash_docs, empty_docs):
