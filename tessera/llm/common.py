@@ -179,3 +179,10 @@ class TwoTierCache:
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}
         self.young[key] = value
+
+    def extend(self, items) -> None:
+        """Many entries at once; the generation may end that much above
+        ``size``."""
+        self.young.update(items)
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}

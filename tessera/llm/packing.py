@@ -213,7 +213,7 @@ def segments_of(groups: list[Group]) -> list[tuple[int, int, int, int, int, int]
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, text: str = "text", key: str = "doc_id",
-           with_ids: bool = False, batch_bytes: int = 4 << 20, cache_size: int = 200_000) -> DataFrame:
+           with_ids: bool = False, batch_bytes: int = 4 << 20, cache_size: int = 600_000) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) for every text."""
     ship_package()
     fields = [T.StructField("doc_id", docs.schema[key].dataType), T.StructField("piece", T.IntegerType()),

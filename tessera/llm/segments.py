@@ -3,10 +3,11 @@ boundaries so that each distinct segment is encoded once per worker.
 
 A boundary is a single space between two characters that are not white
 space: the pre-tokenizers used here start a token at such a space and never
-span it, so the ids of the text are the ids of its segments in order. A
-segment keeps its leading space. Texts whose spaces touch other white space
-are cut only at the safe ones. Special strings inside a text hold no space,
-so they stay in one segment and are handled as the library does by default.
+span it, so the ids of the text are the ids of its segments in order. Texts
+whose spaces touch other white space are cut only at the safe ones. Special
+strings inside a text hold no space, so they stay in one segment and are
+handled as the library does by default. Segments not yet known are encoded
+many to one text, whose tokens that start with a space start the segments.
 """
 
 from __future__ import annotations
@@ -18,67 +19,86 @@ from tessera.llm.common import TwoTierCache
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
+# White space other than the space and the line feed.
+OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def every_space_is_safe(text: str) -> bool:
+    """Whether all spaces stand alone between other characters (texts with
+    rarer white space are not looked at closer)."""
+    return not (text[0] == " " or text[-1] == " " or "  " in text or "\n " in text or " \n" in text
+                or OTHER_SPACE.search(text))
+
+
 class HfSegments:
     """``id_bytes``: each text's ids as little-endian unsigned 32-bit."""
 
     def __init__(self, path: str, cache_size: int, longest: int = 64):
+        import numpy as np
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache = TwoTierCache(cache_size)
+        self.cache = TwoTierCache(cache_size)  # segments after a space, spelled without it
+        self.firsts = TwoTierCache(cache_size // 16)  # other segments
         self.longest = longest
-        # Fixed check: a pre-tokenizer that does not keep a leading space
-        # with its word gets whole texts.
+        # A pre-tokenizer that does not keep a leading space with its word
+        # gets whole texts.
+        space = self.tokenizer.encode(" x", add_special_tokens=False).tokens[:1]
+        mark = space[0][0] if space and space[0] else "x"
+        size = self.tokenizer.get_vocab_size()
+        self.starts = np.array([(self.tokenizer.id_to_token(i) or "x")[0] == mark for i in range(size)])
         whole = self.tokenizer.encode("ab cd", add_special_tokens=False).ids
         parts = [self.tokenizer.encode(s, add_special_tokens=False).ids for s in ("ab", " cd")]
-        self.safe = whole == parts[0] + parts[1]
+        self.safe = mark != "x" and whole == parts[0] + parts[1]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
         return [np.asarray(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_joined(self, segments: list[str], chunk: int = 4096) -> list[bytes]:
-        """Ids of segments that start with their space, many to one text; a
-        token belongs to the segment its first character is in."""
+    def _encode_words(self, words: list[str], chunk: int = 8192) -> list[bytes]:
+        """Ids of " " + word for words without white space at their ends."""
         import numpy as np
-        groups = [segments[i:i + chunk] for i in range(0, len(segments), chunk)]
         out: list[bytes] = []
-        for group in groups:
-            e = self.tokenizer.encode("".join(group), add_special_tokens=False)
-            ids = np.asarray(e.ids, dtype="<u4")
-            first = np.fromiter((a for a, _ in e.offsets), dtype=np.int64, count=len(ids))
-            ends = np.cumsum([len(s) for s in group])
-            cuts = [0, *(4 * np.searchsorted(first, ends)).tolist()]
+        for i in range(0, len(words), chunk):
+            group = words[i:i + chunk]
+            ids = np.asarray(self.tokenizer.encode_batch_fast(
+                [" " + " ".join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
+            at = np.flatnonzero(self.starts[ids])
+            if len(at) != len(group):  # a segment with a space inside
+                return out + self._encode([" " + w for w in words[i:]])
+            cuts = [*(4 * at).tolist(), 4 * len(ids)]
             raw = ids.tobytes()
             out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
         return out
 
+    def _filled(self, cache: TwoTierCache, keys: list[str], encode) -> list[bytes]:
+        """The value of each key; those in neither generation of the cache
+        are encoded together."""
+        values = list(map(cache.young.get, keys))
+        gaps = [i for i, v in enumerate(values) if v is None]
+        if gaps:
+            unknown = list(dict.fromkeys([keys[i] for i in gaps]))
+            fresh = dict(zip(unknown, map(cache.old.get, unknown)))
+            todo = [k for k, v in fresh.items() if v is None]
+            fresh.update(zip(todo, encode(todo)))
+            cache.extend([(k, v) for k, v in fresh.items() if len(k) <= self.longest])
+            for i in gaps:
+                values[i] = fresh[keys[i]]
+        return values
+
     def id_bytes(self, texts: list[str | None]) -> list[bytes]:
         if not self.safe:
             return self._encode([t or "" for t in texts])
-        cut = [self._segments(t) if t else [] for t in texts]
-        known: dict[str, bytes | None] = {}
-        lookup = self.cache.lookup
-        for segs in cut:
-            for s in set(segs):
-                if s not in known:
-                    known[s] = lookup(s)
-        todo = [s for s, v in known.items() if v is None]
-        joined = [s for s in todo if s[0] == " " and not s[1:2].isspace() and len(s) > 1]
-        firsts = [s for s in todo if not (s[0] == " " and not s[1:2].isspace() and len(s) > 1)]
-        for some, encode in ((joined, self._encode_joined), (firsts, self._encode)):
-            for s, v in zip(some, encode(some)):
-                known[s] = v
-                if len(s) <= self.longest:
-                    self.cache.put(s, v)
-        get = known.__getitem__
-        return [b"".join(map(get, segs)) for segs in cut]
-
-    @staticmethod
-    def _segments(text: str) -> list[str]:
-        """First segment as it stands (it may itself start with white
-        space, but then not with a safe space), the others with theirs."""
-        parts = SAFE_SPACE.split(text)
-        return parts[:1] + [" " + p for p in parts[1:]]
+        firsts: list[str] = []
+        words: list[str] = []
+        ends: list[int] = []
+        for t in texts:
+            parts = [""] if not t else t.split(" ") if every_space_is_safe(t) else SAFE_SPACE.split(t)
+            firsts.append(parts[0])
+            words += parts[1:]
+            ends.append(len(words))
+        head = self._filled(self.firsts, firsts, self._encode)
+        body = self._filled(self.cache, words, self._encode_words)
+        return [b"".join([h, *body[a:b]]) for h, a, b in zip(head, [0, *ends], ends)]
