@@ -285,11 +285,11 @@ def _sha_sql(kind: str, text: str) -> str:
 
 
 def _quoted_sql(col: str) -> str:
-    return f"coalesce( || {col} || , 'None')"
+    return f"coalesce(chr(39) || {col} || chr(39), 'None')"
 
 
 # JSON as the key/value check reads it: DuckDB's validity, plus the three
-# literals it does not know. (test_quality holds that no line of the tables
+# literals it does not know. (test_queries holds that no line of the tables
 # falls where the two differ otherwise.)
 def _json_sql(col: str) -> str:
     return f"(json_valid({col}) OR trim({col}, ' ' || chr(9) || chr(10) || chr(13)) IN ('NaN', 'Infinity', '-Infinity'))"
