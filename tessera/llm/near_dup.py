@@ -137,15 +137,18 @@ def least_estimate(threshold: float, either, total):
     return threshold - 4.0 * np.sqrt(threshold * (1.0 - threshold) / either * share) - 1.0 / either
 
 
-def estimate(a, b, n_a, n_b, threshold: float):
-    """Estimated similarity of rows of binned minima (each row of ``a`` with
-    each of ``b``, sets of ``n_a`` and ``n_b`` elements), and whether it
-    allows the threshold."""
+def estimates(a, b, total, threshold: float):
+    """Estimated similarity of rows of binned minima, row by row, for sets of
+    ``total`` elements together, and whether it allows the threshold."""
     import numpy as np
-    either = np.maximum((a[:, None, :] | b[None, :, :] > 0).sum(axis=2), 1)
-    same = ((a[:, None, :] == b[None, :, :]) & (a[:, None, :] > 0)).sum(axis=2)
+
+    def count(flags):
+        return np.bitwise_count(np.packbits(flags, axis=1).view(np.uint64)).sum(axis=1, dtype=np.int64)
+
+    either = np.maximum(count((a | b) != 0), 1)
+    same = count(a == b) - (BINS - either)  # bins empty in both are equal too
     guess = same / either
-    return guess, guess >= least_estimate(threshold, either, n_a[:, None] + n_b[None, :])
+    return guess, guess >= least_estimate(threshold, either, total)
 
 
 def _children(rows: DataFrame, extra: float) -> DataFrame:
@@ -197,9 +200,7 @@ def _pivot_pairs(many: DataFrame, sketch: DataFrame, pivots: int, threshold: flo
                 continue
             bins_a, bins_b = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
                               for c in ("bins_a", "bins_b"))
-            either = np.maximum((bins_a | bins_b > 0).sum(axis=1), 1)
-            guess = ((bins_a == bins_b) & (bins_a > 0)).sum(axis=1) / either
-            near = guess >= least_estimate(threshold, either, np.asarray(x.column("total")))
+            guess, near = estimates(bins_a, bins_b, np.asarray(x.column("total")), threshold)
             at = pa.array(np.flatnonzero(near))
             yield pa.RecordBatch.from_arrays([x.column("a").take(at), x.column("b").take(at), pa.array(guess[near])],
                                              names=["a", "b", "estimate"])
@@ -243,20 +244,18 @@ def _node_pairs(rows: DataFrame, sketch: DataFrame, groups: DataFrame | None, th
                 same = x.column("same")[k].as_py()
                 label = {g: i for i, g in enumerate({*g_a, *g_b})}
                 g_a, g_b = np.array([label[g] for g in g_a]), np.array([label[g] for g in g_b])
-                for s in range(0, len(n_a), 16):  # bounded work space
-                    e = slice(s, s + 16)
-                    large = np.maximum(n_a[e, None], n_b[None, :])
-                    fit = (np.minimum(n_a[e, None], n_b[None, :]) >= (threshold - 1e-9) * large) & (
-                        g_a[e, None] != g_b[None, :])
-                    if same:
-                        fit &= np.arange(len(n_a))[e, None] < np.arange(len(n_b))[None, :]
-                    if not fit.any():
-                        continue
-                    guess, near = estimate(bins_a[e], bins_b, n_a[e], n_b, threshold)
-                    i, j = np.nonzero(fit & near)
-                    if len(i):
+                large = np.maximum(n_a[:, None], n_b[None, :])
+                fit = (np.minimum(n_a[:, None], n_b[None, :]) >= (threshold - 1e-9) * large) & (
+                    g_a[:, None] != g_b[None, :])
+                if same:
+                    fit &= np.arange(len(n_a))[:, None] < np.arange(len(n_b))[None, :]
+                left, right = np.nonzero(fit)
+                for s in range(0, len(left), 1 << 13):  # bounded work space
+                    i, j = left[s:s + (1 << 13)], right[s:s + (1 << 13)]
+                    guess, near = estimates(bins_a[i], bins_b[j], (n_a[i] + n_b[j]).astype(np.float64), threshold)
+                    if near.any():
                         yield pa.RecordBatch.from_arrays(
-                            [id_a.take(pa.array(i + s)), id_b.take(pa.array(j)), pa.array(guess[i, j])],
+                            [id_a.take(pa.array(i[near])), id_b.take(pa.array(j[near])), pa.array(guess[near])],
                             names=["a", "b", "estimate"])
 
     found = tasks.mapInArrow(run, schema)
