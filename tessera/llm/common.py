@@ -159,6 +159,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def give_back_memory() -> None:
+    """Return freed buffers of a Python worker to the system: a reused
+    worker otherwise carries one stage's peak through the next."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to do
+        pass
+
+
 class TwoTierCache:
     """A bounded dictionary: two generations of at most ``size`` entries;
     entries used again survive the drop of the old generation."""

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import packed, share, unpacked
+from tessera.llm.common import give_back_memory, packed, share, unpacked
 from tessera.llm.token_counts import slices_by_bytes
 
 UNKNOWN = "und"
@@ -179,7 +179,7 @@ class PpmModel:
             miss, key = miss[~found], key[~found]
         return out
 
-    def code_lengths(self, texts: list[str | None], piece: int = 1 << 20):
+    def code_lengths(self, texts: list[str | None], piece: int = 1 << 18):
         """Bits per text and language, over whole texts, in pieces of bytes
         that start with the context before them."""
         import numpy as np
@@ -221,7 +221,7 @@ def train(learn: DataFrame, key: str = "doc_id", docs_per_lang: int = 200, max_c
 
 
 def identified(docs: DataFrame, model: PpmModel | None, text: str = "text",
-               batch_bytes: int = 4 << 20) -> DataFrame:
+               batch_bytes: int = 1 << 20) -> DataFrame:
     """(row, lang_pred, score) per row of ``docs``; one map stage."""
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     if model is None:
@@ -248,6 +248,7 @@ def identified(docs: DataFrame, model: PpmModel | None, text: str = "text",
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=["row", "lang_pred", "score"])
+        give_back_memory()
 
     return rows.mapInArrow(run, schema)
 

@@ -49,7 +49,7 @@ from pyspark.sql import types as T
 
 from tessera.session import ship_package
 
-from tessera.llm.common import WORD, materialize, scratch
+from tessera.llm.common import WORD, give_back_memory, materialize, scratch
 from tessera.llm.components import components
 
 SKETCH = 64  # minwise values that choose paths
@@ -86,7 +86,8 @@ def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
         rng = np.random.default_rng(20_240_229)
         mult = rng.integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         add = rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64)
-        for b in batches:
+        few = (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000))
+        for b in few:  # bounded work space
             sets = b.column("set")
             values = sets.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             ends = np.cumsum(pa.compute.list_value_length(sets).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -120,6 +121,7 @@ def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
                 [b.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(mins, pa.list_(pa.int32())), pa.array(bins, pa.binary()), *[b.column(c) for c in carry]],
                 names=["id", "n", "digest", "sketch", "bins", *carry])
+        give_back_memory()
 
     rows = docs.select(F.col(key).alias("id"), shingles(F.col(text), words).alias("set"), *carry)
     return rows.mapInArrow(run, schema)
@@ -257,6 +259,7 @@ def _node_pairs(rows: DataFrame, sketch: DataFrame, groups: DataFrame | None, th
                         yield pa.RecordBatch.from_arrays(
                             [id_a.take(pa.array(i[near])), id_b.take(pa.array(j[near])), pa.array(guess[near])],
                             names=["a", "b", "estimate"])
+        give_back_memory()
 
     found = tasks.mapInArrow(run, schema)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "estimate").distinct()

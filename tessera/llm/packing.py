@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from tessera.session import ship_package
 
-from tessera.llm.common import materialize, number_rows, tokenizer_path, worker_state
+from tessera.llm.common import give_back_memory, materialize, number_rows, tokenizer_path, worker_state
 from tessera.llm.segments import HfSegments
 from tessera.llm.token_counts import slices_by_bytes
 
@@ -213,7 +213,7 @@ def segments_of(groups: list[Group]) -> list[tuple[int, int, int, int, int, int]
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, text: str = "text", key: str = "doc_id",
-           with_ids: bool = False, batch_bytes: int = 4 << 20, cache_size: int = 600_000) -> DataFrame:
+           with_ids: bool = False, batch_bytes: int = 4 << 20, cache_size: int = 400_000) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) for every text."""
     ship_package()
     fields = [T.StructField("doc_id", docs.schema[key].dataType), T.StructField("piece", T.IntegerType()),
@@ -251,6 +251,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, text: st
                     columns.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        give_back_memory()
 
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"),
                        F.coalesce(F.octet_length(text), F.lit(0)).alias("size"))
