@@ -11,6 +11,7 @@ D(t) = (1 - r) t + r t^2 times the target. Whole passes over the source,
 each in its own stable order, fill the demand; a copy that starts after c
 words gets the training position t with D(t) = c / target, inverted in
 closed form, and the mix is the range sort of all copies by position.
+:func:`scheduled` runs all of it over narrow rows and writes the result.
 
 A document is taken a whole number of times: every document once per full
 pass, plus once if it comes within the last, partial pass. Sums stay within
@@ -108,6 +109,19 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
                     at.alias("positions"), *carry))
 
 
+def scheduled(docs: DataFrame, **options) -> DataFrame:
+    """(key, size, source_size, target, taken, copy, position), range-sorted
+    by training position and written: a row per copy (numbered from 0), and
+    one without copy and position (last) for each document not taken. Rows
+    whose ``copy`` is 0 or null are the documents, each once."""
+    key = options.get("key", "doc_id")
+    plan = materialize(mix(docs, **options), "mix-plan")
+    rows = plan.select(key, "size", "source_size", "target", "taken",
+                       F.posexplode_outer("positions").alias("copy", "position"))
+    at = F.col("position").asc_nulls_last()
+    return materialize(rows.repartitionByRange(at, key, "size").sortWithinPartitions(at, key, "size"), "mix-order")
+
+
 def ordered_mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
                 **options) -> DataFrame:
     """(row, position): every row of ``docs``, as a struct, once per copy,

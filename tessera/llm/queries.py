@@ -52,8 +52,8 @@ def op6_subspace_pigeonhole(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf)).select(
-        "doc_id", "size", "source_size", "target", "taken")
+    order = mixing.scheduled(documents(spark, sf))
+    return order.filter("copy IS NULL OR copy = 0").select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op8_chosen_path_join(spark: SparkSession, sf: str) -> DataFrame:

@@ -86,3 +86,52 @@ def test_edges(edge_docs, clash_docs, empty_docs):
 def test_no_python(spark):
     plan = m.ordered_mix(corpus(spark, 10))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def demand(t, r):
+    return (1 - r) * t + r * t * t
+
+
+def test_scheduled_rows_are_the_curriculum(spark):
+    """Every copy's position solves D(t) = words before it / target."""
+    docs = corpus(spark)
+    rows = m.scheduled(docs).collect()
+    source = {r["doc_id"]: r["source"] for r in docs.collect()}
+    slope = {s: m.SLOPES[i % 3] for i, s in enumerate(sorted(set(source.values())))}
+    plan = {r["doc_id"]: r for r in m.mix(docs).collect()}
+    assert sum(r["copy"] is None or r["copy"] == 0 for r in rows) == len(plan)
+    assert sum(r["copy"] is not None for r in rows) == sum(p["copies"] for p in plan.values())
+    first = defaultdict(list)
+    for r in rows:
+        if r["copy"] is not None:
+            words = demand(r["position"], slope[source[r["doc_id"]]]) * r["target"]
+            first[source[r["doc_id"]]].append((round(words), r["copy"], r["size"], r["source_size"]))
+    for copies in first.values():  # a pass is filled without gaps, and the next follows the whole source
+        at = 0
+        for words, copy, size, source_size in sorted(copies):
+            if copy == 0:
+                assert words >= at
+                at = words + size
+            else:
+                assert words >= copy * source_size - 1
+    got = sorted(r["position"] for r in m.curriculum(docs).collect())
+    assert got == sorted(r["position"] for r in rows if r["position"] is not None)
+
+
+def test_registered_query_runs_the_schedule_and_the_range_sort(spark, monkeypatch, tmp_path):
+    from tessera.llm.queries import op7_curriculum_mix
+    docs = corpus(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    written, write = {}, m.materialize
+
+    def keep(df, name, **options):
+        written[name] = (df._jdf.queryExecution().optimizedPlan().toString(), write(df, name, **options))
+        return written[name][1]
+
+    monkeypatch.setattr(m, "materialize", keep)
+    out = op7_curriculum_mix(spark, str(tmp_path))
+    plan, order = written["mix-order"]
+    assert "RepartitionByExpression [position" in plan and "Sort [position" in plan
+    assert sorted(r["position"] for r in order.filter("position IS NOT NULL").collect()) == sorted(
+        t for r in m.mix(docs).collect() for t in r["positions"])
+    assert sorted_rows(out) == sorted_rows(m.mix(docs), *out.columns)
