@@ -4,7 +4,8 @@ next. Every stage works on all that its predecessor kept, and all but the
 last return the columns of ``documents``.
 
 Rows whose id is null pass every stage like others; documents that repeat an
-id with the same text count as one from the near-duplicate stage on.
+id with the same text count as one from the near-duplicate stage on, those
+that repeat it with another text are judged by their own text.
 """
 
 from __future__ import annotations

@@ -4,8 +4,9 @@ A document is the set of its word shingles (64-bit hashes); documents whose
 sets have Jaccard similarity of at least the threshold are linked, and a
 group is what links connect.
 
-1. *Classes.* Documents with the same set (128-bit digest) are one class;
-   its smallest id stands for it. Copies are never paired.
+1. *Classes.* Documents with the same set (size and 128-bit digest) are one
+   class, a node of the graph by a number of its own; its first row (smallest
+   id, then a hash of id and text) stands for it. Copies are never paired.
 2. *Chosen paths.* Each class carries a sketch of minwise values. In every
    one of ``trees`` independent trees a node sends a document to a child for
    each sketch position the node chooses (one, and a second with probability
@@ -33,10 +34,11 @@ deviations below the threshold. Groups come from
 
 Defined results: null texts and texts without words have an empty set, are
 linked with nothing and keep their own id as component; with fewer words
-than a shingle has, the whole sequence is one shingle; null ids form
-components of their own (null) and are kept, unless their text is a copy;
-rows that repeat an id share its links; an empty table gives an empty
-result; extra columns are not read.
+than a shingle has, the whole sequence is one shingle; every row is judged
+by its own text, whatever its id: a component's id is its smallest, null
+only if all its ids are; of each group the first row is kept, and rows equal
+to it in id and text; an empty table gives an empty result; extra columns
+are not read.
 """
 
 from __future__ import annotations
@@ -68,13 +70,20 @@ def shingles(text: Column, words: int) -> Column:
                                      lambda i: F.xxhash64(*[w[i + k] for k in range(words)])))))[0]
 
 
+def row_key(key: str, text: str) -> Column:
+    """A 128-bit hash of id and text."""
+    name = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+    return F.unhex(F.md5(F.concat(name, F.lit("\0"), F.coalesce(F.col(text), F.lit("")))))
+
+
 def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[str] = ()) -> DataFrame:
-    """(id, n, digest, sketch, bins) per row: set size, digest of the sorted
+    """(id, n, digest, sketch, bins, _row_key) per row: set size, digest of the sorted
     set, ``SKETCH`` minwise values of 32 bits, and for each of ``BINS`` equal
     ranges of a mixed hash a byte of the smallest value in it (0: none);
     null for an empty set. Plus the columns of ``carry``."""
     ship_package()
-    carry = list(carry)
+    carry = ["_row_key", *carry]
+    docs = docs.withColumn("_row_key", row_key(key, text))
     schema = T.StructType([T.StructField("id", docs.schema[key].dataType), T.StructField("n", T.LongType()),
                            T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.IntegerType())),
                            T.StructField("bins", T.BinaryType()), *[docs.schema[c] for c in carry]])
@@ -284,7 +293,7 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _candidates_only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows (id, ...) whose id is in ``ids``. A bitmap of 2^FILTER_BITS hash
+    """Rows (id, ...) whose id is in ``ids``, one per id. A bitmap of 2^FILTER_BITS hash
     slots, of fixed size whatever the input, goes to the readers first, so
     that most other rows are dropped before the exchange of the join."""
     slot = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)).cast("int")
@@ -293,22 +302,25 @@ def _candidates_only(rows: DataFrame, ids: DataFrame) -> DataFrame:
         F.bit_or("_bit").alias("_bits"))
     some = rows.join(F.broadcast(words), (slot / 64).cast("int") == F.col("_word")).filter(
         F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
-    return some.join(ids, "id")
+    return some.dropDuplicates(["id"]).join(ids, "id")
 
 
 class _Links:
     """Verified links so far and the groups they make."""
 
-    def __init__(self, docs: DataFrame, text: str, key: str, words: int, percent: int):
+    def __init__(self, docs: DataFrame, text: str, key: str, words: int, percent: int, classes: DataFrame):
         self.docs, self.text, self.key, self.words, self.percent = docs, text, key, words, percent
+        self.classes = classes
         self.groups: DataFrame | None = None
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
-        """Full sets of the documents in the pairs, from their whole texts."""
+        """Full sets of the classes in the pairs, from their first rows' whole
+        texts."""
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        ids = materialize(ids, "dup-ids")
-        rows = _candidates_only(self.docs.select(F.col(self.key).alias("id"), F.col(self.text).alias("text")), ids)
-        return materialize(rows.select("id", shingles(F.col("text"), self.words).alias("set")), "dup-sets")
+        first = self.classes.select(F.col("class").alias("id"), F.col("first._row_key").alias("_row_key"))
+        ids = materialize(ids.join(first, "id").select(F.col("_row_key").alias("id"), F.col("id").alias("class")), "dup-ids")
+        rows = _candidates_only(self.docs.select(row_key(self.key, self.text).alias("id"), F.col(self.text).alias("text")), ids)
+        return materialize(rows.select(F.col("class").alias("id"), shingles(F.col("text"), self.words).alias("set")), "dup-sets")
 
     def add(self, near: DataFrame) -> None:
         """Verify candidates (a, b, estimate): each document's best one
@@ -351,15 +363,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
 def _near_duplicates(docs: DataFrame, text: str, key: str, words: int, percent: int, trees: int, small: int,
                      levels: int, pivot_level: int, pivot_trees: int, pivots: int, carry: Sequence[str]) -> DataFrame:
     threshold = percent / 100.0
-    # Rows without an id or a set are answered as they are.
+    # Rows without a set are answered as they are.
     table = materialize(sketches(docs, text, key, words, carry), "dup-sketch")
-    whole = table.filter("id IS NOT NULL AND n > 0")
-    classes = materialize(whole.groupBy("n", "digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")),
-                          "dup-classes")
-    sketch = materialize(
-        whole.join(classes.select(F.col("rep").alias("id"), "n", "digest"), ["id", "n", "digest"])
-        .dropDuplicates(["id", "digest"]).select("id", "n", "sketch", "bins"), "dup-reps")
-    links = _Links(docs, text, key, words, percent)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row_key"))
+    classes = table.filter("n > 0").groupBy("n", "digest").agg(
+        first.alias("first"), F.count(F.lit(1)).alias("copies"), F.first("sketch").alias("sketch"),
+        F.first("bins").alias("bins"))  # equal in the whole class
+    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "dup-classes")
+    sketch = classes.select(F.col("class").alias("id"), "n", "sketch", "bins")
+    links = _Links(docs, text, key, words, percent, classes)
 
     tree = F.explode(F.sequence(F.lit(1), F.lit(trees)))
     level = sketch.select("id", "sketch", tree.alias("tree")).withColumn(
@@ -400,13 +412,19 @@ def _mixed(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
 
 def _answer(table: DataFrame, classes: DataFrame, groups: DataFrame | None, key: str,
             carry: Sequence[str] = ()) -> DataFrame:
-    """Every row's component: of its class's smallest id, if linked."""
-    rep = classes.filter("copies > 1").select(F.col("n").alias("n2"), F.col("digest").alias("d2"), "rep")
+    """Every row's component, by the first row of its class's group."""
+    c = classes.select("class", F.col("n").alias("n2"), F.col("digest").alias("d2"), "first", "copies")
+    if groups is None:
+        top = c.filter("copies > 1").withColumnRenamed("first", "top")
+    else:
+        member = c.join(groups.select(F.col("node").alias("class"), "component"), "class", "left").filter(
+            "copies > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "class"))
+        member = materialize(member, "dup-members")
+        firsts = materialize(member.groupBy("component").agg(F.min("first").alias("top")), "dup-firsts")
+        top = member.join(firsts, "component")
     same = (F.col("n") == F.col("n2")) & (F.col("digest") == F.col("d2"))
-    rows = table.select("id", "n", "digest", *carry).join(rep, same, "left")
-    rows = rows.withColumn("rep", F.coalesce("rep", "id"))
-    if groups is not None:
-        g = groups.select(F.col("node").alias("rep"), "component")
-        rows = rows.join(g, "rep", "left").withColumn("rep", F.coalesce("component", "rep"))
-    return rows.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"),
-                       F.col("id").eqNullSafe(F.col("rep")).alias("kept"), *carry)
+    rows = table.select("id", "n", "digest", "_row_key", *carry).join(top.select("n2", "d2", "top"), same, "left")
+    alone = F.col("top").isNull()
+    return rows.select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
+                       F.when(alone, F.col("id")).otherwise(F.col("top.id")).alias("component_id"),
+                       (alone | (F.col("_row_key") == F.col("top._row_key"))).alias("kept"), *carry)

@@ -139,3 +139,17 @@ def test_components_against_union_find(spark):
     got = components(spark.createDataFrame(edges, "u long, v long"))
     assert sorted_rows(got) == sorted(((x, find(x)) for x in root), key=repr)
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_rows_under_repeated_and_null_ids_are_judged_by_their_own_text(spark):
+    a, b, c = prose(501, 90), prose(502, 90), prose(503, 90)
+    rows = [(5, a), (5, b), (3, b + " more"), (None, c), (None, c + " more"), (None, prose(504, 90)), (8, a + " end"),
+            (9, prose(505, 90)), (9, prose(505, 90) + " end"), (None, None)]
+    docs = spark.createDataFrame([(i, t, t) for i, t in rows], "doc_id long, text string, what string")
+    got = {(r["doc_id"], r["what"]): (r["component_id"], r["kept"]) for r in nd.near_duplicates(
+        docs, words=4, carry=("what",)).collect()}
+    assert got[5, a] == (5, True) and got[8, rows[6][1]] == (5, False)
+    assert got[5, b] == (3, False) and got[3, rows[2][1]] == (3, True)
+    assert got[None, rows[5][1]] == (None, True) and got[None, None] == (None, True)
+    for x, y in ((rows[3], rows[4]), (rows[7], rows[8])):
+        assert got[x][0] == got[y][0] == x[0] and sorted((got[x][1], got[y][1])) == [False, True]
