@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import embed_dedup, langid, mixing, near_dup, packing, quality_rules, secrets, sharding, token_counts, toxicity
+from tessera.llm import (conversation_trie, embed_dedup, langid, mixing, near_dup, packing, quality_rules, quality_trees,
+                         secrets, sharding, token_counts, toxicity, vector_codes)
 from tessera.llm.common import documents, id_crc_mod
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,21 @@ def op10_sentencepiece_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf), "piece_bpe_32k.model")
 
 
+def op11_ternary_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_trie.conversation_trie(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+def op12_boosted_quality(spark: SparkSession, sf: str) -> DataFrame:
+    held = id_crc_mod("doc_id", 3) == 1
+    docs = documents(spark, sf).select("doc_id", "text", held.alias("held_out"), (~held).alias("learn"))
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    return quality_trees.classify(docs, labels.filter(~held), learn_from="learn").drop("learn")
+
+
+def op13_gnat_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.compress(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_subword_toxicity": op1_subword_toxicity,
     "op2_flow_resharding": op2_flow_resharding,
@@ -79,11 +95,76 @@ QUERIES: dict[str, Query] = {
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_randomness_battery": op9_randomness_battery,
     "op10_sentencepiece_counts": op10_sentencepiece_counts,
+    "op11_ternary_trie": op11_ternary_trie,
+    "op12_boosted_quality": op12_boosted_quality,
+    "op13_gnat_codes": op13_gnat_codes,
 }
 
+
+def _codes_sql(parts: int = 8, size: int = 16, rounds: int = 6) -> str:
+    """Every part against every entry, each round a pair of tables."""
+    sql = f"""
+        WITH v AS (SELECT vec_id, label, row_number() OVER () AS r, len(embedding) // {parts} AS w,
+                          list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (SELECT r, part, q[part * w + 1:part * w + w] AS x FROM v, (SELECT unnest(range({parts})) AS part)),
+        b AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v QUALIFY entry < {size}),
+        c0 AS (SELECT part, entry, x AS c FROM p JOIN b USING (r))"""
+    for k in range(rounds + 1):
+        sql += f""",
+        a{k} AS (SELECT r, part, min({size} * list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))
+                        + entry)::BIGINT AS best FROM p JOIN c{k} USING (part) GROUP BY r, part)"""
+        if k < rounds:
+            sql += f""",
+        s{k} AS (SELECT part, entry, place, sum(y)::BIGINT AS s, count(*) AS n FROM (
+                     SELECT part, best % {size} AS entry, unnest(x) AS y, unnest(range(len(x))) AS place
+                     FROM a{k} JOIN p USING (r, part)) GROUP BY ALL),
+        c{k + 1} AS (SELECT part, entry, coalesce(m, c) AS c FROM c{k} LEFT JOIN (
+                     SELECT part, entry, list((s - (s % n + n) % n) // n ORDER BY place) AS m FROM s{k} GROUP BY ALL)
+                     USING (part, entry))"""
+    return sql + f""",
+        e AS (SELECT r, string_agg(printf('%02x', best % {size}), '' ORDER BY part) AS code, sum(best // {size})::BIGINT AS error
+              FROM a{rounds} GROUP BY r),
+        h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS sha FROM c{rounds})
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256
+        FROM v JOIN e USING (r), h"""
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE_SQL: dict[str, str] = {
+    # CRC-32 by its table; then every prefix of every conversation.
+    "op11_ternary_trie": rf"""
+        WITH k AS (SELECT list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))
+                               ORDER BY i) AS t FROM (SELECT unnest(range(256))::BIGINT AS i)),
+        o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+              FROM conversations WHERE conv_id IS NOT NULL),
+        g AS (SELECT conv_id, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT) AS s
+              FROM (SELECT DISTINCT conv_id FROM o)),
+        c AS (SELECT conv_id, xor(list_reduce([4294967295] || s, lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])),
+                                  4294967295) % 4 AS h FROM g, k),
+        m AS (SELECT c.conv_id, h, 0 AS own, pos, role, text FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND pos < h
+              UNION ALL SELECT c.conv_id, h, 1, pos, role, text FROM c JOIN o ON o.conv_id = c.conv_id AND pos >= h),
+        q AS (SELECT conv_id, row_number() OVER w AS depth, text,
+                     string_agg(md5(length(role) || ':' || role || text), '') OVER w AS path
+              FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos ROWS UNBOUNDED PRECEDING)),
+        p AS (SELECT conv_id, depth, md5(path) AS node, len(regexp_extract_all(text, '{_WORD}')) AS words FROM q
+              UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+        l AS (SELECT conv_id, max(depth) AS length FROM p GROUP BY conv_id),
+        n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                     sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+              FROM p JOIN l USING (conv_id) GROUP BY node, depth),
+        u AS (SELECT n.node, n.depth, a.node AS up FROM n JOIN p a ON a.conv_id = n.conv_id AND a.depth = n.depth - 1),
+        k2 AS (SELECT up AS node, count(*) AS n_children FROM u GROUP BY up),
+        f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k2 USING (node)),
+        s AS (SELECT a.node, sum((f.n_children = 0)::BIGINT)::BIGINT AS n_leaves,
+                     sum((f.n_convs - 1) * f.words)::BIGINT AS saved_tokens
+              FROM f JOIN p a ON a.conv_id = f.conv_id AND a.depth <= f.depth GROUP BY a.node)
+        SELECT f.conv_id, f.depth::BIGINT AS depth, n.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
+               f.ends_sha256
+        FROM f JOIN s USING (node) LEFT JOIN u USING (node) LEFT JOIN n ON n.node = u.up""",
+    "op13_gnat_codes": _codes_sql(),
     "op3_rule_ledger": rf"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
         w AS (SELECT r, unnest(regexp_extract_all(t, '{_WORD}')) AS word,
