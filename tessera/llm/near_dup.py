@@ -15,20 +15,26 @@ group is what links connect.
    share the child. All trees run in one table per level; only rows of nodes
    with more than ``small`` documents go on, up to ``levels`` levels.
 3. *Dense nodes.* Documents still in a large node at ``pivot_level`` are
-   mostly alike, and branching would not part them. In the first trees they
-   are compared with a few pivots of the node, and what these links connect
-   needs no further comparison: a large group of near copies costs rows x
-   pivots and not all its pairs.
+   mostly alike, and branching would not part them. In the first
+   ``pivot_trees`` trees they are compared with a few pivots of the node, and
+   what these links connect needs no further comparison: a large group of near
+   copies costs rows x pivots and not all its pairs. What the pivots leave
+   apart is settled inside tasks, on full sets: only documents with a possible
+   partner in another group travel, and a task returns the links that span
+   their groups, never its pairs (:func:`_settle_dense`). Two documents that
+   met there are not compared again.
 4. *Nodes.* Small nodes of every level, and all nodes of the last, that
    still hold several groups are compared exhaustively, in packs of at most
    ``PACK`` rows: only pairs of different groups whose sizes and binned
-   minima allow the threshold leave a task.
+   minima allow the threshold, and that did not meet in a dense node, leave a
+   task.
 5. *Verification* on the full sets, each document's best candidate first,
    then those pairs that the links do not connect yet.
 
 No pair is left out once found. A pair at the threshold is missed with a
-probability of about 1e-4 at 16 trees and five levels (higher similarities
-less often), or with one of 3e-5 by the estimate, whose limit lies four
+probability of about 2.8e-4 at 16 trees and five levels, where it stays in
+large nodes down to the last (1e-4 at similarity 0.82; below 1e-5 where nodes
+are small by the third level), or with one of 3e-5 by the estimate, whose limit lies four
 deviations below the threshold. Groups come from
 :mod:`tessera.llm.components`.
 
@@ -37,8 +43,10 @@ linked with nothing and keep their own id as component; with fewer words
 than a shingle has, the whole sequence is one shingle; every row is judged
 by its own text, whatever its id: a component's id is its smallest, null
 only if all its ids are; of each group the first row is kept, and rows equal
-to it in id and text; an empty table gives an empty result; extra columns
-are not read.
+to it in id and text; very long texts are read whole (their minwise values in
+steps of bounded size, their sets in small packs); ties between candidates go
+to the larger ids; an empty table gives an empty result; extra columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -92,6 +100,7 @@ def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
         import hashlib
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         rng = np.random.default_rng(20_240_229)
         mult = rng.integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         add = rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64)
@@ -99,7 +108,7 @@ def sketches(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
         for b in few:  # bounded work space
             sets = b.column("set")
             values = sets.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            ends = np.cumsum(pa.compute.list_value_length(sets).to_numpy(zero_copy_only=False).astype(np.int64))
+            ends = np.cumsum(pc.list_value_length(sets).to_numpy(zero_copy_only=False).astype(np.int64))
             digests, mins, bins, sizes = [], [], [], []
             start = 0
             for end in ends.tolist():
@@ -175,6 +184,8 @@ def _children(rows: DataFrame, extra: float) -> DataFrame:
 
 
 def _flagged(h: Column, flag: Column) -> Column:
+    """A hash whose lowest bit is ``flag`` (never 0 or 1 but by a chance of
+    2^-63)."""
     return h.bitwiseAND(F.lit(-2)).bitwiseOR(flag)
 
 
@@ -220,58 +231,183 @@ def _pivot_pairs(many: DataFrame, sketch: DataFrame, pivots: int, threshold: flo
     return joined.select("a", "b", "bins_a", "bins_b", total).mapInArrow(run, schema)
 
 
-def _node_pairs(rows: DataFrame, sketch: DataFrame, groups: DataFrame | None, threshold: float) -> DataFrame:
-    """(a, b, estimate), distinct: pairs of a node's rows (node, id) that lie
-    in different groups and can reach the threshold. Nodes of one group are
-    dropped; the others travel as packs of at most ``PACK`` rows, dealt by a
-    hash in nodes with more, and packs of a node meet pairwise."""
-    rows = materialize(_mixed(rows, groups), "dup-mixed")
-    sizes = materialize(rows.groupBy("node").count(), "dup-pack-sizes")
-    dealt = rows.join(sizes, "node").withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.ceil(F.col("count") / F.lit(PACK // 2))).cast("int"))
-    with_bins = dealt.select("node", "part", "id", "g").join(sketch.select("id", "n", "bins"), "id")
-    packs = with_bins.groupBy("node", "part").agg(
-        F.collect_list(F.struct("id", "g", "n", "bins")).alias("pack"))  # about PACK / 2 rows
-    packs = materialize(packs, "dup-packs")
+def _tasks(rows: DataFrame, columns: Sequence[str], most: int, name: str) -> DataFrame:
+    """(node, same, pack, pack2): rows (node, id, n, ...) as packs of about
+    ``most`` rows and at most about 2^19 shingles (long sets make small
+    packs), dealt by a hash in nodes with more; packs of a node meet
+    pairwise."""
+    sizes = materialize(rows.groupBy("node").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("sum")), f"{name}-sizes")
+    parts = F.ceil(F.greatest(F.col("count") / F.lit(most), F.col("sum") / F.lit(1 << 19 if "set" in columns else 1 << 40)))
+    dealt = rows.join(sizes, "node").withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
+    packs = dealt.groupBy("node", "part").agg(F.collect_list(F.struct(*columns)).alias("pack"))  # bounded as above
+    packs = materialize(packs, f"{name}-packs")
     other = packs.select("node", F.col("part").alias("part2"), F.col("pack").alias("pack2"))
-    tasks = packs.join(other, "node").filter("part <= part2").select(
-        (F.col("part") == F.col("part2")).alias("same"), "pack", "pack2")
+    return packs.join(other, "node").filter("part <= part2").select(
+        "node", (F.col("part") == F.col("part2")).alias("same"), "pack", "pack2")
+
+
+class _Pack:
+    """The columns of a pack as arrays."""
+
+    def __init__(self, values, none: int):
+        import numpy as np
+        self.values, self.id = values, values.field("id")
+        self.g, self.n = np.asarray(values.field("g")), np.asarray(values.field("n"))
+        self.bins = np.frombuffer(b"".join(values.field("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+        self.done = None
+        if values.type.get_field_index("done") >= 0:
+            lists = values.field("done").to_pylist()
+            self.done = np.full((len(lists), max(map(len, lists), default=0)), none, np.int64)
+            for i, x in enumerate(lists):
+                self.done[i, :len(x)] = x
+
+
+def _meeting(batch, k: int) -> tuple[_Pack, _Pack, bool]:
+    return (_Pack(batch.column("pack")[k].values, 0), _Pack(batch.column("pack2")[k].values, 1),
+            batch.column("same")[k].as_py())  # no node has the number 0 or 1: see _flagged
+
+
+def _passing(a: _Pack, b: _Pack, same: bool, threshold: float, step: int = 1 << 13):
+    """Yields (i, j, estimate) arrays: pairs of different groups that can
+    reach the threshold and were not compared in a dense node."""
+    import numpy as np
+    large = np.maximum(a.n[:, None], b.n[None, :])
+    fit = (np.minimum(a.n[:, None], b.n[None, :]) >= (threshold - 1e-9) * large) & (a.g[:, None] != b.g[None, :])
+    if same:
+        fit &= np.arange(len(a.n))[:, None] < np.arange(len(b.n))[None, :]
+    left, right = np.nonzero(fit)
+    for s in range(0, len(left), step):  # bounded work space
+        i, j = left[s:s + step], right[s:s + step]
+        guess, near = estimates(a.bins[i], b.bins[j], (a.n[i] + b.n[j]).astype(np.float64), threshold)
+        i, j, guess = i[near], j[near], guess[near]
+        if a.done is not None and len(i):
+            apart = ~(a.done[i][:, :, None] == b.done[j][:, None, :]).any(axis=(1, 2))
+            i, j, guess = i[apart], j[apart], guess[apart]
+        if len(i):
+            yield i, j, guess
+
+
+def _node_pairs(rows: DataFrame, sketch: DataFrame, groups: DataFrame | None, done: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, estimate), distinct: pairs of a node's rows (node, id) that lie
+    in different groups and can reach the threshold, less those that ``done``
+    (id, nodes) names as compared. Nodes of one group are dropped."""
+    rows = materialize(_mixed(rows, groups), "dup-mixed").join(sketch.select("id", "n", "bins"), "id")
+    rows = rows.join(done, "id", "left").withColumn("done", F.coalesce("nodes", F.array().cast("array<long>")))
+    tasks = _tasks(rows, ["id", "g", "n", "bins", "done"], PACK // 2, "dup-pairs").drop("node")
     id_type = sketch.schema["id"].dataType
     schema = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type),
                            T.StructField("estimate", T.DoubleType())])
 
+    def run(batches):
+        import pyarrow as pa
+        for x in batches:
+            for k in range(x.num_rows):
+                a, b, same = _meeting(x, k)
+                for i, j, guess in _passing(a, b, same, threshold):
+                    yield pa.RecordBatch.from_arrays([a.id.take(pa.array(i)), b.id.take(pa.array(j)), pa.array(guess)],
+                                                     names=["a", "b", "estimate"])
+        give_back_memory()
+
+    found = tasks.mapInArrow(run, schema)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "estimate").distinct()
+
+
+def _involved(rows: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+    """(node, id), distinct: rows (node, id, g) of a node with a partner in
+    another group that can reach the threshold. Tasks return a row per pair
+    of packs."""
+    tasks = _tasks(rows.join(sketch.select("id", "n", "bins"), "id"), ["id", "g", "n", "bins"], PACK // 2, "dup-dense")
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("ids", T.ArrayType(sketch.schema["id"].dataType))])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for x in batches:
+            for k in range(x.num_rows):
+                a, b, same = _meeting(x, k)
+                of_a, of_b = np.zeros(len(a.n), bool), np.zeros(len(b.n), bool)
+                for i, j, _ in _passing(a, b, same, threshold):
+                    of_a[i], of_b[j] = True, True
+                ids = np.unique(np.r_[np.asarray(a.id)[of_a], np.asarray(b.id)[of_b]])
+                if len(ids):
+                    yield pa.RecordBatch.from_arrays([x.column("node").slice(k, 1), pa.array([ids], pa.list_(pa.int64()))],
+                                                     names=["node", "ids"])
+        give_back_memory()
+
+    return tasks.mapInArrow(run, schema).select("node", F.explode("ids").alias("id")).distinct()
+
+
+def _spanning_links(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b), distinct: from rows (node, id, g, n, bins, set) the links, on
+    full sets, that connect the groups of each pair of packs as all its links
+    would; at most rows - 1 each, whatever the number of links."""
+    columns = ["id", "g", "n", "bins", "set"]
+    tasks = _tasks(rows, columns, PACK, "dup-exact").drop("node")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        def side(pack):
-            bins = np.frombuffer(b"".join(pack.field("bins").to_pylist()), np.uint8).reshape(-1, BINS)
-            return pack.field("id"), pack.field("g").to_pylist(), np.asarray(pack.field("n")), bins
+        def sets(pack):
+            lists = pack.values.field("set")
+            return [np.sort(lists[i].values.to_numpy()) for i in range(len(lists))]
 
         for x in batches:
             for k in range(x.num_rows):
-                id_a, g_a, n_a, bins_a = side(x.column("pack")[k].values)
-                id_b, g_b, n_b, bins_b = side(x.column("pack2")[k].values)
-                same = x.column("same")[k].as_py()
-                label = {g: i for i, g in enumerate({*g_a, *g_b})}
-                g_a, g_b = np.array([label[g] for g in g_a]), np.array([label[g] for g in g_b])
-                large = np.maximum(n_a[:, None], n_b[None, :])
-                fit = (np.minimum(n_a[:, None], n_b[None, :]) >= (threshold - 1e-9) * large) & (
-                    g_a[:, None] != g_b[None, :])
-                if same:
-                    fit &= np.arange(len(n_a))[:, None] < np.arange(len(n_b))[None, :]
-                left, right = np.nonzero(fit)
-                for s in range(0, len(left), 1 << 13):  # bounded work space
-                    i, j = left[s:s + (1 << 13)], right[s:s + (1 << 13)]
-                    guess, near = estimates(bins_a[i], bins_b[j], (n_a[i] + n_b[j]).astype(np.float64), threshold)
-                    if near.any():
-                        yield pa.RecordBatch.from_arrays(
-                            [id_a.take(pa.array(i[near])), id_b.take(pa.array(j[near])), pa.array(guess[near])],
-                            names=["a", "b", "estimate"])
+                a, b, same = _meeting(x, k)
+                sets_a = sets(a)
+                sets_b = sets_a if same else sets(b)
+                pairs = [np.concatenate(c) for c in zip(*((i, j) for i, j, _ in _passing(a, b, same, percent / 100.0)))]
+                if not pairs:
+                    continue
+                labels, group = np.unique(np.r_[a.g, b.g], return_inverse=True)
+                group_a, group_b = group[:len(a.g)], group[len(a.g):]
+                root = np.arange(len(labels))
+                order = np.argsort(pairs[0], kind="stable")
+                left, right = pairs[0][order], pairs[1][order]
+                first = np.flatnonzero(np.r_[True, left[1:] != left[:-1]])
+                found: list[tuple[int, int]] = []
+                for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(left)]):
+                    i = int(left[lo])
+                    apart = right[lo:hi][root[group_b[right[lo:hi]]] != root[group_a[i]]]
+                    mine, at = sets_a[i], 0
+                    while at < len(apart):  # partners together, up to a bounded number of shingles
+                        sizes = b.n[apart[at:]].cumsum()
+                        some = apart[at:at + max(1, int(np.searchsorted(sizes, 1 << 20)))]
+                        at += len(some)
+                        many = np.concatenate([sets_b[j] for j in some.tolist()])
+                        place = np.minimum(np.searchsorted(mine, many), len(mine) - 1)
+                        hits = np.r_[0, np.cumsum(mine[place] == many)]
+                        ends = np.r_[0, b.n[some].cumsum()]
+                        both = hits[ends[1:]] - hits[ends[:-1]]
+                        linked = 100 * both >= percent * (len(mine) + b.n[some] - both)
+                        for j in some[linked].tolist():
+                            u, v = root[group_a[i]], root[group_b[j]]
+                            if u != v:
+                                root[root == max(u, v)] = min(u, v)
+                                found.append((i, j))
+                if found:
+                    i, j = (pa.array(c) for c in zip(*found))
+                    yield pa.RecordBatch.from_arrays([a.id.take(i), b.id.take(j)], names=["a", "b"])
         give_back_memory()
 
     found = tasks.mapInArrow(run, schema)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "estimate").distinct()
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _settle_dense(flagged: DataFrame, sketch: DataFrame, links: "_Links", threshold: float) -> DataFrame:
+    """Compares the dense nodes that the pivots left with several groups, on
+    full sets inside the tasks: rows with a possible partner in another group
+    travel once per pair of packs, and only links that span groups come back.
+    Returns (id, nodes): where each row has been compared with all others."""
+    dense = materialize(_mixed(flagged, links.groups), "dup-dense")
+    rows = materialize(_involved(dense, sketch, threshold), "dup-involved")
+    if not rows.isEmpty():
+        sets = links.sets_of(rows.select("id").distinct())
+        full = rows.join(dense, ["node", "id"]).join(sketch.select("id", "n", "bins"), "id").join(sets, "id")
+        links.link(_spanning_links(full, links.percent))
+    return materialize(dense.groupBy("id").agg(F.collect_set("node").alias("nodes")), "dup-compared")  # a few per flagged tree
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -313,10 +449,9 @@ class _Links:
         self.classes = classes
         self.groups: DataFrame | None = None
 
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        """Full sets of the classes in the pairs, from their first rows' whole
+    def sets_of(self, ids: DataFrame) -> DataFrame:
+        """(id, set): full sets of the classes, from their first rows' whole
         texts."""
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
         first = self.classes.select(F.col("class").alias("id"), F.col("first._row_key").alias("_row_key"))
         ids = materialize(ids.join(first, "id").select(F.col("_row_key").alias("id"), F.col("id").alias("class")), "dup-ids")
         rows = _candidates_only(self.docs.select(row_key(self.key, self.text).alias("id"), F.col(self.text).alias("text")), ids)
@@ -328,18 +463,18 @@ class _Links:
         near = materialize(near, "dup-near")
         if near.isEmpty():
             return
-        sets = self._sets(near)
+        sets = self.sets_of(near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct())
         best = F.max_by(F.struct("a", "b"), F.struct("estimate", "a", "b"))
         first = (near.groupBy("a").agg(best.alias("p")).select("p.*")
                  .union(near.groupBy("b").agg(best.alias("p")).select("p.*")).distinct())
         first = materialize(first, "dup-first")
-        self._link(_verified(first, sets, self.percent))
+        self.link(_verified(first, sets, self.percent))
         rest = near.select("a", "b").join(first, ["a", "b"], "left_anti")
         rest = materialize(rest if self.groups is None else _apart(rest, self.groups), "dup-rest")
         if not rest.isEmpty():
-            self._link(_verified(rest, sets, self.percent))
+            self.link(_verified(rest, sets, self.percent))
 
-    def _link(self, verified: DataFrame) -> None:
+    def link(self, verified: DataFrame) -> None:
         new = materialize(verified, "dup-links")
         if new.isEmpty():
             return
@@ -350,8 +485,8 @@ class _Links:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80,
-                    trees: int = 16, small: int = 64, levels: int = 5, pivot_level: int = 2, pivot_trees: int = 2,
-                    pivots: int = 6, carry: Sequence[str] = ()) -> DataFrame:
+                    trees: int = 16, small: int = 64, levels: int = 5, pivot_level: int = 2, pivot_trees: int = 4,
+                    pivots: int = 3, carry: Sequence[str] = ()) -> DataFrame:
     """(key, n_shingles, component_id, kept) per row of ``docs``, plus the
     narrow columns of ``carry``."""
     with scratch(docs.sparkSession):
@@ -376,7 +511,7 @@ def _near_duplicates(docs: DataFrame, text: str, key: str, words: int, percent:
     tree = F.explode(F.sequence(F.lit(1), F.lit(trees)))
     level = sketch.select("id", "sketch", tree.alias("tree")).withColumn(
         "node", _flagged(F.xxhash64(F.lit("tree"), "tree"), (F.col("tree") <= pivot_trees).cast("long")))
-    leaves = None  # rows of nodes to compare
+    leaves = done = None  # rows of nodes to compare, and where rows have been compared
     for depth in range(1, levels + 1):
         rows = _shared(_children(level, 1.0 / threshold - 1.0), f"dup-level{depth}")
         few = rows.filter(F.col("count") <= small).select("node", "id")
@@ -385,6 +520,7 @@ def _near_duplicates(docs: DataFrame, text: str, key: str, words: int, percent:
         if depth == pivot_level:
             flagged = many.filter(F.col("node").bitwiseAND(F.lit(1)) == 1)
             links.add(_pivot_pairs(flagged, sketch, pivots, threshold))
+            done = _settle_dense(flagged, sketch, links, threshold)
         if depth >= pivot_level:
             many = materialize(_mixed(many, links.groups).select("node", "id"), f"dup-many{depth}")
             if many.isEmpty():
@@ -393,7 +529,9 @@ def _near_duplicates(docs: DataFrame, text: str, key: str, words: int, percent:
             leaves = leaves.unionByName(many)
             break
         level = many.join(sketch.select("id", "sketch"), "id")
-    links.add(_node_pairs(leaves, sketch, links.groups, threshold))
+    if done is None:
+        done = sketch.select("id", F.array().cast("array<long>").alias("nodes")).limit(0)
+    links.add(_node_pairs(leaves, sketch, links.groups, done, threshold))
     return _answer(table, classes, links.groups, key, carry)
 
 
