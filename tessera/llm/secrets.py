@@ -20,16 +20,20 @@ O(x) the probability of the token under a first-order model of ordinary
 strings (classes that mostly stay, letter pairs as in the corpus, digits
 that often repeat or count up) and U(x) that of uniform symbols, O / U times
 the number of alphabets is a p-value too (Markov's inequality). Twice the
-smaller of both counts. The letter pairs are counted in the first 200
-characters of every text, without candidates, over a prior of letter
-frequencies; 676 counts reach the driver. The p-values go through a weighted Benjamini-Hochberg procedure
+smaller of both counts. The letter pairs are those of all whole texts, without
+candidates, over a prior of letter frequencies: words are counted first,
+map-side, then the pairs in the different words; 676 counts reach the driver.
+The p-values go through a weighted Benjamini-Hochberg procedure
 over *all* candidates of the corpus, with weights growing with length (mean
 1), which bounds the expected share of ordinary strings among the tokens
 reported. Counts per p-value bin are combined map-side; only the bin table
 (at most ``bins`` rows) reaches the driver.
 
 Positions are code points, end exclusive. They come from cutting the text
-at the matches: a match starts where the gaps and matches before it end.
+at the matches: a match starts where the gaps and matches before it end. Such
+running sums go over blocks (:func:`running`), so their cost stays in
+proportion to the number of matches, as does that of masking, which reads
+each gap from a fixed-width encoding.
 
 Defined results: a null text counts as empty and has no span; each row is
 scanned by itself, so repeated rows give repeated results; very long texts
@@ -83,25 +87,45 @@ FOLLOWS = ((0.85, 0.05, 0.05, 0.05), (0.20, 0.70, 0.05, 0.05), (0.05, 0.05, 0.85
            (0.25, 0.25, 0.25, 0.25))
 
 
+def running(values: Column, combine, zero: int = 0, block: int = 128) -> Column:
+    """For each element of an array the combination (associative) of all
+    before it, from ``zero``. An array grown by one element at a time costs
+    the square of its length; here only blocks, and the list of blocks, grow
+    that way."""
+    none = F.array().cast("array<int>")
+
+    def inside(part: Column) -> Column:
+        begin = F.struct(F.lit(zero).alias("at"), none.alias("before"))
+        return F.aggregate(part, begin, lambda a, x: F.struct(
+            combine(a["at"], x).alias("at"), F.array_append(a["before"], a["at"]).alias("before")))
+
+    def shift(a: Column, part: Column) -> Column:
+        return F.struct(combine(a["at"], part["at"]).alias("at"), F.array_append(
+            a["blocks"], F.transform(part["before"], lambda x: combine(a["at"], x))).alias("blocks"))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.size(values) - 1, F.lit(block)),
+                         lambda i: inside(F.slice(values, i + 1, F.lit(block))))
+    begin = F.struct(F.lit(zero).alias("at"), F.array().cast("array<array<int>>").alias("blocks"))
+    return F.when(F.size(values) == 0, none).otherwise(F.aggregate(blocks, begin, shift, lambda a: F.flatten(a["blocks"])))
+
+
 def find_spans(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
     """Array of (kind, start, end, matched text) of the leftmost matches, of
     which those with a shorter ``value_group`` are dropped afterwards."""
     p = F.lit(pattern)
-    empty = F.array().cast(f"array<{SPAN}>")
     matches = F.regexp_extract_all(text, p, F.lit(0))
     values = F.regexp_extract_all(text, p, F.lit(value_group))
-    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("hit"), values.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.coalesce(F.length(x["hit"]), F.lit(0))
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), x["hit"].alias("token"))
-        take = x["hit"].isNotNull() & (F.length(x["value"]) >= least)
-        return F.struct(end.alias("at"),
-                        F.when(take, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+    def spans(cut: Column) -> Column:
+        steps = F.transform(cut, lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0)))
+        placed = F.arrays_zip(cut.alias("cut"), running(steps, lambda a, x: a + x).alias("at"))
+        hits = F.filter(placed, lambda x: x["cut"]["hit"].isNotNull() & (F.length(x["cut"]["value"]) >= least))
+        return F.transform(hits, lambda x: let(x["at"] + F.length(x["cut"]["gap"]), lambda start: F.struct(
+            F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(x["cut"]["hit"])).alias("end"),
+            x["cut"]["hit"].alias("token"))))
 
-    return F.when(text.rlike(pattern), F.aggregate(pieces, start, step, lambda a: a["spans"])).otherwise(empty)
+    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("hit"), values.alias("value"))
+    return F.when(text.rlike(pattern), let(pieces, spans)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def base_spans(text: Column) -> list[Column]:
@@ -190,14 +214,16 @@ def pair_costs(counts: dict[str, int], prior: float = 500.0) -> str:
     return out
 
 
-def letter_pairs(docs: DataFrame, text: str = "text", chars: int = 200) -> str:
-    """:func:`pair_costs` of the first ``chars`` characters of every text,
-    without candidates. Counts are combined map-side."""
-    head = F.regexp_replace(F.substring(F.col(text), 1, chars), "[A-Za-z0-9+/_-]{20,}", " ")
-    pairs = docs.select(head.alias("t")).filter(F.length("t") > 1).select(F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("t") - 1), lambda i: F.substring(F.col("t"), i, F.lit(2)))).alias("pair"))
-    counts = pairs.filter(F.col("pair").rlike("^[A-Za-z]{2}$")).groupBy(F.lower("pair").alias("pair")).count()
-    return pair_costs({r["pair"]: r["count"] for r in counts.collect()})
+def letter_pairs(docs: DataFrame, text: str = "text") -> str:
+    """:func:`pair_costs` of all whole texts, without candidates. Letter runs
+    are counted as words, combined map-side; pairs are made from the different
+    words alone."""
+    plain = F.regexp_replace(F.lower(F.col(text)), "[a-z0-9+/_-]{20,}", " ")
+    words = docs.select(F.explode(F.split(plain, "[^a-z]+")).alias("w")).filter(F.length("w") > 1).groupBy("w").count()
+    pairs = words.select("count", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring(F.col("w"), i, F.lit(2)))).alias("pair"))
+    counts = pairs.groupBy("pair").agg(F.sum("count").alias("n"))
+    return pair_costs({r["pair"]: r["n"] for r in counts.collect()})  # at most 676 rows
 
 
 def log_ordinary(symbols: Column, costs: str) -> Column:
@@ -311,19 +337,28 @@ def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 
 
 def mask_spans(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with each span (overlapping ones joined) replaced by ``mark``."""
+    """``text`` with each span (overlapping ones joined) replaced by ``mark``.
+    Gaps are cut from four bytes a character, so a cut costs its own length;
+    a letter before each keeps a byte order mark at its start from being
+    read as one."""
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        gap = F.substring(text, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
-        first = (a["out"] == "") | fresh
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"),
-                        F.when(first, F.concat(a["out"], gap, F.lit(mark))).otherwise(a["out"]).alias("out"))
-
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
-        order, begin, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text)))))
+    wide = F.encode(text, "UTF-32")
+
+    def cut(raw: Column, start: Column, size: Column) -> Column:
+        piece = F.concat(F.encode(F.lit("x"), "UTF-32"), F.substring(raw, 4 * start + 1, 4 * size))
+        return F.substring(F.decode(piece, "UTF-32"), F.lit(2), size)
+
+    def masked(x: Column) -> Column:
+        before = running(F.transform(x["order"], lambda s: s["end"]), lambda a, e: F.greatest(a, e))
+        placed = F.arrays_zip(x["order"].alias("span"), before.alias("at"), F.sequence(F.lit(1), F.size(x["order"])).alias("i"))
+        parts = F.transform(placed, lambda p: F.when(
+            (p["i"] == 1) | (p["span"]["start"] >= p["at"]),
+            F.concat(cut(x["wide"], p["at"], p["span"]["start"] - p["at"]), F.lit(mark))).otherwise(F.lit("")))
+        end = F.array_max(F.transform(x["order"], lambda s: s["end"]))
+        rest = let(end, lambda e: cut(x["wide"], e, (F.octet_length(x["wide"]) / 4).cast("int") - e))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(F.struct(order.alias("order"), wide.alias("wide")), masked))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -62,12 +62,13 @@ def test_battery_scores_of_known_sequences(spark):
 def test_random_tokens_are_added_and_ordinary_ones_left_alone(spark):
     rng = random.Random(2)
     secret = "".join(rng.choice(sc.UPPER + sc.LOWER + sc.DIGITS) for _ in range(48))
-    plain = ["internationalization-and-localization", "ThisIsAnOrdinaryClassName", "aaaaaaaaaaaaaaaaaaaaaaaaaaaa",
+    plain = ["internationalization-and-localization", "ThisIsAnOrdinaryClassName", "zzzzzzzzzzzzzzzzzzzzzzzzzzzz",
              "/usr/local/share/documentation", "12345678901234567890123", "pneumonoultramicroscopicsilicovolcanoconiosis"]
     rows = [(i, f"{prose(i, 20)} {t} {prose(i + 1, 9)}") for i, t in enumerate([secret, *plain])]
     got = {r["doc_id"]: r["spans"] for r in sc.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     at = rows[0][1].index(secret)
     assert got[0] == f"random:{at}:{at + 48}"
+    assert not any("random:" in got[i] for i in range(1, len(rows)))
     assert all(got[i] == "" for i in range(1, len(rows)))
 
 
@@ -124,3 +125,69 @@ def test_planted_random_tokens_are_found_in_every_encoding_and_length(spark):
     weak = {k: sum(v) for k, v in found.items() if sum(v) < (15 if k == ("digits", 20) else 28)}
     assert not weak, weak
     assert sum(spans[i] != "" for i in range(len(planted), len(rows))) <= 4
+
+
+def test_letter_pairs_count_whole_texts(spark):
+    words = [prose(i, 60) for i in range(40)]
+    tail = [" ".join(["quartz"] * 50)]
+    early = spark.createDataFrame([(i, t) for i, t in enumerate([" ".join(tail + words)])], "doc_id long, text string")
+    late = spark.createDataFrame([(i, t) for i, t in enumerate([" ".join(words + tail)])], "doc_id long, text string")
+    assert sc.letter_pairs(early) == sc.letter_pairs(late)
+    counts = {}
+    text = " ".join(words + tail).lower()
+    for w in re.findall("[a-z]+", re.sub("[a-z0-9+/_-]{20,}", " ", text)):
+        for p in zip(w, w[1:]):
+            counts["".join(p)] = counts.get("".join(p), 0) + 1
+    assert sc.letter_pairs(late) == sc.pair_costs(counts)
+
+
+def test_many_matches_in_one_text(spark):
+    """50,000 matches: the cost stays in proportion to them."""
+    import time
+    unit = "token=abc123 日本 "
+    docs = spark.createDataFrame([(1, unit * 50_000)], "doc_id long, text string")
+    t = time.time()
+    got = sc.find_secrets(docs).collect()[0]
+    assert got["n_assign"] == 50_000 and got["spans"].endswith(f"assign:{49_999 * len(unit)}:{49_999 * len(unit) + 12}")
+    assert sc.redact(docs).collect()[0]["text"] == "[SECRET] 日本 " * 50_000
+    assert time.time() - t < 90
+
+
+def test_masking_keeps_byte_order_marks_and_supplementary_characters(spark):
+    text = "\ufeffsecret=abcdef\ufeff 😀 token: 123456 \U0010ffff"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert sc.redact(docs).collect()[0]["text"] == "\ufeff[SECRET]\ufeff 😀 [SECRET] \U0010ffff"
+
+
+def test_discovery_limit_against_plain_benjamini_hochberg(spark):
+    rng = random.Random(3)
+    tested = [(10 ** -rng.uniform(0, 12 if i % 4 == 0 else 1.5), float(rng.randrange(4, 20))) for i in range(600)]
+    mean, limit = sc.discovery_limit(spark.createDataFrame(tested, "p double, w double"), rate=0.01, step=0.05)
+    average = sum(w for _, w in tested) / len(tested)
+    weighted = sorted(p / (w / average) for p, w in tested)
+    plain = max((p for k, p in enumerate(weighted, 1) if p <= 0.01 * k / len(weighted)), default=0.0)
+    assert abs(mean - average) < 1e-9
+    # On a grid of steps of 10^0.05: the limit is the last grid point that holds the rate.
+    assert limit <= plain * 10 ** 0.05 and len(weighted) * limit <= 0.01 * sum(p <= limit * (1 + 1e-9) for p in weighted) * (1 + 1e-9)
+    assert sum(p <= limit for p in weighted) >= 0.9 * sum(p <= plain for p in weighted)
+
+
+def test_random_spans_against_a_plain_decision(spark):
+    """Every candidate's verdict from its scores and the limit, in Python."""
+    rng = random.Random(12)
+    alphabets = list(ENCODINGS.values())
+    rows = [(i, f"{prose(i, 25)} {''.join(rng.choice(alphabets[i % len(alphabets)]) for _ in range(rng.choice([20, 24, 40])))} end"
+                if i % 2 else f"{prose(i, 25)} {'-'.join(prose(i, 5).split())} end") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scanned = sc.scan(docs)
+    costs = sc.letter_pairs(docs)
+    weight, limit = sc.discovery_limit(sc.candidates(scanned, costs))
+    tokens = scanned.select("doc_id", F.explode("tokens").alias("t")).select(
+        "doc_id", "t.*", sc.battery(F.col("t.token"), costs=costs).alias("b")).collect()
+    want = {}
+    for r in tokens:
+        b = r["b"]
+        if b["p"] / (b["n"] ** 0.5 / weight) <= limit and max(abs(b["runs"]), abs(b["serial"]), b["uniform"]) <= 3.5:
+            want.setdefault(r["doc_id"], []).append(f"random:{r['start']}:{r['end']}")
+    got = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith("random")] for r in sc.find_secrets(docs).collect()}
+    assert {k: v for k, v in got.items() if v} == want and len(want) >= 40
