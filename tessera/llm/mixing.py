@@ -20,7 +20,7 @@ half a document of the target.
 Defined results: a null or blank text has size 0 and takes 0 words; sources
 of size 0 have target 0; equal rows are interchangeable; extra columns are
 kept by :func:`curriculum` (one called like the position is replaced) and
-not read otherwise; an empty table gives an empty result. The table of sources is combined map-side and joined, never
+not read otherwise; very long texts are counted whole; an empty table gives an empty result. The table of sources is combined map-side and joined, never
 collected; the sharing runs as one window aggregate over it.
 """
 
@@ -77,7 +77,7 @@ def inverse_demand(done: Column, slope: Column) -> Column:
     """t with (1 - r) t + r t^2 = done, for |r| <= 1."""
     r, b = slope, 1 - slope
     root = (-b + F.sqrt(F.greatest(b * b + 4 * r * done, F.lit(0.0)))) / (2 * r)
-    return F.when(F.abs(r) < 1e-9, done).otherwise(root)
+    return F.when((F.abs(r) < 1e-9) | (done <= 0), done).otherwise(root)
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
@@ -110,14 +110,16 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
 
 
 def scheduled(docs: DataFrame, **options) -> DataFrame:
-    """(key, size, source_size, target, taken, copy, position), range-sorted
-    by training position and written: a row per copy (numbered from 0), and
-    one without copy and position (last) for each document not taken. Rows
-    whose ``copy`` is 0 or null are the documents, each once."""
+    """(key, size, source_size, target, taken, copies, copy, position,
+    last_position), range-sorted by training position and written: a row per
+    copy (numbered from 0) with its own and the document's last position, and
+    one without (last) for each document not taken. Rows whose ``copy`` is 0
+    or null are the documents, each once."""
     key = options.get("key", "doc_id")
     plan = materialize(mix(docs, **options), "mix-plan")
-    rows = plan.select(key, "size", "source_size", "target", "taken",
-                       F.posexplode_outer("positions").alias("copy", "position"))
+    rows = plan.select(key, "size", "source_size", "target", "taken", "copies",
+                       F.posexplode_outer("positions").alias("copy", "position"),
+                       F.array_max("positions").alias("last_position"))
     at = F.col("position").asc_nulls_last()
     return materialize(rows.repartitionByRange(at, key, "size").sortWithinPartitions(at, key, "size"), "mix-order")
 

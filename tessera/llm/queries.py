@@ -54,7 +54,8 @@ def op6_subspace_pigeonhole(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:
     order = mixing.scheduled(documents(spark, sf))
-    return order.filter("copy IS NULL OR copy = 0").select("doc_id", "size", "source_size", "target", "taken")
+    return order.filter("copy IS NULL OR copy = 0").select(
+        "doc_id", "size", "source_size", "target", "taken", "copies", F.col("position").alias("first_position"), "last_position")
 
 
 def op8_chosen_path_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -205,19 +206,27 @@ ORACLE_SQL: dict[str, str] = {
                                        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM w),
         f AS (SELECT pot / ws AS rate FROM c WHERE pot / ws * weight <= 2 * source_size
               ORDER BY source_size / weight, rk LIMIT 1),
-        t AS (SELECT source, source_size,
+        t AS (SELECT source, source_size, [-0.5::DOUBLE, 0.0, 0.5][rk % 3 + 1] AS slope,
                      coalesce(least((SELECT rate FROM f) * weight, 2.0::DOUBLE * source_size),
                               2.0::DOUBLE * source_size) AS target FROM w),
-        p AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+        p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.slope,
                      sum(d.size) OVER (PARTITION BY d.source ORDER BY
                          md5(coalesce(d.doc_id::VARCHAR, '') || ':' || d.size::VARCHAR), d.doc_id, d.size
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS start
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-        k AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes FROM p)
-        SELECT doc_id, size, source_size, target,
-               CASE WHEN size > 0 THEN (passes + CASE WHEN start + size / 2.0::DOUBLE < target - passes * source_size
-                    AND passes < 2 THEN 1 ELSE 0 END) * size ELSE 0 END::BIGINT AS taken
-        FROM k""",
+        k AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes FROM p),
+        n AS (SELECT *, (CASE WHEN size > 0 THEN passes + CASE WHEN start + size / 2.0::DOUBLE < target - passes * source_size
+                              AND passes < 2 THEN 1 ELSE 0 END ELSE 0 END)::INT AS copies FROM k),
+        -- The share of its target that a copy starts after, and the inverse of (1 - r) t + r t^2.
+        a AS (SELECT *, CASE WHEN copies > 0 THEN least(start / target, 1.0::DOUBLE) END AS first_done,
+                     CASE WHEN copies > 0 THEN least((start + (copies - 1) * source_size) / target, 1.0::DOUBLE) END AS last_done
+              FROM n)
+        SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies,
+               CASE WHEN slope = 0 OR first_done <= 0 THEN first_done ELSE (-(1 - slope) + sqrt(greatest((1 - slope) * (1 - slope)
+                    + 4 * slope * first_done, 0.0::DOUBLE))) / (2 * slope) END AS first_position,
+               CASE WHEN slope = 0 OR last_done <= 0 THEN last_done ELSE (-(1 - slope) + sqrt(greatest((1 - slope) * (1 - slope)
+                    + 4 * slope * last_done, 0.0::DOUBLE))) / (2 * slope) END AS last_position
+        FROM a""",
     # Brute force: every pair that shares a shingle, then reachability.
     "op8_chosen_path_join": rf"""
         WITH RECURSIVE d AS (
