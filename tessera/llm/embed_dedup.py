@@ -19,17 +19,22 @@ precision, from the vectors as stored.
   so a linked pair is met exactly once; packs send back link counts per
   vector and one edge per vector to the smallest partner, never the pairs.
 
-Equal vectors are joined to one row with a multiplicity first.
+Equal vectors are joined to one class with a multiplicity first; classes have
+numbers of their own and are the nodes of the graph. Vectors of different
+lengths never meet: the length is part of every pack's key, and each length
+has its own index.
 
 Each vector keeps at least one edge (to its smallest partner in a pack
 pair), and further ones that connect its other partners there, so the edges
 connect what the links connect.
 
 Defined results: vectors that are null, empty, zero or hold null or
-non-finite components link with nothing and are their own component, as do
-vectors of another length than their group's (lengths are compared within
-themselves); equal vectors link with each other; repeated ids are counted
-row by row; an empty table gives an empty result; extra columns are not read.
+non-finite components link with nothing and are their own component; all
+others are compared within their length, whatever their magnitude; equal
+vectors link with each other; every row is judged by its own vector, whatever
+its id: repeated ids are counted row by row, and a component's id is its
+smallest, null only if all its ids are; an empty table gives an empty result;
+extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -42,18 +47,33 @@ from tessera.llm.common import materialize, scratch, share
 from tessera.llm.components import components
 
 
+def steady(vectors):
+    """Rows scaled by the power of two that brings their largest component to
+    about 1: no rounding, and no finite vector overflows or vanishes when
+    squared."""
+    import numpy as np
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
+def unit(vectors):
+    import numpy as np
+    x = steady(vectors)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 class SubspaceIndex:
     """Rotation, block budgets and one k-d tree per block, from a sample."""
 
     def __init__(self, sample, budget: float, block_dims: int, leaves: int):
         import numpy as np
-        unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-        d = unit.shape[1]
-        values, axes = np.linalg.eigh(np.cov(unit.T) if len(unit) > 1 and d > 1 else np.eye(d))
-        self.axes = np.ascontiguousarray(axes[:, ::-1])
+        units = unit(sample)
+        d = units.shape[1]
+        self.axes = None  # too few vectors for axes: any rotation is exact, none too
+        if len(units) > max(1, d):
+            self.axes = np.ascontiguousarray(np.linalg.eigh(np.cov(units.T) if d > 1 else np.eye(d))[1][:, ::-1])
         blocks = max(1, round(d / block_dims))
         self.dims = [np.arange(b, d, blocks) for b in range(blocks)]
-        rotated = unit @ self.axes
+        rotated = self.rotate(units)
         spread = np.array([rotated[:, x].var(axis=0).sum() + 1e-9 for x in self.dims])
         # A little room for rounding: the shares still sum to the budget at least.
         self.budgets = budget * spread / spread.sum() + 1e-9
@@ -81,9 +101,7 @@ class SubspaceIndex:
         return nodes
 
     def rotate(self, vectors):
-        import numpy as np
-        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        return unit @ self.axes
+        return unit(vectors) if self.axes is None else unit(vectors) @ self.axes
 
     def leaves_of(self, block: int, points):
         """(row, leaf) of the home leaf and of every leaf within reach."""
@@ -118,6 +136,7 @@ def _links(index: SubspaceIndex, block: int, a, b, same: bool, least: float, til
     """Yield (i, j) index arrays of linked pairs of two packs that this
     block answers for."""
     import numpy as np
+    a, b = steady(a), steady(b)
     ra, rb = index.rotate(a), index.rotate(b)
     dims, budget = index.dims[block], index.budgets[block]
     xa, xb = ra[:, dims].astype(np.float32), rb[:, dims].astype(np.float32)
@@ -143,14 +162,36 @@ def _links(index: SubspaceIndex, block: int, a, b, same: bool, least: float, til
             yield p[mine], q[mine]
 
 
-def _sample(vectors: DataFrame, rows: int):
-    """At most ``rows`` vectors, the lowest by hash, as an array."""
-    import numpy as np
+class LengthIndexes:
+    """An index per vector length found in the sample, with the parts that a
+    leaf's packs are dealt to; any other length gets an index without cuts,
+    whose one block has the whole budget."""
+
+    def __init__(self, sample: list[list[float]], total: int, budget: float, block_dims: int, leaf_rows: int):
+        import numpy as np
+        self.budget, self.known = budget, {}
+        for d in sorted({len(v) for v in sample}):
+            some = np.array([v for v in sample if len(v) == d], np.float64)
+            n = -(-total * len(some) // len(sample))  # about so many in all
+            leaves = 1
+            while leaves * leaf_rows < n and leaves * 8 < len(some):
+                leaves *= 2
+            # More packs a leaf where the sample cannot cut finer.
+            self.known[d] = (SubspaceIndex(some, budget, block_dims, leaves), max(1, -(-n // (leaves * leaf_rows))))
+
+    def of(self, d: int) -> tuple[SubspaceIndex, int]:
+        import numpy as np
+        return self.known.get(d) or (SubspaceIndex(np.ones((1, d)), self.budget, d, 1), 1)
+
+
+def _sample(vectors: DataFrame, rows: int) -> tuple[int, list[list[float]]]:
+    """The number of vectors, and at most ``rows`` of them, the lowest by
+    hash."""
     n = vectors.count()
     share = min(1.0, (rows + 100) / max(1, n))
     h = F.pmod(F.xxhash64("vec", F.lit("sample")), F.lit(1 << 30))
     got = vectors.filter(h < F.lit(int(share * (1 << 30)))).select(h.alias("h"), "vec").orderBy("h", "vec").limit(rows)
-    return n, np.array([r["vec"] for r in got.collect()], np.float64)
+    return n, [r["vec"] for r in got.collect()]
 
 
 def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = 0.9,
@@ -170,90 +211,80 @@ def _near_duplicates(table: DataFrame, key: str, vector: str, least: float, bloc
     rows = materialize(table.select(F.col(key).alias("id"), F.when(usable, F.col(vector)).alias("vec"))
                        .withColumn("digest", F.when(F.col("vec").isNotNull(),
                                                     F.md5(F.to_json(F.struct("vec"))))), "vec-rows")
-    classes = materialize(
-        rows.filter("vec IS NOT NULL").groupBy("digest")
-        .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")), "vec-classes")
-    lengths = sorted(r[0] for r in classes.select(F.size("vec")).distinct().limit(1000).collect())
-    found = None
-    for d in lengths:
-        part = _join(classes.filter(F.size("vec") == d), least, block_dims, leaf_rows, sample_rows)
-        found = part if found is None else found.unionByName(part)
-    out = rows.select("id", "digest")
-    own = classes.select(F.col("digest").alias("_d"), "rep", "copies")
-    out = out.join(own, F.col("digest") == F.col("_d"), "left").withColumn("rep", F.coalesce("rep", "id"))
-    out = out.withColumn("same", F.coalesce(F.col("copies") - 1, F.lit(0)))
-    if found is not None:
-        found = materialize(found, "vec-found")
-        counts = found.filter("links > 0").groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
-        groups = components(found.filter("v IS NOT NULL").select("u", "v"))
-        extra = materialize(counts.join(groups.withColumnRenamed("node", "rep"), "rep", "full"), "vec-groups")
-        out = out.join(extra, "rep", "left")
-        out = out.withColumn("rep", F.coalesce("component", "rep")).withColumn("same", F.col("same") + F.coalesce("links", F.lit(0)))
-    return out.select(F.col("id").alias(key), F.col("same").cast("long").alias("n_links"),
-                      F.col("rep").alias("component_id"), F.col("id").eqNullSafe(F.col("rep")).alias("kept"))
+    classes = rows.filter("vec IS NOT NULL").groupBy("digest").agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec"))
+    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "vec-classes")
+    found = materialize(_join(classes.select("class", "copies", "vec"), least, block_dims, leaf_rows, sample_rows), "vec-found")
+    counts = materialize(found.filter("links > 0").groupBy(F.col("u").alias("class")).agg(F.sum("links").alias("links")),
+                         "vec-counts")
+    groups = materialize(components(found.filter("v IS NOT NULL").select("u", "v")).withColumnRenamed("node", "class"), "vec-groups")
+    own = classes.select("digest", "class", "least", "copies").join(counts, "class", "left").join(groups, "class", "left")
+    own = materialize(own.withColumn("component", F.coalesce("component", "class")), "vec-own")
+    ids = materialize(own.groupBy("component").agg(F.min("least").alias("component_id")), "vec-ids")  # nulls only if all are
+    own = own.join(ids, "component").select(F.col("digest").alias("_d"), "component_id", (
+        F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    alone = rows.filter("digest IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    linked = rows.filter("digest IS NOT NULL").select("id", "digest").join(
+        materialize(own, "vec-components"), F.col("digest") == F.col("_d")).select("id", F.col("n_links").cast("long"), "component_id")
+    return linked.unionByName(alone).select(F.col("id").alias(key), "n_links", "component_id",
+                                            F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _join(classes: DataFrame, least: float, block_dims: int, leaf_rows: int, sample_rows: int) -> DataFrame:
-    """(u, links, v): link counts by vector, and edges u-v (links 0) that
-    connect linked vectors."""
+    """(u, links, v): link counts by class, and edges u-v (links 0) that
+    connect linked classes."""
     n, sample = _sample(classes, sample_rows)
-    leaves = 1
-    while leaves * leaf_rows < n and leaves * 8 < len(sample):
-        leaves *= 2
-    parts = max(1, -(-n // (leaves * leaf_rows)))  # packs per leaf where the sample cannot cut finer
-    index = SubspaceIndex(sample, 2.0 - 2.0 * least + 1e-9, block_dims, leaves)
-    shared = share(classes.sparkSession, index)  # bounded by the sample
-    id_type = classes.schema["rep"].dataType
-
-    place = T.StructType([T.StructField("rep", id_type), T.StructField("copies", T.LongType()),
-                          T.StructField("vec", classes.schema["vec"].dataType), T.StructField("block", T.IntegerType()),
-                          T.StructField("home", T.LongType()), T.StructField("leaf", T.LongType())])
+    indexes = LengthIndexes(sample, n, 2.0 - 2.0 * least + 1e-9, block_dims, leaf_rows)
+    shared = share(classes.sparkSession, indexes)  # bounded by the sample
+    where = ["length", "block", "home", "leaf", "part"]
+    place = T.StructType([classes.schema["class"], classes.schema["copies"], classes.schema["vec"],
+                          *[T.StructField(c, T.LongType()) for c in where]])
 
     def visit(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         ix = shared()
         for whole in batches:
             for lo in range(0, whole.num_rows, 1024):
                 b = whole.slice(lo, 1024)
-                raw = b.column("vec").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-                rotated = ix.rotate(raw.reshape(b.num_rows, -1))
-                for block, dims in enumerate(ix.dims):
-                    home, row, leaf = ix.leaves_of(block, rotated[:, dims])
-                    use = leaf >= home[row]
-                    row, leaf = row[use], leaf[use]
-                    at = pa.array(row, pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("rep").take(at), b.column("copies").take(at), b.column("vec").take(at),
-                         pa.array(np.full(len(row), block), pa.int32()), pa.array(home[row], pa.int64()),
-                         pa.array(leaf, pa.int64())], schema=out_schema(b))
-
-    def out_schema(b):
-        import pyarrow as pa
-        return pa.schema([b.schema.field("rep"), b.schema.field("copies"), b.schema.field("vec"),
-                          pa.field("block", pa.int32()), pa.field("home", pa.int64()), pa.field("leaf", pa.int64())])
+                sizes = pc.list_value_length(b.column("vec")).to_numpy(zero_copy_only=False)
+                for d in np.unique(sizes).tolist():
+                    mine = b.take(pa.array(np.flatnonzero(sizes == d)))
+                    index, parts = ix.of(d)
+                    raw = mine.column("vec").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                    rotated = index.rotate(raw.reshape(mine.num_rows, -1))
+                    mixed = np.asarray(mine.column("class")).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    dealt = ((mixed >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+                    for block, dims in enumerate(index.dims):
+                        home, row, leaf = index.leaves_of(block, rotated[:, dims])
+                        use = leaf >= home[row]
+                        row, leaf = row[use], leaf[use]
+                        at, n = pa.array(row, pa.int64()), len(row)
+                        yield pa.RecordBatch.from_arrays(
+                            [mine.column(c).take(at) for c in ("class", "copies", "vec")]
+                            + [pa.array(x, pa.int64()) for x in (np.full(n, d), np.full(n, block), home[row], leaf, dealt[row])],
+                            names=["class", "copies", "vec", *where])
 
-    visits = classes.select("rep", "copies", "vec").mapInArrow(visit, place)
-    part = F.pmod(F.xxhash64("rep", F.lit("part")), F.lit(parts)).cast("int")
-    one = F.collect_list(F.struct("rep", "copies", "vec"))
+    visits = classes.mapInArrow(visit, place)
     # A pack holds the rows of one home leaf (or a hashed part of it) that
     # visit one leaf: bounded by the leaf size.
-    packs = visits.groupBy("block", "leaf", "home", part.alias("part")).agg(one.alias("pack"))
-    packs = materialize(packs.select("block", "leaf", "home", "part", F.col("pack.rep").alias("ids"),
-                                     F.col("pack.copies").alias("copies"), F.flatten("pack.vec").alias("vecs")), "vec-packs")
-    homes = packs.filter("home = leaf").select("block", "leaf", *[F.col(c).alias(f"{c}2") for c in
-                                                                 ("part", "ids", "copies", "vecs")])
-    tasks = packs.join(homes, ["block", "leaf"]).filter("home <> leaf OR part <= part2")
-    result = T.StructType([T.StructField("u", id_type), T.StructField("links", T.LongType()),
-                           T.StructField("v", id_type)])
+    packs = visits.groupBy(*where).agg(F.collect_list(F.struct("class", "copies", "vec")).alias("pack"))
+    packs = materialize(packs.select(*where, F.col("pack.class").alias("ids"), F.col("pack.copies").alias("copies"),
+                                     F.flatten("pack.vec").alias("vecs")), "vec-packs")
+    homes = packs.filter("home = leaf").select("length", "block", "leaf", *[F.col(c).alias(f"{c}2") for c in
+                                                                           ("part", "ids", "copies", "vecs")])
+    tasks = packs.join(homes, ["length", "block", "leaf"]).filter("home <> leaf OR part <= part2")
+    result = T.StructType([T.StructField(c, T.LongType()) for c in ("u", "links", "v")])
 
     def compare(batches):
         import numpy as np
         import pyarrow as pa
         ix = shared()
-        width = ix.axes.shape[0]
         for batch in batches:
             for k in range(batch.num_rows):
+                width = batch.column("length")[k].as_py()
+
                 def side(ids: str, copies: str, vecs: str):
                     x = batch.column(vecs)[k].values.to_numpy(zero_copy_only=False).astype(np.float64)
                     return (batch.column(ids)[k].values, batch.column(copies)[k].values.to_numpy(zero_copy_only=False),
@@ -266,7 +297,7 @@ def _join(classes: DataFrame, least: float, block_dims: int, leaf_rows: int, sam
                 edges_i, edges_j = [], []
                 joined = _Forest(len(a) + (0 if same else len(b)))
                 shift = 0 if same else len(a)
-                for i, j in _links(ix, batch.column("block")[k].as_py(), a, b, same, least):
+                for i, j in _links(ix.of(width)[0], batch.column("block")[k].as_py(), a, b, same, least):
                     np.add.at(count_a, i, m_b[j])
                     np.add.at(count_b, j, m_a[i])
                     for x in joined.connect(i, j + shift):

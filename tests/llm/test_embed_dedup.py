@@ -68,3 +68,27 @@ def test_edges(spark):
     assert sorted_rows(ed.near_duplicates(one), "vec_id", "n_links", "component_id") == sorted(
         [(None, 2, 4), (4, 2, 4), (4, 2, 4)], key=repr)
     assert ed.near_duplicates(table.limit(0)).count() == 0
+
+
+def answer(spark, rows, **options):
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    return sorted_rows(ed.near_duplicates(table, **options), "vec_id", "n_links", "component_id", "kept")
+
+
+def test_rows_of_a_repeated_id_are_judged_by_their_own_vector(spark):
+    got = answer(spark, [(5, [1.0, 0.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0, 0.0]), (3, [1.0, 0.01, 0.0, 0.0])])
+    assert got == sorted([(5, 1, 3, False), (5, 0, 5, True), (3, 1, 3, True)], key=repr)
+
+
+def test_extreme_magnitudes_link_by_direction(spark):
+    v = [[1e200, 1e200], [3e200, 3.1e200], [1e-200, 1e-200], [5e-324, 0.0], [1e-310, 1e-312], [-1e300, -1e300], [1.0, 1.0]]
+    small = [[x * 1e160 * 1e160 if abs(x) < 1e-150 else x / 1e200 if abs(x) > 1e150 else x for x in w] for w in v]
+    want = brute(range(len(v)), small)
+    assert {r[0]: r[1:3] for r in answer(spark, list(enumerate(v)))} == want
+
+
+def test_every_length_is_compared(spark):
+    """1,001 lengths, a linked pair in each, more than the sample has rows."""
+    rows = [(2 * d + k, [1.0] * d + [0.1 * k]) for d in range(1, 1002) for k in (0, 1)]
+    got = answer(spark, rows, sample_rows=100)
+    assert all(n == 1 and c == i - i % 2 for i, n, c, _ in got) and len(got) == len(rows)
