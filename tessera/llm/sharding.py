@@ -4,9 +4,10 @@ From the byte sizes of the old shards and the capacities of the new ones, a
 transportation problem gives how many bytes go from each old to each new
 shard: a byte that stays in its shard costs nothing, a byte that moves costs
 one. Its solution is realised by whole *blocks* (rows of equal text hash
-range), so copies of one text stay together; only a block larger than a
-whole shard (one text holding more than a shard's share) is divided by its
-rows. Affected shards can then be rewritten (:func:`rewrite_layout`).
+range), so copies of one text stay together. A block larger than a whole
+shard is divided by a second hash of the text; only a text that alone holds
+more than a shard's share is divided by its rows, and no other with it.
+Affected shards can then be rewritten (:func:`rewrite_layout`).
 
 The flow has (old x new) arcs and the block table at most ``blocks`` rows
 (plus the parts of divided blocks), whatever the number of documents; both
@@ -15,8 +16,10 @@ buckets, so no task ever holds a whole shard.
 
 Defined results: a null text has size 1 and the CRC of the empty text; an
 empty text likewise; repeated rows are placed each, all in one shard unless
-their block is divided; ids may be null or repeat; extra columns are not
-read; an empty table gives an empty result.
+their text alone exceeds a shard; ids may be null or repeat; very long texts
+are hashed and counted whole; extra columns, whatever their names, are not
+read by :func:`reshard` and kept by :func:`rewrite_layout`; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -134,11 +137,14 @@ def equal_capacities(total: int, shards: int) -> list[int]:
 @dataclass(frozen=True)
 class ReshardPlan:
     """Where each block (part -1) or part of a divided block was and goes:
-    (block, part, old shard, new shard)."""
+    (block, part, old shard, new shard). Parts below ``parts`` hold whole
+    texts, by a second hash; those from ``parts`` on hold rows of the texts in
+    ``hot`` (text hashes)."""
 
     moves: tuple[tuple[int, int, int, int], ...]
     blocks: int
     parts: int
+    hot: tuple[int, ...] = ()
 
     @property
     def divided(self) -> list[int]:
@@ -150,25 +156,41 @@ class ReshardPlan:
         return sorted({x for _, _, old, new in self.moves if old != new for x in (old, new)})
 
 
-def unit_columns(text: str, key: str, blocks: int) -> tuple[Column, Column]:
-    """A row's block (by its text) and the hash that parts a divided block."""
+def unit_columns(text: str, key: str, blocks: int) -> tuple[Column, Column, Column]:
+    """A row's block (by its text), its text's hash, and the hash that deals
+    the rows of a hot text."""
     h = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    return F.pmod(h, F.lit(blocks)).cast("int"), F.xxhash64(F.col(key), h)
+    return F.pmod(h, F.lit(blocks)).cast("int"), h, F.xxhash64(F.col(key), h, F.lit("row"))
+
+
+def part_column(divided: Sequence[int], hot: Sequence[int], parts: int, block: Column, text_hash: Column, key: Column) -> Column:
+    """A row's part of its block, -1 in blocks that stay whole."""
+    if not divided:
+        return F.lit(-1)
+    by_text = F.pmod(F.xxhash64(text_hash, F.lit("part")), F.lit(parts))
+    if hot:
+        by_text = F.when(text_hash.isin(list(hot)), F.pmod(key, F.lit(parts)) + parts).otherwise(by_text)
+    return F.when(block.isin(list(divided)), by_text).otherwise(-1).cast("int")
 
 
 def plan_moves(rows: DataFrame, new_shards: int, old_shards: int, blocks: int,
                parts: int = 64, capacities: Sequence[int] | None = None) -> ReshardPlan:
-    """The plan for rows with ``block``, ``key`` and ``size``. The driver
-    gets one row per block, and ``parts`` rows per divided block."""
+    """The plan for rows with ``block``, ``text_hash``, ``key`` and ``size``.
+    The driver gets one row per block, up to 2 * ``parts`` rows per divided
+    block, and the hash of each text above a shard's share (fewer than
+    shards)."""
     sizes = {r["block"]: r["bytes"] for r in
              rows.groupBy("block").agg(F.sum("size").alias("bytes")).collect()}  # at most `blocks` rows
     capacity = list(capacities) if capacities else equal_capacities(sum(sizes.values()), new_shards)
-    large = {b for b, s in sizes.items() if s > min(capacity)}  # few: each holds a shard's bytes
-    units = [(b, -1, s) for b, s in sizes.items() if b not in large]
+    large = sorted(b for b, s in sizes.items() if s > min(capacity))  # few: each holds a shard's bytes
+    units = [(b, -1, s) for b, s in sizes.items() if b not in set(large)]
+    hot: tuple[int, ...] = ()
     if large:
-        divided = (rows.filter(F.col("block").isin(sorted(large)))
-                   .withColumn("part", F.pmod(F.col("key"), F.lit(parts)).cast("int"))
-                   .groupBy("block", "part").agg(F.sum("size").alias("bytes")))
+        inside = rows.filter(F.col("block").isin(large))
+        most = inside.groupBy("text_hash").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > min(capacity))
+        hot = tuple(sorted(r["text_hash"] for r in most.collect()))
+        part = part_column(large, hot, parts, F.col("block"), F.col("text_hash"), F.col("key"))
+        divided = inside.groupBy("block", part.alias("part")).agg(F.sum("size").alias("bytes"))
         units += [(r["block"], r["part"], r["bytes"]) for r in divided.collect()]
     units.sort()
     old = [b * old_shards // blocks for b, _, _ in units]
@@ -177,16 +199,14 @@ def plan_moves(rows: DataFrame, new_shards: int, old_shards: int, blocks: int,
         supply[o] += s
     flow = min_cost_flow(supply, capacity)
     new = assign_blocks([(o, s) for o, (_, _, s) in zip(old, units)], flow, capacity)
-    return ReshardPlan(tuple((b, p, o, j) for (b, p, _), o, j in zip(units, old, new)), blocks, parts)
+    return ReshardPlan(tuple((b, p, o, j) for (b, p, _), o, j in zip(units, old, new)), blocks, parts, hot)
 
 
-def with_shards(rows: DataFrame, plan: ReshardPlan, block: Column, key: Column) -> DataFrame:
+def with_shards(rows: DataFrame, plan: ReshardPlan, block: Column, text_hash: Column, key: Column) -> DataFrame:
     """``rows`` plus ``old_shard`` and ``shard``, by a broadcast of the plan
     (bounded: one row per block or part of a divided block)."""
     table = rows.sparkSession.createDataFrame(list(plan.moves), "_block int, _part int, old_shard int, shard int")
-    part = F.lit(-1)
-    if plan.divided:
-        part = F.when(block.isin(plan.divided), F.pmod(key, F.lit(plan.parts))).otherwise(-1).cast("int")
+    part = part_column(plan.divided, plan.hot, plan.parts, block, text_hash, key)
     where = rows.join(F.broadcast(table), (block == F.col("_block")) & (part == F.col("_part")))
     return where.drop("_block", "_part")
 
@@ -197,12 +217,12 @@ def reshard(docs: DataFrame, new_shards: int = 8, old_shards: int = 6, text: str
     """(key, size, text_crc32, old_shard, shard, slot) per row, and the plan.
     The old layout deals ranges of the text hash to ``old_shards`` parts; the
     new shards get equal shares of all bytes, or ``capacities``."""
-    block, unit = unit_columns(text, key, blocks)
+    block, text_hash, row_hash = unit_columns(text, key, blocks)
     rows = materialize(docs.select(
         F.col(key).alias("doc_id"), (utf8_bytes(text) + 1).alias("size"), utf8_crc32(text).alias("text_crc32"),
-        block.alias("block"), unit.alias("key")), "reshard-rows")
+        block.alias("block"), text_hash.alias("text_hash"), row_hash.alias("key")), "reshard-rows")
     plan = plan_moves(rows, new_shards, old_shards, blocks, parts, capacities)
-    placed = with_shards(rows, plan, F.col("block"), F.col("key"))
+    placed = with_shards(rows, plan, F.col("block"), F.col("text_hash"), F.col("key"))
     placed = placed.select("doc_id", "size", "text_crc32", "old_shard", "shard")
     out = number_rows(placed, ["shard"], ["doc_id", "text_crc32", "size"], "slot")
     return out.select(F.col("doc_id").alias(key), "size", "text_crc32", "old_shard", "shard", "slot"), plan
@@ -218,8 +238,9 @@ def rewrite_layout(docs: DataFrame, plan: ReshardPlan, out_dir: str, text: str =
     name = "shard"
     while name in {c.lower() for c in docs.columns}:
         name += "_"
-    block, unit = unit_columns(text, key, plan.blocks)
-    rows = with_shards(packed(docs, block.alias("block"), unit.alias("unit")), plan, F.col("block"), F.col("unit"))
+    block, text_hash, unit = unit_columns(text, key, plan.blocks)
+    rows = packed(docs, block.alias("block"), text_hash.alias("text_hash"), unit.alias("unit"))
+    rows = with_shards(rows, plan, F.col("block"), F.col("text_hash"), F.col("unit"))
     rows = rows.filter(F.col("shard").isin(plan.affected))
     n = max(1, len(plan.affected)) * files_per_shard
     (rows.repartition(n, "shard", F.pmod(F.col("unit"), F.lit(files_per_shard)))

@@ -110,3 +110,20 @@ def test_nothing_moves_when_shards_and_capacities_stay(spark):
              .agg(F.sum("size").alias("b")).collect()}
     placed, plan = sh.reshard(docs, 6, capacities=[sizes.get(k, 0) for k in range(6)])
     assert placed.filter("shard <> old_shard").count() == 0 and plan.affected == []
+
+
+def test_copies_beside_a_hot_text_stay_together(spark):
+    rows = [(i, "hot text") for i in range(4000)] + [(10_000 + i, f"other {i % 2000}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed, plan = sh.reshard(docs, 8, blocks=256)
+    split = placed.groupBy("text_crc32").agg(F.countDistinct("shard").alias("n")).filter("n > 1")
+    assert len(plan.divided) == 1 and len(plan.hot) == 1 and split.count() == 1
+    held = [r["b"] for r in placed.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert max(held) - min(held) < 0.1 * sum(held) / 8
+
+
+def test_a_block_of_many_texts_is_divided_by_text(spark):
+    rows = [(i, f"text {i % 300}") for i in range(1500)]
+    placed, plan = sh.reshard(spark.createDataFrame(rows, "doc_id long, text string"), 8, blocks=2)
+    assert plan.divided and not plan.hot
+    assert placed.groupBy("text_crc32").agg(F.countDistinct("shard").alias("n")).filter("n > 1").count() == 0
