@@ -10,9 +10,10 @@ are frozen after training, so a text's code length under a language is an
 exact sum over its bytes, and the language with the shortest code wins.
 
 Trees are learned from a bounded sample: at most ``docs_per_lang`` learning
-rows per language, of at most ``max_chars`` characters each (longer rows are
-left out of the sample, not cut). All scored texts are scored whole, in
-pieces that carry their context along. The trees of all languages are merged
+rows per language, of at most ``max_chars`` characters each; where a language
+has too few rows that short, the first ``max_chars`` characters of longer ones
+fill up. All scored texts are scored whole, in pieces of bytes that carry
+their context along, so the work space is that of a piece. The trees of all languages are merged
 into one table per order: n-gram -> code length per language, so one lookup
 serves all languages.
 
@@ -21,7 +22,8 @@ Defined results: a null text, or one without a letter, is ``und`` with score
 the winner when languages are weighted by 2^-(bits). Equal code lengths go
 to the language that sorts first. Repeated rows get equal results; extra
 columns are kept, those called like an output replaced; an empty table gives
-an empty result.
+an empty result; very long texts need their own bytes twice and a piece's
+work space.
 """
 
 from __future__ import annotations
@@ -42,13 +44,14 @@ def sample_per_class(rows: DataFrame, label: str, key: str, cap: int) -> DataFra
     """At most ``cap`` rows per label, the first by a hash of (key, text):
     labels are counted (combined map-side), a hash threshold keeps about
     twice the cap of each, and the final cut ranks only those."""
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}  # one row per label
+    name = F.to_json(F.struct(label))  # labels may be structs
+    counts = {r[0]: r[1] for r in rows.groupBy(name).count().collect()}  # one row per label
     if not counts:
         return rows.limit(0)
     h = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col("text")), F.lit(1 << 30))
     share = F.create_map(*[x for k, n in counts.items() for x in
                            (F.lit(k), F.lit(min(1.0, (2 * cap + 20) / n) * (1 << 30)))])
-    some = rows.withColumn("_h", h).filter(F.col("_h") < share[F.col(label)])
+    some = rows.withColumn("_h", h).filter(F.col("_h") < share[name])
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", key, "text"))
     return some.withColumn("_r", rank).filter(F.col("_r") <= cap).drop("_h", "_r")
 
@@ -183,21 +186,34 @@ class PpmModel:
         """Bits per text and language, over whole texts, in pieces of bytes
         that start with the context before them."""
         import numpy as np
+        out = np.zeros((len(texts), len(self.languages)))
+        piece = max(piece, ORDER)
         pad = bytes([PAD]) * ORDER
-        raw = [(t or "").lower().encode("utf-8", "replace") for t in texts]
-        data = np.frombuffer(pad + pad.join(raw) + pad, np.uint8)
-        sizes = np.array([len(r) for r in raw], np.int64)
-        start = np.cumsum(sizes + ORDER) - sizes - ORDER  # of each text, after the first pad
-        owner = np.repeat(np.arange(len(raw)), sizes + ORDER)
-        inside = np.arange(len(owner)) < np.repeat(start + sizes, sizes + ORDER)
-        out = np.zeros((len(raw), len(self.languages)))
-        for a in range(0, len(owner), piece):
-            b = min(a + piece, len(owner))
-            cost = self.bits(data[a:b + ORDER])
-            cost[~inside[a:b]] = 0.0
-            own = owner[a:b]
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            out[own[first]] += np.add.reduceat(cost, first, axis=0, dtype=np.float64)
+        parts: list[bytes] = []  # each with the ORDER bytes before it, in all about a piece
+        of: list[int] = []
+        size = 0
+
+        def flush():
+            data = np.frombuffer(b"".join(parts), np.uint8)
+            sizes = np.array([len(x) for x in parts], np.int64)
+            start = np.cumsum(sizes) - sizes
+            cost = self.bits(data)  # per byte from ORDER on; those that look back over a part's start do not count
+            inside = np.arange(len(cost)) < np.repeat(start + sizes - ORDER, sizes)[:len(cost)]
+            cost[~inside] = 0.0
+            np.add.at(out, np.array(of), np.add.reduceat(cost, start, axis=0, dtype=np.float64))
+
+        for i, t in enumerate(texts):
+            raw = (t or "").lower().encode("utf-8", "replace")
+            for at in range(0, len(raw), piece):
+                part = (raw[at - ORDER:at] if at else pad) + raw[at:at + piece]
+                if parts and size + len(part) > piece:
+                    flush()
+                    parts, of, size = [], [], 0
+                parts.append(part)
+                of.append(i)
+                size += len(part)
+        if parts:
+            flush()
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -211,12 +227,16 @@ class PpmModel:
 def train(learn: DataFrame, key: str = "doc_id", docs_per_lang: int = 200, max_chars: int = 20_000) -> PpmModel | None:
     """A model from the rows of ``learn`` (key, text, lang), or None if no
     row has both. Only the bounded sample reaches the driver."""
-    rows = (learn.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-            .filter((F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
-            .select(F.col(key).alias("doc_id"), "text", "lang"))
+    rows = learn.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    long_ = F.length("text") > max_chars
+    rows = rows.select(F.col(key).alias("doc_id"), "text", F.struct("lang", long_.alias("long")).alias("kind"))
+    # Short rows of a language first, heads of long ones where those are too few.
+    found = [(r["lang"], r["long"], r["head"]) for r in sample_per_class(rows, "kind", "doc_id", docs_per_lang).select(
+        "kind.*", F.substring("text", 1, max_chars).alias("head")).collect()]
     texts: dict[str, list[str]] = {}
-    for r in sample_per_class(rows, "lang", "doc_id", docs_per_lang).select("lang", "text").collect():
-        texts.setdefault(r["lang"], []).append(r["text"])
+    for lang, _, head in sorted(found):
+        if len(texts.setdefault(lang, [])) < docs_per_lang:
+            texts[lang].append(head)
     return PpmModel.train({k: sorted(v) for k, v in texts.items()}) if texts else None
 
 

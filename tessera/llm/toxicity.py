@@ -14,14 +14,17 @@ whole text, through a logistic curve with the number of windows as a second
 input, fitted on texts the windows were not trained on.
 
 The model is learned on a bounded sample (at most ``docs_per_class`` texts
-per label); scoring reads every text whole. Since averaging and softmax are
+per label); scoring reads every text whole. The number of windows is an input
+of the final curve because a long text has more chances of a high window, so
+a clean text's score also moves with its length. Since averaging and softmax are
 linear up to the last step, a word contributes one number, which workers
 cache by word.
 
 Defined results: null and empty texts have one empty window (the score a
 text without words gets); without both labels every score is 0.5; labels of
 null or repeated rows: a row is learned from once per matching label row;
-extra columns are kept, those called like an output replaced; an empty table
+tokens without a letter count as empty words; very long texts are scored
+whole, in slices by bytes; extra columns are kept, those called like an output replaced; an empty table
 gives an empty result.
 """
 
@@ -45,9 +48,11 @@ LONGEST = 32
 
 def pieces(token: str) -> list[str]:
     """Normalised words of a white-space token: lower case, letters and
-    digits kept, long ones cut into stretches of ``LONGEST`` characters."""
+    digits kept, long ones cut into stretches of ``LONGEST`` characters. A
+    token without a letter (a number) has none; in mixed ones such as
+    ``1d10t5`` digits count like letters."""
     w = "".join(c for c in token.lower() if c.isalnum())
-    if sum(c.isdigit() for c in w) > 2:  # numbers, codes and keys say nothing here
+    if not any(c.isalpha() for c in w):
         return []
     return [w[i:i + LONGEST] for i in range(0, len(w), LONGEST)]
 
@@ -252,17 +257,28 @@ def train(texts: Sequence[str], labels: Sequence[int], dim: int = 16, min_texts:
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic",
           docs_per_class: int = 700, max_chars: int = 20_000) -> SubwordModel | None:
     """A model from the rows of ``docs`` that ``labels`` marks 0 or 1, or
-    None without both. The sample is cut on the narrow label table, so only
-    its texts (those up to ``max_chars`` characters) reach the driver."""
+    None without both. The sample is drawn per label among the texts of at
+    most ``max_chars`` characters; where a label has too few of them, the
+    first ``max_chars`` characters of longer ones fill up. Labels meet the
+    lengths of the texts first, so only the sample's texts are exchanged."""
     marks = (labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
-             .select(F.col(key).alias("key"), F.col(label).alias("y"), F.lit("").alias("text")))
-    chosen = sample_per_class(marks, "y", "key", docs_per_class).select(F.col("key").alias("_k"), "y")
-    texts = docs.filter(F.length("text") <= max_chars).select(F.col(key).alias("key"), "text")
-    got = texts.join(F.broadcast(chosen), F.col("key") == F.col("_k")).select("key", "text", "y").collect()
-    got = sorted((str(r["key"]), r["text"], r["y"]) for r in got)
-    if len({r[2] for r in got}) < 2:
+             .select(F.col(key).alias("key"), F.col(label).alias("y")))
+    sizes = docs.filter(F.col("text").isNotNull()).select(
+        F.col(key).alias("key"), (F.length("text") > max_chars).alias("long")).distinct()
+    sized = marks.join(sizes, "key").select("key", F.struct("y", "long").alias("kind"), F.lit("").alias("text"))
+    chosen = sample_per_class(sized, "kind", "key", docs_per_class).select(F.col("key").alias("_k"), "kind.*")
+    texts = docs.select(F.col(key).alias("key"), (F.length("text") > max_chars).alias("_long"),
+                        F.substring("text", 1, max_chars).alias("text"))
+    got = texts.join(F.broadcast(chosen),  # bounded by the sample
+                     (F.col("key") == F.col("_k")) & (F.col("_long") == F.col("long"))).select("key", "text", "y", "long").collect()
+    kept: dict[int, list[tuple[str, str]]] = {}
+    for _, k, text, y in sorted((r["long"], str(r["key"]), r["text"], r["y"]) for r in got):
+        if len(kept.setdefault(y, [])) < docs_per_class:
+            kept[y].append((k, text))
+    if len(kept) < 2:
         return None
-    return train([r[1] for r in got], [r[2] for r in got])
+    both = sorted((k, text, y) for y, rows in kept.items() for k, text in rows)
+    return train([t for _, t, _ in both], [y for _, _, y in both])
 
 
 def scored(docs: DataFrame, model: SubwordModel | None, text: str = "text", threshold: float = 0.7,

@@ -94,3 +94,25 @@ def test_long_texts_are_scored_whole():
     model = li.PpmModel.train(SAMPLE)
     head, tail = prose(1, 50), "die katze und der hund " * 400
     assert model.predict([head[:200] + tail])[0] == ["de"]
+
+
+def test_a_language_with_long_rows_only_is_learned(spark):
+    rows = [(i, prose(i, 60), "en") for i in range(30)] + [(100 + i, "ñandú veloz está aquí " * 400, "es") for i in range(5)]
+    model = li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), docs_per_lang=10, max_chars=1000)
+    assert model.languages == ["en", "es"]
+    assert model.predict([prose(99, 50), "ñandú aquí está"])[0] == ["en", "es"]
+
+
+def test_work_space_is_that_of_a_piece():
+    import tracemalloc
+    model = li.PpmModel.train({"en": [prose(i, 60) for i in range(5)], "de": ["straße und wald " * 40]})
+    text = prose(3, 4000)
+    short = model.code_lengths([text])
+    tracemalloc.start()
+    long_ = model.code_lengths([text * 1000, text])  # about 25 MB
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20 and abs(long_[1] - short[0]).max() < 1e-6 * short.max()
+    assert abs(long_[0] - 1000 * short[0]).max() < 0.01 * long_[0].max()
+    pieces = model.code_lengths([text, "", None, text[:50]], piece=64)
+    assert abs(pieces[0] - short[0]).max() < 1e-6 * short.max() and not pieces[1:3].any()

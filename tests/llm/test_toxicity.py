@@ -34,7 +34,7 @@ def test_learns_and_shares_subwords_with_unseen_misspellings():
 
 def test_repeated_tokens_and_codes_count_nothing_extra():
     assert tx.bag_tokens("a a b b a") == ["a", "b", "a"] and tx.bag_tokens(None) == []
-    assert tx.pieces("0a1b2c3d") == [] and tx.pieces("St0p!") == ["st0p"] and len(tx.pieces("x" * 100)) == 4
+    assert tx.pieces("555-0199") == tx.pieces("--") == [] and tx.pieces("1d10t5") == ["1d10t5"] and tx.pieces("St0p!") == ["st0p"] and len(tx.pieces("x" * 100)) == 4
 
 
 def test_highest_window_against_brute_force():
@@ -65,3 +65,33 @@ def test_edges(spark, edge_docs, clash_docs, empty_docs):
     assert tx.scored(empty_docs, model).count() == 0
     assert tx.learn(docs, marks.filter("toxic = 1")) is None
     assert {r["score"] for r in tx.scored(edge_docs, None).collect()} == {0.5}
+
+
+def test_mixed_tokens_are_scored_by_their_letters():
+    texts, y = corpus()
+    model = tx.train(texts, y)
+    word = max({w for t, k in zip(texts, y) if k for w in t.split()}, key=model.word_logit)
+    spelt = word[:2] + "0" + word[2:] + "77"
+    assert model.word_logit(spelt) > model.word_logit("555019977") == 0.0
+
+
+def test_sample_is_drawn_among_short_texts_and_filled_with_heads(spark):
+    drawn = []
+
+    def remember(texts, labels):
+        drawn.append(list(zip(texts, labels)))
+
+    rows = [(i, ("bad " if i % 2 else "fine ") * (5 if i < 40 and not i % 2 else 400)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    old, tx.train = tx.train, remember
+    try:
+        tx.learn(docs, labels, docs_per_class=15, max_chars=100)
+        tx.learn(docs, labels, docs_per_class=30, max_chars=100)
+    finally:
+        tx.train = old
+    for got, n, short in ((drawn[0], 15, 15), (drawn[1], 30, 20)):
+        for label in (0, 1):
+            mine = [t for t, k in got if k == label]
+            assert len(mine) == n and all(len(t) <= 100 for t in mine)
+        assert sum(len(t) == 25 for t, k in got if k == 0) == short and all(len(t) == 100 for t, k in got if k == 1)
