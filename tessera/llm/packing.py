@@ -12,6 +12,12 @@ others are full). From then on only the histogram of piece lengths counts:
    count would turn negative.
 3. Counts are rounded down, and the lengths left over are packed best-fit
    by falling length, again on counts: equal bins are handled together.
+4. Patterns may have used up the partners that the pieces left over would
+   need. A repair gives repeats back to the residual: each pattern keeps one
+   share of its repeats, the largest of ``KEPT`` with which the fewest
+   sequences are needed, and then single patterns give theirs back while that
+   saves a sequence. With nothing kept the plan would be best-fit alone, so it
+   never needs more sequences than that.
 
 The plan has a bounded size (at most a few patterns per length), whatever
 the number of pieces, and is solved on the driver. Each piece then finds its
@@ -19,8 +25,9 @@ place from its number within its length, which hash buckets provide, so no
 task holds all pieces of one length.
 
 Defined results: a null or empty text is one piece holding the end id; a
-text without spaces is tokenized whole; repeated rows are packed each; extra
-columns are not read; an empty table gives an empty result.
+text without spaces is tokenized whole, very long texts in parts cut at safe
+spaces; repeated rows are packed each; ties between plans go to the one that
+keeps more patterns; extra columns, whatever their names, are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,6 +47,7 @@ from tessera.llm.token_counts import slices_by_bytes
 # A group of equal sequences: [(length, how many of it per sequence), ...]
 # in falling order, and the number of such sequences.
 Group = tuple[list[tuple[int, int]], int]
+KEPT = (1.0, 0.99, 0.97, 0.95, 0.9, 0.8, 0.65, 0.5, 0.35, 0.2, 0.1, 0.05, 0.0)
 
 
 def piece_starts(n: int, capacity: int) -> list[int]:
@@ -169,31 +177,71 @@ def best_fit(histogram: Mapping[int, int], capacity: int) -> list[Group]:
     return [g for s in sorted(spaces) for g in spaces[s]]
 
 
-def plan(histogram: Mapping[int, int], capacity: int) -> list[Group]:
+def apply_patterns(h, patterns, counts, share: float) -> list[Group]:
+    """Groups by falling repeat count, each cut to what its lengths still have
+    in ``h`` (which is lowered), of which a ``share`` is kept."""
+    import numpy as np
+    groups: list[Group] = []
+    for p in np.argsort(-counts, kind="stable"):
+        if counts[p] <= 0:
+            break
+        need: dict[int, int] = {}
+        for x in patterns[p].tolist():
+            if x:
+                need[x] = need.get(x, 0) + 1
+        times = min(int(counts[p] * share), *[int(h[x]) // k for x, k in need.items()])
+        if times > 0:
+            for x, k in need.items():
+                h[x] -= times * k
+            groups.append((sorted(need.items(), reverse=True), times))
+    return groups
+
+
+def plan(histogram: Mapping[int, int], capacity: int, tries: int = 40) -> list[Group]:
     """Groups of sequences that hold exactly the histogram's pieces."""
     import numpy as np
     h = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         h[length] = n
-    groups: list[Group] = []
+    least = -(-int((h * np.arange(capacity + 1)).sum()) // capacity)  # no plan can do with fewer
+
+    def rest_of(left) -> list[Group]:
+        return best_fit({int(x): int(left[x]) for x in np.flatnonzero(left)}, capacity)
+
+    def size(groups: list[Group]) -> int:
+        return sum(times for _, times in groups)
+
     patterns = patterns_of(np.flatnonzero(h), capacity)
-    if len(patterns):
-        counts = np.floor(fit_counts(patterns, h) + 1e-6).astype(np.int64)
-        # Falling counts, each cut to what its lengths still have.
-        for p in np.argsort(-counts, kind="stable"):
-            if counts[p] <= 0:
-                break
-            need: dict[int, int] = {}
-            for x in patterns[p].tolist():
-                if x:
-                    need[x] = need.get(x, 0) + 1
-            times = min(int(counts[p]), *[int(h[x]) // k for x, k in need.items()])
-            if times > 0:
-                for x, k in need.items():
-                    h[x] -= times * k
-                groups.append((sorted(need.items(), reverse=True), times))
-    rest = {int(x): int(h[x]) for x in np.flatnonzero(h)}
-    return groups + best_fit(rest, capacity)
+    if not len(patterns):
+        return rest_of(h)
+    counts = np.floor(fit_counts(patterns, h) + 1e-6).astype(np.int64)
+    best = None
+    for share in KEPT:
+        left = h.copy()
+        kept = apply_patterns(left, patterns, counts, share)
+        rest = rest_of(left)
+        total = size(kept) + size(rest)
+        if best is None or total < best[0]:
+            best = (total, kept, rest, left)
+        if total <= least:
+            break
+    total, kept, rest, left = best
+    # Patterns whose lengths stand in the worst filled sequences give their repeats back, one at a time.
+    for _ in range(tries):
+        if total <= least or not kept:
+            break
+        room = {x: capacity - sum(a * k for a, k in content) for content, _ in rest for x, _ in content}
+        at = max(range(len(kept)), key=lambda i: (sum(room.get(x, 0) for x, _ in kept[i][0]), -i))
+        content, times = kept[at]
+        now = left.copy()
+        for x, k in content:
+            now[x] += times * k
+        fewer = rest_of(now)
+        if size(fewer) - times >= size(rest):
+            break
+        kept, rest, left = kept[:at] + kept[at + 1:], fewer, now
+        total = size(kept) + size(rest)
+    return kept + rest
 
 
 def segments_of(groups: list[Group]) -> list[tuple[int, int, int, int, int, int]]:
@@ -213,7 +261,7 @@ def segments_of(groups: list[Group]) -> list[tuple[int, int, int, int, int, int]
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, text: str = "text", key: str = "doc_id",
-           with_ids: bool = False, batch_bytes: int = 4 << 20, cache_size: int = 400_000) -> DataFrame:
+           with_ids: bool = False, batch_bytes: int = 4 << 20, cache_size: int = 600_000) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) for every text."""
     ship_package()
     fields = [T.StructField("doc_id", docs.schema[key].dataType), T.StructField("piece", T.IntegerType()),

@@ -8,6 +8,8 @@ whose spaces touch other white space are cut only at the safe ones. Special
 strings inside a text hold no space, so they stay in one segment and are
 handled as the library does by default. Segments not yet known are encoded
 many to one text, whose tokens that start with a space start the segments.
+Where the tokenizer parts letters from marks (tested on each mark), a word
+with marks behind it is looked up without them.
 """
 
 from __future__ import annotations
@@ -16,6 +18,10 @@ import re
 
 from tessera.llm.common import TwoTierCache
 
+# A word of letters with marks behind it; ASCII letters and those of Latin-1
+# are letters to every tokenizer's Unicode tables.
+MARKED = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,:;!?$%&*#|]+)")
+
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -52,13 +58,26 @@ class HfSegments:
         parts = [self.tokenizer.encode(s, add_special_tokens=False).ids for s in ("ab", " cd")]
         self.safe = mark != "x" and whole == parts[0] + parts[1]
 
+        def ids(s: str) -> list[int]:
+            return self.tokenizer.encode(s, add_special_tokens=False).ids
+
+        self.parts_marks = all(ids(f" a\u00e9b{m}") == ids(" a\u00e9b") + ids(m) for m in [*".,:;!?$%&*#|", ".,", "!!", "$$$"])
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
         return [np.asarray(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str], chunk: int = 8192) -> list[bytes]:
+    def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of " " + word for words without white space at their ends."""
+        found = list(map(MARKED.fullmatch, words)) if self.parts_marks else [None] * len(words)
+        cores = self._filled(self.cache, [m[1] for m in found if m], self._encode_plain)
+        marks = self._filled(self.firsts, [m[2] for m in found if m], self._encode)
+        marked = iter(zip(cores, marks))
+        plain = iter(self._encode_plain([w for w, m in zip(words, found) if not m]))
+        return [b"".join(next(marked)) if m else next(plain) for m in found]
+
+    def _encode_plain(self, words: list[str], chunk: int = 8192) -> list[bytes]:
         import numpy as np
         out: list[bytes] = []
         for i in range(0, len(words), chunk):
@@ -88,17 +107,64 @@ class HfSegments:
                 values[i] = fresh[keys[i]]
         return values
 
-    def id_bytes(self, texts: list[str | None]) -> list[bytes]:
+    def id_bytes(self, texts: list[str | None], most: int = 1 << 22) -> list[bytes]:
+        """Each text's ids; texts go in groups of about ``most`` characters,
+        longer ones in parts cut at safe spaces."""
         if not self.safe:
             return self._encode([t or "" for t in texts])
-        firsts: list[str] = []
-        words: list[str] = []
-        ends: list[int] = []
-        for t in texts:
-            parts = [""] if not t else t.split(" ") if every_space_is_safe(t) else SAFE_SPACE.split(t)
-            firsts.append(parts[0])
-            words += parts[1:]
-            ends.append(len(words))
-        head = self._filled(self.firsts, firsts, self._encode)
-        body = self._filled(self.cache, words, self._encode_words)
-        return [b"".join([h, *body[a:b]]) for h, a, b in zip(head, [0, *ends], ends)]
+        out: list[list[bytes]] = [[] for _ in texts]
+        parts: list[str] = []  # whose spaces are all safe
+        of: list[tuple[int, bool]] = []  # text, and whether the part follows a space
+        size = 0
+
+        def flush():
+            for (k, _), ids in zip(of, self._safe_parts(parts, [x for _, x in of])):
+                out[k].append(ids)
+
+        for k, t in enumerate(texts):
+            if not t:
+                out[k].append(b"")
+            elif not every_space_is_safe(t):
+                first, *words = SAFE_SPACE.split(t)
+                out[k] += [*self._filled(self.firsts, [first], self._encode), *self._filled(self.cache, words, self._encode_words)]
+            else:
+                at = 0
+                while at < len(t):
+                    cut = t.find(" ", at + most) if len(t) - at > most else -1
+                    parts.append(t[at:cut] if cut >= 0 else t[at:] if at else t)
+                    of.append((k, at > 0))
+                    size += len(parts[-1])
+                    at = cut + 1 if cut >= 0 else len(t)
+                    if size >= most:
+                        flush()
+                        parts, of, size = [], [], 0
+        flush()
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
+
+    def _safe_parts(self, parts: list[str], after_space: list[bool]) -> list[bytes]:
+        """Ids of parts whose spaces are all safe. Words are told apart by
+        Arrow's dictionary encoding, so Python sees each different word of a
+        group once, and ids are gathered by number."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        if not parts:
+            return []
+        lists = pc.split_pattern(pa.array(parts, pa.large_string()), " ")
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy().astype(np.int64))
+        coded = lists.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        heads = np.r_[0, ends[:-1]][~np.array(after_space)]  # segments without a space before them
+        words = coded.dictionary.to_pylist()
+        first, number = np.unique(at[heads], return_inverse=True)
+        at[heads] = len(words) + number
+        values = self._filled(self.cache, words, self._encode_words)  # a word found only as a head is encoded for nothing
+        values += self._filled(self.firsts, [words[i] for i in first.tolist()], self._encode)
+        pool = np.frombuffer(b"".join(values), "<u4")
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        start = np.cumsum(sizes) - sizes
+        n = sizes[at]
+        past = np.cumsum(n)
+        ids = pool[np.repeat(start[at] - (past - n), n) + np.arange(n.sum())]
+        cuts = np.r_[0, past][np.r_[0, ends]].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]

@@ -2,6 +2,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -110,4 +111,40 @@ def test_few_sequences(spark):
     rows = [(i, prose(i, 5 + i * 13 % 150)) for i in range(1500)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     n, least = check(docs, rows, 128)
-    assert n <= least * 1.03
+    assert n <= least * 1.01
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plans_never_need_more_than_best_fit(seed):
+    """Sparse histograms, where rounded patterns strand their partners."""
+    rng = random.Random(seed)
+    lengths = rng.sample(range(1, 1025), 40 if seed % 2 else 400)
+    h = {x: rng.choice([1, 1, 2, 5, 60 if seed < 3 else 3]) for x in lengths}
+    groups = pk.plan(h, 1024)
+    held = {}
+    for content, times in groups:
+        assert sum(x * k for x, k in content) <= 1024
+        for x, k in content:
+            held[x] = held.get(x, 0) + k * times
+    total, best = (sum(t for _, t in g) for g in (groups, pk.best_fit(h, 1024)))
+    assert held == h and total <= best
+
+
+def test_patterns_stay_where_they_cost_nothing():
+    h = {600: 500, 424: 500, 300: 200, 724: 200}
+    assert sum(t for _, t in pk.plan(h, 1024)) == 700
+    assert pk.plan({}, 1024) == []
+
+
+def test_words_with_marks_and_parts_of_long_texts():
+    from tessera.llm.common import tokenizer_path
+    from tessera.llm.segments import HfSegments
+    from tokenizers import Tokenizer
+    enc, t = HfSegments(tokenizer_path(NAME), 1000), Tokenizer.from_file(tokenizer_path(NAME))
+    rng = random.Random(5)
+    bits = ["word", "été", "a", "x1", "don't", "...", "!!", ".,", "$$$", "'s", "<s>", "<|endoftext|>", "日本", "ß", "²", "Ünï"]
+    texts = [" ".join("".join(rng.choice(bits) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(1, 40)))
+             for _ in range(300)] + [None, "", " lead", "two  spaces", "tab\tin", "end ", "one"]
+    want = [np.asarray(t.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    for most in (1 << 22, 50, 1):
+        assert enc.id_bytes(texts, most) == want
