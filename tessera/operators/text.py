@@ -89,11 +89,19 @@ def char_pair_counts(df: DataFrame, col: str = "value", mode: str = "adjacent",
     """
     lines = lines_of(df, col, split_lines)
     if mode == "adjacent":
-        # Count the two-character strings themselves; they are split into
-        # (first, second) only after the aggregate, on a few thousand rows.
-        grams = lines.select(
-            F.explode(F.regexp_extract_all("line", F.lit(_ADJACENT_PAIR), 1)).alias("g"))
-        counted = grams.groupBy("g").agg(F.count(F.lit(1)).alias("count"))
+        # Lines are cut at spaces into words that keep the spaces at both
+        # sides: every pair lies in exactly one of them. Equal words are
+        # counted first (map-side), so characters become rows only for
+        # different words, not for the text; pairs are split into (first,
+        # second) after the last aggregate, on a few thousand rows.
+        cut = lines.select(F.split("line", " ", -1).alias("cut")).withColumn("last", F.size("cut") - 1)
+        words = cut.select("last", F.posexplode("cut").alias("pos", "w"))
+        space, none = F.lit(" "), F.lit("")
+        words = words.select(F.concat(F.when(F.col("pos") > 0, space).otherwise(none), "w",
+                                      F.when(F.col("pos") < F.col("last"), space).otherwise(none)).alias("w"))
+        words = words.filter(F.length("w") > 1).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+        grams = words.select("n", F.explode(F.regexp_extract_all("w", F.lit(_ADJACENT_PAIR), 1)).alias("g"))
+        counted = grams.groupBy("g").agg(F.sum("n").alias("count"))
         return counted.select(F.substring("g", 1, 1).alias("first"),
                               F.substring("g", 2, 1).alias("second"), "count")
     if mode == "word_ends":
