@@ -39,6 +39,24 @@ def test_each_stage_on_edge_rows(spark, edge_docs, clash_docs, empty_docs):
             assert n <= 2 * len(edge_rows()) and (n == 0) == (docs is empty_docs), name
 
 
+def test_packing_stage_on_edge_rows(spark, edge_docs, clash_docs, empty_docs):
+    """Every text's tokens, placed once, without overlap."""
+    from tokenizers import Tokenizer
+    from tessera.llm.common import tokenizer_path
+    t = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    want = sum(len(t.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in edge_rows())
+    for docs in (edge_docs, clash_docs):
+        rows = stage("packing")(spark, docs, "").collect()
+        assert sum(r["length"] for r in rows) == want and all(0 < r["length"] <= 1024 for r in rows)
+        held = {}
+        for r in rows:
+            held.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        for pieces in held.values():
+            ends = [0, *(a + n for a, n in sorted(pieces))]
+            assert [a for a, _ in sorted(pieces)] == ends[:-1] and ends[-1] <= 1024
+    assert stage("packing")(spark, empty_docs, "").count() == 0
+
+
 def test_language_stage_drops_only_what_has_no_language(spark, edge_docs):
     kept = {r["text"] for r in stage("language_id")(spark, edge_docs, "").collect()}
     assert not kept & {None, "", " \t\n "} and prose(3, 200) in kept and prose(1, 30_000) in kept
