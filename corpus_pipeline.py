@@ -3,9 +3,17 @@ operator of ``tessera.llm``, each written as Parquet and read again by the
 next. Every stage works on all that its predecessor kept, and all but the
 last return the columns of ``documents``.
 
-Rows whose id is null pass every stage like others; documents that repeat an
-id with the same text count as one from the near-duplicate stage on, those
-that repeat it with another text are judged by their own text.
+Defined results: rows whose id is null pass every stage like others; documents
+that repeat an id with the same text count as one from the near-duplicate
+stage on, those that repeat it with another text are judged by their own text.
+Null and blank texts have no language and go in the first stage; null language,
+source or length changes nothing but the source mix, where a null source is
+the last one. Very long texts pass every stage whole and are cut into pieces
+only when packed. Ties: equal code lengths go to the language that sorts
+first, of equal documents the smallest id stays (then a hash of id and text),
+equal rows of a mix are interchangeable. Extra columns, also those called like
+an operator's own, are kept up to the last stage, which does not read them. An
+empty table gives empty stages and an empty result.
 """
 
 from __future__ import annotations
