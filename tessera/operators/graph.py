@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from tessera.operators.joins import SLICE_PAIRS, skew_safe_join, skew_safe_pairs
 from tessera.session import cut_lineage
 
+# Words of the bitmap of edges, as a power of two: 2^20 words of 64 bits.
+WORD_BITS = 20
+
 
 def drop_self_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Edges whose ends differ (null ends are dropped as well)."""
@@ -116,16 +119,45 @@ def closing_edges(edges: DataFrame, paths: DataFrame, src: str = "src",
     return paths.join(e, ["start", "end"], "left_semi").select("start", "end", "middle")
 
 
+def closable_paths(paths: DataFrame, oriented: DataFrame, word_bits: int = WORD_BITS) -> DataFrame:
+    """Those two-paths whose ends an edge may join: a filter in front of
+    :func:`closing_edges` that drops most open paths where they are formed,
+    before any exchange, and never a closed one.
+
+    The ends of every oriented edge set one of ``2 ** (word_bits + 6)`` bits,
+    kept as 64-bit words: at most ``2 ** word_bits`` rows of two longs,
+    whatever the graph, so they are broadcast. A path stays where its ends'
+    bit is set. With many more edges than bits all paths stay, for the price
+    of one lookup each; a larger graph wants a larger ``word_bits``. Paths
+    and edges must come from the same oriented edge set (hashes of equal
+    numbers of different types differ).
+    """
+    def slot(a: str, b: str) -> tuple[Column, Column]:
+        h = F.xxhash64(a, b)
+        return F.shiftrightunsigned(h, 64 - word_bits), h.bitwiseAND(F.lit(63)).cast("int")
+
+    word, bit = slot("src", "dst")
+    words = (oriented.select(word.alias("_word"), F.expr("1L").alias("_one"), bit.alias("_bit"))
+             .groupBy("_word").agg(F.bit_or(F.expr("shiftleft(_one, _bit)")).alias("_bits")))
+    word, bit = slot("start", "end")
+    return (paths.withColumn("_word", word).withColumn("_bit", bit)
+            .join(F.broadcast(words), "_word")
+            .filter(F.expr("shiftrightunsigned(_bits, _bit) & 1L = 1L"))
+            .select(*paths.columns))
+
+
 def triangles(edges: DataFrame, src: str = "src", dst: str = "dst",
-              checkpoint: bool = True, slice_pairs: int = SLICE_PAIRS) -> DataFrame:
+              checkpoint: bool = True, slice_pairs: int = SLICE_PAIRS,
+              word_bits: int = WORD_BITS) -> DataFrame:
     """(a, b, c): every triangle once, ``a`` first in (degree, id) order.
 
-    The oriented edge set feeds three inputs (both sides of the two-path
-    join and the closing semi-join); with ``checkpoint`` it is materialised
-    once (see :func:`oriented_edges`).
+    The oriented edge set feeds four inputs (both sides of the two-path
+    join, the bitmap of :func:`closable_paths` and the closing semi-join);
+    with ``checkpoint`` it is materialised once (see :func:`oriented_edges`).
     """
     o = oriented_edges(edges, src, dst, checkpoint)
-    closed = closing_edges(o, two_paths(o, slice_pairs), edges_distinct=True)
+    paths = closable_paths(two_paths(o, slice_pairs), o, word_bits)
+    closed = closing_edges(o, paths, edges_distinct=True)
     return closed.select(F.col("middle").alias("a"), F.col("start").alias("b"),
                          F.col("end").alias("c"))
 

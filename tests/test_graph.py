@@ -103,3 +103,27 @@ def test_oriented_two_paths_and_closed_paths_match_definitions(spark):
     exp_closed = sorted((s, e, m) for m, ns in adj.items() for s in ns for e in ns
                         if s != e and e in adj[s])
     assert rows(graph.triangle_paths(df), "start", "end", "middle") == exp_closed
+
+
+def test_bitmap_keeps_every_closed_path_and_drops_most_open_ones(spark):
+    rng = random.Random(8)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(2500)] + [(0, k) for k in range(1, 300)]
+    o = graph.oriented_edges(edges(spark, pairs, "src long, dst long", 4))
+    all_paths = set(rows(graph.two_paths(o), "middle", "start", "end"))
+    joined = set(rows(o, "src", "dst"))
+    closed = {p for p in all_paths if p[1:] in joined}
+    assert closed and len(closed) == len(brute_triangles(pairs))
+    for word_bits in (1, 6, 20):  # nearly every bit set; about half; few
+        kept = rows(graph.closable_paths(graph.two_paths(o), o, word_bits), "middle", "start", "end")
+        assert len(kept) == len(set(kept)) and closed <= set(kept) <= all_paths
+    assert len(kept) - len(closed) < len(all_paths) / 100
+    for word_bits in (1, 20):
+        got = rows(graph.triangles(edges(spark, pairs, "src long, dst long", 4), word_bits=word_bits), "a", "b", "c")
+        assert got == sorted(closed)
+
+
+def test_bitmap_with_text_ids_and_empty_graphs(spark):
+    for pairs, exp in ((TOY, 2), ([], 0), ([("1", "1")], 0), ([("1", None), ("1", "2")], 0)):
+        df = edges(spark, pairs, "src string, dst string", 2)
+        assert graph.triangle_count(df).collect()[0]["triangles"] == exp
+        assert graph.triangle_paths(df).count() == 6 * exp
