@@ -8,8 +8,11 @@ whose spaces touch other white space are cut only at the safe ones. Special
 strings inside a text hold no space, so they stay in one segment and are
 handled as the library does by default. Segments not yet known are encoded
 many to one text, whose tokens that start with a space start the segments.
-Where the tokenizer parts letters from marks (tested on each mark), a word
-with marks behind it is looked up without them.
+Where the tokenizer parts letters from marks and from a line feed (tested on
+each mark), a word with those behind it is looked up part by part. Words of
+letters need no search for boundaries: where the tokenizer's own pre-tokenizer
+leaves them whole (tested), the tokenizer's model gets them as it would spell
+them.
 """
 
 from __future__ import annotations
@@ -18,22 +21,25 @@ import re
 
 from tessera.llm.common import TwoTierCache
 
-# A word of letters with marks behind it; ASCII letters and those of Latin-1
-# are letters to every tokenizer's Unicode tables.
-MARKED = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,:;!?$%&*#|]+)")
+# ASCII letters and those of Latin-1 are letters to every tokenizer's Unicode tables.
+_LETTERS, _MARKS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+", "[.,:;!?$%&*#|]*"
+LETTERS = re.compile(_LETTERS)
+# A word of letters with marks behind it, and perhaps another one on the next line.
+PARTED = re.compile(f"({_LETTERS})({_MARKS})(?:\n({_LETTERS})({_MARKS}))?")
 
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 # White space other than the space and the line feed.
-OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+OTHER_SPACES = [*map(chr, [9, 11, 12, 13, *range(0x1c, 0x20), 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b), 0x2028, 0x2029,
+                           0x202f, 0x205f, 0x3000])]
 
 
 def every_space_is_safe(text: str) -> bool:
     """Whether all spaces stand alone between other characters (texts with
     rarer white space are not looked at closer)."""
     return not (text[0] == " " or text[-1] == " " or "  " in text or "\n " in text or " \n" in text
-                or OTHER_SPACE.search(text))
+                or any(map(text.__contains__, OTHER_SPACES)))
 
 
 class HfSegments:
@@ -61,7 +67,34 @@ class HfSegments:
         def ids(s: str) -> list[int]:
             return self.tokenizer.encode(s, add_special_tokens=False).ids
 
-        self.parts_marks = all(ids(f" a\u00e9b{m}") == ids(" a\u00e9b") + ids(m) for m in [*".,:;!?$%&*#|", ".,", "!!", "$$$"])
+        marks = ["", *".,:;!?$%&*#|", ".,", "!!", "$$$"]
+        self.parts_marks = all(ids(f" a\u00e9b{m}") == ids(" a\u00e9b") + ids(m) for m in marks)
+        self.parts_lines = self.parts_marks and all(
+            ids(f" a\u00e9b{m}\n{w}{m}") == ids(" a\u00e9b") + ids(m) + ids("\n") + ids(w) + ids(m)
+            for m in marks for w in ("Cd", "cd", "\u00c9"))
+        self.line = np.asarray(ids("\n"), dtype="<u4").tobytes()
+        self.mark = mark
+        self.letters = self._letters_tokenizer() if self.safe else None
+
+    def _letters_tokenizer(self):
+        """The model alone, for words of letters spelled by the pre-tokenizer;
+        None where that one changes or divides them, or a special string
+        consists of letters."""
+        from tokenizers import Tokenizer, pre_tokenizers
+        t, pre = self.tokenizer, self.tokenizer.pre_tokenizer
+        if t.normalizer is not None or pre is None or any(
+                not re.search(r"[^\w\s]", x.content) for x in t.get_added_tokens_decoder().values()):
+            return None
+        high = [chr(c) for c in range(0xc0, 0x100) if LETTERS.fullmatch(chr(c))]
+        self.spelling = {ord(c): "".join(x for x, _ in pre.pre_tokenize_str(c)) for c in high}
+        probes = ["x", "Xy", "XYz", "xYZ", "aBcD", "A", "thes", "ll", *high, "".join(high), "q".join(high)]
+        for head in ("", " "):
+            for w in probes:
+                if [x for x, _ in pre.pre_tokenize_str(head + w)] != [(head and self.mark) + w.translate(self.spelling)]:
+                    return None
+        model = Tokenizer(t.model)
+        model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        return model
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -70,12 +103,59 @@ class HfSegments:
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of " " + word for words without white space at their ends."""
-        found = list(map(MARKED.fullmatch, words)) if self.parts_marks else [None] * len(words)
-        cores = self._filled(self.cache, [m[1] for m in found if m], self._encode_plain)
-        marks = self._filled(self.firsts, [m[2] for m in found if m], self._encode)
-        marked = iter(zip(cores, marks))
-        plain = iter(self._encode_plain([w for w, m in zip(words, found) if not m]))
-        return [b"".join(next(marked)) if m else next(plain) for m in found]
+        out = [b""] * len(words)
+        letters, rest = [], []
+        for i, w in enumerate(words):
+            (letters if w.isalpha() and w.isascii() else rest).append(i)
+        parts, others = [], rest
+        if self.parts_marks:
+            found = [(i, PARTED.fullmatch(words[i])) for i in rest]
+            parts = [(i, m) for i, m in found if m and (self.parts_lines or m[3] is None)]
+            others = [i for i, m in found if not m or m[3] is not None and not self.parts_lines]
+        for some, encode in (letters, self._encode_letters), (others, self._encode_plain):
+            for i, v in zip(some, encode([words[i] for i in some])):
+                out[i] = v
+        cores = self._filled(self.cache, [m[1] for _, m in parts], self._encode_letters)
+        marks = iter(self._filled(self.firsts, [x for _, m in parts for x in (m[2], m[4] or "")], self._encode))
+        lines = iter(self._filled(self.firsts, [m[3] for _, m in parts if m[3]], self._encode_line_starts))
+        for (i, m), core in zip(parts, cores):
+            mark, last = next(marks), next(marks)
+            out[i] = core + mark + self.line + next(lines) + last if m[3] else core + mark
+        return out
+
+    def _encode_letters(self, words: list[str], chunk: int = 8192) -> list[bytes]:
+        """Ids of " " + word for words of letters."""
+        import numpy as np
+        if self.letters is None:
+            return self._encode_plain(words)
+        out: list[bytes] = []
+        for i in range(0, len(words), chunk):
+            group = words[i:i + chunk]
+            ids = self._spelled(group, self.mark, "")
+            cuts = [*(4 * np.flatnonzero(self.starts[ids])).tolist(), 4 * len(ids)]
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
+    def _encode_line_starts(self, words: list[str], chunk: int = 8192) -> list[bytes]:
+        """Ids of words of letters without a space before them; the space's
+        own id, which no such word holds, goes behind each."""
+        import numpy as np
+        out: list[bytes] = []
+        if self.letters is None or len(self._spelled([""], self.mark, "")) != 1:
+            return self._encode(words)
+        for i in range(0, len(words), chunk):
+            group = words[i:i + chunk]
+            ids = self._spelled(group, "", f"\n{self.mark}")
+            ends = (4 * np.flatnonzero(self.starts[ids])).tolist()
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]
+        return out
+
+    def _spelled(self, words: list[str], before: str, behind: str):
+        import numpy as np
+        text = f"{behind}\n{before}".join([w if w.isascii() else w.translate(self.spelling) for w in words])
+        return np.asarray(self.letters.encode_batch_fast([before + text + behind], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _encode_plain(self, words: list[str], chunk: int = 8192) -> list[bytes]:
         import numpy as np

@@ -148,3 +148,23 @@ def test_words_with_marks_and_parts_of_long_texts():
     want = [np.asarray(t.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
     for most in (1 << 22, 50, 1):
         assert enc.id_bytes(texts, most) == want
+
+
+def test_words_of_letters_and_words_over_a_line_end():
+    from tessera.llm.common import tokenizer_path
+    from tessera.llm.segments import HfSegments
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokenizer_path(NAME))
+    rng = random.Random(6)
+    letters = [chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xaa, 0x100), 0x100, 0x3b1, 0x4e2d]]
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 12))) + rng.choice(["", "", ".", "?!", "\n", ".\n", "\n\n", ",\r\n"])
+             for _ in range(3000)]
+    texts = [" ".join(words), "".join(words)] + [" ".join(w + v for w, v in zip(words[i::7], words[i + 1::7])) for i in range(7)]
+    texts += [f"a{chr(c)}b {chr(c)} c" for c in range(0x2100) if not 0xd800 <= c < 0xe000]
+    want = [np.asarray(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    enc = HfSegments(tokenizer_path(NAME), 1000)
+    assert enc.letters is not None and enc.parts_lines
+    assert enc.id_bytes(texts) == want and enc.id_bytes(texts) == want
+    enc.letters = None  # as for a tokenizer whose pre-tokenizer changes letters
+    enc.cache, enc.firsts = type(enc.cache)(1000), type(enc.firsts)(1000)
+    assert enc.id_bytes(texts) == want
