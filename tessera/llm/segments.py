@@ -1,18 +1,20 @@
 """Token ids of whole texts under a ``tokenizers`` file, cut at safe
-boundaries so that each distinct segment is encoded once per worker.
+boundaries so that each distinct segment is encoded once per group of texts.
 
 A boundary is a single space between two characters that are not white
 space: the pre-tokenizers used here start a token at such a space and never
 span it, so the ids of the text are the ids of its segments in order. Texts
 whose spaces touch other white space are cut only at the safe ones. Special
 strings inside a text hold no space, so they stay in one segment and are
-handled as the library does by default. Segments not yet known are encoded
-many to one text, whose tokens that start with a space start the segments.
-Where the tokenizer parts letters from marks and from a line feed (tested on
-each mark), a word with those behind it is looked up part by part. Words of
-letters need no search for boundaries: where the tokenizer's own pre-tokenizer
-leaves them whole (tested), the tokenizer's model gets them as it would spell
-them.
+handled as the library does by default. Segments are encoded many to one
+text, whose tokens that start with a space start the segments. Where the
+tokenizer parts letters from marks and from a line feed (tested on each mark),
+a word with those behind it is encoded part by part. Words of letters need no
+search for boundaries: where the tokenizer's own pre-tokenizer leaves them
+whole (tested), the tokenizer's model gets them as it would spell them, from
+Arrow arrays and without a cache, as most are rare and an object for each costs
+more than encoding it again in the next group. Marks and other segments are kept
+in bounded caches per worker.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from tessera.llm.common import TwoTierCache
 # ASCII letters and those of Latin-1 are letters to every tokenizer's Unicode tables.
 _LETTERS, _MARKS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+", "[.,:;!?$%&*#|]*"
 LETTERS = re.compile(_LETTERS)
-# A word of letters with marks behind it, and perhaps another one on the next line.
-PARTED = re.compile(f"({_LETTERS})({_MARKS})(?:\n({_LETTERS})({_MARKS}))?")
+# A word of letters with marks behind it, and perhaps another one on the next line (for Arrow).
+PARTED = f"(?P<core>{_LETTERS})(?P<marks>{_MARKS})(?:\n(?P<next>{_LETTERS})(?P<last>{_MARKS}))?"
 
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -101,61 +103,91 @@ class HfSegments:
         return [np.asarray(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of " " + word for words without white space at their ends."""
-        out = [b""] * len(words)
-        letters, rest = [], []
-        for i, w in enumerate(words):
-            (letters if w.isalpha() and w.isascii() else rest).append(i)
-        parts, others = [], rest
-        if self.parts_marks:
-            found = [(i, PARTED.fullmatch(words[i])) for i in rest]
-            parts = [(i, m) for i, m in found if m and (self.parts_lines or m[3] is None)]
-            others = [i for i, m in found if not m or m[3] is not None and not self.parts_lines]
-        for some, encode in (letters, self._encode_letters), (others, self._encode_plain):
-            for i, v in zip(some, encode([words[i] for i in some])):
-                out[i] = v
-        cores = self._filled(self.cache, [m[1] for _, m in parts], self._encode_letters)
-        marks = iter(self._filled(self.firsts, [x for _, m in parts for x in (m[2], m[4] or "")], self._encode))
-        lines = iter(self._filled(self.firsts, [m[3] for _, m in parts if m[3]], self._encode_line_starts))
-        for (i, m), core in zip(parts, cores):
-            mark, last = next(marks), next(marks)
-            out[i] = core + mark + self.line + next(lines) + last if m[3] else core + mark
-        return out
+    def _word_ids(self, words):
+        """Ids of " " + word, an Arrow array like that of the different words
+        (without white space at their ends). Words of letters, with marks and
+        perhaps a second line, are told from the others, put together and
+        encoded without a Python object for each."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        if self.letters is None or not self.parts_marks:
+            return self._cached(self.cache, words, self._encode_plain)
+        found = pc.extract_regex(words, pattern=f"^{PARTED}$")
+        plain = found.is_valid()
+        if not self.parts_lines:
+            plain = pc.and_(plain, pc.fill_null(pc.equal(pc.struct_field(found, "next"), ""), False))
+        core, mark, line, last = (c.dictionary_encode() for c in found.filter(plain).flatten())
+
+        def ids(coded, encode):
+            return encode(coded.dictionary).take(coded.indices)
+
+        breaks = ids(line, lambda x: pc.if_else(pc.equal(x, ""), pa.scalar(b"", pa.large_binary()),
+                                                pa.scalar(self.line, pa.large_binary())))
+        starts = ids(line, self._line_start_ids)
+        marks = [ids(x, lambda m: self._cached(self.firsts, m, self._encode)) for x in (mark, last)]
+        parts = pc.binary_join_element_wise(ids(core, self._letter_ids), marks[0], breaks, starts, marks[1],
+                                            pa.scalar(b"", pa.large_binary()))
+        others = words.filter(pc.invert(plain))
+        if not len(others):
+            return parts
+        return _merged(plain, parts, self._cached(self.cache, others, self._encode_plain))
 
-    def _encode_letters(self, words: list[str], chunk: int = 8192) -> list[bytes]:
+    def _letter_ids(self, words):
         """Ids of " " + word for words of letters."""
         import numpy as np
-        if self.letters is None:
-            return self._encode_plain(words)
-        out: list[bytes] = []
-        for i in range(0, len(words), chunk):
-            group = words[i:i + chunk]
-            ids = self._spelled(group, self.mark, "")
-            cuts = [*(4 * np.flatnonzero(self.starts[ids])).tolist(), 4 * len(ids)]
-            raw = ids.tobytes()
-            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-        return out
+        import pyarrow as pa
+
+        def some(words):
+            all_ids = self._spelled(words, self.mark, "")
+            return _binary(all_ids, np.r_[np.flatnonzero(self.starts[all_ids]), len(all_ids)])
 
-    def _encode_line_starts(self, words: list[str], chunk: int = 8192) -> list[bytes]:
-        """Ids of words of letters without a space before them; the space's
-        own id, which no such word holds, goes behind each."""
+        return self._by_spelling(words, some) if len(words) else pa.array([], pa.large_binary())
+
+    def _line_start_ids(self, words):
+        """Ids of words of letters without a space before them (of an empty
+        one: none); the space's own id, which no such word holds, goes behind
+        each."""
         import numpy as np
-        out: list[bytes] = []
-        if self.letters is None or len(self._spelled([""], self.mark, "")) != 1:
-            return self._encode(words)
-        for i in range(0, len(words), chunk):
-            group = words[i:i + chunk]
-            ids = self._spelled(group, "", f"\n{self.mark}")
-            ends = (4 * np.flatnonzero(self.starts[ids])).tolist()
-            raw = ids.tobytes()
-            out += [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]
-        return out
 
-    def _spelled(self, words: list[str], before: str, behind: str):
+        if not len(words) or len(self._spelled(words.slice(0, 0), self.mark, "")) != 1:
+            return self._cached(self.firsts, words, self._encode)
+
+        def some(words):
+            all_ids = self._spelled(words, "", f"\n{self.mark}")
+            ends = np.flatnonzero(self.starts[all_ids])
+            return _binary(np.delete(all_ids, ends), np.r_[0, ends - np.arange(len(ends))])
+
+        return self._by_spelling(words, some)
+
+    def _by_spelling(self, words, encode, chunk: int = 8192):
+        """``encode`` on parts of the words, those of ASCII letters apart."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        simple = pc.string_is_ascii(words)
+        found = [pa.concat_arrays([encode(group.slice(i, chunk)) for i in range(0, len(group), chunk)]
+                                  or [pa.array([], pa.large_binary())])
+                 for group in (words.filter(simple), words.filter(pc.invert(simple)))]
+        return _merged(simple, *found)
+
+    def _spelled(self, words, before: str, behind: str):
+        """Ids of the words as the pre-tokenizer would spell them, one behind
+        the other (no words: of one empty word)."""
         import numpy as np
-        text = f"{behind}\n{before}".join([w if w.isascii() else w.translate(self.spelling) for w in words])
-        return np.asarray(self.letters.encode_batch_fast([before + text + behind], add_special_tokens=False)[0].ids, dtype="<u4")
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+        text, between = pc.binary_join(whole, pa.scalar("\n", words.type))[0].as_py(), f"{behind}\n{before}"
+        if text.isascii():
+            text = text.replace("\n", between)
+        else:  # str.translate takes ten times as long
+            spelled = [between if c == "\n" else self.spelling.get(ord(c), c) for c in map(chr, range(256))]
+            sizes = np.array([len(x) for x in spelled])
+            letters = np.frombuffer(text.encode("latin-1"), np.uint8)
+            n = sizes[letters]
+            at = np.repeat((np.cumsum(sizes) - sizes)[letters] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            text = np.frombuffer("".join(spelled).encode("utf-32-le"), "<u4")[at].tobytes().decode("utf-32-le")
+        text = before + text + behind
+        return np.asarray(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _encode_plain(self, words: list[str], chunk: int = 8192) -> list[bytes]:
         import numpy as np
@@ -187,6 +219,11 @@ class HfSegments:
                 values[i] = fresh[keys[i]]
         return values
 
+    def _cached(self, cache: TwoTierCache, words, encode):
+        """:meth:`_filled` for Arrow arrays."""
+        import pyarrow as pa
+        return pa.array(self._filled(cache, words.to_pylist(), encode), pa.large_binary())
+
     def id_bytes(self, texts: list[str | None], most: int = 1 << 22) -> list[bytes]:
         """Each text's ids; texts go in groups of about ``most`` characters,
         longer ones in parts cut at safe spaces."""
@@ -195,56 +232,73 @@ class HfSegments:
         out: list[list[bytes]] = [[] for _ in texts]
         parts: list[str] = []  # whose spaces are all safe
         of: list[tuple[int, bool]] = []  # text, and whether the part follows a space
+        odd: list[int] = []  # texts with other spaces
         size = 0
 
         def flush():
-            for (k, _), ids in zip(of, self._safe_parts(parts, [x for _, x in of])):
+            cut = [SAFE_SPACE.split(texts[k]) for k in odd]
+            after = [x for _, x in of] + [False] * len(odd)
+            for k, ids in zip([*[k for k, _ in of], *odd], self._parts_ids(parts, cut, after)):
                 out[k].append(ids)
 
         for k, t in enumerate(texts):
             if not t:
                 out[k].append(b"")
-            elif not every_space_is_safe(t):
-                first, *words = SAFE_SPACE.split(t)
-                out[k] += [*self._filled(self.firsts, [first], self._encode), *self._filled(self.cache, words, self._encode_words)]
-            else:
-                at = 0
-                while at < len(t):
+                continue
+            at = 0
+            while at < len(t):
+                if not at and not every_space_is_safe(t):
+                    odd.append(k)
+                    size += len(t)
+                    at = len(t)
+                else:
                     cut = t.find(" ", at + most) if len(t) - at > most else -1
                     parts.append(t[at:cut] if cut >= 0 else t[at:] if at else t)
                     of.append((k, at > 0))
                     size += len(parts[-1])
                     at = cut + 1 if cut >= 0 else len(t)
-                    if size >= most:
-                        flush()
-                        parts, of, size = [], [], 0
+                if size >= most:
+                    flush()
+                    parts, of, odd, size = [], [], [], 0
         flush()
         return [x[0] if len(x) == 1 else b"".join(x) for x in out]
 
-    def _safe_parts(self, parts: list[str], after_space: list[bool]) -> list[bytes]:
-        """Ids of parts whose spaces are all safe. Words are told apart by
-        Arrow's dictionary encoding, so Python sees each different word of a
-        group once, and ids are gathered by number."""
+    def _parts_ids(self, parts: list[str], cut: list[list[str]], after_space: list[bool]) -> list[bytes]:
+        """Ids of parts whose spaces are all safe, then of texts already cut
+        into segments. Words are told apart by Arrow's dictionary encoding, and
+        ids are gathered by number."""
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
-        if not parts:
+        if not parts and not cut:
             return []
-        lists = pc.split_pattern(pa.array(parts, pa.large_string()), " ")
-        ends = np.cumsum(pc.list_value_length(lists).to_numpy().astype(np.int64))
-        coded = lists.flatten().dictionary_encode()
+        lists = [pc.split_pattern(pa.array(parts, pa.large_string()), " "), pa.array(cut, pa.list_(pa.large_string()))]
+        ends = np.cumsum(np.concatenate([pc.list_value_length(x).to_numpy().astype(np.int64) for x in lists]))
+        coded = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode()
         at = coded.indices.to_numpy().astype(np.int64)
         heads = np.r_[0, ends[:-1]][~np.array(after_space)]  # segments without a space before them
-        words = coded.dictionary.to_pylist()
         first, number = np.unique(at[heads], return_inverse=True)
-        at[heads] = len(words) + number
-        values = self._filled(self.cache, words, self._encode_words)  # a word found only as a head is encoded for nothing
-        values += self._filled(self.firsts, [words[i] for i in first.tolist()], self._encode)
-        pool = np.frombuffer(b"".join(values), "<u4")
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        start = np.cumsum(sizes) - sizes
-        n = sizes[at]
-        past = np.cumsum(n)
-        ids = pool[np.repeat(start[at] - (past - n), n) + np.arange(n.sum())]
-        cuts = np.r_[0, past][np.r_[0, ends]].tolist()
-        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        at[heads] = len(coded.dictionary) + number
+        values = pa.concat_arrays([  # a word found only as a head is encoded for nothing
+            self._word_ids(coded.dictionary), self._cached(self.firsts, coded.dictionary.take(pa.array(first)), self._encode)])
+        _, past, ids = values.take(pa.array(at)).buffers()
+        cuts = np.frombuffer(past, np.int64)[np.r_[0, ends]].tolist()
+        ids = memoryview(ids) if ids else b""
+        return [bytes(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def _binary(ids, cuts):
+    """Ids between cuts (the first at 0, the last at the end) as an Arrow array of bytes."""
+    import numpy as np
+    import pyarrow as pa
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [
+        None, pa.py_buffer(4 * cuts.astype(np.int64)), pa.py_buffer(ids)])
+
+
+def _merged(flags, yes, no):
+    """Values of ``yes`` where the flag is set, else of ``no``, each in order."""
+    import numpy as np
+    import pyarrow as pa
+    flags = np.asarray(flags.to_numpy(zero_copy_only=False), bool)
+    at = np.where(flags, np.cumsum(flags) - 1, len(yes) + np.cumsum(~flags) - 1)
+    return pa.concat_arrays([yes, no]).take(pa.array(at, pa.int64()))

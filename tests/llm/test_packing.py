@@ -168,3 +168,25 @@ def test_words_of_letters_and_words_over_a_line_end():
     enc.letters = None  # as for a tokenizer whose pre-tokenizer changes letters
     enc.cache, enc.firsts = type(enc.cache)(1000), type(enc.firsts)(1000)
     assert enc.id_bytes(texts) == want
+
+
+def test_words_of_letters_need_neither_cache_nor_an_object_each():
+    from tessera.llm.common import tokenizer_path
+    from tessera.llm.segments import HfSegments
+    from tokenizers import Tokenizer
+    enc, t = HfSegments(tokenizer_path(NAME), 1000), Tokenizer.from_file(tokenizer_path(NAME))
+    rng = random.Random(8)
+    letters = [chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xc0, 0x100)] if c not in (0xd7, 0xf7)]
+    words = ["".join(rng.choices(letters[:52] if i % 2 else letters, k=rng.randrange(1, 9))) for i in range(20_000)]
+    marked = [w + rng.choice(["", ",", ".\nThe", "?!\né|", "\nÀ"]) for w in words]
+    texts = [" ".join(marked[i:i + 500]) for i in range(0, len(marked), 500)]
+    texts += ["  ".join(words[:300]), " " + " ".join(words[300:600]), None, "x", "a b", "é", "two  spaces 1.5 é,è"]
+    want = [np.asarray(t.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    looked_up, filled = [], enc._filled
+    enc._filled = lambda cache, keys, encode: looked_up.extend(keys) or filled(cache, keys, encode)
+    for most in (1 << 22, 3000, 1 << 22):
+        assert enc.id_bytes(texts, most) == want
+    assert enc.id_bytes([]) == [] and enc.id_bytes([None, ""]) == [b"", b""]
+    assert len(enc.cache.young) < 2000 and not enc.cache.old
+    looked_up.clear()
+    assert enc.id_bytes(texts[:40]) == want[:40] and len(looked_up) < 200
