@@ -140,12 +140,17 @@ def worker_state(key: Any, build: Callable[[], Any], most: int = 4) -> Any:
 def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcast an object of this package (its size bounded by the caller)
     to Python workers that need not have the package: the returned function
-    gives it there, loaded once per worker."""
+    gives it there, loaded once per worker, which holds the one used last:
+    models of earlier stages and runs would stay in its memory."""
     ship_package()
     data, name = spark.sparkContext.broadcast(cloudpickle.dumps(value)), uuid.uuid4().hex
 
     def load() -> Any:
-        return worker_state(("shared", name), lambda: pickle.loads(data.value))
+        held = worker_state("shared", dict)
+        if name not in held:
+            held.clear()
+            held[name] = pickle.loads(data.value)
+        return held[name]
 
     return load
 

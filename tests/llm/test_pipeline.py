@@ -86,3 +86,13 @@ def test_mix_stage_repeats_rows_by_the_plan(spark, edge_docs):
     for r in plan:
         want[(r["doc_id"], r["text"])] += r["copies"]
     assert got == +want
+
+
+def test_a_worker_holds_only_the_shared_object_used_last(spark):
+    import sys
+    from tessera.llm.common import share
+    sys.modules.pop("_tessera_worker_state", None)
+    loads = [share(spark, {"model": i}) for i in range(3)]
+    assert [f()["model"] for f in (*loads, loads[0], loads[0])] == [0, 1, 2, 0, 0]
+    assert loads[0]() is loads[0]()
+    assert str(sys.modules.pop("_tessera_worker_state").table).count("'model'") == 1
